@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinfold.functions.answers import ALL_ANSWERS, FIRST_ANSWER
 from kinfold.functions.timecols import last_refresh
 from kinfold.operators.people import clean_people, not_withdrawn, process_compensation
+from kinfold.operators.responses import clean_dictionary, clean_responses, dictionary_overview, dictionary_versions
+from kinfold.operators.scoring import enrich, enriched_long, score_likert, score_totals, topic_slice
 from kinfold.operators.summary import enrollment_summary
 from kinfold.plans import study
 
@@ -66,3 +69,67 @@ def q_people_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_enrollment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     everyone = people_all(spark, sf_dir)
     return rounded(enrollment_summary(everyone, not_withdrawn(everyone), run_time_refresh()))
+
+
+# ---------------------------------------------------------------- responses and dictionary (API3, API5)
+
+def people_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return not_withdrawn(people_all(spark, sf_dir))
+
+
+def responses(spark: SparkSession, sf_dir: str, ans_pat: str = FIRST_ANSWER) -> DataFrame:
+    return clean_responses(study.surveys_raw(spark, sf_dir), people_active(spark, sf_dir), ans_pat=ans_pat)
+
+
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned dictionary, cached: it is small (one row per question) and read by several branches."""
+    return clean_dictionary(study.dictionary_raw(spark, sf_dir), keep=["row_order"]).persist()
+
+
+@register("responses_clean")
+def q_responses_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(responses(spark, sf_dir))
+
+
+@register("responses_all_answers")
+def q_responses_all_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(responses(spark, sf_dir, ALL_ANSWERS))
+
+
+@register("dictionary_versions")
+def q_dictionary_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionary_versions(dictionary(spark, sf_dir))
+
+
+@register("dictionary_overview")
+def q_dictionary_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionary_overview(dictionary(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- enrichment and scoring (API6-API9)
+
+@register("enriched")
+def q_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(enrich(responses(spark, sf_dir), dictionary(spark, sf_dir)))
+
+
+@register("stress_items")
+def q_stress_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(score_likert(responses(spark, sf_dir), dictionary(spark, sf_dir)))
+
+
+@register("enriched_all")
+def q_enriched_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir)))
+
+
+@register("topic_slice")
+def q_topic_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir), sort=False)
+    return rounded(topic_slice(long, "general health"))
+
+
+@register("stress_totals")
+def q_stress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir), sort=False)
+    return score_totals(topic_slice(long, "stress"))

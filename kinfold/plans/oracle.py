@@ -188,3 +188,189 @@ SELECT r.last_updated, 'founders', founders_enrolled, founders_invited, founders
        NULL, round(founders_enrolled / nullif(founders_invited, 0), 6)
 FROM c, r
 """
+
+
+# ---------------------------------------------------------------- responses, dictionary, scoring
+
+def _surveys_raw() -> str:
+    from kinfold.plans.study import _survey_fields, answers_sql
+    s = _survey_fields("duckdb")
+    iso_us = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+    return f"""
+surveys_raw AS (
+  SELECT 'R' || event_id AS id,
+         CASE WHEN event_id % 23 = 0 THEN NULL ELSE 'M' || user_id END AS participantid,
+         CASE WHEN event_id % 41 = 7 THEN 'n/a' ELSE strftime(ts, {iso_us}) END AS date,
+         {s['surveyname']} AS surveyname,
+         CAST({s['version']} AS VARCHAR) AS surveyversion,
+         {s['display']} AS surveydisplayname,
+         {s['step_id']} AS stepidentifier,
+         {s['result_id']} AS resultidentifier,
+         {answers_sql('duckdb')} AS answers
+  FROM events
+)"""
+
+
+def _dictionary_raw() -> str:
+    from kinfold.plans.study import _survey_fields, dictionary_fields
+    s = _survey_fields("duckdb")
+    fields = dictionary_fields("duckdb")
+    cols = ",\n         ".join(f"{text} AS {name}" for text, name in fields)
+    names = ", ".join(name for _, name in fields)
+    return f"""
+dictionary_rows AS (
+  SELECT {cols}, event_id FROM events WHERE {s['kind']} <> 'admin'
+),
+dictionary_raw AS (SELECT {names}, min(event_id) AS row_order FROM dictionary_rows GROUP BY {names})"""
+
+
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _dict_clean() -> str:
+    from kinfold.operators.responses import QUESTION_OVERRIDES
+    arms = " ".join(f"WHEN resultidentifier = {_sql_text(k)} THEN {_sql_text(v)}" for k, v in QUESTION_OVERRIDES.items())
+    return f"""{_dictionary_raw()},
+dict_clean AS (
+  SELECT surveyname, CAST(surveyversion AS VARCHAR) AS surveyversion, stepidentifier, resultidentifier,
+         survey_type, survey_topic, step_readable,
+         CASE {arms} ELSE questiontext END AS question_standardized,
+         answerchoices AS possible_answers, row_order
+  FROM dictionary_raw
+)"""
+
+
+def _answers_list(pattern_kind: str) -> str:
+    if pattern_kind == "first":
+        found = "nullif(regexp_extract(answers, '\"(.*?)\"', 0), '')"
+    else:
+        found = "nullif(regexp_extract(answers, '\"(.{1,1000})\"', 1), '')"
+    return f"string_split(lower({found}), '\",\"')"
+
+
+PEOPLE_COLUMNS_SQL = ("last_updated_date, age, FamilyID, fam_pos, vit_status_exp, vitiligo_status, has_vitiligo, "
+                      "has_vitiligo_post_baseline, plex, num_affected, invitation_status, enrolled, active_kitstatus, "
+                      "aou_complete, enroll_date, invite_date, shipment_group, compensation_points, "
+                      "compensation_tickets, total_points, studyendreason")
+
+
+def _responses(pattern_kind: str = "first") -> str:
+    return f"""{PEOPLE},
+{_surveys_raw()},
+resp_join AS (
+  SELECT s.*, p.patient_id, {', '.join('p.' + c.strip() for c in PEOPLE_COLUMNS_SQL.split(','))}
+  FROM surveys_raw s JOIN people_active p ON s.participantid IS NOT DISTINCT FROM p.mdh_participant_id
+  WHERE p.patient_id IS NOT NULL
+),
+resp AS (
+  SELECT patient_id, {_instant('date')} AS recorded_dttm, {_local_date(_instant('date'))} AS recorded_date,
+         id AS response_id, surveyname, surveyversion, surveydisplayname, stepidentifier, resultidentifier,
+         UNNEST(coalesce({_answers_list(pattern_kind)}, [NULL])) AS answers,
+         {PEOPLE_COLUMNS_SQL}
+  FROM resp_join
+)"""
+
+
+SQL["responses_clean"] = f"""
+WITH {_responses('first')}
+SELECT * REPLACE (round(age, 6) AS age) FROM resp
+"""
+
+SQL["responses_all_answers"] = f"""
+WITH {_responses('all')}
+SELECT * REPLACE (round(age, 6) AS age) FROM resp
+"""
+
+SQL["dictionary_versions"] = f"""
+WITH {_dict_clean().lstrip(', ')}
+SELECT survey_topic, survey_type, surveyversion, count(*) AS total_questions
+FROM dict_clean GROUP BY survey_topic, survey_type, surveyversion
+"""
+
+SQL["dictionary_overview"] = f"""
+WITH {_dict_clean().lstrip(', ')},
+per_version AS (
+  SELECT survey_topic, survey_type, surveyversion, count(*) AS n, min(row_order) AS first_seen
+  FROM dict_clean GROUP BY survey_topic, survey_type, surveyversion
+)
+SELECT survey_topic, survey_type, CAST(sum(n) AS BIGINT) AS total_questions,
+       string_agg(surveyversion, ', ' ORDER BY first_seen) AS versions
+FROM per_version GROUP BY survey_topic, survey_type
+"""
+
+_CLEAN = ("CASE WHEN regexp_replace(answers, '^\"|\"$', '', 'g') = 'true' THEN 'Yes' "
+          "WHEN regexp_replace(answers, '^\"|\"$', '', 'g') = 'false' THEN 'No' "
+          "ELSE regexp_replace(answers, '^\"|\"$', '', 'g') END")
+_KEYS_ON = " AND ".join(f"r.{k} IS NOT DISTINCT FROM d.{k}"
+                        for k in ("surveyname", "surveyversion", "stepidentifier", "resultidentifier"))
+
+ENRICHED = f"""{_responses('first')},
+{_dict_clean()},
+enr AS (
+  SELECT r.patient_id, r.FamilyID, r.age, r.vitiligo_status, r.total_points AS raffle_points, r.recorded_date,
+         r.enroll_date, d.survey_topic, r.surveydisplayname AS survey_display_name, r.surveyversion, d.survey_type,
+         d.question_standardized, {_CLEAN.replace('answers', 'r.answers')} AS answer_clean, d.possible_answers
+  FROM resp r JOIN dict_clean d ON {_KEYS_ON}
+  WHERE NOT regexp_matches(r.surveydisplayname, '(S|s)tress') AND d.survey_topic IS NOT NULL
+),
+st_join AS (
+  SELECT r.*, d.survey_topic, d.question_standardized, d.possible_answers
+  FROM resp r LEFT JOIN (SELECT * FROM dict_clean WHERE survey_type = 'QT' AND regexp_matches(surveyname, '(S|s)tress')) d
+    ON {_KEYS_ON}
+  WHERE regexp_matches(r.surveydisplayname, '(S|s)tress')
+),
+st_first AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY patient_id, recorded_date, question_standardized
+                                 ORDER BY recorded_dttm ASC NULLS LAST, response_id, answers ASC NULLS LAST) AS rn
+    FROM st_join) WHERE rn = 1
+),
+st_scored AS (
+  SELECT *,
+         date_diff('day', {_local_date('enroll_date')}, {_local_date('recorded_dttm')}) / 30.4375 AS months,
+         CASE {_CLEAN} WHEN 'never' THEN 0 WHEN 'almost never' THEN 1 WHEN 'sometimes' THEN 2
+                       WHEN 'fairly often' THEN 3 WHEN 'very often' THEN 4 END AS score
+  FROM st_first
+),
+st AS (
+  SELECT patient_id, FamilyID, age, vitiligo_status, total_points AS raffle_points, recorded_date, enroll_date,
+         survey_topic, surveydisplayname AS survey_display_name, surveyversion,
+         CASE WHEN months < 2.9 THEN 'BL' WHEN months >= 2.9 THEN 'QT' END AS survey_type,
+         question_standardized,
+         CAST(CASE WHEN coalesce(regexp_extract(question_standardized, '^[0-9]+') IN ('4', '5', '7', '8'), false)
+                   THEN 4 - score ELSE score END AS VARCHAR) AS answer_clean,
+         '0, 1, 2, 3, 4' AS possible_answers
+  FROM st_scored WHERE survey_topic IS NOT NULL
+),
+long AS (SELECT * FROM enr UNION ALL SELECT * FROM st)"""
+
+SQL["enriched"] = f"""
+WITH {ENRICHED}
+SELECT * REPLACE (round(age, 6) AS age) FROM enr
+"""
+
+SQL["stress_items"] = f"""
+WITH {ENRICHED}
+SELECT * REPLACE (round(age, 6) AS age) FROM st
+"""
+
+SQL["enriched_all"] = f"""
+WITH {ENRICHED}
+SELECT * REPLACE (round(age, 6) AS age) FROM long
+"""
+
+SQL["topic_slice"] = f"""
+WITH {ENRICHED}
+SELECT patient_id, FamilyID, round(age, 6) AS age, vitiligo_status, raffle_points, recorded_date, enroll_date,
+       surveyversion, survey_type, question_standardized, answer_clean
+FROM long WHERE survey_topic = 'general health'
+"""
+
+SQL["stress_totals"] = f"""
+WITH {ENRICHED}
+SELECT patient_id, FamilyID, recorded_date, enroll_date, survey_type,
+       CAST(coalesce(sum(try_cast(trunc(try_cast(answer_clean AS DOUBLE)) AS INTEGER)), 0) AS INTEGER) AS stress_score
+FROM long WHERE survey_topic = 'stress'
+GROUP BY patient_id, FamilyID, recorded_date, enroll_date, survey_type
+"""

@@ -87,8 +87,9 @@ def _case(col: str, mapping: dict[str, str]) -> str:
     return f"CASE {col} {arms} END"
 
 
-def _survey_fields() -> dict[str, str]:
-    """Spark SQL text of the survey identity columns, shared by responses and dictionary."""
+def _survey_fields(dialect: str = "spark") -> dict[str, str]:
+    """SQL text of the survey identity columns, shared by responses and dictionary (and by the DuckDB
+    oracle, ``dialect='duckdb'``, which differs only in array indexing)."""
     kind = ("CASE WHEN event_id % 17 = 3 THEN 'admin' WHEN event_id % 4 = 0 THEN 'stress' ELSE 'topic' END")
     topic_name = _case("event_type", {k: v[0] for k, v in TOPIC_SURVEYS.items()})
     surveyname = (f"CASE {kind} WHEN 'admin' THEN '{ADMIN_SURVEY[0]}' WHEN 'stress' THEN '{STRESS_SURVEY[0]}' "
@@ -98,18 +99,19 @@ def _survey_fields() -> dict[str, str]:
     topic = (f"CASE {kind} WHEN 'admin' THEN NULL WHEN 'stress' THEN '{STRESS_SURVEY[2]}' "
              f"ELSE {_case('event_type', {k: v[2] for k, v in TOPIC_SURVEYS.items()})} END")
     q = "(event_id % 10 + 1)"
-    result_id = (f"CASE WHEN {kind} = 'topic' AND event_type = 'signup' AND {q} <= 3 THEN "
-                 f"element_at(array('{OVERRIDE_IDS[0]}', '{OVERRIDE_IDS[1]}', '{OVERRIDE_IDS[2]}'), cast({q} AS int)) "
+    ids = ", ".join(f"'{i}'" for i in OVERRIDE_IDS)
+    pick = (f"element_at(array({ids}), cast({q} AS int))" if dialect == "spark"
+            else f"([{ids}])[cast({q} AS int)]")
+    result_id = (f"CASE WHEN {kind} = 'topic' AND event_type = 'signup' AND {q} <= 3 THEN {pick} "
                  f"ELSE concat({surveyname}, '_q', {q}) END")
     return {"kind": kind, "surveyname": surveyname, "display": display, "topic": topic, "q": q,
             "version": "(event_id % 3 + 1)", "result_id": result_id,
             "step_id": f"concat({surveyname}, '_step', {q})"}
 
 
-def surveys_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """survey response records (FIXTURES 1.3) from ``events``."""
-    e = table(spark, sf_dir, "events")
-    s = _survey_fields()
+def answers_sql(dialect: str = "spark") -> str:
+    """SQL text of the raw ``answers`` field of the stand-in responses."""
+    s = _survey_fields(dialect)
     stress_answer = _case("event_type", STRESS_ANSWERS)
     topic_answer = (
         "CASE event_type "
@@ -118,8 +120,14 @@ def surveys_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN 'view' THEN concat('[\"opt', event_id % 3, '\",\"opt', user_id % 4, '\"]') "
         "WHEN 'purchase' THEN concat('[', cast(floor(value) AS int), ']') "
         "ELSE CASE WHEN event_id % 2 = 0 THEN NULL ELSE concat('[\"Spot ', event_id % 9, '\", \"arm\"]') END END")
-    answers = (f"CASE {s['kind']} WHEN 'stress' THEN CASE WHEN user_id % 29 = 0 THEN '[\"not sure\"]' "
-               f"ELSE concat('[\"', {stress_answer}, '\"]') END ELSE {topic_answer} END")
+    return (f"CASE {s['kind']} WHEN 'stress' THEN CASE WHEN user_id % 29 = 0 THEN '[\"not sure\"]' "
+            f"ELSE concat('[\"', {stress_answer}, '\"]') END ELSE {topic_answer} END")
+
+
+def surveys_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """survey response records (FIXTURES 1.3) from ``events``."""
+    e = table(spark, sf_dir, "events")
+    s = _survey_fields()
     return e.select(
         F.expr("concat('R', event_id)").alias("id"),
         F.expr("CASE WHEN event_id % 23 = 0 THEN NULL ELSE concat('M', user_id) END").alias("participantid"),
@@ -135,10 +143,32 @@ def surveys_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(s["display"]).alias("surveydisplayname"),
         F.expr(s["step_id"]).alias("stepidentifier"),
         F.expr(s["result_id"]).alias("resultidentifier"),
-        F.expr(answers).alias("answers"),
+        F.expr(answers_sql()).alias("answers"),
     )
 
 
+def dictionary_fields(dialect: str = "spark") -> list[tuple[str, str]]:
+    """(SQL text, name) of the dictionary columns, computed per response row; also used by the oracle."""
+    s = _survey_fields(dialect)
+    q = s["q"]
+    is_stress = f"{s['kind']} = 'stress'"
+    scale = ", ".join(STRESS_ANSWERS[k].lower() for k in STRESS_ANSWERS)
+    return [
+        (s["surveyname"], "surveyname"),
+        (f"cast({s['version']} AS int)", "surveyversion"),
+        (s["step_id"], "stepidentifier"),
+        (s["result_id"], "resultidentifier"),
+        (f"CASE WHEN {is_stress} THEN CASE WHEN {s['version']} = 1 THEN 'BL' ELSE 'QT' END "
+         f"ELSE CASE WHEN {s['version']} = 3 THEN 'QT' ELSE 'BL' END END", "survey_type"),
+        (s["topic"], "survey_topic"),
+        (f"concat('Step ', {q})", "step_readable"),
+        (f"CASE WHEN {is_stress} THEN concat({q}, '. In the last month, how often did item ', {q}, ' happen?') "
+         f"ELSE concat('Question ', {q}, ' about ', {s['topic']}) END", "questiontext"),
+        (f"CASE WHEN {is_stress} THEN 'scale' ELSE 'text' END", "answerformat"),
+        (f"CASE WHEN {is_stress} THEN '{scale}' ELSE 'free text' END", "answerchoices"),
+    ]
+
+
 def dictionary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """data dictionary (FIXTURES 1.4): one row per distinct question of the non-admin responses.
 
@@ -147,23 +177,7 @@ def dictionary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = table(spark, sf_dir, "events")
     s = _survey_fields()
-    q = s["q"]
-    is_stress = f"{s['kind']} = 'stress'"
-    scale = ", ".join(STRESS_ANSWERS[k].lower() for k in STRESS_ANSWERS)
+    fields = dictionary_fields()
     base = e.where(F.expr(f"{s['kind']} <> 'admin'")).select(
-        F.expr(s["surveyname"]).alias("surveyname"),
-        F.expr(f"cast({s['version']} AS int)").alias("surveyversion"),
-        F.expr(s["step_id"]).alias("stepidentifier"),
-        F.expr(s["result_id"]).alias("resultidentifier"),
-        F.expr(f"CASE WHEN {is_stress} THEN CASE WHEN {s['version']} = 1 THEN 'BL' ELSE 'QT' END "
-               f"ELSE CASE WHEN {s['version']} = 3 THEN 'QT' ELSE 'BL' END END").alias("survey_type"),
-        F.expr(s["topic"]).alias("survey_topic"),
-        F.expr(f"concat('Step ', {q})").alias("step_readable"),
-        F.expr(f"CASE WHEN {is_stress} THEN concat({q}, '. In the last month, how often did item ', {q}, ' happen?') "
-               f"ELSE concat('Question ', {q}, ' about ', {s['topic']}) END").alias("questiontext"),
-        F.expr(f"CASE WHEN {is_stress} THEN 'scale' ELSE 'text' END").alias("answerformat"),
-        F.expr(f"CASE WHEN {is_stress} THEN '{scale}' ELSE 'free text' END").alias("answerchoices"),
-        F.col("event_id"),
-    )
-    keys = [c for c in base.columns if c != "event_id"]
-    return base.groupBy(*keys).agg(F.min("event_id").alias("row_order"))
+        *[F.expr(text).alias(name) for text, name in fields], F.col("event_id"))
+    return base.groupBy(*[name for _, name in fields]).agg(F.min("event_id").alias("row_order"))
