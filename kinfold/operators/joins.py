@@ -37,7 +37,7 @@ def _q(name: str) -> str:
 
 def join_by(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str], how: str = "left",
             suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True) -> DataFrame:
-    """dplyr-style join.
+    """dplyr-style join. A full join is planned as ``full_join_split`` (skew-safe, same rows).
 
     * ``on``: list of shared key names, or {left_name: right_name}. The output keeps the left key names;
       for full/right joins the key is ``coalesce(left, right)``.
@@ -46,6 +46,33 @@ def join_by(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str
     """
     if how not in _HOW:
         raise ValueError(f"how must be one of {sorted(_HOW)}")
+    if how == "full":
+        return full_join_split(left, right, on, suffix, null_safe)
+    return _join(left, right, on, how, suffix, null_safe)
+
+
+def full_join_split(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str],
+                    suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True) -> DataFrame:
+    """Full outer join as ``left join`` + the right rows whose key never occurs on the left.
+
+    A native full outer join can neither broadcast a side nor be split by AQE's skew handling, so one hot
+    key (a busy day, a NULL id) lands in one task. The left join can be split (or broadcast), and the
+    anti join only needs the distinct left keys, which aggregate map-side to a small table.
+    """
+    pairs = list(on.items()) if isinstance(on, dict) else [(k, k) for k in on]
+    matched = _join(left, right, on, "left", suffix, null_safe)
+    left_keys = left.select(*[F.col(_q(lk)).alias(rk) for lk, rk in pairs]).distinct()
+    only_right = _join(right, left_keys, [rk for _, rk in pairs], "left_anti", suffix, null_safe)
+    # rename right keys to the left names and right columns to their suffixed names, as in ``matched``
+    left_rest = {c for c in left.columns if c not in [lk for lk, _ in pairs]}
+    sel = [F.col(_q(rk)).alias(lk) for lk, rk in pairs]
+    sel += [F.col(_q(c)).alias(c + suffix[1] if c in left_rest else c)
+            for c in right.columns if c not in [rk for _, rk in pairs]]
+    return matched.unionByName(only_right.select(*sel), allowMissingColumns=True)
+
+
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str], how: str,
+          suffix: tuple[str, str], null_safe: bool) -> DataFrame:
     pairs = list(on.items()) if isinstance(on, dict) else [(k, k) for k in on]
     left_keys = [lk for lk, _ in pairs]
     right_keys = [rk for _, rk in pairs]

@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinfold.functions.answers import ALL_ANSWERS, FIRST_ANSWER
-from kinfold.functions.timecols import last_refresh
+from kinfold.functions.timecols import format_refresh, last_refresh
 from kinfold.operators.people import clean_people, not_withdrawn, process_compensation
 from kinfold.operators.responses import clean_dictionary, clean_responses, dictionary_overview, dictionary_versions
 from kinfold.operators.scoring import enrich, enriched_long, score_likert, score_totals, topic_slice
+from kinfold.operators.reshape import sample_rows
+from kinfold.operators.series import align_daily, combine_series, daily_mean_vs_first, scaled_pair
+from kinfold.operators.stats import box_numbers, compare_groups, two_sample
 from kinfold.operators.summary import enrollment_summary
 from kinfold.plans import study
+from kinfold.plans.tables import table
 
 DIGITS = 6
 # The run time used by the registered queries (a real run passes "now").
@@ -133,3 +137,106 @@ def q_topic_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir), sort=False)
     return score_totals(topic_slice(long, "stress"))
+
+
+# ---------------------------------------------------------------- wearable series (JN4, API12, API13)
+
+def hrv_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_daily(study.hrv_detail(spark, sf_dir), study.hrv_summary(spark, sf_dir))
+
+
+@register("hrv_daily")
+def q_hrv_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(hrv_daily(spark, sf_dir))
+
+
+@register("daily_vs_summary")
+def q_daily_vs_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = daily_mean_vs_first(hrv_daily(spark, sf_dir), "rmssd_detail", "rmssd_summary", mean_name="mean_rmssd_detail")
+    return rounded(d)
+
+
+def combined_day(spark: SparkSession, sf_dir: str, join_type: str = "full") -> DataFrame:
+    return combine_series(hrv_daily(spark, sf_dir), study.resting_hr(spark, sf_dir), study.readiness(spark, sf_dir),
+                          by="day", join_type=join_type)
+
+
+@register("combine_day")
+def q_combine_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(combined_day(spark, sf_dir))
+
+
+@register("combine_inner")
+def q_combine_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(combine_series(hrv_daily(spark, sf_dir), study.resting_hr(spark, sf_dir), by="day",
+                                  join_type="inner"))
+
+
+@register("combine_left")
+def q_combine_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(combine_series(study.resting_hr(spark, sf_dir), hrv_daily(spark, sf_dir), by="day",
+                                  join_type="left"))
+
+
+@register("combine_month")
+def q_combine_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(combine_series(hrv_daily(spark, sf_dir), study.resting_hr(spark, sf_dir), by="month"))
+
+
+@register("combine_hour")
+def q_combine_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(combine_series(study.hrv_detail(spark, sf_dir), study.resting_hr(spark, sf_dir), by="hour"))
+
+
+@register("combine_minute")
+def q_combine_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(combine_series(study.hrv_detail(spark, sf_dir), study.resting_hr(spark, sf_dir), by="minute"))
+
+
+# Highlighted window of the registered dual-axis query (inclusive dates).
+HIGHLIGHT = ("2024-01-10", "2024-01-13")
+
+
+@register("scaled_pair")
+def q_scaled_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scaled_pair(combined_day(spark, sf_dir), "rmssd_detail", "resting_hr", "HRV (RMSSD)",
+                               "Resting HR (bpm)", highlight=HIGHLIGHT))
+
+
+@register("sample_rows")
+def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(sample_rows(hrv_daily(spark, sf_dir), 5, seed=7))
+
+
+# ---------------------------------------------------------------- statistics (API14, AGG16-AGG18)
+
+def lineitem_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.year("l_shipdate").alias("year"), "l_quantity", "l_extendedprice", "l_discount")
+
+
+@register("year_compare")
+def q_year_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(compare_groups(lineitem_years(spark, sf_dir), "year", 1997, 1998,
+                                  ["l_quantity", "l_extendedprice", "l_discount"]))
+
+
+@register("two_sample_events")
+def q_two_sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(
+        "event_type", "value", F.when(F.dayofmonth("ts") <= 15, "early").otherwise("late").alias("half"))
+    return rounded(two_sample(e, "half", "early", "late", "value", ["event_type"]))
+
+
+@register("box_numbers")
+def q_box_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(box_numbers(lineitem_years(spark, sf_dir), ["year"], "l_extendedprice"))
+
+
+# ---------------------------------------------------------------- refresh time (API15)
+
+@register("last_refresh")
+def q_last_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", "ts")
+    return e.select("event_id", "ts", last_refresh("ts").alias("last_updated"),
+                    format_refresh(last_refresh("ts")).alias("last_updated_text"))

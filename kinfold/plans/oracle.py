@@ -374,3 +374,253 @@ SELECT patient_id, FamilyID, recorded_date, enroll_date, survey_type,
 FROM long WHERE survey_topic = 'stress'
 GROUP BY patient_id, FamilyID, recorded_date, enroll_date, survey_type
 """
+
+
+# ---------------------------------------------------------------- wearable series
+
+SERIES = """
+hrv_detail AS (
+  SELECT ts AS timestamp, value AS rmssd, CAST(event_id % 100 AS DOUBLE) / 100.0 AS coverage,
+         value * 2.5 AS low_frequency, value / 3.0 AS high_frequency, CAST(ts AS DATE) AS file_date
+  FROM events WHERE event_type = 'view'
+),
+hrv_summary AS (
+  SELECT CAST(d AS TIMESTAMP) AS timestamp, avg(value) AS rmssd, max(value) AS nremhr, min(value) / 10.0 AS entropy,
+         d AS file_date
+  FROM (SELECT CAST(ts AS DATE) AS d, value FROM events WHERE event_type = 'click') GROUP BY d
+),
+hrv_daily AS (
+  SELECT d.file_date, d.timestamp AS timestamp_detail, d.rmssd AS rmssd_detail, d.coverage, d.low_frequency,
+         d.high_frequency, s.timestamp AS timestamp_summary, s.rmssd AS rmssd_summary, s.nremhr, s.entropy
+  FROM hrv_detail d LEFT JOIN hrv_summary s ON d.file_date = s.file_date + 1
+),
+resting AS (
+  SELECT CAST(ts AS DATE) AS file_date, min(ts) AS timestamp, 50.0 + min(value) / 10.0 AS resting_hr
+  FROM events WHERE event_type = 'purchase' GROUP BY CAST(ts AS DATE)
+),
+ready_raw AS (
+  SELECT CAST(ts AS DATE) AS file_date, avg(value) AS m, max(value) AS hi, min(value) AS lo
+  FROM events WHERE event_type = 'signup' GROUP BY CAST(ts AS DATE)
+),
+readiness AS (
+  SELECT file_date,
+         CASE WHEN m > 150 THEN 'High' WHEN m > 75 THEN 'Medium' ELSE 'Low' END AS daily_readiness_cat,
+         CASE WHEN hi > 150 THEN 'High' WHEN hi > 75 THEN 'Medium' ELSE 'Low' END AS sleep_readiness_cat,
+         CASE WHEN lo * 10 > 150 THEN 'High' WHEN lo * 10 > 75 THEN 'Medium' ELSE 'Low' END AS hrv_readiness_cat,
+         CASE WHEN m * 2 > 150 THEN 'High' WHEN m * 2 > 75 THEN 'Medium' ELSE 'Low' END AS rhr_readiness_cat,
+         round(m, 0) AS daily_readiness_score
+  FROM ready_raw
+),
+day_hrv AS (SELECT DISTINCT * FROM hrv_daily),
+day_rest AS (SELECT DISTINCT file_date, resting_hr FROM resting),
+day_ready AS (SELECT DISTINCT * FROM readiness),
+combined_day AS (
+  SELECT * FROM day_hrv FULL JOIN day_rest USING (file_date) FULL JOIN day_ready USING (file_date)
+)"""
+
+_HRV_COLS = ("timestamp_detail", "rmssd_detail", "coverage", "low_frequency", "high_frequency", "timestamp_summary",
+             "rmssd_summary", "nremhr", "entropy")
+
+
+def _round_cols(cols, digits=6):
+    return ", ".join(f"round({c}, {digits}) AS {c}" if c not in ("timestamp_detail", "timestamp_summary", "file_date")
+                     else c for c in cols)
+
+
+SQL["hrv_daily"] = f"""
+WITH {SERIES.lstrip()}
+SELECT file_date, {_round_cols(_HRV_COLS)} FROM hrv_daily
+"""
+
+SQL["daily_vs_summary"] = f"""
+WITH {SERIES.lstrip()}
+SELECT file_date, round(avg(rmssd_detail), 6) AS mean_rmssd_detail, round(max(rmssd_summary), 6) AS rmssd_summary
+FROM hrv_daily GROUP BY file_date
+"""
+
+_READY_COLS = ("daily_readiness_cat", "sleep_readiness_cat", "hrv_readiness_cat", "rhr_readiness_cat")
+
+SQL["combine_day"] = f"""
+WITH {SERIES.lstrip()}
+SELECT file_date, {_round_cols(_HRV_COLS)}, round(resting_hr, 6) AS resting_hr, {', '.join(_READY_COLS)},
+       round(daily_readiness_score, 6) AS daily_readiness_score
+FROM combined_day
+"""
+
+SQL["combine_inner"] = f"""
+WITH {SERIES.lstrip()}
+SELECT file_date, {_round_cols(_HRV_COLS)}, round(resting_hr, 6) AS resting_hr
+FROM day_hrv JOIN day_rest USING (file_date)
+"""
+
+SQL["combine_left"] = f"""
+WITH {SERIES.lstrip()}
+SELECT file_date, round(resting_hr, 6) AS resting_hr, {_round_cols(_HRV_COLS)}
+FROM day_rest LEFT JOIN day_hrv USING (file_date)
+"""
+
+_HRV_NUM = ("rmssd_detail", "coverage", "low_frequency", "high_frequency", "rmssd_summary", "nremhr", "entropy")
+_DET_NUM = ("rmssd", "coverage", "low_frequency", "high_frequency")
+
+
+def _avgs(cols):
+    return ", ".join(f"avg({c}) AS {c}" for c in cols)
+
+
+SQL["combine_month"] = f"""
+WITH {SERIES.lstrip()},
+m_hrv AS (SELECT CAST(date_trunc('month', file_date) AS DATE) AS year_month, {_avgs(_HRV_NUM)} FROM hrv_daily GROUP BY 1),
+m_rest AS (SELECT CAST(date_trunc('month', file_date) AS DATE) AS year_month, avg(resting_hr) AS resting_hr
+           FROM resting GROUP BY 1)
+SELECT year_month, {_round_cols(_HRV_NUM)}, round(resting_hr, 6) AS resting_hr
+FROM m_hrv FULL JOIN m_rest USING (year_month)
+"""
+
+for _unit in ("hour", "minute"):
+    SQL[f"combine_{_unit}"] = f"""
+WITH {SERIES.lstrip()},
+b_det AS (SELECT date_trunc('{_unit}', timestamp) AS datetime_{_unit}, {_avgs(_DET_NUM)} FROM hrv_detail GROUP BY 1),
+b_rest AS (SELECT date_trunc('{_unit}', timestamp) AS datetime_{_unit}, avg(resting_hr) AS resting_hr
+           FROM resting GROUP BY 1)
+SELECT datetime_{_unit}, {_round_cols(_DET_NUM)}, round(resting_hr, 6) AS resting_hr
+FROM b_det FULL JOIN b_rest USING (datetime_{_unit})
+"""
+
+SQL["scaled_pair"] = f"""
+WITH {SERIES.lstrip()},
+daily AS (SELECT file_date, avg(rmssd_detail) AS var1, avg(resting_hr) AS var2 FROM combined_day GROUP BY file_date),
+st AS (SELECT min(var1) AS min1, max(var1) AS max1, min(var2) AS min2, max(var2) AS max2, avg(var1) AS mean1,
+              avg(var2) AS mean2 FROM daily),
+j AS (SELECT *, (max1 - min1) / nullif(max2 - min2, 0) AS k FROM daily, st)
+SELECT file_date, round(var1, 6) AS Value, 'HRV (RMSSD)' AS Measure, round(mean1, 6) AS mean_value,
+       file_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-13' AS highlight FROM j
+UNION ALL
+SELECT file_date, round((var2 - min2) * k + min1, 6), 'Resting HR (bpm)', round((mean2 - min2) * k + min1, 6),
+       file_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-13' FROM j
+"""
+
+
+# ---------------------------------------------------------------- statistics
+
+def _normal_cdf(z: str) -> str:
+    x = f"(abs({z}) / sqrt(2.0))"
+    t = f"(1.0 / (1.0 + 0.3275911 * {x}))"
+    poly = (f"(((((1.061405429 * {t} + -1.453152027) * {t} + 1.421413741) * {t} + -0.284496736) * {t} "
+            f"+ 0.254829592) * {t})")
+    erf = f"(1.0 - {poly} * exp(-({x} * {x})))"
+    return f"(CASE WHEN {z} >= 0 THEN 0.5 * (1.0 + {erf}) ELSE 0.5 * (1.0 - {erf}) END)"
+
+
+def _ks_p(z: str) -> str:
+    series = (f"list_sum([CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * ({z}) * ({z})) "
+              f"FOR k IN range(1, 101)])")
+    return f"(CASE WHEN {z} IS NULL THEN NULL WHEN {z} < 0.2 THEN 1.0 ELSE least(greatest(2.0 * {series}, 0.0), 1.0) END)"
+
+
+def _fixed(x: str, d: int) -> str:
+    scale = float(10 ** d)
+    return f"printf('%.{d}f', sign({x}) * floor(abs({x}) * {scale} + 0.5) / {scale})"
+
+
+def _p_text(p: str) -> str:
+    return f"(CASE WHEN {p} < 0.001 THEN 'p < 0.001' ELSE 'p = ' || {_fixed(p, 3)} END)"
+
+
+def _stars(p: str) -> str:
+    return (f"(CASE WHEN {p} < 0.001 THEN '***' WHEN {p} < 0.01 THEN '**' WHEN {p} < 0.05 THEN '*' "
+            f"WHEN {p} < 0.1 THEN '†' ELSE 'ns' END)")
+
+
+def _signed(x: str) -> str:
+    return f"((CASE WHEN {x} >= 0 THEN '+' ELSE '' END) || {_fixed(x, 1)})"
+
+
+def _two_sample(long_cte: str, g: str, a: str, b: str) -> str:
+    """CTEs computing the two-sample table from ``long_cte(grp, {g}, value)``; result CTE ``ts``."""
+    return f"""
+rows_t AS (SELECT {g}, count(*) FILTER (WHERE grp = {a}) AS rows_a, count(*) FILTER (WHERE grp = {b}) AS rows_b,
+                  max(value) FILTER (WHERE value IS NOT NULL AND NOT isnan(value)) AS max_val
+           FROM {long_cte} GROUP BY {g}),
+vals AS (SELECT {g}, grp, value FROM {long_cte} WHERE value IS NOT NULL AND NOT isnan(value)),
+sizes AS (SELECT {g}, count(*) FILTER (WHERE grp = {a}) AS n_a, count(*) FILTER (WHERE grp = {b}) AS n_b,
+                 avg(value) FILTER (WHERE grp = {a}) AS mean_a, avg(value) FILTER (WHERE grp = {b}) AS mean_b,
+                 quantile_cont(value, 0.5) FILTER (WHERE grp = {a}) AS median_a,
+                 quantile_cont(value, 0.5) FILTER (WHERE grp = {b}) AS median_b
+          FROM vals GROUP BY {g}),
+cnt AS (SELECT {g}, value AS v, count(*) FILTER (WHERE grp = {a}) AS c_a, count(*) FILTER (WHERE grp = {b}) AS c_b
+        FROM vals GROUP BY {g}, value),
+cum AS (SELECT *, sum(c_a) OVER w AS cum_a, sum(c_b) OVER w AS cum_b FROM cnt
+        WINDOW w AS (PARTITION BY {g} ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+agg AS (SELECT c.{g}, max(abs(cum_a / s.n_a - cum_b / s.n_b)) AS ks_statistic,
+               CAST(sum(c_a * ((cum_a + cum_b - c_a - c_b) + (c_a + c_b + 1) / 2.0)) AS DOUBLE) AS rank_sum_a,
+               CAST(sum(power(CAST(c_a + c_b AS DOUBLE), 3) - CAST(c_a + c_b AS DOUBLE)) AS DOUBLE) AS ties
+        FROM cum c JOIN sizes s ON c.{g} = s.{g} GROUP BY c.{g}),
+w1 AS (SELECT s.*, a.ks_statistic, a.rank_sum_a, a.ties,
+              CAST(s.n_a AS DOUBLE) AS na, CAST(s.n_b AS DOUBLE) AS nb
+       FROM sizes s JOIN agg a ON s.{g} = a.{g}),
+w2 AS (SELECT *, rank_sum_a - na * (na + 1) / 2 AS wilcox_statistic,
+              sqrt(na * nb / 12 * ((na + nb + 1) - ties / ((na + nb) * (na + nb - 1)))) AS sigma,
+              sqrt(na * nb / (na + nb)) * ks_statistic AS ks_z
+       FROM w1),
+w3 AS (SELECT *, (wilcox_statistic - na * nb / 2 - sign(wilcox_statistic - na * nb / 2) * 0.5) / sigma AS wz FROM w2),
+ts AS (SELECT r.{g}, r.rows_a, r.rows_b, w.n_a, w.n_b, w.mean_a, w.mean_b, w.median_a, w.median_b, w.ks_statistic,
+              {_ks_p('w.ks_z')} AS ks_p, w.wilcox_statistic,
+              CASE WHEN w.sigma > 0 THEN 2.0 * least({_normal_cdf('w.wz')}, 1.0 - {_normal_cdf('w.wz')}) END AS wilcox_p,
+              r.max_val
+       FROM rows_t r LEFT JOIN w3 w ON r.{g} = w.{g})"""
+
+
+_TS_COLS = ("rows_a", "rows_b", "n_a", "n_b", "mean_a", "mean_b", "median_a", "median_b", "ks_statistic", "ks_p",
+            "wilcox_statistic", "wilcox_p", "max_val")
+
+
+def _ts_select(g: str) -> str:
+    return ", ".join([g] + [f"round({c}, 6) AS {c}" if c not in ("rows_a", "rows_b", "n_a", "n_b") else c
+                            for c in _TS_COLS])
+
+
+SQL["year_compare"] = f"""
+WITH li AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS grp, l_quantity, l_extendedprice, l_discount FROM lineitem
+            WHERE year(l_shipdate) IN (1997, 1998)),
+long AS (SELECT grp, 'l_quantity' AS metric, CAST(l_quantity AS DOUBLE) AS value FROM li
+         UNION ALL SELECT grp, 'l_extendedprice', CAST(l_extendedprice AS DOUBLE) FROM li
+         UNION ALL SELECT grp, 'l_discount', CAST(l_discount AS DOUBLE) FROM li),
+{_two_sample('long', 'metric', '1997', '1998')},
+fin AS (SELECT *, mean_b - mean_a AS mean_diff, median_b - median_a AS median_diff FROM ts)
+SELECT {_ts_select('metric')}, round(mean_diff, 6) AS mean_diff, round(median_diff, 6) AS median_diff,
+       {_p_text('ks_p')} AS ks_p_formatted, {_p_text('wilcox_p')} AS wilcox_p_formatted,
+       {_stars('ks_p')} AS ks_significance, {_stars('wilcox_p')} AS wilcox_significance,
+       'Diff Median: ' || {_signed('median_diff')} || ' | Diff Mean: ' || {_signed('mean_diff')} || chr(10)
+         || 'KS: ' || {_p_text('ks_p')} || ' ' || {_stars('ks_p')} || ' | '
+         || 'Wilcoxon: ' || {_p_text('wilcox_p')} || ' ' || {_stars('wilcox_p')} AS annotation_text,
+       round(max_val * 1.05, 6) AS y_pos, 1.5 AS x_pos
+FROM fin
+"""
+
+SQL["two_sample_events"] = f"""
+WITH long AS (SELECT CASE WHEN day(ts) <= 15 THEN 'early' ELSE 'late' END AS grp, event_type,
+                     CAST(value AS DOUBLE) AS value FROM events),
+{_two_sample('long', 'event_type', "'early'", "'late'")}
+SELECT {_ts_select('event_type')} FROM ts
+"""
+
+SQL["box_numbers"] = """
+WITH v AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_extendedprice AS DOUBLE) AS value FROM lineitem
+           WHERE l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice)),
+q AS (SELECT year, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM v GROUP BY year)
+SELECT year, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(min(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1)), 6)
+         AS lower_whisker,
+       round(max(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1)), 6)
+         AS upper_whisker,
+       count(*) FILTER (WHERE NOT (value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1))) AS n_outliers
+FROM v JOIN q USING (year) GROUP BY year, n, q1, median, q3
+"""
+
+SQL["last_refresh"] = f"""
+SELECT event_id, ts, {_refresh('ts')} AS last_updated,
+       'Last updated: ' || strftime({_local(_refresh('ts'))}, '%Y-%m-%d') || ' '
+         || strftime({_local(_refresh('ts'))}, '%H:%M:%S') || ' {TZ}' AS last_updated_text
+FROM events
+"""

@@ -181,3 +181,51 @@ def dictionary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = e.where(F.expr(f"{s['kind']} <> 'admin'")).select(
         *[F.expr(text).alias(name) for text, name in fields], F.col("event_id"))
     return base.groupBy(*[name for _, name in fields]).agg(F.min("event_id").alias("row_order"))
+
+
+# ---------------------------------------------------------------- wearable series from events
+# Which event_type plays which wearable series.
+DETAIL_TYPE, SUMMARY_TYPE, RESTING_TYPE, READINESS_TYPE = "view", "click", "purchase", "signup"
+
+
+def hrv_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-minute HRV detail rows (FIXTURES 1.5): one per 'view' event."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == DETAIL_TYPE)
+    return e.select(
+        F.col("ts").alias("timestamp"),
+        F.col("value").alias("rmssd"),
+        ((F.col("event_id") % 100).cast("double") / F.lit(100.0)).alias("coverage"),
+        (F.col("value") * F.lit(2.5)).alias("low_frequency"),
+        (F.col("value") / F.lit(3.0)).alias("high_frequency"),
+        F.to_date("ts").alias("file_date"),
+    )
+
+
+def hrv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily HRV summary (one row per day of 'click' events), dated by the day it describes."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == SUMMARY_TYPE)
+    daily = e.groupBy(F.to_date("ts").alias("file_date")).agg(
+        F.avg("value").alias("rmssd"), F.max("value").alias("nremhr"), (F.min("value") / F.lit(10.0)).alias("entropy"))
+    return daily.select(F.col("file_date").cast("timestamp_ntz").alias("timestamp"), "rmssd", "nremhr", "entropy",
+                        "file_date")
+
+
+def resting_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily resting heart rate (file_date, timestamp, resting_hr) from 'purchase' events."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == RESTING_TYPE)
+    return e.groupBy(F.to_date("ts").alias("file_date")).agg(
+        F.min("ts").alias("timestamp"), (F.lit(50.0) + F.min("value") / F.lit(10.0)).alias("resting_hr"))
+
+
+def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily readiness (file_date, four categories, score) from 'signup' events."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == READINESS_TYPE)
+    d = e.groupBy(F.to_date("ts").alias("file_date")).agg(
+        F.avg("value").alias("m"), F.max("value").alias("hi"), F.min("value").alias("lo"))
+
+    def cat(c):
+        return F.when(c > 150, "High").when(c > 75, "Medium").otherwise("Low")
+
+    return d.select("file_date", cat(F.col("m")).alias("daily_readiness_cat"), cat(F.col("hi")).alias("sleep_readiness_cat"),
+                    cat(F.col("lo") * 10).alias("hrv_readiness_cat"), cat(F.col("m") * 2).alias("rhr_readiness_cat"),
+                    F.round("m", 0).alias("daily_readiness_score"))
