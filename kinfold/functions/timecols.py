@@ -20,11 +20,19 @@ DAYS_PER_MONTH = 30.4375  # duration month = 365.25 / 12 days (DAT5)
 PHASE_CUT_MONTHS = 2.9     # < 2.9 months -> baseline, >= 2.9 -> follow-up (DAT6)
 
 
+ZONE_SUFFIX = "(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+
+
 def _instant_from_text(c: Column) -> Column:
-    """ISO-8601 text -> UTC wall clock. The zone in the text wins; text without zone is read as UTC."""
-    parsed = c.try_cast("timestamp")  # zone-less text is read in the session zone ...
-    wall = parsed.cast("timestamp_ntz")  # ... and rendered back in the same zone,
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall)  # so this maps to UTC
+    """ISO-8601 text -> UTC wall clock; bad text -> NULL.
+
+    Text with a zone (Z, +02:00) is parsed as an instant and brought to UTC; the session-zone round trip
+    cancels out. Text without a zone is read as a UTC wall clock directly (casting to timestamp_ntz would
+    silently drop a zone, hence the two branches).
+    """
+    wall = c.try_cast("timestamp").cast("timestamp_ntz")  # wall clock in the session zone
+    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall)
+    return F.when(F.trim(c).rlike(ZONE_SUFFIX), zoned).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def to_instant(df: DataFrame, name: str) -> Column:
@@ -85,8 +93,8 @@ def last_refresh(instant: Column | str, tz: str = STUDY_TZ, cutoff: str = REFRES
     h, m, s = _hms(cutoff)
     local = local_wallclock(instant, tz)
     day = F.to_date(local)
-    clock = F.date_format(local, "HH:mm:ss.SSSSSS")
-    refresh_day = F.when(clock > F.lit(f"{h:02d}:{m:02d}:{s:02d}.000000"), day).otherwise(F.date_sub(day, 1))
+    cut_today = F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), F.lit(h), F.lit(m), F.lit(s))
+    refresh_day = F.when(local > cut_today, day).otherwise(F.date_sub(day, 1))
     local_refresh = F.make_timestamp_ntz(F.year(refresh_day), F.month(refresh_day), F.dayofmonth(refresh_day),
                                          F.lit(h), F.lit(m), F.lit(s))
     return F.convert_timezone(F.lit(tz), F.lit("UTC"), local_refresh)
@@ -107,7 +115,10 @@ def floor_time(instant: Column, unit: str) -> Column:
     """Floor a UTC wall clock to the hour or minute (DAT7)."""
     if unit not in ("hour", "minute"):
         raise ValueError(f"unit must be 'hour' or 'minute', not {unit!r}")
-    return F.date_trunc(unit, instant).cast("timestamp_ntz")
+    # built from the fields: date_trunc would truncate in the session zone
+    minute = F.minute(instant) if unit == "minute" else F.lit(0)
+    return F.make_timestamp_ntz(F.year(instant), F.month(instant), F.dayofmonth(instant), F.hour(instant), minute,
+                                F.lit(0))
 
 
 def floor_month(day: Column) -> Column:
