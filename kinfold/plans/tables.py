@@ -10,6 +10,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has task slots.
+
+    A small table stored as one row group is read by a single task, and every per-row step before the
+    first shuffle then runs on one core. A large input already has at least as many partitions as slots,
+    so at scale this returns ``df`` unchanged (no extra shuffle). Column pruning and filter pushdown
+    still reach the scan through a round-robin repartition. Used only before heavy per-row work (text
+    formatting and parsing); where a partial aggregate follows the scan directly it would only add cost.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
