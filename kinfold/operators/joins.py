@@ -10,7 +10,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -80,33 +80,24 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str],
     right_rest = [c for c in right.columns if c not in right_keys]
     clash = set(left_rest) & set(right_rest)
 
-    lnames = {c: (c + suffix[0] if c in clash else c) for c in left_rest}
-    rnames = {c: (c + suffix[1] if c in clash else c) for c in right_rest}
+    # rename only what must change: clashing names, and the right keys (dropped after the join)
     tmp = {rk: f"__rk{i}" for i, rk in enumerate(right_keys)}
-
-    lsel = [F.col(_q(k)) for k in left_keys] + [F.col(_q(c)).alias(lnames[c]) for c in left_rest]
-    rsel = [F.col(_q(rk)).alias(tmp[rk]) for rk in right_keys] + [F.col(_q(c)).alias(rnames[c]) for c in right_rest]
-    lsel_df = left.select(*lsel)
-    rsel_df = right.select(*rsel)
+    lren = {c: c + suffix[0] for c in left_rest if c in clash and suffix[0]}
+    rren = {**{c: c + suffix[1] for c in right_rest if c in clash}, **tmp}
+    lft = left.withColumnsRenamed(lren) if lren else left
+    rgt = right.withColumnsRenamed(rren)
 
     conds = []
     for lk, rk in pairs:
-        lc, rc = lsel_df[_q(lk)], rsel_df[_q(tmp[rk])]
+        lc, rc = lft[_q(lk)], rgt[_q(tmp[rk])]
         conds.append(lc.eqNullSafe(rc) if null_safe else lc == rc)
     cond = functools.reduce(lambda a, b: a & b, conds)
-    joined = lsel_df.join(rsel_df, cond, _HOW[how])
+    joined = lft.join(rgt, cond, _HOW[how])
     if how in ("left_semi", "left_anti"):
         return joined
-
-    out: list[Column] = []
-    for lk, rk in pairs:
-        if how in ("full", "right"):
-            out.append(F.coalesce(lsel_df[_q(lk)], rsel_df[_q(tmp[rk])]).alias(lk))
-        else:
-            out.append(lsel_df[_q(lk)].alias(lk))
-    out += [lsel_df[_q(lnames[c])] for c in left_rest]
-    out += [rsel_df[_q(rnames[c])] for c in right_rest]
-    return joined.select(*out)
+    if how in ("full", "right"):
+        joined = joined.withColumns({lk: F.coalesce(lft[_q(lk)], rgt[_q(tmp[rk])]) for lk, rk in pairs})
+    return joined.drop(*tmp.values())
 
 
 def fold_join(frames: Sequence[DataFrame], on: Sequence[str], how: str = "full",

@@ -25,7 +25,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+def _catalog(spark: SparkSession) -> dict:
+    """Per-session lookup of table DataFrames (plan objects only, no data is cached)."""
+    cache = getattr(spark, "_kinfold_tables", None)
+    if cache is None:
+        cache = {}
+        spark._kinfold_tables = cache
+    return cache
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    cache = _catalog(spark)
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
