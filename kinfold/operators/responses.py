@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions.answers import FIRST_ANSWER, extract_answers
 from kinfold.functions.casting import safe_int
-from kinfold.functions.timecols import STUDY_TZ, local_date, to_instant
+from kinfold.functions.timecols import STUDY_TZ, local_date, local_wallclock, to_instant
 from kinfold.operators.joins import checked_broadcast, join_by
 from kinfold.operators.reshape import relocate
 
@@ -96,3 +96,11 @@ def dictionary_overview(d: DataFrame, order_col: str = "row_order") -> DataFrame
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_seen", "surveyversion"))),
                                  lambda x: x["surveyversion"]), ", ").alias("versions"))
     return out.orderBy(F.asc_nulls_last("survey_topic"), F.asc_nulls_last("survey_type"))
+
+
+def responses_last_updated(responses: DataFrame, tz: str = STUDY_TZ, label: str = "Last updated:") -> DataFrame:
+    """Latest response instant (NULLs ignored, quirk Q21) and 'Last updated: <local time> <zone>' (AGG14)."""
+    latest = responses.agg(F.max("recorded_dttm").alias("last_updated"))
+    local = local_wallclock("last_updated", tz)
+    return latest.withColumn("last_updated_text", F.concat_ws(" ", F.lit(label),
+                                                              F.date_format(local, "yyyy-MM-dd HH:mm:ss"), F.lit(tz)))

@@ -110,3 +110,17 @@ def score_totals(items: DataFrame, keys: Sequence[str] = TOTAL_KEYS, score_col:
                  out: str = "stress_score") -> DataFrame:
     """Sum of item scores per submission; all-NULL sums to 0 (API9, AGG7)."""
     return items.groupBy(*keys).agg(F.coalesce(F.sum(safe_int(score_col)), F.lit(0)).cast("int").alias(out))
+
+
+def enriched_overview(enriched: DataFrame, order: Sequence[str] = ("patient_id", "recorded_date"),
+                      topic: str = "survey_topic") -> DataFrame:
+    """Shape of the long table and its topics in order of first appearance (AGG15, SET4).
+
+    The long table is sorted by ``order`` then topic; a topic first appears at the smallest sort key among
+    its rows, so ordering topics by that minimum gives the same list without numbering every row.
+    """
+    key = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], F.col(topic))
+    per_topic = enriched.groupBy(topic).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("first_key", topic))), lambda x: x[topic])
+    return per_topic.agg(F.sum("n").alias("n_rows"), F.lit(len(enriched.columns)).alias("n_cols"),
+                         F.array_join(ordered, ", ").alias("topics"))

@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 from kinfold.functions.answers import ALL_ANSWERS, FIRST_ANSWER
 from kinfold.functions.timecols import format_refresh, last_refresh
 from kinfold.operators.people import clean_people, not_withdrawn, process_compensation
-from kinfold.operators.responses import clean_dictionary, clean_responses, dictionary_overview, dictionary_versions
-from kinfold.operators.scoring import enrich, enriched_long, score_likert, score_totals, topic_slice
-from kinfold.operators.reshape import sample_rows
+from kinfold.operators.responses import (clean_dictionary, clean_responses, dictionary_overview, dictionary_versions,
+                                        responses_last_updated)
+from kinfold.operators.scoring import enrich, enriched_long, enriched_overview, score_likert, score_totals, topic_slice
+from kinfold.operators.reshape import masked_ids, sample_rows, set_difference
 from kinfold.operators.series import align_daily, combine_series, daily_mean_vs_first, scaled_pair
 from kinfold.operators.stats import box_numbers, compare_groups, two_sample
 from kinfold.operators.summary import enrollment_summary
@@ -69,6 +70,20 @@ def q_people_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(people_all(spark, sf_dir))
 
 
+@register("dropped_families")
+def q_dropped_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    everyone = people_all(spark, sf_dir)
+    return set_difference(everyone.select("FamilyID"), not_withdrawn(everyone).select("FamilyID"))
+
+
+@register("dropped_founders")
+def q_dropped_founders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    everyone = people_all(spark, sf_dir)
+    founder = F.col("fam_pos") == 1
+    return set_difference(masked_ids(everyone, "patient_id", founder),
+                          masked_ids(not_withdrawn(everyone), "patient_id", founder))
+
+
 @register("enrollment_summary")
 def q_enrollment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     everyone = people_all(spark, sf_dir)
@@ -100,6 +115,11 @@ def q_responses_all_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(responses(spark, sf_dir, ALL_ANSWERS))
 
 
+@register("responses_last_updated")
+def q_responses_last_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses_last_updated(responses(spark, sf_dir))
+
+
 @register("dictionary_versions")
 def q_dictionary_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionary_versions(dictionary(spark, sf_dir))
@@ -127,6 +147,11 @@ def q_enriched_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir)))
 
 
+@register("enriched_overview")
+def q_enriched_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched_overview(enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir), sort=False))
+
+
 @register("topic_slice")
 def q_topic_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir), sort=False)

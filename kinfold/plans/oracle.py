@@ -624,3 +624,35 @@ SELECT event_id, ts, {_refresh('ts')} AS last_updated,
          || strftime({_local(_refresh('ts'))}, '%H:%M:%S') || ' {TZ}' AS last_updated_text
 FROM events
 """
+
+
+# ---------------------------------------------------------------- overviews and set differences
+
+SQL["responses_last_updated"] = f"""
+WITH {_responses('first')},
+m AS (SELECT max(recorded_dttm) AS last_updated FROM resp)
+SELECT last_updated, 'Last updated: ' || strftime({_local('last_updated')}, '%Y-%m-%d %H:%M:%S') || ' {TZ}'
+       AS last_updated_text
+FROM m
+"""
+
+SQL["enriched_overview"] = f"""
+WITH {ENRICHED},
+numbered AS (SELECT survey_topic, row_number() OVER (ORDER BY patient_id ASC NULLS LAST, recorded_date ASC NULLS LAST,
+                                                   survey_topic ASC NULLS LAST) AS rn FROM long),
+per_topic AS (SELECT survey_topic, count(*) AS n, min(rn) AS first_rn FROM numbered GROUP BY survey_topic)
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, 14 AS n_cols, string_agg(survey_topic, ', ' ORDER BY first_rn) AS topics
+FROM per_topic
+"""
+
+SQL["dropped_families"] = f"""
+WITH {PEOPLE}
+SELECT FamilyID FROM people EXCEPT SELECT FamilyID FROM people_active
+"""
+
+SQL["dropped_founders"] = f"""
+WITH {PEOPLE}
+{_masked('patient_id', 'fam_pos = 1', 'people').replace(' AS x', ' AS patient_id')}
+EXCEPT
+{_masked('patient_id', 'fam_pos = 1', 'people_active').replace(' AS x', ' AS patient_id')}
+"""

@@ -1,0 +1,3 @@
+"""Structured Streaming: incremental, exactly-once ingestion of date-named wearable files."""
+
+from kinfold.streaming.wearables import hrv_stream, ingest_available  # noqa: F401
