@@ -18,7 +18,8 @@ from kinfold.functions.timecols import format_refresh, last_refresh
 from kinfold.operators.people import clean_people, not_withdrawn, process_compensation
 from kinfold.operators.responses import (clean_dictionary, clean_responses, dictionary_overview, dictionary_versions,
                                         responses_last_updated)
-from kinfold.operators.scoring import enrich, enriched_long, enriched_overview, score_likert, score_totals, topic_slice
+from kinfold.operators.scoring import (enrich, enriched_long, enriched_overview, first_per_group, score_likert,
+                                      score_totals, topic_slice)
 from kinfold.operators.reshape import masked_ids, sample_rows, set_difference
 from kinfold.operators.series import align_daily, combine_series, daily_mean_vs_first, scaled_pair
 from kinfold.operators.stats import box_numbers, compare_groups, two_sample
@@ -120,6 +121,16 @@ def q_responses_last_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses_last_updated(responses(spark, sf_dir))
 
 
+@register("first_per_day")
+def q_first_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN2 on every response: the earliest answer per (patient, local day, survey)."""
+    r = responses(spark, sf_dir).select("patient_id", "recorded_date", "surveyname", "recorded_dttm", "response_id",
+                                        "answers")
+    return first_per_group(r, ["patient_id", "recorded_date", "surveyname"],
+                           [F.col("recorded_dttm").isNull(), F.col("recorded_dttm"), F.col("response_id"),
+                            F.col("answers").isNull(), F.col("answers")])
+
+
 @register("dictionary_versions")
 def q_dictionary_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionary_versions(dictionary(spark, sf_dir))

@@ -656,3 +656,11 @@ WITH {PEOPLE}
 EXCEPT
 {_masked('patient_id', 'fam_pos = 1', 'people_active').replace(' AS x', ' AS patient_id')}
 """
+
+SQL["first_per_day"] = f"""
+WITH {_responses('first')}
+SELECT patient_id, recorded_date, surveyname, recorded_dttm, response_id, answers FROM (
+  SELECT *, row_number() OVER (PARTITION BY patient_id, recorded_date, surveyname
+                               ORDER BY recorded_dttm ASC NULLS LAST, response_id, answers ASC NULLS LAST) AS rn
+  FROM resp) WHERE rn = 1
+"""
