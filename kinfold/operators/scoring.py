@@ -48,14 +48,27 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return picked.select("__row.*")
 
 
+DICTIONARY_BROADCAST_ROWS = 100_000
+
+
+def _lookup(dictionary: DataFrame, small: bool | None, max_rows: int | None) -> DataFrame:
+    """Broadcast the dictionary side when it is known (``small``) or checked to be small."""
+    if small is None:
+        return checked_broadcast(dictionary, max_rows)
+    return F.broadcast(dictionary) if small else dictionary
+
+
+def dictionary_is_small(dictionary: DataFrame, max_rows: int = DICTIONARY_BROADCAST_ROWS) -> bool:
+    return dictionary.limit(max_rows + 1).count() <= max_rows
+
+
 def enrich(responses: DataFrame, dictionary: DataFrame, exclude: str = STRESS_PATTERN,
-           dictionary_broadcast_rows: int | None = 100_000) -> DataFrame:
+           dictionary_broadcast_rows: int | None = DICTIONARY_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """Unscored topics (API6): responses whose display name does not match ``exclude`` (NULL names are
     dropped too), left join on the four dictionary keys, clean answer text, keep dictionary matches."""
     r = responses.where(~F.col("surveydisplayname").rlike(exclude))
-    d = checked_broadcast(dictionary.select(*DICTIONARY_KEYS, "survey_type", "survey_topic",
-                                            "question_standardized", "possible_answers"),
-                          dictionary_broadcast_rows)
+    d = _lookup(dictionary.select(*DICTIONARY_KEYS, "survey_type", "survey_topic", "question_standardized",
+                                  "possible_answers"), small, dictionary_broadcast_rows)
     j = join_by(r, d, list(DICTIONARY_KEYS), how="left", null_safe=True)
     j = j.withColumn("answer_clean", clean_answer("answers")).where(F.col("survey_topic").isNotNull())
     return _select_enriched(j)
@@ -63,7 +76,8 @@ def enrich(responses: DataFrame, dictionary: DataFrame, exclude: str = STRESS_PA
 
 def score_likert(responses: DataFrame, dictionary: DataFrame, include: str = STRESS_PATTERN,
                  levels: Sequence[str] = LIKERT_LEVELS, reverse_items: Sequence[int] = REVERSE_ITEMS,
-                 tz: str = STUDY_TZ, dictionary_broadcast_rows: int | None = 100_000) -> DataFrame:
+                 tz: str = STUDY_TZ, dictionary_broadcast_rows: int | None = DICTIONARY_BROADCAST_ROWS,
+                 small: bool | None = None) -> DataFrame:
     """Scored scale (API7).
 
     1. responses of the scale joined to its follow-up ('QT') dictionary rows;
@@ -74,8 +88,8 @@ def score_likert(responses: DataFrame, dictionary: DataFrame, include: str = STR
     """
     r = responses.where(F.col("surveydisplayname").rlike(include))
     d = dictionary.where((F.col("survey_type") == F.lit("QT")) & F.col("surveyname").rlike(include))
-    d = checked_broadcast(d.select(*DICTIONARY_KEYS, "survey_topic", "question_standardized",
-                                   "possible_answers"), dictionary_broadcast_rows)
+    d = _lookup(d.select(*DICTIONARY_KEYS, "survey_topic", "question_standardized", "possible_answers"), small,
+                dictionary_broadcast_rows)
     j = join_by(r, d, list(DICTIONARY_KEYS), how="left", null_safe=True)
     j = first_per_group(j, ["patient_id", "recorded_date", "question_standardized"],
                         [F.col("recorded_dttm").isNull(), F.col("recorded_dttm"), F.col("response_id"),
@@ -91,8 +105,12 @@ def score_likert(responses: DataFrame, dictionary: DataFrame, include: str = STR
 
 def enriched_long(responses: DataFrame, dictionary: DataFrame, pattern: str = STRESS_PATTERN,
                   sort: bool = True) -> DataFrame:
-    """Both branches stacked by name and sorted (API8, SET1). ``sort=False`` when only slices are read."""
-    out = bind_rows([enrich(responses, dictionary, pattern), score_likert(responses, dictionary, pattern)])
+    """Both branches stacked by name and sorted (API8, SET1). ``sort=False`` when only slices are read.
+
+    The dictionary's size is checked once for both branches (each branch reads a subset of it)."""
+    small = dictionary_is_small(dictionary)
+    out = bind_rows([enrich(responses, dictionary, pattern, small=small),
+                     score_likert(responses, dictionary, pattern, small=small)])
     if not sort:
         return out
     return out.orderBy(F.asc_nulls_last("patient_id"), F.asc_nulls_last("recorded_date"),

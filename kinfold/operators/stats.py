@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.functions.statfns import kolmogorov_p, p_text, signed_text, stars, two_sided_normal_p
+from kinfold.functions.statfns import kolmogorov_p_sql, p_text, signed_text, stars, two_sided_normal_p_sql
 from kinfold.operators.joins import join_by
 from kinfold.operators.reshape import unpivot_long
 
@@ -113,10 +113,11 @@ def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups
     centred = w - na * nb / 2
     sigma = F.sqrt(na * nb / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     z = (centred - F.signum(centred) * 0.5) / sigma
-    out = parts.withColumns({
-        "ks_p": kolmogorov_p(F.sqrt(na * nb / n) * F.col("ks_statistic")),
-        "wilcox_statistic": w,
-        "wilcox_p": F.when(sigma > 0, two_sided_normal_p(z)),
+    out = parts.withColumns({"__ks_z": F.sqrt(na * nb / n) * F.col("ks_statistic"), "wilcox_statistic": w,
+                             "__sigma": sigma, "__wz": z})
+    out = out.withColumns({
+        "ks_p": F.expr(kolmogorov_p_sql("__ks_z")),
+        "wilcox_p": F.expr(f"CASE WHEN `__sigma` > 0 THEN {two_sided_normal_p_sql('__wz')} END"),
     })
     out = join_by(rows, out, g, how="left", null_safe=True)
     return out.select(*g, "rows_a", "rows_b", "n_a", "n_b", "mean_a", "mean_b", "median_a", "median_b",
