@@ -98,8 +98,8 @@ def enrollment_summary(all_people: DataFrame, active_people: DataFrame,
         stamp = F.lit(None).cast("timestamp_ntz")
     elif isinstance(last_updated, Column):
         stamp = last_updated
-    else:
-        stamp = F.lit(last_updated).cast("timestamp_ntz")
+    else:  # from text: a Python datetime literal would pass through the session time zone
+        stamp = F.lit(last_updated.isoformat(sep=" ")).cast("timestamp_ntz")
     counts = enrollment_counts(all_people, active_people, **names)
     wide = counts.select(
         stamp.alias("last_updated"),

@@ -50,7 +50,8 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def run_time_refresh():
-    return last_refresh(F.lit(RUN_TIME).cast("timestamp_ntz"))
+    # from text: a Python datetime literal would pass through the session time zone
+    return last_refresh(F.lit(RUN_TIME.isoformat(sep=" ")).cast("timestamp_ntz"))
 
 
 # ---------------------------------------------------------------- participants (API1, API2, API4)

@@ -25,7 +25,7 @@ from kinfold.plans.tables import TABLES  # noqa: E402
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"SET TimeZone = '{os.environ.get('KINFOLD_DUCK_TZ', 'UTC')}'")
     for t in TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p):
@@ -87,6 +87,7 @@ def main(argv):
     names = argv[2:] or list(entry.queries())
     from kinfold.session import local_session
     spark = local_session(8, 8)
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("KINFOLD_SPARK_TZ", "UTC"))
     con = duck(sf_dir)
     bad = 0
     for n in names:
