@@ -45,7 +45,8 @@ def process_compensation(df: DataFrame, points: str = "compensation_points", tic
     p, t = col_of(points), col_of(tickets)
     out = df.withColumns({points: safe_int(points), tickets: safe_int(tickets)})
     out = out.withColumn(tickets, F.when(t.isNull() | (t == 0), F.lit(0)).otherwise(t))
-    out = out.withColumn(tickets, F.when((p > POINTS_THRESHOLD) & (t < 1), F.floor(p / k).cast("int")).otherwise(t))
+    out = out.withColumn(tickets, F.when((p > POINTS_THRESHOLD) & (t < 1), F.floor(F.try_divide(p, k)).cast("int"))
+                         .otherwise(t))
     out = out.withColumn(points, F.when((p > POINTS_THRESHOLD) & (t >= 1), p - t * k).otherwise(p))
     return out.withColumn(total, (p + k * t).cast("int"))
 

@@ -70,7 +70,8 @@ def _order_stat(cum: str, j: Column) -> Column:
 def _quantile_parts(n: str, p: float, tag: str) -> dict[str, Column]:
     """Type-7 position: h = (n-1)p + 1 -> index floor(h) and fraction h - floor(h)."""
     pos = (F.col(n) - 1).cast("double") * F.lit(p)
-    return {f"__j_{tag}": F.floor(pos) + 1, f"__f_{tag}": pos - F.floor(pos)}
+    # an empty sample has no quantile: NULL index -> NULL order statistics
+    return {f"__j_{tag}": F.when(F.col(n) > 0, F.floor(pos) + 1), f"__f_{tag}": pos - F.floor(pos)}
 
 
 def _quantile(cum: str, tag: str) -> Column:
@@ -99,11 +100,13 @@ def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups
     avg_rank = (F.col("cum_c_a") + F.col("cum_c_b") - t).cast("double") + (t + 1).cast("double") / 2
     parts = cum.groupBy(*g).agg(
         F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"),
-        F.max(F.abs(F.col("cum_c_a") / F.col("n_a") - F.col("cum_c_b") / F.col("n_b"))).alias("ks_statistic"),
+        # a sample without values (n = 0) gives NULL statistics instead of an ANSI division error
+        F.max(F.abs(F.try_divide(F.col("cum_c_a"), F.col("n_a")) - F.try_divide(F.col("cum_c_b"), F.col("n_b"))))
+        .alias("ks_statistic"),
         F.sum(F.col("c_a") * avg_rank).alias("rank_sum_a"),
         F.sum(F.pow(t.cast("double"), 3) - t.cast("double")).alias("ties"),  # double: t^3 overflows bigint
-        (F.sum(F.col("v") * F.col("c_a")) / F.first("n_a")).alias("mean_a"),
-        (F.sum(F.col("v") * F.col("c_b")) / F.first("n_b")).alias("mean_b"),
+        F.try_divide(F.sum(F.col("v") * F.col("c_a")), F.first("n_a")).alias("mean_a"),
+        F.try_divide(F.sum(F.col("v") * F.col("c_b")), F.first("n_b")).alias("mean_b"),
         _quantile("cum_c_a", "a").alias("median_a"),
         _quantile("cum_c_b", "b").alias("median_b"),
     )
@@ -111,9 +114,10 @@ def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups
     n = na + nb
     w = F.col("rank_sum_a") - na * (na + 1) / 2
     centred = w - na * nb / 2
-    sigma = F.sqrt(na * nb / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
-    z = (centred - F.signum(centred) * 0.5) / sigma
-    out = parts.withColumns({"__ks_z": F.sqrt(na * nb / n) * F.col("ks_statistic"), "wilcox_statistic": w,
+    sigma = F.sqrt(na * nb / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
+    z = F.try_divide(centred - F.signum(centred) * 0.5, sigma)  # all values tied: sigma = 0, p is NULL
+    out = parts.withColumns({"__ks_z": F.sqrt(F.try_divide(na * nb, n)) * F.col("ks_statistic"),
+                             "wilcox_statistic": w,
                              "__sigma": sigma, "__wz": z})
     out = out.withColumns({
         "ks_p": F.expr(kolmogorov_p_sql("__ks_z")),

@@ -94,3 +94,13 @@ def test_compare_groups_text(spark):
     assert hr.ks_significance in ("***", "**", "*", "†", "ns")
     rm = out["RMSSD Detail (ms)"]
     assert (rm.rows_a, rm.n_a) == (3, 2) and rm.y_pos == pytest.approx(45.0 * 1.05)
+
+
+def test_degenerate_samples(spark):
+    rows = [("ties", "a", 1.0), ("ties", "a", 1.0), ("ties", "b", 1.0), ("one_side", "a", 2.0), ("one_side", "b", None)]
+    df = spark.createDataFrame(rows, "metric string, grp string, value double")
+    got = {r.metric: r for r in two_sample(df, "grp", "a", "b", "value", ["metric"]).collect()}
+    assert got["ties"].ks_statistic == 0.0 and got["ties"].wilcox_p is None and got["ties"].ks_p == 1.0
+    one = got["one_side"]
+    assert (one.rows_a, one.rows_b, one.n_a, one.n_b) == (1, 1, 1, 0)
+    assert one.mean_b is None and one.median_b is None and one.ks_statistic is None and one.wilcox_p is None
