@@ -3,10 +3,11 @@
 Everything is computed from counts per distinct value, which aggregate map-side:
 
 * cumulative counts (needed by KS, ranks and exact quantiles) use a distributed prefix sum: values of a
-  group are cut into ``bins`` equal-width bins between the group's exact min and max; a window runs
-  inside each (group, bin) and the offsets of earlier bins come from a small (groups x bins) table. No
-  single task holds a whole group. Bins are deterministic (exact min/max), so recomputing a lost
-  partition gives the same answer;
+  group are cut into equal-width bins between the group's exact min and max, and crowded bins again
+  into sub-bins over their own range; a window runs inside each bin and the offsets of earlier bins come
+  from the table of bin totals (bounded by groups x bins^2, not by the data). No single task holds a
+  whole group. Bins are deterministic (exact min/max), so recomputing a lost partition gives the same
+  answer;
 * Kolmogorov-Smirnov D = max |F_a - F_b|, asymptotic p (``kolmogorov_p``);
 * Wilcoxon rank-sum W = R_a - n_a(n_a+1)/2 with average ranks of ties; normal approximation with tie
   correction and 0.5 continuity correction;
@@ -27,6 +28,7 @@ from kinfold.operators.joins import join_by
 from kinfold.operators.reshape import unpivot_long
 
 DEFAULT_BINS = 1024
+SPLIT_ABOVE = 4096  # distinct values in a first-level bin above which it is cut into sub-bins
 # Display names of the compared metrics in the study notebook (CND9).
 METRIC_LABELS = {"resting_hr": "Resting Heart Rate (bpm)", "rmssd_detail": "RMSSD Detail (ms)"}
 ANNOTATION_HEADROOM = 1.05  # label height = 1.05 x the metric's maximum
@@ -40,17 +42,33 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str, count_cols: d
     return df.groupBy(*groups, v.alias("v")).agg(*[F.count_if(cond).alias(n) for n, cond in count_cols.items()])
 
 
-def cumulate(counts: DataFrame, groups: Sequence[str], count_cols: Sequence[str], bins: int = DEFAULT_BINS) -> DataFrame:
+def _equal_width(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Bin index 0..bins-1 of ``v`` in [lo, hi]; 0 when the range is a single value."""
+    span = hi - lo
+    b = F.when(span > 0, F.least(F.floor((v - lo) / span * bins), F.lit(bins - 1)))
+    return F.coalesce(b, F.lit(0)).cast("long")
+
+
+def cumulate(counts: DataFrame, groups: Sequence[str], count_cols: Sequence[str], bins: int = DEFAULT_BINS,
+             split_above: int = SPLIT_ABOVE) -> DataFrame:
     """Add ``cum_<c>``: rows of the group with value <= v, for every count column (distributed prefix sum).
 
-    ``counts`` holds one row per (groups, v) with non-NULL v.
+    ``counts`` holds one row per (groups, v) with non-NULL v. Values are binned in two levels, both equal
+    width between exact minima and maxima (so the bins are deterministic): a first-level bin holding more
+    than ``split_above`` distinct values is cut again into ``bins`` sub-bins over its own range, so one
+    outlier stretching the range cannot put most values in one bin. A window runs inside each bin; the
+    offsets of earlier bins come from the (groups x bins) table of bin totals.
     """
     g = list(groups)
     rng = counts.groupBy(*g).agg(F.min("v").alias("__lo"), F.max("v").alias("__hi"))
     c = join_by(counts, rng, g, how="inner", null_safe=True)
-    span = F.col("__hi") - F.col("__lo")
-    bin_ = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("__lo")) / span * bins), F.lit(bins - 1)))
-    c = c.withColumn("__bin", F.coalesce(bin_, F.lit(0)).cast("int")).drop("__lo", "__hi")
+    c = c.withColumn("__b1", _equal_width(F.col("v"), F.col("__lo"), F.col("__hi"), bins)).drop("__lo", "__hi")
+    level1 = c.groupBy(*g, "__b1").agg(F.count(F.lit(1)).alias("__nv"), F.min("v").alias("__lo1"),
+                                        F.max("v").alias("__hi1"))
+    c = join_by(c, level1, [*g, "__b1"], how="inner", null_safe=True)
+    sub = F.when(F.col("__nv") > split_above, _equal_width(F.col("v"), F.col("__lo1"), F.col("__hi1"), bins))
+    c = c.withColumn("__bin", F.col("__b1") * bins + F.coalesce(sub, F.lit(0))).drop("__b1", "__nv", "__lo1",
+                                                                                          "__hi1")
 
     tot = c.groupBy(*g, "__bin").agg(*[F.sum(x).alias(f"__t_{x}") for x in count_cols])
     before = Window.partitionBy(*g).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -104,3 +104,13 @@ def test_degenerate_samples(spark):
     one = got["one_side"]
     assert (one.rows_a, one.rows_b, one.n_a, one.n_b) == (1, 1, 1, 0)
     assert one.mean_b is None and one.median_b is None and one.ks_statistic is None and one.wilcox_p is None
+
+
+def test_prefix_sum_with_outlier_and_split_bins(spark):
+    """One outlier stretches the range: first-level bins crowd, second-level bins split them; the
+    cumulative counts must equal a plain running count."""
+    from kinfold.operators.stats import cumulate
+    vals = [float(i) / 7 for i in range(300)] + [1e9]
+    counts = spark.createDataFrame([("g", v, 1) for v in vals], "grp string, v double, c long")
+    got = {r.v: r.cum_c for r in cumulate(counts, ["grp"], ["c"], bins=4, split_above=10).collect()}
+    assert [got[v] for v in sorted(vals)] == list(range(1, len(vals) + 1))
