@@ -52,22 +52,27 @@ def join_by(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str
 
 
 def full_join_split(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str],
-                    suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True) -> DataFrame:
+                    suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True,
+                    left_keys: DataFrame | None = None) -> DataFrame:
     """Full outer join as ``left join`` + the right rows whose key never occurs on the left.
 
     A native full outer join can neither broadcast a side nor be split by AQE's skew handling, so one hot
     key (a busy day, a NULL id) lands in one task. The left join can be split (or broadcast), and the
     anti join only needs the distinct left keys, which aggregate map-side to a small table.
+    ``left_keys`` (distinct left keys, named like the right keys) may be passed in when the caller can
+    build them more cheaply than re-reading ``left`` (``fold_join`` does).
     """
     pairs = list(on.items()) if isinstance(on, dict) else [(k, k) for k in on]
+    right_key_names = [rk for _, rk in pairs]
     matched = _join(left, right, on, "left", suffix, null_safe)
-    left_keys = left.select(*[F.col(_q(lk)).alias(rk) for lk, rk in pairs]).distinct()
-    only_right = _join(right, left_keys, [rk for _, rk in pairs], "left_anti", suffix, null_safe)
+    if left_keys is None:
+        left_keys = left.select(*[F.col(_q(lk)).alias(rk) for lk, rk in pairs]).distinct()
+    only_right = _join(right, left_keys, right_key_names, "left_anti", suffix, null_safe)
     # rename right keys to the left names and right columns to their suffixed names, as in ``matched``
     left_rest = {c for c in left.columns if c not in [lk for lk, _ in pairs]}
     sel = [F.col(_q(rk)).alias(lk) for lk, rk in pairs]
     sel += [F.col(_q(c)).alias(c + suffix[1] if c in left_rest else c)
-            for c in right.columns if c not in [rk for _, rk in pairs]]
+            for c in right.columns if c not in right_key_names]
     return matched.unionByName(only_right.select(*sel), allowMissingColumns=True)
 
 
@@ -102,7 +107,20 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str],
 
 def fold_join(frames: Sequence[DataFrame], on: Sequence[str], how: str = "full",
               suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True) -> DataFrame:
-    """Left fold of ``join_by`` over any number of frames (JN5)."""
+    """Left fold of ``join_by`` over any number of frames (JN5).
+
+    For full joins the distinct keys seen so far are kept as their own small table, built from each
+    input's key column: every step then reads the accumulated result once, so the work grows linearly
+    with the number of inputs instead of doubling at each step.
+    """
     if not frames:
         raise ValueError("no frames to join")
-    return functools.reduce(lambda acc, nxt: join_by(acc, nxt, on, how, suffix, null_safe), frames[1:], frames[0])
+    if how != "full":
+        return functools.reduce(lambda acc, nxt: join_by(acc, nxt, on, how, suffix, null_safe), frames[1:], frames[0])
+    keys = list(on)
+    acc = frames[0]
+    seen = frames[0].select(*keys).distinct()
+    for nxt in frames[1:]:
+        acc = full_join_split(acc, nxt, keys, suffix, null_safe, left_keys=seen)
+        seen = seen.unionByName(nxt.select(*keys)).distinct()
+    return acc

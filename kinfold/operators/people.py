@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions.casting import col_of, safe_int
@@ -93,7 +93,12 @@ def clean_people(df: DataFrame, tz: str = STUDY_TZ, pts_to_tix: int = 100, famil
     return d.select(*PEOPLE_COLUMNS)
 
 
+def is_active(reason: str = "studyendreason") -> Column:
+    """End reason NULL or '' (FLT1), as a condition."""
+    r = col_of(reason)
+    return r.isNull() | (r == "")
+
+
 def not_withdrawn(df: DataFrame, reason: str = "studyendreason") -> DataFrame:
     """Keep participants whose end reason is NULL or '' (FLT1)."""
-    r = col_of(reason)
-    return df.where(r.isNull() | (r == ""))
+    return df.where(is_active(reason))

@@ -61,6 +61,20 @@ def set_difference(x: DataFrame, y: DataFrame) -> DataFrame:
     return x.subtract(y)
 
 
+def dropped_keys(df: DataFrame, key: Column, keep: Column, where: Column | None = None,
+                 name: str = "key") -> DataFrame:
+    """Distinct ``key`` values of ``df`` that no kept row has: ``setdiff(df$key, df[keep, ]$key)`` in one
+    pass (SET2 when the second table is a subset of the first). NULL is a key like any other; ``where``
+    restricts both sides (rows where it is NULL contribute a NULL key, as R's indexing does)."""
+    src = df
+    k = key
+    if where is not None:
+        src = df.where(where | where.isNull())
+        k = F.when(where, key)
+    return (src.groupBy(k.alias(name)).agg(F.max(F.coalesce(keep, F.lit(False))).alias("__kept"))
+            .where(~F.col("__kept")).select(name))
+
+
 def masked_ids(df: DataFrame, id_col: str, cond: Column) -> DataFrame:
     """R's ``id[cond]``: rows where ``cond`` holds keep their id, rows where it is NULL give a NULL id (SET2)."""
     return df.where(cond | cond.isNull()).select(F.when(cond, F.col(id_col)).alias(id_col))

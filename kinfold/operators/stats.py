@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions.statfns import kolmogorov_p_sql, p_text, signed_text, stars, two_sided_normal_p_sql
 from kinfold.operators.joins import join_by
+from kinfold.session import materialize
 from kinfold.operators.reshape import unpivot_long
 
 DEFAULT_BINS = 1024
@@ -105,7 +106,9 @@ def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups
     ``b`` of ``group_col``; KS statistic and p; Wilcoxon W and p (AGG13, AGG16, AGG17)."""
     g = list(groups)
     side = F.col(group_col)
-    counts_all = value_counts(df.where(side.isin(a, b)), g, value, {"c_a": side == F.lit(a), "c_b": side == F.lit(b)})
+    # the grouped counts feed five branches below: write them once instead of recomputing each time
+    counts_all = materialize(value_counts(df.where(side.isin(a, b)), g, value,
+                                          {"c_a": side == F.lit(a), "c_b": side == F.lit(b)}))
     rows = counts_all.groupBy(*g).agg(F.sum("c_a").alias("rows_a"), F.sum("c_b").alias("rows_b"),
                                       F.max(F.when(F.col("c_a") + F.col("c_b") > 0, F.col("v"))).alias("max_val"))
     counts = counts_all.where(F.col("v").isNotNull())
@@ -184,7 +187,7 @@ def box_numbers(df: DataFrame, keys: Sequence[str], value: str, bins: int = DEFA
     """Box-plot numbers per group (AGG18): n, quartiles (type 7), whiskers at the most extreme values
     within 1.5 x IQR of the box, and the number of values outside them."""
     g = list(keys)
-    counts = value_counts(df, g, value, {"c": F.lit(True)}).where(F.col("v").isNotNull())
+    counts = materialize(value_counts(df, g, value, {"c": F.lit(True)}).where(F.col("v").isNotNull()))
     sizes = counts.groupBy(*g).agg(F.sum("c").alias("n"))
     cum = join_by(cumulate(counts, g, ["c"], bins), sizes, g, how="inner", null_safe=True)
     cum = cum.withColumns({**_quantile_parts("n", 0.25, "q1"), **_quantile_parts("n", 0.5, "q2"),

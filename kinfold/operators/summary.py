@@ -2,9 +2,9 @@
 
 R's ``n_distinct`` counts NA as a value, and indexing by an NA condition injects an NA id; ``setdiff``
 matches NA with NA (quirk Q8). All nine counts come from two grouped passes over the union of the two
-participant tables (one keyed by participant id, one by family id), so each id is shuffled once and no
-count-distinct expansion or cross join is needed. NULL ids form their own group, which is how NA counts
-as one value.
+participant tables, keyed by (kind, id) for participant and family ids, so each id is shuffled once and
+no count-distinct expansion or cross join is needed. NULL ids form their own group, which is how NA
+counts as one value.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ LEVELS = (("individuals", "pt_"), ("families", "fam_"), ("founders", "founders_"
 SUMMARY_METRICS = ("enrolled", "invited", "dropped", "avg_enrolled_fam_size", "enroll_pct")
 
 
-def _flags(tagged: DataFrame, key: str, conds: dict[str, Column]) -> DataFrame:
-    """One row per key value: presence on each side and, per condition, whether some row of the
-    all-participants side met it (``_t``) or had it undetermined (``_u``); same for the active side (``_ct``/``_cu``)."""
+def _flag_aggs(conds: dict[str, Column]) -> list[Column]:
+    """Per key: presence on each side and, per condition, whether some row of the all-participants side
+    met it (``_t``) or had it undetermined (``_u``); same for the active side (``_ct``/``_cu``)."""
     side_a = F.col("__side") == F.lit("a")
     side_c = F.col("__side") == F.lit("c")
     aggs = [F.max(side_a).alias("in_a"), F.max(side_c).alias("in_c")]
@@ -35,14 +35,12 @@ def _flags(tagged: DataFrame, key: str, conds: dict[str, Column]) -> DataFrame:
             F.max(side_c & F.coalesce(cond, F.lit(False))).alias(f"{name}_ct"),
             F.max(side_c & cond.isNull()).alias(f"{name}_cu"),
         ]
-    grouped = tagged.groupBy(F.col(key).alias("__key")).agg(*aggs)
-    # only "is the key NULL" is needed later; dropping the key lets id and family passes share one union
-    return grouped.withColumn("__null_key", F.col("__key").isNull()).drop("__key")
+    return aggs
 
 
 def _count_distinct_na(flags: Column, name: str) -> Column:
     """n_distinct(id[cond]) with R's NA rules, from per-id flags."""
-    null_key = F.col("__null_key")
+    null_key = F.col("__key").isNull()
     known = F.count_if(flags & ~null_key & F.col(f"{name}_t"))
     na = F.max(flags & (F.col(f"{name}_u") | (null_key & F.col(f"{name}_t"))))
     return known + F.coalesce(na.cast("int"), F.lit(0))
@@ -50,7 +48,7 @@ def _count_distinct_na(flags: Column, name: str) -> Column:
 
 def _setdiff_na(flags: Column, name: str) -> Column:
     """length(setdiff(id[cond on all], id[cond on active])) with NA matching NA."""
-    null_key = F.col("__null_key")
+    null_key = F.col("__key").isNull()
     known = F.count_if(flags & ~null_key & F.col(f"{name}_t") & ~F.col(f"{name}_ct"))
     na_x = F.max(flags & (F.col(f"{name}_u") | (null_key & F.col(f"{name}_t"))))
     na_y = F.max(flags & (F.col(f"{name}_cu") | (null_key & F.col(f"{name}_ct"))))
@@ -58,26 +56,36 @@ def _setdiff_na(flags: Column, name: str) -> Column:
     return known + extra
 
 
-def enrollment_counts(all_people: DataFrame, active_people: DataFrame, id_col: str = "patient_id",
+def enrollment_counts(all_people: DataFrame, active_people: DataFrame | Column, id_col: str = "patient_id",
                       family_col: str = "FamilyID", position_col: str = "fam_pos",
                       status_col: str = "invitation_status", enrolled_value: str = "enrolled",
                       founder_position: int = 1) -> DataFrame:
-    """One row with the nine counts pt_/fam_/founders_ x enrolled/invited/dropped (AGG1, AGG2)."""
+    """One row with the nine counts pt_/fam_/founders_ x enrolled/invited/dropped (AGG1, AGG2).
+
+    ``active_people`` is either the second table of the study code or, when it is a subset of
+    ``all_people``, the Column that selects it; the condition form reads the participants once.
+    Each row is exploded into (side, kind, key) rows -- side 'a' (all) and 'c' (active), kind 'pt'
+    (participant id) and 'fam' (family id, as text so both kinds share one key column) -- and a single
+    grouping on (kind, key) gives every flag.
+    """
     cols = [id_col, family_col, position_col, status_col]
-    tagged = (all_people.select(*cols).withColumn("__side", F.lit("a"))
-              .unionByName(active_people.select(*cols).withColumn("__side", F.lit("c"))))
+    if isinstance(active_people, Column):
+        sides = F.when(F.coalesce(active_people, F.lit(False)), F.array(F.lit("a"), F.lit("c"))) \
+            .otherwise(F.array(F.lit("a")))
+        tagged = all_people.select(*cols, F.explode(sides).alias("__side"))
+    else:
+        tagged = (all_people.select(*cols).withColumn("__side", F.lit("a"))
+                  .unionByName(active_people.select(*cols).withColumn("__side", F.lit("c"))))
+    kinds = F.array(F.struct(F.lit("pt").alias("__kind"), F.col(id_col).cast("string").alias("__key")),
+                    F.struct(F.lit("fam").alias("__kind"), F.col(family_col).cast("string").alias("__key")))
+    rows = tagged.select(*cols, "__side", F.inline(kinds))
     enrolled = F.col(status_col) == F.lit(enrolled_value)
     founder = F.col(position_col) == F.lit(founder_position)
-    every = F.lit(True)
-
-    per_person = _flags(tagged, id_col, {"enr": enrolled, "all": every, "fnd": founder,
-                                          "fnd_enr": founder & enrolled})
-    per_family = _flags(tagged, family_col, {"enr": enrolled, "all": every})
-    both = (per_person.withColumn("__kind", F.lit("pt"))
-            .unionByName(per_family.withColumn("__kind", F.lit("fam")), allowMissingColumns=True))
+    flags = rows.groupBy("__kind", "__key").agg(*_flag_aggs(
+        {"enr": enrolled, "all": F.lit(True), "fnd": founder, "fnd_enr": founder & enrolled}))
     is_pt = F.col("__kind") == F.lit("pt")
     is_fam = F.col("__kind") == F.lit("fam")
-    return both.agg(
+    return flags.agg(
         _count_distinct_na(is_pt, "enr").alias("pt_enrolled"),
         _count_distinct_na(is_pt, "all").alias("pt_invited"),
         _setdiff_na(is_pt, "all").alias("pt_dropped"),
@@ -90,7 +98,7 @@ def enrollment_counts(all_people: DataFrame, active_people: DataFrame, id_col: s
     )
 
 
-def enrollment_summary(all_people: DataFrame, active_people: DataFrame,
+def enrollment_summary(all_people: DataFrame, active_people: DataFrame | Column,
                        last_updated: Column | _dt.datetime | None = None, **names) -> DataFrame:
     """3 rows (individuals, families, founders) x (last_updated, level, enrolled, invited, dropped,
     avg_enrolled_fam_size, enroll_pct) (API4). Ratios with a zero divisor are NULL (quirk Q15)."""

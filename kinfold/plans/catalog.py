@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 
 from kinfold.functions.answers import ALL_ANSWERS, FIRST_ANSWER
 from kinfold.functions.timecols import format_refresh, last_refresh
-from kinfold.operators.people import clean_people, not_withdrawn, process_compensation
+from kinfold.operators.people import clean_people, is_active, not_withdrawn, process_compensation
 from kinfold.operators.responses import (clean_dictionary, clean_responses, dictionary_overview, dictionary_versions,
                                         responses_last_updated)
 from kinfold.operators.scoring import (enrich, enriched_long, enriched_overview, first_per_group, score_likert,
                                       score_totals, topic_slice)
-from kinfold.operators.reshape import masked_ids, sample_rows, set_difference
+from kinfold.operators.reshape import dropped_keys, sample_rows
 from kinfold.operators.series import align_daily, combine_series, daily_mean_vs_first, scaled_pair
 from kinfold.operators.stats import box_numbers, compare_groups, two_sample
 from kinfold.operators.summary import enrollment_summary
@@ -74,22 +74,18 @@ def q_people_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dropped_families")
 def q_dropped_families(spark: SparkSession, sf_dir: str) -> DataFrame:
-    everyone = people_all(spark, sf_dir)
-    return set_difference(everyone.select("FamilyID"), not_withdrawn(everyone).select("FamilyID"))
+    return dropped_keys(people_all(spark, sf_dir), F.col("FamilyID"), is_active(), name="FamilyID")
 
 
 @register("dropped_founders")
 def q_dropped_founders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    everyone = people_all(spark, sf_dir)
-    founder = F.col("fam_pos") == 1
-    return set_difference(masked_ids(everyone, "patient_id", founder),
-                          masked_ids(not_withdrawn(everyone), "patient_id", founder))
+    return dropped_keys(people_all(spark, sf_dir), F.col("patient_id"), is_active(), where=F.col("fam_pos") == 1,
+                        name="patient_id")
 
 
 @register("enrollment_summary")
 def q_enrollment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    everyone = people_all(spark, sf_dir)
-    return rounded(enrollment_summary(everyone, not_withdrawn(everyone), run_time_refresh()))
+    return rounded(enrollment_summary(people_all(spark, sf_dir), is_active(), run_time_refresh()))
 
 
 # ---------------------------------------------------------------- responses and dictionary (API3, API5)

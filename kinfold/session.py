@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -54,3 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` into the session's checkpoint folder (eager).
+
+    Used where one intermediate feeds several branches of a plan: they then read the written copy
+    instead of each recomputing it, and the copy survives the loss of executors (unlike a local
+    checkpoint or a cache).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
