@@ -54,6 +54,8 @@ def test_participant_join_is_inner(spark):
     assert joins and all("Join Inner" in line for line in joins), joins
 
 
-def test_scan_pruning(spark):
-    plan = _plan(entry.queries()["box_numbers"](spark, SF))
-    assert "ReadSchema: struct<l_extendedprice:double,l_shipdate:timestamp_ntz>" in plan
+def test_scan_pruning_and_pushdown(spark):
+    plan = _plan(entry.queries()["last_refresh"](spark, SF))
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+    plan = _plan(entry.queries()["combine_hour"](spark, SF))
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in plan
