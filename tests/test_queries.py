@@ -34,16 +34,11 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# the only nested-loop join allowed: scaled_pair attaches its one-row global aggregate to every day
-ONE_ROW_BROADCAST = {"scaled_pair"}
-
-
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_no_python_in_plans(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
-    banned = ["BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "CartesianProduct"]
-    if name not in ONE_ROW_BROADCAST:
-        banned.append("BroadcastNestedLoopJoin")
+    banned = ["BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "CartesianProduct",
+              "BroadcastNestedLoopJoin"]
     for node in banned:
         assert node not in plan, (name, node)
 
