@@ -12,10 +12,14 @@ FAMILY_PATTERN = "[0-9]+"                   # first digit run anywhere in the id
 POSITION_PATTERN = "^[^_]+_\\d+_(\\d+)"     # family position: third underscore-separated field
 AFFECTED_PATTERN = "_v$"                    # id suffix marking an affected participant
 # Alternative (unused by the study code, accepted as parameters): look-around variants
-FAMILY_PATTERN_PREFIXED = "(?<=VIGOR_)\\d+"
 POSITION_PATTERN_SUFFIXED = "\\d+(?=_v)|\\d+$"
 
 
+def prefixed_family_pattern(prefix: str) -> str:
+    """Family number right after ``<prefix>_`` (look-behind variant of FAMILY_PATTERN)."""
+    return f"(?<={prefix}_)\\d+"
+
+
 def first_match_int(c: Column | str, pattern: str = FAMILY_PATTERN) -> Column:
     """Whole first match of ``pattern`` as int; NULL when there is no match (STR1)."""
     return safe_int(F.regexp_substr(col_of(c), F.lit(pattern)))

@@ -89,6 +89,7 @@ def hrv_file_index(spark: SparkSession, start, end, root: str, force_all_dates:
     summ = _unique_per_date(listing, SUMMARY_REGEX, 2, 1, "summary_file")
     det = _unique_per_date(listing, DETAIL_REGEX, 1, 0, "detail_file")
     if summ is None or det is None:
+        warnings.warn(f"No HRV files found under: {folder}")  # SRC9: empty result, schema kept
         idx = spark.createDataFrame([], INDEX_SCHEMA)
     else:
         idx = join_by(summ, det, ["file_date"], how="full")
@@ -104,8 +105,11 @@ def hrv_file_index(spark: SparkSession, start, end, root: str, force_all_dates:
 def _read_kind(spark: SparkSession, folder: str, glob: str, schema: T.StructType) -> DataFrame:
     # the reader reports a URI (spaces as %20) while the listing reports the plain path
     uri = F.regexp_replace(F.col("_metadata.file_path"), "\\+", "%2B")
-    df = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", glob).csv(folder)
-          .withColumn("path", F.url_decode(uri)))
+    try:
+        df = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", glob).csv(folder)
+              .withColumn("path", F.url_decode(uri)))
+    except AnalysisException:  # no folder: no rows, same columns
+        df = spark.createDataFrame([], schema).withColumn("path", F.lit(None).cast("string"))
     return df.withColumn("timestamp", to_instant(df, "timestamp"))
 
 

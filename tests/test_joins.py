@@ -50,3 +50,14 @@ def test_checked_broadcast(spark):
     small = spark.range(5)
     assert "ResolvedHint" in small.join(checked_broadcast(small, 10), "id")._jdf.queryExecution().analyzed().toString()
     assert checked_broadcast(small, 3) is small
+
+
+def test_reshape_helpers(spark):
+    from kinfold.operators.reshape import distinct_in_order, drop_range, numeric_columns, relocate
+    df = spark.createDataFrame([(1, "a", 2.0, "x", 5)], "a int, b string, c double, d string, e int")
+    assert drop_range(df, "b", "d").columns == ["a", "e"]
+    assert drop_range(df, "d", "b").columns == ["a", "e"]
+    assert relocate(df, ["d", "a"]).columns == ["d", "a", "b", "c", "e"]
+    assert numeric_columns(df) == ["a", "c", "e"]
+    seq = spark.createDataFrame([(3, "y"), (1, "x"), (2, "y"), (4, "z")], "pos int, v string")
+    assert [r.v for r in distinct_in_order(seq, "v", "pos").collect()] == ["x", "y", "z"]

@@ -76,3 +76,11 @@ def test_local_enroll_date_and_instant(spark):
 def test_count_preserved(spark):
     raw = _raw(spark, [(f"AB_{i // 3}_{i % 3 + 1}", i % 2 == 0, i % 2, None) for i in range(40)])
     assert clean_people(raw).count() == 40
+
+
+def test_alternative_id_patterns(spark):
+    from kinfold.functions.ids import POSITION_PATTERN_SUFFIXED, prefixed_family_pattern
+    df = spark.createDataFrame([("ST_12_3_v",), ("ST_12_4",), ("XX_9_1",)], "pid string")
+    got = df.select(first_match_int("pid", prefixed_family_pattern("ST")).alias("f"),
+                    first_match_int("pid", POSITION_PATTERN_SUFFIXED).alias("p")).collect()
+    assert [(r.f, r.p) for r in got] == [(12, 3), (12, 4), (None, 1)]

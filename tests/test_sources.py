@@ -100,7 +100,10 @@ def test_daily_files(spark, export_root):
     missing = tempfile.mkdtemp(prefix="kinfold-empty-")
     with pytest.warns(UserWarning):
         assert load_resting_hr(spark, "2025-07-01", "2025-07-31", missing).count() == 0
-    assert hrv_file_index(spark, "2025-07-01", "2025-07-02", missing).count() == 0
+    with pytest.warns(UserWarning):
+        assert hrv_file_index(spark, "2025-07-01", "2025-07-02", missing).count() == 0
+    with pytest.warns(UserWarning):
+        assert load_hrv(spark, "2025-07-01", "2025-07-02", missing).count() == 0
 
 
 def test_envelope(spark):
