@@ -93,8 +93,9 @@ def dictionary_overview(d: DataFrame, order_col: str = "row_order") -> DataFrame
         F.count(F.lit(1)).alias("n"), F.min(order_col).alias("first_seen"))
     out = per_version.groupBy("survey_topic", "survey_type").agg(
         F.sum("n").alias("total_questions"),
+        # a missing version prints as NA, as R's paste() does
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_seen", "surveyversion"))),
-                                 lambda x: x["surveyversion"]), ", ").alias("versions"))
+                                 lambda x: x["surveyversion"]), ", ", "NA").alias("versions"))
     return out.orderBy(F.asc_nulls_last("survey_topic"), F.asc_nulls_last("survey_type"))
 
 

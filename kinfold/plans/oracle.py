@@ -295,7 +295,7 @@ per_version AS (
   FROM dict_clean GROUP BY survey_topic, survey_type, surveyversion
 )
 SELECT survey_topic, survey_type, CAST(sum(n) AS BIGINT) AS total_questions,
-       string_agg(surveyversion, ', ' ORDER BY first_seen) AS versions
+       string_agg(coalesce(surveyversion, 'NA'), ', ' ORDER BY first_seen) AS versions
 FROM per_version GROUP BY survey_topic, survey_type
 """
 

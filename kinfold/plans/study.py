@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.plans.tables import spread, table
+from kinfold.plans.tables import table
 
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 ISO_UTC_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -25,7 +25,7 @@ ISO_PLUS2 = "yyyy-MM-dd'T'HH:mm:ss'+02:00'"
 
 def participants_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """participant records (FIXTURES 1.2) from ``customer`` and each customer's order dates."""
-    c = spread(table(spark, sf_dir, "customer"))
+    c = table(spark, sf_dir, "customer", spread_rows=True)
     o = (table(spark, sf_dir, "orders")
          .groupBy("o_custkey")
          .agg(F.min("o_orderdate").alias("min_od"), F.max("o_orderdate").alias("max_od")))
@@ -126,7 +126,7 @@ def answers_sql(dialect: str = "spark") -> str:
 
 def surveys_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """survey response records (FIXTURES 1.3) from ``events``."""
-    e = spread(table(spark, sf_dir, "events"))
+    e = table(spark, sf_dir, "events", spread_rows=True)
     s = _survey_fields()
     return e.select(
         F.expr("concat('R', event_id)").alias("id"),

@@ -34,11 +34,14 @@ def _catalog(spark: SparkSession) -> dict:
     return cache
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """The parquet table ``name``; ``spread_rows`` applies ``spread`` (before per-row text work)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = os.path.join(sf_dir, f"{name}.parquet")
     cache = _catalog(spark)
-    if path not in cache:
-        cache[path] = spark.read.parquet(path)
-    return cache[path]
+    key = (path, spread_rows)
+    if key not in cache:
+        df = spark.read.parquet(path)
+        cache[key] = spread(df) if spread_rows else df
+    return cache[key]

@@ -97,3 +97,12 @@ def test_first_per_group(spark):
     df = spark.createDataFrame(rows, "p string, k int, t timestamp_ntz, id string")
     got = {r.k: r.id for r in first_per_group(df, ["p", "k"], [F.col("t").isNull(), F.col("t"), F.col("id")]).collect()}
     assert got == {1: "r1", 2: "r9"}
+
+
+def test_overview_prints_missing_version_as_na(spark):
+    rows = [("gen", None, "st1", "q1", "BL", "general health", "s1", "Q", "f", "c", 1),
+            ("gen", 2, "st1", "q1", "BL", "general health", "s1", "Q", "f", "c", 2),
+            ("gen", None, "st2", "q2", "BL", "general health", "s2", "Q", "f", "c", 3)]
+    d = clean_dictionary(spark.createDataFrame(rows, DICT), keep=["row_order"])
+    r = dictionary_overview(d).first()
+    assert (r.versions, r.total_questions) == ("NA, 2", 3)
