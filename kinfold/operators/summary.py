@@ -22,38 +22,39 @@ LEVELS = (("individuals", "pt_"), ("families", "fam_"), ("founders", "founders_"
 SUMMARY_METRICS = ("enrolled", "invited", "dropped", "avg_enrolled_fam_size", "enroll_pct")
 
 
-def _flag_aggs(conds: dict[str, Column]) -> list[Column]:
-    """Per key: presence on each side and, per condition, whether some row of the all-participants side
-    met it (``_t``) or had it undetermined (``_u``); same for the active side (``_ct``/``_cu``)."""
-    side_a = F.col("__side") == F.lit("a")
-    side_c = F.col("__side") == F.lit("c")
-    aggs = [F.max(side_a).alias("in_a"), F.max(side_c).alias("in_c")]
+def _sql_text(value: str) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _flag_aggs(conds: dict[str, str]) -> list[Column]:
+    """Per key: presence on each side and, per condition (SQL text), whether some row of the
+    all-participants side met it (``_t``) or had it undetermined (``_u``); same for the active side
+    (``_ct``/``_cu``). Written as SQL text: one parse per aggregate instead of many builder calls."""
+    aggs = ["max(__side = 'a') AS in_a", "max(__side = 'c') AS in_c"]
     for name, cond in conds.items():
         aggs += [
-            F.max(side_a & F.coalesce(cond, F.lit(False))).alias(f"{name}_t"),
-            F.max(side_a & cond.isNull()).alias(f"{name}_u"),
-            F.max(side_c & F.coalesce(cond, F.lit(False))).alias(f"{name}_ct"),
-            F.max(side_c & cond.isNull()).alias(f"{name}_cu"),
+            f"max(__side = 'a' AND coalesce({cond}, false)) AS {name}_t",
+            f"max(__side = 'a' AND ({cond}) IS NULL) AS {name}_u",
+            f"max(__side = 'c' AND coalesce({cond}, false)) AS {name}_ct",
+            f"max(__side = 'c' AND ({cond}) IS NULL) AS {name}_cu",
         ]
-    return aggs
+    return [F.expr(a) for a in aggs]
 
 
-def _count_distinct_na(flags: Column, name: str) -> Column:
-    """n_distinct(id[cond]) with R's NA rules, from per-id flags."""
-    null_key = F.col("__key").isNull()
-    known = F.count_if(flags & ~null_key & F.col(f"{name}_t"))
-    na = F.max(flags & (F.col(f"{name}_u") | (null_key & F.col(f"{name}_t"))))
-    return known + F.coalesce(na.cast("int"), F.lit(0))
+def _count_distinct_na(kind: str, name: str, alias: str) -> Column:
+    """n_distinct(id[cond]) with R's NA rules, from per-id flags of one key kind."""
+    rows = f"__kind = '{kind}'"
+    return F.expr(f"count_if({rows} AND __key IS NOT NULL AND {name}_t) + "
+                  f"coalesce(CAST(max({rows} AND ({name}_u OR (__key IS NULL AND {name}_t))) AS INT), 0) AS {alias}")
 
 
-def _setdiff_na(flags: Column, name: str) -> Column:
+def _setdiff_na(kind: str, name: str, alias: str) -> Column:
     """length(setdiff(id[cond on all], id[cond on active])) with NA matching NA."""
-    null_key = F.col("__key").isNull()
-    known = F.count_if(flags & ~null_key & F.col(f"{name}_t") & ~F.col(f"{name}_ct"))
-    na_x = F.max(flags & (F.col(f"{name}_u") | (null_key & F.col(f"{name}_t"))))
-    na_y = F.max(flags & (F.col(f"{name}_cu") | (null_key & F.col(f"{name}_ct"))))
-    extra = F.when(F.coalesce(na_x, F.lit(False)) & ~F.coalesce(na_y, F.lit(False)), 1).otherwise(0)
-    return known + extra
+    rows = f"__kind = '{kind}'"
+    na_x = f"coalesce(max({rows} AND ({name}_u OR (__key IS NULL AND {name}_t))), false)"
+    na_y = f"coalesce(max({rows} AND ({name}_cu OR (__key IS NULL AND {name}_ct))), false)"
+    return F.expr(f"count_if({rows} AND __key IS NOT NULL AND {name}_t AND NOT {name}_ct) + "
+                  f"CASE WHEN {na_x} AND NOT {na_y} THEN 1 ELSE 0 END AS {alias}")
 
 
 def enrollment_counts(all_people: DataFrame, active_people: DataFrame | Column, id_col: str = "patient_id",
@@ -79,22 +80,20 @@ def enrollment_counts(all_people: DataFrame, active_people: DataFrame | Column,
     kinds = F.array(F.struct(F.lit("pt").alias("__kind"), F.col(id_col).cast("string").alias("__key")),
                     F.struct(F.lit("fam").alias("__kind"), F.col(family_col).cast("string").alias("__key")))
     rows = tagged.select(*cols, "__side", F.inline(kinds))
-    enrolled = F.col(status_col) == F.lit(enrolled_value)
-    founder = F.col(position_col) == F.lit(founder_position)
+    enrolled = f"`{status_col}` = {_sql_text(enrolled_value)}"
+    founder = f"`{position_col}` = {int(founder_position)}"
     flags = rows.groupBy("__kind", "__key").agg(*_flag_aggs(
-        {"enr": enrolled, "all": F.lit(True), "fnd": founder, "fnd_enr": founder & enrolled}))
-    is_pt = F.col("__kind") == F.lit("pt")
-    is_fam = F.col("__kind") == F.lit("fam")
+        {"enr": enrolled, "all": "true", "fnd": founder, "fnd_enr": f"({founder}) AND ({enrolled})"}))
     return flags.agg(
-        _count_distinct_na(is_pt, "enr").alias("pt_enrolled"),
-        _count_distinct_na(is_pt, "all").alias("pt_invited"),
-        _setdiff_na(is_pt, "all").alias("pt_dropped"),
-        _count_distinct_na(is_fam, "enr").alias("fam_enrolled"),
-        _count_distinct_na(is_fam, "all").alias("fam_invited"),
-        _setdiff_na(is_fam, "all").alias("fam_dropped"),
-        _count_distinct_na(is_pt, "fnd_enr").alias("founders_enrolled"),
-        _count_distinct_na(is_pt, "fnd").alias("founders_invited"),
-        _setdiff_na(is_pt, "fnd").alias("founders_dropped"),
+        _count_distinct_na("pt", "enr", "pt_enrolled"),
+        _count_distinct_na("pt", "all", "pt_invited"),
+        _setdiff_na("pt", "all", "pt_dropped"),
+        _count_distinct_na("fam", "enr", "fam_enrolled"),
+        _count_distinct_na("fam", "all", "fam_invited"),
+        _setdiff_na("fam", "all", "fam_dropped"),
+        _count_distinct_na("pt", "fnd_enr", "founders_enrolled"),
+        _count_distinct_na("pt", "fnd", "founders_invited"),
+        _setdiff_na("pt", "fnd", "founders_dropped"),
     )
 
 
