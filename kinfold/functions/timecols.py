@@ -35,6 +35,13 @@ def _instant_from_text(c: Column) -> Column:
     return F.when(F.trim(c).rlike(ZONE_SUFFIX), zoned).otherwise(c.try_cast("timestamp_ntz"))
 
 
+def _instant_sql(name: str) -> str:
+    """``_instant_from_text`` as SQL text over the column ``name`` (one parse instead of ~12 builder calls)."""
+    c = f"`{name}`"
+    zoned = f"convert_timezone(current_timezone(), 'UTC', CAST(try_cast({c} AS TIMESTAMP) AS TIMESTAMP_NTZ))"
+    return f"CASE WHEN trim({c}) RLIKE '{ZONE_SUFFIX}' THEN {zoned} ELSE try_cast({c} AS TIMESTAMP_NTZ) END"
+
+
 def to_instant(df: DataFrame, name: str) -> Column:
     """Column ``name`` of ``df`` as a UTC ``timestamp_ntz``, chosen by the column's type (DAT1, DAT8).
 
@@ -44,7 +51,7 @@ def to_instant(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     c = col_of(name)
     if isinstance(dtype, T.StringType):
-        return _instant_from_text(c)
+        return F.expr(_instant_sql(name))
     if isinstance(dtype, T.TimestampType):
         return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
     if isinstance(dtype, T.TimestampNTZType):

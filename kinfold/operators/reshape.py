@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 def relocate(df: DataFrame, first: Sequence[str]) -> DataFrame:
     """Move ``first`` to the front and keep every other column in place (PRJ1)."""
     rest = [c for c in df.columns if c not in first]
-    return df.select(*[F.col(f"`{c}`") for c in list(first) + rest])
+    return df.selectExpr(*[f"`{c}`" for c in list(first) + rest])
 
 
 def drop_range(df: DataFrame, start: str, end: str) -> DataFrame:

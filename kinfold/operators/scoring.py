@@ -33,7 +33,7 @@ TOTAL_KEYS = ("patient_id", "FamilyID", "recorded_date", "enroll_date", "survey_
 
 
 def _select_enriched(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(src).alias(dst) for src, dst in ENRICHED_COLUMNS])
+    return df.selectExpr(*[f"`{src}` AS `{dst}`" for src, dst in ENRICHED_COLUMNS])
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -43,7 +43,7 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     reaches the shuffle as one row per task and a very large group cannot pile up in one task.
     ``order`` must make the pick unique (end it with an id column).
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    row = F.expr("struct(" + ", ".join(f"`{c}`" for c in df.columns) + ")")  # the whole row, one parse
     picked = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("__row"))
     return picked.select("__row.*")
 
