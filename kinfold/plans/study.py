@@ -30,40 +30,42 @@ def participants_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .groupBy("o_custkey")
          .agg(F.min("o_orderdate").alias("min_od"), F.max("o_orderdate").alias("max_od")))
     j = c.join(o, c.c_custkey == o.o_custkey, "left")
-    enroll_ts = F.expr("timestampadd(HOUR, c_custkey % 24, timestampadd(DAY, dayofyear(min_od) % 92, "
-                       "timestamp_ntz'2023-11-01 00:00:00'))")
-    invite_ts = F.expr("timestampadd(DAY, -(c_custkey % 30 + 1), timestampadd(HOUR, c_custkey % 24, "
-                       "timestampadd(DAY, dayofyear(min_od) % 92, timestamp_ntz'2023-11-01 00:00:00')))")
-    return j.select(
-        F.expr("concat('P', c_custkey)").alias("_id"),
-        F.expr("CASE WHEN c_custkey % 101 = 100 THEN NULL ELSE concat('AB_', c_custkey div 4, '_', c_custkey % 4 + 1, "
-               "CASE WHEN c_mktsegment = 'BUILDING' THEN '_v' ELSE '' END) END").alias("patient_id"),
-        F.expr("concat('M', c_custkey)").alias("mdh_participant_id"),
-        F.expr("cast(18 + c_custkey % 60 as double) + cast(c_nationkey as double) / 25").alias("age"),
-        F.expr("CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 'invited' END").alias("invitationstatus"),
-        F.when(F.expr("c_custkey % 37 = 5"), F.lit("not a date"))
-        .otherwise(F.date_format(enroll_ts, ISO_UTC)).alias("enrollmentdate"),
-        F.date_format(invite_ts, ISO_UTC).alias("inserteddate"),
-        F.date_format(F.expr("timestampadd(HOUR, 12, max_od)"), ISO_PLUS2).alias("lastUpdateDate"),
-        F.expr("CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey % 2 = 0 END").alias("enrolled"),
-        F.expr("CASE c_nationkey % 3 WHEN 0 THEN 'shipped' WHEN 1 THEN 'received' ELSE 'returned' END")
-        .alias("active_kitstatus"),
-        F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE 'no' END").alias("aou_complete"),
-        F.expr("concat('G', c_nationkey % 5)").alias("shipment_group"),
-        F.expr("CASE WHEN c_custkey % 13 = 0 THEN '' "
-               "WHEN c_custkey % 13 = 6 THEN concat(cast(cast(c_acctbal / 20 AS bigint) AS string), '.7') "
-               "ELSE cast(cast(c_acctbal / 20 AS bigint) AS string) END").alias("compensation_points"),
-        F.expr("CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE cast(c_custkey % 4 AS string) END")
-        .alias("compensation_tickets"),
-        F.expr("CASE WHEN c_mktsegment = 'MACHINERY' THEN 'withdrew' WHEN c_custkey % 3 = 0 THEN NULL ELSE '' END")
-        .alias("studyendreason"),
-        F.expr("CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END")
-        .alias("has_vitiligo"),
-        F.expr("CASE WHEN c_mktsegment = 'FURNITURE' THEN 1 WHEN c_custkey % 19 = 0 THEN 0 ELSE NULL END")
-        .alias("has_vitiligo_post_baseline"),
+    enroll_ts = ("timestampadd(HOUR, c_custkey % 24, timestampadd(DAY, dayofyear(min_od) % 92, "
+                 "timestamp_ntz'2023-11-01 00:00:00'))")
+    invite_ts = f"timestampadd(DAY, -(c_custkey % 30 + 1), {enroll_ts})"
+    # one projection of SQL expressions (parsed JVM-side in one go)
+    return j.selectExpr(
+        "concat('P', c_custkey) AS _id",
+        "CASE WHEN c_custkey % 101 = 100 THEN NULL ELSE concat('AB_', c_custkey div 4, '_', c_custkey % 4 + 1, "
+        "CASE WHEN c_mktsegment = 'BUILDING' THEN '_v' ELSE '' END) END AS patient_id",
+        "concat('M', c_custkey) AS mdh_participant_id",
+        "cast(18 + c_custkey % 60 as double) + cast(c_nationkey as double) / 25 AS age",
+        "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 'invited' END AS invitationstatus",
+        f"CASE WHEN c_custkey % 37 = 5 THEN 'not a date' ELSE date_format({enroll_ts}, {_sql(ISO_UTC)}) END "
+        "AS enrollmentdate",
+        f"date_format({invite_ts}, {_sql(ISO_UTC)}) AS inserteddate",
+        f"date_format(timestampadd(HOUR, 12, max_od), {_sql(ISO_PLUS2)}) AS lastUpdateDate",
+        "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey % 2 = 0 END AS enrolled",
+        "CASE c_nationkey % 3 WHEN 0 THEN 'shipped' WHEN 1 THEN 'received' ELSE 'returned' END AS active_kitstatus",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE 'no' END AS aou_complete",
+        "concat('G', c_nationkey % 5) AS shipment_group",
+        "CASE WHEN c_custkey % 13 = 0 THEN '' "
+        "WHEN c_custkey % 13 = 6 THEN concat(cast(cast(c_acctbal / 20 AS bigint) AS string), '.7') "
+        "ELSE cast(cast(c_acctbal / 20 AS bigint) AS string) END AS compensation_points",
+        "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE cast(c_custkey % 4 AS string) END AS compensation_tickets",
+        "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'withdrew' WHEN c_custkey % 3 = 0 THEN NULL ELSE '' END "
+        "AS studyendreason",
+        "CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS has_vitiligo",
+        "CASE WHEN c_mktsegment = 'FURNITURE' THEN 1 WHEN c_custkey % 19 = 0 THEN 0 ELSE NULL END "
+        "AS has_vitiligo_post_baseline",
     )
 
 
+def _sql(text: str) -> str:
+    """SQL string literal (backslash-escaped quotes)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 # Survey families of the stand-in responses, keyed by event_type:
 # (surveyname, display name, topic).
 TOPIC_SURVEYS = {
@@ -128,22 +130,21 @@ def surveys_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """survey response records (FIXTURES 1.3) from ``events``."""
     e = table(spark, sf_dir, "events", spread_rows=True)
     s = _survey_fields()
-    return e.select(
-        F.expr("concat('R', event_id)").alias("id"),
-        F.expr("CASE WHEN event_id % 23 = 0 THEN NULL ELSE concat('M', user_id) END").alias("participantid"),
-        F.expr("concat('S', event_id % 7)").alias("surveyid"),
-        F.expr("concat('D', user_id % 10)").alias("DID"),
-        F.when(F.expr("event_id % 41 = 7"), F.lit("n/a"))
-        .otherwise(F.date_format("ts", ISO_UTC_MICROS)).alias("date"),
-        F.date_format("ts", ISO_UTC_MICROS).alias("inserteddate"),
-        F.date_format("ts", ISO_UTC_MICROS).alias("creationDate"),
-        F.date_format(F.expr("timestampadd(DAY, 1, ts)"), ISO_UTC).alias("lastUpdateDate"),
-        F.expr(s["surveyname"]).alias("surveyname"),
-        F.expr(f"cast({s['version']} AS string)").alias("surveyversion"),
-        F.expr(s["display"]).alias("surveydisplayname"),
-        F.expr(s["step_id"]).alias("stepidentifier"),
-        F.expr(s["result_id"]).alias("resultidentifier"),
-        F.expr(answers_sql()).alias("answers"),
+    return e.selectExpr(
+        "concat('R', event_id) AS id",
+        "CASE WHEN event_id % 23 = 0 THEN NULL ELSE concat('M', user_id) END AS participantid",
+        "concat('S', event_id % 7) AS surveyid",
+        "concat('D', user_id % 10) AS DID",
+        f"CASE WHEN event_id % 41 = 7 THEN 'n/a' ELSE date_format(ts, {_sql(ISO_UTC_MICROS)}) END AS date",
+        f"date_format(ts, {_sql(ISO_UTC_MICROS)}) AS inserteddate",
+        f"date_format(ts, {_sql(ISO_UTC_MICROS)}) AS creationDate",
+        f"date_format(timestampadd(DAY, 1, ts), {_sql(ISO_UTC)}) AS lastUpdateDate",
+        f"{s['surveyname']} AS surveyname",
+        f"cast({s['version']} AS string) AS surveyversion",
+        f"{s['display']} AS surveydisplayname",
+        f"{s['step_id']} AS stepidentifier",
+        f"{s['result_id']} AS resultidentifier",
+        f"{answers_sql()} AS answers",
     )
 
 
@@ -178,8 +179,8 @@ def dictionary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     s = _survey_fields()
     fields = dictionary_fields()
-    base = e.where(F.expr(f"{s['kind']} <> 'admin'")).select(
-        *[F.expr(text).alias(name) for text, name in fields], F.col("event_id"))
+    base = e.where(F.expr(f"{s['kind']} <> 'admin'")).selectExpr(
+        *[f"{text} AS {name}" for text, name in fields], "event_id")
     return base.groupBy(*[name for _, name in fields]).agg(F.min("event_id").alias("row_order"))
 
 
