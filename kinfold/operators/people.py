@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions.casting import col_of, safe_int
+from kinfold.functions.casting import col_of
 from kinfold.functions.ids import (AFFECTED_PATTERN, FAMILY_PATTERN, POSITION_PATTERN, first_match_int, group_int,
                                    suffix_label)
 from kinfold.functions.timecols import STUDY_TZ, to_instant
@@ -41,14 +41,16 @@ def process_compensation(df: DataFrame, points: str = "compensation_points", tic
     4. more than 99 points and at least 1 ticket -> points = points - tickets * rate (may go negative, Q2);
     5. total = points + rate * tickets.
     """
-    k = F.lit(int(pts_to_tix))
-    p, t = col_of(points), col_of(tickets)
-    out = df.withColumns({points: safe_int(points), tickets: safe_int(tickets)})
-    out = out.withColumn(tickets, F.when(t.isNull() | (t == 0), F.lit(0)).otherwise(t))
-    out = out.withColumn(tickets, F.when((p > POINTS_THRESHOLD) & (t < 1), F.floor(F.try_divide(p, k)).cast("int"))
-                         .otherwise(t))
-    out = out.withColumn(points, F.when((p > POINTS_THRESHOLD) & (t >= 1), p - t * k).otherwise(p))
-    return out.withColumn(total, (p + k * t).cast("int"))
+    k = int(pts_to_tix)
+    p, t = f"`{points}`", f"`{tickets}`"
+    as_int = "try_cast(try_cast({} AS DOUBLE) AS INT)"  # R as.integer (see functions.casting.safe_int)
+    out = df.withColumns({points: F.expr(as_int.format(p)), tickets: F.expr(as_int.format(t))})
+    out = out.withColumn(tickets, F.expr(f"CASE WHEN {t} IS NULL OR {t} = 0 THEN 0 ELSE {t} END"))
+    out = out.withColumn(tickets, F.expr(f"CASE WHEN {p} > {POINTS_THRESHOLD} AND {t} < 1 "
+                                         f"THEN CAST(floor(try_divide({p}, {k})) AS INT) ELSE {t} END"))
+    out = out.withColumn(points, F.expr(f"CASE WHEN {p} > {POINTS_THRESHOLD} AND {t} >= 1 THEN {p} - {t} * {k} "
+                                        f"ELSE {p} END"))
+    return out.withColumn(total, F.expr(f"CAST({p} + {k} * {t} AS INT)"))
 
 
 def family_totals(df: DataFrame, family: str = "FamilyID", value: str = "vitiligo_status",
