@@ -8,12 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .batches import crc_bucket
 from .decontam import decontaminate
+from .html_text import extract
 from .langid import identify
 from .packing import pack
 from .secret_scan import scan_secrets
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
+from .token_counts import section_tokens
+from .toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,15 +40,37 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, docs.where(~held_out)).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window_words=13, one_in=20)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), crc_bucket("label_id", 4) != 2, threshold=0.3)
+    return scored.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), carry=True).select("row.page_id", "row.url", "text", "n_chars")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(_table(spark, sf_dir, "documents"), separator="\n", rule="start")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -53,8 +80,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
     "op3_language_id": op3_language_id,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
+    "op9_html_text": op9_html_text,
+    "op10_token_counts": op10_token_counts,
     "pipeline": pipeline,
 }
 
