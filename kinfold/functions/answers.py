@@ -10,8 +10,8 @@ from kinfold.functions.casting import col_of
 # Answer-extraction patterns.
 # Default: lazy, keeps only the first quoted answer with its quotes (quirk Q4).
 FIRST_ANSWER = '"(.*?)"'
-# Preset: greedy text between the first and last quote, then split on '","' (quirk Q5).
-ALL_ANSWERS = '(?<=").{1,1000}(?=")'
+# Preset: greedy text of any length and over line breaks between the first and last quote, then split on '","' (quirk Q5).
+ALL_ANSWERS = '(?s)(?<=").+(?=")'
 ANSWER_SEPARATOR = '","'
 
 # The five-point frequency scale, scored 0..4 in this order.

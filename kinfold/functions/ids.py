@@ -11,7 +11,7 @@ from kinfold.functions.casting import col_of, safe_int
 FAMILY_PATTERN = "[0-9]+"                   # first digit run anywhere in the id
 POSITION_PATTERN = "^[^_]+_\\d+_(\\d+)"     # family position: third underscore-separated field
 AFFECTED_PATTERN = "_v$"                    # id suffix marking an affected participant
-# Alternative (unused by the study code, accepted as parameters): look-around variants
+# Look-around variants (unused by the study code, accepted as parameters).
 POSITION_PATTERN_SUFFIXED = "\\d+(?=_v)|\\d+$"
 
 

@@ -14,21 +14,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 _HOW = {"left": "left", "inner": "inner", "full": "full", "right": "right", "left_semi": "left_semi",
         "left_anti": "left_anti"}
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when a bounded count shows at most ``max_rows`` rows, else ``df`` unchanged.
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and, written as JSON, at most ``max_bytes`` bytes.
 
-    The count reads at most ``max_rows + 1`` rows (``limit`` stops early). Persist ``df`` before calling
-    when it is expensive to compute, so the check and the join read it once.
+    One job that reads at most ``max_rows + 1`` rows (``limit`` stops early).
+    """
+    width = F.octet_length(F.to_json(F.struct(*[F.col(_q(c)) for c in df.columns])))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
+
+
+def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when a bounded check (``is_small``) allows it, else ``df`` unchanged, which leaves the join to AQE.
+
+    Persist ``df`` before calling when it is expensive to compute, so the check and the join read it once.
     """
     if max_rows is None:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+
+
+def local_copy(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` computed once and given back as a broadcast local table if it has at most ``max_rows`` rows, else ``df`` itself.
+
+    For tables that are small by their nature (a dictionary, bins of a histogram) and read by several branches of a plan:
+    none of them computes it again. At most ``max_rows + 1`` rows pass through the driver.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= max_rows else df
 
 
 def _q(name: str) -> str:
@@ -36,8 +56,10 @@ def _q(name: str) -> str:
 
 
 def join_by(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str], how: str = "left",
-            suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True) -> DataFrame:
-    """dplyr-style join. A full join is planned as ``full_join_split`` (skew-safe, same rows).
+            suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True, one_per_key: bool = False) -> DataFrame:
+    """dplyr-style join. A full join is planned as ``full_join_split`` (skew-safe, same rows), or, when the caller
+    knows that both sides have few rows for a key (``one_per_key``: aggregated inputs), as a native full outer join, which
+    reads each side once.
 
     * ``on``: list of shared key names, or {left_name: right_name}. The output keeps the left key names;
       for full/right joins the key is ``coalesce(left, right)``.
@@ -46,7 +68,7 @@ def join_by(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str
     """
     if how not in _HOW:
         raise ValueError(f"how must be one of {sorted(_HOW)}")
-    if how == "full":
+    if how == "full" and not one_per_key:
         return full_join_split(left, right, on, suffix, null_safe)
     return _join(left, right, on, how, suffix, null_safe)
 
@@ -106,8 +128,8 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str],
 
 
 def fold_join(frames: Sequence[DataFrame], on: Sequence[str], how: str = "full",
-              suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True) -> DataFrame:
-    """Left fold of ``join_by`` over any number of frames (JN5).
+              suffix: tuple[str, str] = (".x", ".y"), null_safe: bool = True, one_per_key: bool = False) -> DataFrame:
+    """Left fold of ``join_by`` over any number of frames (JN5); ``one_per_key`` as there.
 
     For full joins the distinct keys seen so far are kept as their own small table, built from each
     input's key column: every step then reads the accumulated result once, so the work grows linearly
@@ -115,8 +137,8 @@ def fold_join(frames: Sequence[DataFrame], on: Sequence[str], how: str = "full",
     """
     if not frames:
         raise ValueError("no frames to join")
-    if how != "full":
-        return functools.reduce(lambda acc, nxt: join_by(acc, nxt, on, how, suffix, null_safe), frames[1:], frames[0])
+    if how != "full" or one_per_key:
+        return functools.reduce(lambda acc, nxt: join_by(acc, nxt, on, how, suffix, null_safe, one_per_key), frames[1:], frames[0])
     keys = list(on)
     acc = frames[0]
     seen = frames[0].select(*keys).distinct()

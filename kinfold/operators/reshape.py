@@ -88,6 +88,12 @@ def distinct_in_order(df: DataFrame, col: str, order_col: str) -> DataFrame:
     return df.groupBy(col).agg(F.min(order_col).alias("first_seen")).orderBy("first_seen")
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """n random rows (SMP1): each partition keeps its n best random keys, then one small merge."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, n: int, seed: int = 42, keys: Sequence[str] = ()) -> DataFrame:
+    """n random rows (SMP1): those with the smallest md5 of the seed and their key (default: all columns).
+
+    The sample depends on the seed and the rows alone, not on how they are spread; each partition keeps its n best, then
+    one small merge.
+    """
+    cols = list(keys) or df.columns
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
+    return df.withColumn("__order", F.md5(text.cast("binary"))).orderBy("__order", *[F.col(f"`{c}`") for c in cols]).limit(n).drop("__order")

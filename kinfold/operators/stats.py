@@ -1,19 +1,20 @@
 """Two-group comparisons (API14: AGG13, AGG16-AGG18, CND8-CND9, STR12, JN6, RSH1).
 
-Everything is computed from counts per distinct value, which aggregate map-side:
-
-* cumulative counts (needed by KS, ranks and exact quantiles) use a distributed prefix sum: values of a
-  group are cut into equal-width bins between the group's exact min and max, and crowded bins again
-  into sub-bins over their own range; a window runs inside each bin and the offsets of earlier bins come
-  from the table of bin totals (bounded by groups x bins^2, not by the data). No single task holds a
-  whole group. Bins are deterministic (exact min/max), so recomputing a lost partition gives the same
-  answer;
-* Kolmogorov-Smirnov D = max |F_a - F_b|, asymptotic p (``kolmogorov_p``);
+**Quantiles** are exact (type 7, R's default) and move no values between tasks. A histogram per group, with bins that follow the
+magnitude of the values, shows which bins hold the wanted ranks; only those bins are read again with bins of equal width
+between their own smallest and largest value, until a bin is small enough to count its values. All bounds are exact
+values of the data and all counts are integers, so any task that is run again finds the same bins.
+
+**Kolmogorov-Smirnov and rank-sum** need the cumulative counts of both samples at every value. Values are counted by value,
+cut into the bins of the histogram (by magnitude, so neither long tails nor outliers crowd them; a bin with very many rows
+again by equal width between its own bounds), and summed up within each bin; the bins' offsets come from the bins' totals.
+The values are shuffled twice (by value, which combines equal ones map-side, and by bin).
+
+* Kolmogorov-Smirnov D = max |F_a - F_b|, asymptotic p;
 * Wilcoxon rank-sum W = R_a - n_a(n_a+1)/2 with average ranks of ties; normal approximation with tie
-  correction and 0.5 continuity correction;
-* medians and quartiles are exact type-7 quantiles (R's default) read off the cumulative counts.
+  correction and 0.5 continuity correction.
 
-Small-sample exact p-values of R are not computed (asymptotic only; SURVEY "Not built").
+p-values are always asymptotic; small-sample exact p-values of R are not computed (SURVEY "Not built").
 """
 
 from __future__ import annotations
@@ -24,147 +25,210 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.functions.statfns import kolmogorov_p_sql, p_text, signed_text, stars, two_sided_normal_p_sql
-from kinfold.operators.joins import join_by
-from kinfold.session import materialize
+from kinfold.operators.joins import join_by, local_copy
 from kinfold.operators.reshape import unpivot_long
 
-DEFAULT_BINS = 1024
-SPLIT_ABOVE = 4096  # distinct values in a first-level bin above which it is cut into sub-bins
+BINS_PER_OCTAVE = 64   # bins for each doubling of the magnitude
+SUB_BINS = 1024        # bins of equal width inside a bin that holds a wanted rank
+COUNTED_ROWS = 200_000  # rows of a bin that is not cut again
+LOCAL_ROWS = 200_000   # rows of a table of bins that may pass through the driver
 # Display names of the compared metrics in the study notebook (CND9).
 METRIC_LABELS = {"resting_hr": "Resting Heart Rate (bpm)", "rmssd_detail": "RMSSD Detail (ms)"}
 ANNOTATION_HEADROOM = 1.05  # label height = 1.05 x the metric's maximum
 ANNOTATION_X = 1.5          # label centred between the two groups
 
 
-def value_counts(df: DataFrame, groups: Sequence[str], value: str, count_cols: dict[str, Column]) -> DataFrame:
-    """Rows per (groups, value) for each named condition; NULL and NaN values form the NULL value."""
+def _clean(value: str) -> Column:
+    """The value as a double; NaN counts as NULL."""
     v = F.col(value).cast("double")
-    v = F.when(F.isnan(v), F.lit(None)).otherwise(v)
-    return df.groupBy(*groups, v.alias("v")).agg(*[F.count_if(cond).alias(n) for n, cond in count_cols.items()])
+    return F.when(F.isnan(v), F.lit(None)).otherwise(v)
 
 
-def _equal_width(v: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Bin index 0..bins-1 of ``v`` in [lo, hi]; 0 when the range is a single value."""
-    span = hi - lo
-    b = F.when(span > 0, F.least(F.floor((v - lo) / span * bins), F.lit(bins - 1)))
-    return F.coalesce(b, F.lit(0)).cast("long")
+def magnitude_bin(v: Column) -> Column:
+    """Number of ``v``'s bin: never smaller for a larger value, 0 for 0 (NULL: NULL)."""
+    size = F.floor(F.log2(F.abs(v)) * BINS_PER_OCTAVE) + 1100 * BINS_PER_OCTAVE  # positive for any double
+    # infinite values are the outermost bins
+    size = F.when(F.abs(v) == float("inf"), F.lit(3000 * BINS_PER_OCTAVE)).otherwise(size)
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * size).cast("long")
 
 
-def cumulate(counts: DataFrame, groups: Sequence[str], count_cols: Sequence[str], bins: int = DEFAULT_BINS,
-             split_above: int = SPLIT_ABOVE) -> DataFrame:
-    """Add ``cum_<c>``: rows of the group with value <= v, for every count column (distributed prefix sum).
+def width_bin(v: Column, lo: Column, hi: Column) -> Column:
+    """Number of ``v``'s bin of equal width between ``lo`` and ``hi``; 0 when they are equal or NULL."""
+    sub = F.when(hi - lo > 0, F.least(F.floor((v - lo) / (hi - lo) * SUB_BINS), F.lit(SUB_BINS - 1)))
+    return F.coalesce(sub, F.lit(0)).cast("long")
+
+
+def small_table(df: DataFrame) -> DataFrame:
+    """A table of bins as a broadcast local table if it has at most ``LOCAL_ROWS`` rows; else as it is.
+
+    Bins are few for each group, so only very many groups go on as an ordinary (shuffled) table.
+    """
+    return local_copy(df, LOCAL_ROWS)
+
+
+def _ranked_bins(hist: DataFrame, g: list[str], within: list[str]) -> DataFrame:
+    """(groups, bins): the bins of ``hist`` (columns bin, n, lo, hi) that hold a wanted rank, as one array of each group.
+
+    ``wanted``: array of (id, rank in the surrounding bin); comes out with the rank in the bin found.
+    """
+    upto = Window.partitionBy(*g, *within).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = hist.withColumn("before", F.sum("n").over(upto) - F.col("n"))
+    inside = F.transform(F.filter("wanted", lambda w: (w["rank"] > F.col("before")) & (w["rank"] <= F.col("before") + F.col("n"))),
+                         lambda w: F.struct(w["id"].alias("id"), (w["rank"] - F.col("before")).alias("rank")))
+    held = h.withColumn("wanted", inside).where(F.size("wanted") > 0)
+    return held.groupBy(*g).agg(F.collect_list(F.struct("lo", "hi", "n", "wanted")).alias("bins"))  # two for each quantile at most
 
-    ``counts`` holds one row per (groups, v) with non-NULL v. Values are binned in two levels, both equal
-    width between exact minima and maxima (so the bins are deterministic): a first-level bin holding more
-    than ``split_above`` distinct values is cut again into ``bins`` sub-bins over its own range, so one
-    outlier stretching the range cannot put most values in one bin. A window runs inside each bin; the
-    offsets of earlier bins come from the (groups x bins) table of bin totals.
+
+def quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
+              histogram: DataFrame | None = None) -> DataFrame:
+    """(groups, n, names...): exact type-7 quantiles of the non-NULL, non-NaN values of each group.
+
+    Groups without values are left out. ``histogram``: (groups, bin, n, lo, hi) of all values by ``magnitude_bin``,
+    if the caller has it already.
     """
     g = list(groups)
-    rng = counts.groupBy(*g).agg(F.min("v").alias("__lo"), F.max("v").alias("__hi"))
-    c = join_by(counts, rng, g, how="inner", null_safe=True)
-    c = c.withColumn("__b1", _equal_width(F.col("v"), F.col("__lo"), F.col("__hi"), bins)).drop("__lo", "__hi")
-    level1 = c.groupBy(*g, "__b1").agg(F.count(F.lit(1)).alias("__nv"), F.min("v").alias("__lo1"),
-                                        F.max("v").alias("__hi1"))
-    c = join_by(c, level1, [*g, "__b1"], how="inner", null_safe=True)
-    sub = F.when(F.col("__nv") > split_above, _equal_width(F.col("v"), F.col("__lo1"), F.col("__hi1"), bins))
-    c = c.withColumn("__bin", F.col("__b1") * bins + F.coalesce(sub, F.lit(0))).drop("__b1", "__nv", "__lo1",
-                                                                                          "__hi1")
-
-    tot = c.groupBy(*g, "__bin").agg(*[F.sum(x).alias(f"__t_{x}") for x in count_cols])
-    before = Window.partitionBy(*g).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*g, "__bin", *[F.coalesce(F.sum(f"__t_{x}").over(before), F.lit(0)).alias(f"__o_{x}")
-                                    for x in count_cols])
-    c = join_by(c, off, [*g, "__bin"], how="inner", null_safe=True)
-    upto = Window.partitionBy(*g, "__bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = c.withColumns({f"cum_{x}": F.col(f"__o_{x}") + F.sum(x).over(upto) for x in count_cols})
-    return c.drop("__bin", *[f"__o_{x}" for x in count_cols])
+    vals = df.select(*g, _clean(value).alias("v")).where("v IS NOT NULL")
+    if histogram is None:
+        histogram = small_table(vals.groupBy(*g, magnitude_bin(F.col("v")).alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+    whole = Window.partitionBy(*g)
+    total = histogram.withColumn("total", F.sum("n").over(whole))
+    wanted = []
+    for i, p in enumerate(probs):
+        first = (F.floor((F.col("total") - 1).cast("double") * F.lit(float(p))) + 1).cast("long")
+        wanted += [F.struct(F.lit(2 * i).alias("id"), first.alias("rank")),
+                   F.struct(F.lit(2 * i + 1).alias("id"), F.least(first + 1, F.col("total")).alias("rank"))]
+    sizes = histogram.groupBy(*g).agg(F.sum("n").alias("total"))
+    bins = small_table(_ranked_bins(total.withColumn("wanted", F.array(*wanted)).drop("total"), g, []))
+    while (bins.select(F.explode("bins").alias("b")).where("b.lo < b.hi").agg(F.max("b.n")).first()[0] or 0) > COUNTED_ROWS:
+        bins = small_table(_refined(vals, bins, g))
+    # what is left: count the values of each bin
+    held = _in_bins(vals, bins, g).groupBy(*g, "b", "v").agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy(*g, "b.lo").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = held.withColumn("upto", F.sum("c").over(upto))
+    found = held.select(*g, "v", "c", "upto", F.explode("b.wanted").alias("w")).where("w.rank > upto - c AND w.rank <= upto")
+    by_id = found.groupBy(*g).agg(*[F.max(F.when(F.col("w.id") == k, F.col("v"))).alias(f"__v{k}") for k in range(2 * len(probs))])
+    out = join_by(by_id, sizes, g, how="inner", null_safe=True)
+    cols = []
+    for i, (p, name) in enumerate(zip(probs, names, strict=True)):
+        pos = (F.col("total") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.col(f"__v{2 * i}"), F.col(f"__v{2 * i + 1}")
+        cols.append(F.when((lo == hi) | (pos == F.floor(pos)), lo).otherwise(lo + (pos - F.floor(pos)) * (hi - lo)).alias(name))
+    return out.select(*g, F.col("total").alias("n"), *cols)
 
 
-def _order_stat(cum: str, j: Column) -> Column:
-    """j-th smallest value (1-based) of the sample whose cumulative counts are ``cum``."""
-    return F.min(F.when(F.col(cum) >= j, F.col("v")))
+def _in_bins(vals: DataFrame, bins: DataFrame, g: list[str]) -> DataFrame:
+    """Values that lie in one of their group's bins, with that bin as the struct ``b``."""
+    x = join_by(vals, bins, g, how="inner", null_safe=True) if g else vals.join(bins)
+    hit = F.try_element_at(F.filter("bins", lambda b: (b["lo"] <= F.col("v")) & (F.col("v") <= b["hi"])), F.lit(1))
+    return x.withColumn("b", hit).where("b IS NOT NULL").drop("bins")
 
 
-def _quantile_parts(n: str, p: float, tag: str) -> dict[str, Column]:
-    """Type-7 position: h = (n-1)p + 1 -> index floor(h) and fraction h - floor(h)."""
-    pos = (F.col(n) - 1).cast("double") * F.lit(p)
-    # an empty sample has no quantile: NULL index -> NULL order statistics
-    return {f"__j_{tag}": F.when(F.col(n) > 0, F.floor(pos) + 1), f"__f_{tag}": pos - F.floor(pos)}
+def _refined(vals: DataFrame, bins: DataFrame, g: list[str]) -> DataFrame:
+    """The wanted bins, cut again into bins of equal width between their own bounds."""
+    x = _in_bins(vals, bins, g)
+    hist = x.groupBy(*g, F.col("b"), width_bin(F.col("v"), F.col("b.lo"), F.col("b.hi")).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    return _ranked_bins(hist.select(*g, F.col("b.lo").alias("outer"), "bin", "n", "lo", "hi", F.col("b.wanted").alias("wanted")), g, ["outer"])
 
 
-def _quantile(cum: str, tag: str) -> Column:
-    j = F.col(f"__j_{tag}")
-    lo = _order_stat(cum, j)
-    hi = F.coalesce(_order_stat(cum, j + 1), lo)
-    return lo + F.first(F.col(f"__f_{tag}"), ignorenulls=True) * (hi - lo)
+def cumulate(counts: DataFrame, groups: Sequence[str], count_cols: Sequence[str], histogram: DataFrame) -> DataFrame:
+    """Add ``cum_<c>``: rows of the group with value <= v, for every count column (distributed prefix sum).
+
+    ``counts`` holds one row per (groups, v) with non-NULL v, ``histogram`` the (groups, bin, n, lo, hi) of the same values by
+    ``magnitude_bin``. A window runs inside each bin, or inside the parts of a bin with more than ``COUNTED_ROWS`` rows;
+    the offsets come from the bins' totals.
+    """
+    g = list(groups)
+    full = small_table(histogram.where((F.col("n") > COUNTED_ROWS) & (F.col("lo") < F.col("hi"))).select(
+        *g, F.col("bin").alias("__bin"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi")))
+    c = join_by(counts.withColumn("__bin", magnitude_bin(F.col("v"))), full, [*g, "__bin"], how="left", null_safe=True)
+    c = c.withColumn("__sub", width_bin(F.col("v"), F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
+    at = ["__bin", "__sub"]
+    tot = c.groupBy(*g, *at).agg(*[F.sum(x).alias(f"__t_{x}") for x in count_cols])
+    before = Window.partitionBy(*g).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    off = small_table(tot.select(*g, *at, *[F.coalesce(F.sum(f"__t_{x}").over(before), F.lit(0)).alias(f"__o_{x}")
+                                            for x in count_cols]))
+    c = join_by(c, off, [*g, *at], how="inner", null_safe=True)
+    upto = Window.partitionBy(*g, *at).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = c.withColumns({f"cum_{x}": F.col(f"__o_{x}") + F.sum(x).over(upto) for x in count_cols})
+    return c.drop(*at, *[f"__o_{x}" for x in count_cols])
 
 
-def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups: Sequence[str] = ("metric",),
-               bins: int = DEFAULT_BINS) -> DataFrame:
+def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups: Sequence[str] = ("metric",)) -> DataFrame:
     """Per group: n (rows incl. NULL values), means and medians of the non-NULL values of samples ``a`` and
-    ``b`` of ``group_col``; KS statistic and p; Wilcoxon W and p (AGG13, AGG16, AGG17)."""
+    ``b`` of ``group_col``; KS statistic and p; Wilcoxon W and p (AGG13, AGG16, AGG17; both p asymptotic)."""
     g = list(groups)
     side = F.col(group_col)
-    # the grouped counts feed five branches below: write them once instead of recomputing each time
-    counts_all = materialize(value_counts(df.where(side.isin(a, b)), g, value,
-                                          {"c_a": side == F.lit(a), "c_b": side == F.lit(b)}))
-    rows = counts_all.groupBy(*g).agg(F.sum("c_a").alias("rows_a"), F.sum("c_b").alias("rows_b"),
-                                      F.max(F.when(F.col("c_a") + F.col("c_b") > 0, F.col("v"))).alias("max_val"))
-    counts = counts_all.where(F.col("v").isNotNull())
-    sizes = counts.groupBy(*g).agg(F.sum("c_a").alias("n_a"), F.sum("c_b").alias("n_b"))
-    cum = cumulate(counts, g, ["c_a", "c_b"], bins)
-    cum = join_by(cum, sizes, g, how="inner", null_safe=True)
-    cum = cum.withColumns({**_quantile_parts("n_a", 0.5, "a"), **_quantile_parts("n_b", 0.5, "b")})
+    rows = df.where(side.isin(a, b)).select(*g, (side == F.lit(a)).alias("__a"), _clean(value).alias("v"))
+    # one pass: rows, sums and the magnitude histogram of both samples
+    hist = small_table(rows.groupBy(*g, "__a", magnitude_bin(F.col("v")).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("v").alias("s")))
+    in_a, there = F.col("__a"), F.col("bin").isNotNull()
+
+    def total(c: str, cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
+
+    sizes = hist.groupBy(*g).agg(
+        total("n", in_a).alias("rows_a"), total("n", ~in_a).alias("rows_b"), F.max("hi").alias("max_val"),
+        total("n", in_a & there).alias("n_a"), total("n", ~in_a & there).alias("n_b"),
+        F.try_divide(F.sum(F.when(in_a, F.col("s"))), F.sum(F.when(in_a & there, F.col("n")))).alias("mean_a"),
+        F.try_divide(F.sum(F.when(~in_a, F.col("s"))), F.sum(F.when(~in_a & there, F.col("n")))).alias("mean_b"))
+    middle = quantiles(rows, [*g, "__a"], "v", [0.5], ["median"], hist.where("bin IS NOT NULL").drop("s"))
+    medians = middle.groupBy(*g).agg(F.max(F.when(in_a, F.col("median"))).alias("median_a"), F.max(F.when(~in_a, F.col("median"))).alias("median_b"))
+    known = small_table(join_by(sizes, medians, g, how="left", null_safe=True))
+    counts = rows.where("v IS NOT NULL").groupBy(*g, "v").agg(F.count_if(F.col("__a")).alias("c_a"), F.count_if(~F.col("__a")).alias("c_b"))
+    both = hist.where(there).groupBy(*g, "bin").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    cum = join_by(cumulate(counts, g, ["c_a", "c_b"], both), known.select(*g, "n_a", "n_b"), g, how="inner", null_safe=True)
 
     t = F.col("c_a") + F.col("c_b")
     avg_rank = (F.col("cum_c_a") + F.col("cum_c_b") - t).cast("double") + (t + 1).cast("double") / 2
     parts = cum.groupBy(*g).agg(
-        F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"),
         # a sample without values (n = 0) gives NULL statistics instead of an ANSI division error
-        F.max(F.abs(F.try_divide(F.col("cum_c_a"), F.col("n_a")) - F.try_divide(F.col("cum_c_b"), F.col("n_b"))))
-        .alias("ks_statistic"),
+        F.max(F.abs(F.try_divide(F.col("cum_c_a"), F.col("n_a")) - F.try_divide(F.col("cum_c_b"), F.col("n_b")))).alias("ks_statistic"),
         F.sum(F.col("c_a") * avg_rank).alias("rank_sum_a"),
-        F.sum(F.pow(t.cast("double"), 3) - t.cast("double")).alias("ties"),  # double: t^3 overflows bigint
-        F.try_divide(F.sum(F.col("v") * F.col("c_a")), F.first("n_a")).alias("mean_a"),
-        F.try_divide(F.sum(F.col("v") * F.col("c_b")), F.first("n_b")).alias("mean_b"),
-        _quantile("cum_c_a", "a").alias("median_a"),
-        _quantile("cum_c_b", "b").alias("median_b"),
-    )
+        F.sum(F.pow(t.cast("double"), 3) - t.cast("double")).alias("ties"))  # double: t^3 overflows bigint
+    out = join_by(known, parts, g, how="left", null_safe=True)
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = na + nb
     w = F.col("rank_sum_a") - na * (na + 1) / 2
     centred = w - na * nb / 2
     sigma = F.sqrt(na * nb / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
     z = F.try_divide(centred - F.signum(centred) * 0.5, sigma)  # all values tied: sigma = 0, p is NULL
-    out = parts.withColumns({"__ks_z": F.sqrt(F.try_divide(na * nb, n)) * F.col("ks_statistic"),
-                             "wilcox_statistic": w,
-                             "__sigma": sigma, "__wz": z})
+    out = out.withColumns({"__ks_z": F.sqrt(F.try_divide(na * nb, n)) * F.col("ks_statistic"),
+                           "wilcox_statistic": w, "__sigma": sigma, "__wz": z})
     out = out.withColumns({
         "ks_p": F.expr(kolmogorov_p_sql("__ks_z")),
         "wilcox_p": F.expr(f"CASE WHEN `__sigma` > 0 THEN {two_sided_normal_p_sql('__wz')} END"),
     })
-    out = join_by(rows, out, g, how="left", null_safe=True)
     return out.select(*g, "rows_a", "rows_b", "n_a", "n_b", "mean_a", "mean_b", "median_a", "median_b",
                       "ks_statistic", "ks_p", "wilcox_statistic", "wilcox_p", "max_val")
 
 
 def compare_groups(df: DataFrame, group_col: str, a, b, value_cols: Sequence[str],
-                   labels: dict[str, str] | None = None, bins: int = DEFAULT_BINS) -> DataFrame:
+                   labels: dict[str, str] | None = None, pre_aggregate_by: str | None = None,
+                   digits: int = 9) -> DataFrame:
     """Year-over-year table of the study notebook (API14) from a wide table.
 
+    ``pre_aggregate_by`` (Q18): a column (a day) over which each value column is averaged within its group first, so that
+    a value repeated on every detail row of a day counts once. The averages are rounded to ``digits`` decimals: equal days
+    then tie, whatever the order in which their rows were added up.
+
     Wide -> long over ``value_cols`` (RSH1), metric relabelled (unmapped names kept), then per metric:
     ``two_sample`` + differences (b - a), p texts, significance stars, the annotation text, and the
     annotation position (JN6: max value x 1.05).
     """
-    long = unpivot_long(df.where(F.col(group_col).isin(a, b)), [group_col], value_cols, "metric", "value")
+    df = df.where(F.col(group_col).isin(a, b))
+    if pre_aggregate_by:
+        df = df.groupBy(group_col, pre_aggregate_by).agg(*[F.round(F.avg(f"`{c}`"), digits).alias(c) for c in value_cols])
+    long = unpivot_long(df, [group_col], value_cols, "metric", "value")
     if labels:
         pairs = []
         for k, v in labels.items():
             pairs += [F.lit(k), F.lit(v)]
         long = long.withColumn("metric", F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("metric")),
                                                     F.col("metric")))
-    res = two_sample(long, group_col, a, b, "value", ["metric"], bins)
+    res = two_sample(long, group_col, a, b, "value", ["metric"])
     mean_diff = F.col("mean_b") - F.col("mean_a")
     median_diff = F.col("median_b") - F.col("median_a")
     res = res.withColumns({"mean_diff": mean_diff, "median_diff": median_diff})
@@ -183,25 +247,17 @@ def compare_groups(df: DataFrame, group_col: str, a, b, value_cols: Sequence[str
                             "x_pos": F.lit(ANNOTATION_X)})
 
 
-def box_numbers(df: DataFrame, keys: Sequence[str], value: str, bins: int = DEFAULT_BINS) -> DataFrame:
+def box_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Box-plot numbers per group (AGG18): n, quartiles (type 7), whiskers at the most extreme values
-    within 1.5 x IQR of the box, and the number of values outside them."""
+    within 1.5 x IQR of the box, and the number of values outside them. Groups without values are left out."""
     g = list(keys)
-    counts = materialize(value_counts(df, g, value, {"c": F.lit(True)}).where(F.col("v").isNotNull()))
-    sizes = counts.groupBy(*g).agg(F.sum("c").alias("n"))
-    cum = join_by(cumulate(counts, g, ["c"], bins), sizes, g, how="inner", null_safe=True)
-    cum = cum.withColumns({**_quantile_parts("n", 0.25, "q1"), **_quantile_parts("n", 0.5, "q2"),
-                           **_quantile_parts("n", 0.75, "q3")})
-    quart = cum.groupBy(*g).agg(F.first("n").alias("n"), _quantile("cum_c", "q1").alias("q1"),
-                                _quantile("cum_c", "q2").alias("median"), _quantile("cum_c", "q3").alias("q3"))
-    fences = join_by(counts, quart, g, how="inner", null_safe=True)
+    quart = small_table(quantiles(df, g, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"]))
+    vals = df.select(*g, _clean(value).alias("v")).where("v IS NOT NULL")
+    fences = join_by(vals, quart, g, how="inner", null_safe=True) if g else vals.join(quart)
     iqr = F.col("q3") - F.col("q1")
     low, high = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     inside = (F.col("v") >= low) & (F.col("v") <= high)
     return fences.groupBy(*g).agg(
-        F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
-        F.first("q3").alias("q3"),
-        F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
-        F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
-        F.sum(F.when(~inside, F.col("c")).otherwise(0)).alias("n_outliers"),
-    )
+        F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
+        F.min(F.when(inside, F.col("v"))).alias("lower_whisker"), F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
+        F.count_if(~inside).alias("n_outliers"))

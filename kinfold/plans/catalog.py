@@ -7,7 +7,7 @@ Every entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame. Double colum
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +19,15 @@ from kinfold.operators.people import clean_people, is_active, not_withdrawn, pro
 from kinfold.operators.responses import (clean_dictionary, clean_responses, dictionary_overview, dictionary_versions,
                                         responses_last_updated)
 from kinfold.operators.scoring import (enrich, enriched_long, enriched_overview, first_per_group, score_likert,
-                                      score_totals, topic_slice)
-from kinfold.operators.reshape import dropped_keys, sample_rows
+                                      score_totals, topic_rows, topic_slice, topic_slices)
+from kinfold.operators.reshape import bind_rows, dropped_keys, sample_rows
 from kinfold.operators.series import align_daily, combine_series, daily_mean_vs_first, scaled_pair
-from kinfold.operators.stats import box_numbers, compare_groups, two_sample
+from kinfold.operators.stats import METRIC_LABELS, box_numbers, compare_groups, two_sample
 from kinfold.operators.summary import enrollment_summary
 from kinfold.plans import study
 from kinfold.plans.tables import table
+from kinfold.sources.envelope import PARTICIPANT_SCHEMA, SURVEY_SCHEMA, explode_envelope
+from kinfold.sources.wearables import decode_readiness, decode_resting_hr, hrv_days, index_files
 
 DIGITS = 6
 # The run time used by the registered queries (a real run passes "now").
@@ -99,8 +101,7 @@ def responses(spark: SparkSession, sf_dir: str, ans_pat: str = FIRST_ANSWER) ->
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned dictionary, cached: it is small (one row per question) and read by several branches."""
-    return clean_dictionary(study.dictionary_raw(spark, sf_dir), keep=["row_order"]).persist()
+    return clean_dictionary(study.dictionary_raw(spark, sf_dir), keep=["row_order"])
 
 
 @register("responses_clean")
@@ -162,8 +163,19 @@ def q_enriched_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("topic_slice")
 def q_topic_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir), sort=False)
-    return rounded(topic_slice(long, "general health"))
+    return rounded(topic_rows(responses(spark, sf_dir), dictionary(spark, sf_dir), "general health"))
+
+
+@register("topic_slices")
+def q_topic_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API8: all six topic tables, with the topic as a column."""
+    return rounded(topic_slices(enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir), sort=False)))
+
+
+@register("enriched_days")
+def q_enriched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DAT4: the long table with the days since enrollment."""
+    return rounded(enriched_long(responses(spark, sf_dir), dictionary(spark, sf_dir), sort=False, days_col="days_since_enrollment"))
 
 
 @register("stress_totals")
@@ -174,8 +186,11 @@ def q_stress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- wearable series (JN4, API12, API13)
 
-def hrv_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return align_daily(study.hrv_detail(spark, sf_dir), study.hrv_summary(spark, sf_dir))
+PERSON = ("user_id",)
+
+
+def hrv_daily(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
+    return align_daily(study.hrv_detail(spark, sf_dir, keys), study.hrv_summary(spark, sf_dir, keys), keys=keys)
 
 
 @register("hrv_daily")
@@ -189,9 +204,9 @@ def q_daily_vs_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(d)
 
 
-def combined_day(spark: SparkSession, sf_dir: str, join_type: str = "full") -> DataFrame:
-    return combine_series(hrv_daily(spark, sf_dir), study.resting_hr(spark, sf_dir), study.readiness(spark, sf_dir),
-                          by="day", join_type=join_type)
+def combined_day(spark: SparkSession, sf_dir: str, join_type: str = "full", keys: Sequence[str] = ()) -> DataFrame:
+    return combine_series(hrv_daily(spark, sf_dir, keys), study.resting_hr(spark, sf_dir, keys),
+                          study.readiness(spark, sf_dir, keys), by="day", join_type=join_type, keys=keys)
 
 
 @register("combine_day")
@@ -226,6 +241,35 @@ def q_combine_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(combine_series(study.hrv_detail(spark, sf_dir), study.resting_hr(spark, sf_dir), by="minute"))
 
 
+@register("combine_hour_buckets")
+def q_combine_hour_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG9: an input without numeric columns gives its distinct buckets."""
+    marks = study.hrv_detail(spark, sf_dir).select("timestamp", F.lit("seen").alias("mark"))
+    return rounded(combine_series(marks, study.resting_hr(spark, sf_dir), by="hour"))
+
+
+@register("hrv_daily_by_person")
+def q_hrv_daily_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(hrv_daily(spark, sf_dir, PERSON))
+
+
+@register("daily_vs_summary_by_person")
+def q_daily_vs_summary_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(daily_mean_vs_first(hrv_daily(spark, sf_dir, PERSON), "rmssd_detail", "rmssd_summary",
+                                       mean_name="mean_rmssd_detail", keys=PERSON))
+
+
+@register("combine_day_by_person")
+def q_combine_day_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(combined_day(spark, sf_dir, keys=PERSON))
+
+
+@register("combine_hour_by_person")
+def q_combine_hour_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(combine_series(study.hrv_detail(spark, sf_dir, PERSON), study.resting_hr(spark, sf_dir, PERSON),
+                                  by="hour", keys=PERSON))
+
+
 # Highlighted window of the registered dual-axis query (inclusive dates).
 HIGHLIGHT = ("2024-01-10", "2024-01-13")
 
@@ -236,21 +280,93 @@ def q_scaled_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
                                "Resting HR (bpm)", highlight=HIGHLIGHT))
 
 
+@register("scaled_pair_by_person")
+def q_scaled_pair_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = scaled_pair(combined_day(spark, sf_dir, keys=PERSON), "rmssd_detail", "resting_hr", "HRV (RMSSD)",
+                        "Resting HR (bpm)", highlight=HIGHLIGHT, keys=PERSON)
+    return rounded(rounded(pairs, 9))  # halves at the seventh decimal then round alike, whatever the order of addition
+
+
 @register("sample_rows")
 def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(sample_rows(hrv_daily(spark, sf_dir), 5, seed=7))
+    return rounded(sample_rows(study.hrv_detail(spark, sf_dir, ["event_id"]), 5, seed=7, keys=["event_id"]))
+
+
+# ---------------------------------------------------------------- sources (SRC1-SRC9, FLT4, RSH4, API10, API11)
+# The texts of responses and export files are built from the tables (plans.study); the readers call the same functions.
+
+# Date range of the registered export queries.
+EXPORT_START, EXPORT_END = "2024-01-04", "2024-01-25"
+
+
+@register("envelope_participants")
+def q_envelope_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(explode_envelope(study.participant_pages(spark, sf_dir), PARTICIPANT_SCHEMA))
+
+
+@register("envelope_surveys")
+def q_envelope_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explode_envelope(study.survey_pages(spark, sf_dir), SURVEY_SCHEMA)
+
+
+@register("hrv_index")
+def q_hrv_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index_files(study.hrv_files(spark, sf_dir).select("owner", "path"), EXPORT_START, EXPORT_END, keys=["owner"])
+
+
+@register("hrv_index_all_dates")
+def q_hrv_index_all_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index_files(study.hrv_files(spark, sf_dir).select("owner", "path"), EXPORT_START, EXPORT_END,
+                       force_all_dates=True, keys=["owner"])
+
+
+@register("hrv_from_files")
+def q_hrv_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(hrv_days(study.hrv_files(spark, sf_dir), EXPORT_START, EXPORT_END, keys=["owner"]))
+
+
+@register("hrv_summary_from_files")
+def q_hrv_summary_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(hrv_days(study.hrv_files(spark, sf_dir), EXPORT_START, EXPORT_END, summary_only=True, keys=["owner"]))
+
+
+@register("resting_from_files")
+def q_resting_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(decode_resting_hr(study.resting_files(spark, sf_dir), EXPORT_START, EXPORT_END, keys=["owner"]))
+
+
+@register("readiness_from_files")
+def q_readiness_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(decode_readiness(study.readiness_files(spark, sf_dir), EXPORT_START, EXPORT_END, keys=["owner"]))
 
 
 # ---------------------------------------------------------------- statistics (API14, AGG16-AGG18)
 
 def lineitem_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return li.select(F.year("l_shipdate").alias("year"), "l_quantity", "l_extendedprice", "l_discount")
+    return li.select(F.year("l_shipdate").alias("year"), "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
+
+
+# The compared periods of the registered combined series (the earlier one is moved back two years).
+PERIOD_CUT, EARLIER_YEAR, LATER_YEAR = "2024-01-16", 2022, 2024
+
+
+@register("period_compare")
+def q_period_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API14 on a combined series of two periods, with labels (CND9) and one value for each day (Q18)."""
+    day = combined_day(spark, sf_dir)
+    cut = F.lit(PERIOD_CUT).cast("date")
+    earlier = day.where(F.col("file_date") < cut).withColumn("file_date", F.add_months("file_date", 12 * (EARLIER_YEAR - LATER_YEAR)))
+    both = bind_rows([day.where(F.col("file_date") >= cut), earlier]).withColumn("year", F.year("file_date"))
+    return rounded(compare_groups(both, "year", EARLIER_YEAR, LATER_YEAR, ["resting_hr", "rmssd_detail"],
+                                  labels=METRIC_LABELS, pre_aggregate_by="file_date"))
 
 
 @register("year_compare")
 def q_year_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(compare_groups(lineitem_years(spark, sf_dir), "year", 1997, 1998,
+    # the range of dates reaches the scan, which the year alone would not
+    ranged = lineitem_years(spark, sf_dir).where((F.col("l_shipdate") >= F.lit("1997-01-01").cast("date")) & (F.col("l_shipdate") < F.lit("1999-01-01").cast("date")))
+    return rounded(compare_groups(ranged, "year", 1997, 1998,
                                   ["l_quantity", "l_extendedprice", "l_discount"]))
 
 

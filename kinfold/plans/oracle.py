@@ -61,7 +61,7 @@ participants_raw AS (
          WHEN c_custkey % 13 = 6 THEN CAST(CAST(trunc(c_acctbal / 20) AS BIGINT) AS VARCHAR) || '.7'
          ELSE CAST(CAST(trunc(c_acctbal / 20) AS BIGINT) AS VARCHAR) END AS compensation_points,
     CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 4 AS VARCHAR) END AS compensation_tickets,
-    CASE WHEN c_mktsegment = 'MACHINERY' THEN 'withdrew' WHEN c_custkey % 3 = 0 THEN NULL ELSE '' END
+    CASE WHEN c_mktsegment = 'MACHINERY' OR c_custkey // 4 % 25 = 3 THEN 'withdrew' WHEN c_custkey % 3 = 0 THEN NULL ELSE '' END
       AS studyendreason,
     CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS has_vitiligo,
     CASE WHEN c_mktsegment = 'FURNITURE' THEN 1 WHEN c_custkey % 19 = 0 THEN 0 ELSE NULL END
@@ -192,52 +192,88 @@ FROM c, r
 
 # ---------------------------------------------------------------- responses, dictionary, scoring
 
+# One row for each event with what its survey is, written out from the derivation (plans.study).
+EVENT_SURVEYS = """
+event_kind AS (
+  SELECT *, CASE WHEN event_id % 17 = 3 THEN 'admin' WHEN event_id % 4 = 0 THEN 'stress' ELSE 'topic' END AS kind,
+         event_id % 10 + 1 AS q, event_id % 3 + 1 AS version
+  FROM events
+),
+topic_names(event_type, t_name, t_display, t_topic, stress_answer) AS (VALUES
+  ('error', 'environment', 'Environmental Exposures', 'environmental exposures', 'Never'),
+  ('click', 'health', 'General Health', 'general health', 'Almost never'),
+  ('view', 'life', 'Life Changes', 'life changes', 'Sometimes'),
+  ('purchase', 'skin', 'Skin Type', 'skin type', 'Fairly often'),
+  ('signup', 'vitiligo', 'Vitiligo Check-in', 'vitiligo', 'Very often')
+),
+event_named AS (
+  SELECT e.*, t.stress_answer,
+         CASE kind WHEN 'admin' THEN 'admin_consent' WHEN 'stress' THEN 'Stress_PSS' ELSE t_name END AS surveyname,
+         CASE kind WHEN 'admin' THEN 'Consent form' WHEN 'stress' THEN 'Perceived Stress Scale' ELSE t_display END AS display,
+         CASE kind WHEN 'admin' THEN NULL WHEN 'stress' THEN 'stress' ELSE t_topic END AS topic
+  FROM event_kind e LEFT JOIN topic_names t ON e.event_type = t.event_type
+),
+event_survey AS (
+  SELECT *, surveyname || '_step' || q AS step_id,
+         CASE WHEN kind = 'topic' AND event_type = 'signup' AND q = 1 THEN 'new_spots_adhoc'
+              WHEN kind = 'topic' AND event_type = 'signup' AND q = 2 THEN 'new_spots_duration'
+              WHEN kind = 'topic' AND event_type = 'signup' AND q = 3 THEN 'vitiligo_location1_adhoc'
+              ELSE surveyname || '_q' || q END AS result_id
+  FROM event_named
+)"""
+
+_ANSWERS_RAW = """
+         CASE WHEN kind = 'stress' THEN CASE WHEN user_id % 29 = 0 THEN '["not sure"]' ELSE '["' || stress_answer || '"]' END
+              WHEN event_id % 53 = 5 THEN '["' || repeat('Long text ', 150) || '","b"]'
+              WHEN event_id % 53 = 6 THEN '["Line 1' || chr(10) || 'line 2","c"]'
+              WHEN event_type = 'error' THEN '["Exposure ' || (user_id % 5) || '"]'
+              WHEN event_type = 'click' THEN CASE WHEN value > 100 THEN '["True"]' ELSE '["false"]' END
+              WHEN event_type = 'view' THEN '["opt' || (event_id % 3) || '","opt' || (user_id % 4) || '"]'
+              WHEN event_type = 'purchase' THEN '[' || CAST(floor(value) AS INTEGER) || ']'
+              WHEN event_id % 2 = 0 THEN NULL
+              ELSE '["Spot ' || (event_id % 9) || '", "arm"]' END"""
+
+_ISO_US = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+
+
 def _surveys_raw() -> str:
-    from kinfold.plans.study import _survey_fields, answers_sql
-    s = _survey_fields("duckdb")
-    iso_us = "'%Y-%m-%dT%H:%M:%S.%fZ'"
-    return f"""
+    return f"""{EVENT_SURVEYS.lstrip()},
 surveys_raw AS (
   SELECT 'R' || event_id AS id,
          CASE WHEN event_id % 23 = 0 THEN NULL ELSE 'M' || user_id END AS participantid,
-         CASE WHEN event_id % 41 = 7 THEN 'n/a' ELSE strftime(ts, {iso_us}) END AS date,
-         {s['surveyname']} AS surveyname,
-         CAST({s['version']} AS VARCHAR) AS surveyversion,
-         {s['display']} AS surveydisplayname,
-         {s['step_id']} AS stepidentifier,
-         {s['result_id']} AS resultidentifier,
-         {answers_sql('duckdb')} AS answers
-  FROM events
+         'S' || (event_id % 7) AS surveyid, 'D' || (user_id % 10) AS DID,
+         CASE WHEN event_id % 41 = 7 THEN 'n/a' ELSE strftime(ts, {_ISO_US}) END AS date,
+         strftime(ts, {_ISO_US}) AS inserteddate, strftime(ts, {_ISO_US}) AS creationDate,
+         strftime(ts + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%SZ') AS lastUpdateDate,
+         surveyname, CAST(version AS VARCHAR) AS surveyversion, display AS surveydisplayname,
+         step_id AS stepidentifier, result_id AS resultidentifier, {_ANSWERS_RAW} AS answers
+  FROM event_survey
 )"""
 
 
-def _dictionary_raw() -> str:
-    from kinfold.plans.study import _survey_fields, dictionary_fields
-    s = _survey_fields("duckdb")
-    fields = dictionary_fields("duckdb")
-    cols = ",\n         ".join(f"{text} AS {name}" for text, name in fields)
-    names = ", ".join(name for _, name in fields)
-    return f"""
+# Expects EVENT_SURVEYS before it.
+DICT_CLEAN = """
 dictionary_rows AS (
-  SELECT {cols}, event_id FROM events WHERE {s['kind']} <> 'admin'
+  SELECT surveyname, CAST(version AS VARCHAR) AS surveyversion, step_id AS stepidentifier, result_id AS resultidentifier,
+         CASE WHEN kind = 'stress' THEN CASE WHEN version = 1 THEN 'BL' ELSE 'QT' END
+              ELSE CASE WHEN version = 3 THEN 'QT' ELSE 'BL' END END AS survey_type,
+         topic AS survey_topic, 'Step ' || q AS step_readable,
+         CASE result_id
+           WHEN 'new_spots_adhoc' THEN 'Have you noticed any new white spots on your skin that you think can be vitiligo or improvement (repigmentation) of your vitiligo?'
+           WHEN 'new_spots_duration' THEN 'How long ago did you notice your new white spots?'
+           WHEN 'vitiligo_location1_adhoc' THEN 'Where is your vitiligo located? Please include the new spot you''re currently reporting.' || chr(10) || chr(10) || '*Select all that apply*'
+           ELSE CASE WHEN kind = 'stress' THEN q || '. In the last month, how often did item ' || q || ' happen?'
+                     ELSE 'Question ' || q || ' about ' || topic END END AS question_standardized,
+         CASE WHEN kind = 'stress' THEN 'never, almost never, sometimes, fairly often, very often' ELSE 'free text' END AS possible_answers,
+         event_id
+  FROM event_survey WHERE kind <> 'admin'
 ),
-dictionary_raw AS (SELECT {names}, min(event_id) AS row_order FROM dictionary_rows GROUP BY {names})"""
-
-
-def _sql_text(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def _dict_clean() -> str:
-    from kinfold.operators.responses import QUESTION_OVERRIDES
-    arms = " ".join(f"WHEN resultidentifier = {_sql_text(k)} THEN {_sql_text(v)}" for k, v in QUESTION_OVERRIDES.items())
-    return f"""{_dictionary_raw()},
 dict_clean AS (
-  SELECT surveyname, CAST(surveyversion AS VARCHAR) AS surveyversion, stepidentifier, resultidentifier,
-         survey_type, survey_topic, step_readable,
-         CASE {arms} ELSE questiontext END AS question_standardized,
-         answerchoices AS possible_answers, row_order
-  FROM dictionary_raw
+  SELECT surveyname, surveyversion, stepidentifier, resultidentifier, survey_type, survey_topic, step_readable,
+         question_standardized, possible_answers, min(event_id) AS row_order
+  FROM dictionary_rows
+  GROUP BY surveyname, surveyversion, stepidentifier, resultidentifier, survey_type, survey_topic, step_readable,
+           question_standardized, possible_answers
 )"""
 
 
@@ -245,7 +281,7 @@ def _answers_list(pattern_kind: str) -> str:
     if pattern_kind == "first":
         found = "nullif(regexp_extract(answers, '\"(.*?)\"', 0), '')"
     else:
-        found = "nullif(regexp_extract(answers, '\"(.{1,1000})\"', 1), '')"
+        found = "nullif(regexp_extract(answers, '\"(.+)\"', 1, 's'), '')"
     return f"string_split(lower({found}), '\",\"')"
 
 
@@ -283,13 +319,15 @@ SELECT * REPLACE (round(age, 6) AS age) FROM resp
 """
 
 SQL["dictionary_versions"] = f"""
-WITH {_dict_clean().lstrip(', ')}
+WITH {EVENT_SURVEYS.lstrip()},
+{DICT_CLEAN}
 SELECT survey_topic, survey_type, surveyversion, count(*) AS total_questions
 FROM dict_clean GROUP BY survey_topic, survey_type, surveyversion
 """
 
 SQL["dictionary_overview"] = f"""
-WITH {_dict_clean().lstrip(', ')},
+WITH {EVENT_SURVEYS.lstrip()},
+{DICT_CLEAN},
 per_version AS (
   SELECT survey_topic, survey_type, surveyversion, count(*) AS n, min(row_order) AS first_seen
   FROM dict_clean GROUP BY survey_topic, survey_type, surveyversion
@@ -306,7 +344,7 @@ _KEYS_ON = " AND ".join(f"r.{k} IS NOT DISTINCT FROM d.{k}"
                         for k in ("surveyname", "surveyversion", "stepidentifier", "resultidentifier"))
 
 ENRICHED = f"""{_responses('first')},
-{_dict_clean()},
+{DICT_CLEAN},
 enr AS (
   SELECT r.patient_id, r.FamilyID, r.age, r.vitiligo_status, r.total_points AS raffle_points, r.recorded_date,
          r.enroll_date, d.survey_topic, r.surveydisplayname AS survey_display_name, r.surveyversion, d.survey_type,
@@ -502,13 +540,11 @@ SELECT file_date, round((var2 - min2) * k + min1, 6), 'Resting HR (bpm)', round(
 
 # ---------------------------------------------------------------- statistics
 
-def _normal_cdf(z: str) -> str:
+def _normal_p(z: str) -> str:
+    """P(|Z| >= |z|): one minus erf(|z| / sqrt 2) by its series of x^(2n+1) / gamma(n + 3/2); good to 1e-14 absolutely."""
     x = f"(abs({z}) / sqrt(2.0))"
-    t = f"(1.0 / (1.0 + 0.3275911 * {x}))"
-    poly = (f"(((((1.061405429 * {t} + -1.453152027) * {t} + 1.421413741) * {t} + -0.284496736) * {t} "
-            f"+ 0.254829592) * {t})")
-    erf = f"(1.0 - {poly} * exp(-({x} * {x})))"
-    return f"(CASE WHEN {z} >= 0 THEN 0.5 * (1.0 + {erf}) ELSE 0.5 * (1.0 - {erf}) END)"
+    series = f"list_sum([exp((2 * n + 1) * ln({x}) - {x} * {x} - lgamma(n + 1.5)) FOR n IN range(0, 400)])"
+    return f"(CASE WHEN {z} = 0 THEN 1.0 WHEN {x} > 9 THEN 0.0 ELSE greatest(1.0 - {series}, 0.0) END)"
 
 
 def _ks_p(z: str) -> str:
@@ -565,7 +601,7 @@ w2 AS (SELECT *, rank_sum_a - na * (na + 1) / 2 AS wilcox_statistic,
 w3 AS (SELECT *, (wilcox_statistic - na * nb / 2 - sign(wilcox_statistic - na * nb / 2) * 0.5) / sigma AS wz FROM w2),
 ts AS (SELECT r.{g}, r.rows_a, r.rows_b, w.n_a, w.n_b, w.mean_a, w.mean_b, w.median_a, w.median_b, w.ks_statistic,
               {_ks_p('w.ks_z')} AS ks_p, w.wilcox_statistic,
-              CASE WHEN w.sigma > 0 THEN 2.0 * least({_normal_cdf('w.wz')}, 1.0 - {_normal_cdf('w.wz')}) END AS wilcox_p,
+              CASE WHEN w.sigma > 0 THEN {_normal_p('w.wz')} END AS wilcox_p,
               r.max_val
        FROM rows_t r LEFT JOIN w3 w ON r.{g} = w.{g})"""
 
@@ -664,3 +700,220 @@ SELECT patient_id, recorded_date, surveyname, recorded_dttm, response_id, answer
                                ORDER BY recorded_dttm ASC NULLS LAST, response_id, answers ASC NULLS LAST) AS rn
   FROM resp) WHERE rn = 1
 """
+
+
+# ---------------------------------------------------------------- topics, days since enrollment
+
+SQL["topic_slices"] = f"""
+WITH {ENRICHED}
+SELECT survey_topic, patient_id, FamilyID, round(age, 6) AS age, vitiligo_status, raffle_points, recorded_date, enroll_date,
+       surveyversion, survey_type, question_standardized, answer_clean
+FROM long WHERE survey_topic IN ('environmental exposures', 'general health', 'life changes', 'skin type', 'vitiligo', 'stress')
+"""
+
+# recorded_date is the local date of the response
+SQL["enriched_days"] = f"""
+WITH {ENRICHED}
+SELECT * REPLACE (round(age, 6) AS age),
+       CAST(date_diff('day', {_local_date('enroll_date')}, recorded_date) AS INTEGER) AS days_since_enrollment
+FROM long
+"""
+
+
+# ---------------------------------------------------------------- series of many people
+
+PERSON_SERIES = """
+p_detail AS (
+  SELECT user_id, ts AS timestamp, value AS rmssd, CAST(event_id % 100 AS DOUBLE) / 100.0 AS coverage,
+         value * 2.5 AS low_frequency, value / 3.0 AS high_frequency, CAST(ts AS DATE) AS file_date, event_id
+  FROM events WHERE event_type = 'view'
+),
+p_summary AS (
+  SELECT user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS timestamp, avg(value) AS rmssd, max(value) AS nremhr,
+         min(value) / 10.0 AS entropy, CAST(ts AS DATE) AS file_date
+  FROM events WHERE event_type = 'click' GROUP BY user_id, CAST(ts AS DATE)
+),
+p_daily AS (
+  SELECT d.user_id, d.file_date, d.timestamp AS timestamp_detail, d.rmssd AS rmssd_detail, d.coverage, d.low_frequency,
+         d.high_frequency, s.timestamp AS timestamp_summary, s.rmssd AS rmssd_summary, s.nremhr, s.entropy
+  FROM p_detail d LEFT JOIN p_summary s ON d.user_id = s.user_id AND d.file_date = s.file_date + 1
+),
+p_resting AS (
+  SELECT user_id, CAST(ts AS DATE) AS file_date, min(ts) AS timestamp, 50.0 + min(value) / 10.0 AS resting_hr
+  FROM events WHERE event_type = 'purchase' GROUP BY user_id, CAST(ts AS DATE)
+),
+p_ready_raw AS (
+  SELECT user_id, CAST(ts AS DATE) AS file_date, avg(value) AS m, max(value) AS hi, min(value) AS lo
+  FROM events WHERE event_type = 'signup' GROUP BY user_id, CAST(ts AS DATE)
+),
+p_readiness AS (
+  SELECT user_id, file_date,
+         CASE WHEN m > 150 THEN 'High' WHEN m > 75 THEN 'Medium' ELSE 'Low' END AS daily_readiness_cat,
+         CASE WHEN hi > 150 THEN 'High' WHEN hi > 75 THEN 'Medium' ELSE 'Low' END AS sleep_readiness_cat,
+         CASE WHEN lo * 10 > 150 THEN 'High' WHEN lo * 10 > 75 THEN 'Medium' ELSE 'Low' END AS hrv_readiness_cat,
+         CASE WHEN m * 2 > 150 THEN 'High' WHEN m * 2 > 75 THEN 'Medium' ELSE 'Low' END AS rhr_readiness_cat,
+         round(m, 0) AS daily_readiness_score
+  FROM p_ready_raw
+),
+p_combined AS (
+  SELECT * FROM (SELECT DISTINCT * FROM p_daily)
+  FULL JOIN (SELECT user_id, file_date, resting_hr FROM p_resting) USING (user_id, file_date)
+  FULL JOIN p_readiness USING (user_id, file_date)
+)"""
+
+SQL["combine_hour_buckets"] = f"""
+WITH {SERIES.lstrip()},
+b_det AS (SELECT DISTINCT date_trunc('hour', timestamp) AS datetime_hour FROM hrv_detail),
+b_rest AS (SELECT date_trunc('hour', timestamp) AS datetime_hour, avg(resting_hr) AS resting_hr FROM resting GROUP BY 1)
+SELECT datetime_hour, round(resting_hr, 6) AS resting_hr FROM b_det FULL JOIN b_rest USING (datetime_hour)
+"""
+
+SQL["hrv_daily_by_person"] = f"""
+WITH {PERSON_SERIES.lstrip()}
+SELECT user_id, file_date, {_round_cols(_HRV_COLS)} FROM p_daily
+"""
+
+SQL["daily_vs_summary_by_person"] = f"""
+WITH {PERSON_SERIES.lstrip()}
+SELECT user_id, file_date, round(avg(rmssd_detail), 6) AS mean_rmssd_detail, round(max(rmssd_summary), 6) AS rmssd_summary
+FROM p_daily GROUP BY user_id, file_date
+"""
+
+SQL["combine_day_by_person"] = f"""
+WITH {PERSON_SERIES.lstrip()}
+SELECT user_id, file_date, {_round_cols(_HRV_COLS)}, round(resting_hr, 6) AS resting_hr, {', '.join(_READY_COLS)},
+       round(daily_readiness_score, 6) AS daily_readiness_score
+FROM p_combined
+"""
+
+SQL["combine_hour_by_person"] = f"""
+WITH {PERSON_SERIES.lstrip()},
+b_det AS (SELECT user_id, date_trunc('hour', timestamp) AS datetime_hour, {_avgs(_DET_NUM)} FROM p_detail GROUP BY 1, 2),
+b_rest AS (SELECT user_id, date_trunc('hour', timestamp) AS datetime_hour, avg(resting_hr) AS resting_hr
+           FROM p_resting GROUP BY 1, 2)
+SELECT user_id, datetime_hour, {_round_cols(_DET_NUM)}, round(resting_hr, 6) AS resting_hr
+FROM b_det FULL JOIN b_rest USING (user_id, datetime_hour)
+"""
+
+SQL["scaled_pair_by_person"] = f"""
+WITH {PERSON_SERIES.lstrip()},
+daily AS (SELECT user_id, file_date, avg(rmssd_detail) AS var1, avg(resting_hr) AS var2 FROM p_combined
+          GROUP BY user_id, file_date),
+st AS (SELECT user_id, min(var1) AS min1, max(var1) AS max1, min(var2) AS min2, max(var2) AS max2, avg(var1) AS mean1,
+              avg(var2) AS mean2 FROM daily GROUP BY user_id),
+j AS (SELECT *, (max1 - min1) / nullif(max2 - min2, 0) AS k FROM daily JOIN st USING (user_id))
+SELECT user_id, file_date, round(round(var1, 9), 6) AS Value, 'HRV (RMSSD)' AS Measure, round(round(mean1, 9), 6) AS mean_value,
+       file_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-13' AS highlight FROM j
+UNION ALL
+SELECT user_id, file_date, round(round((var2 - min2) * k + min1, 9), 6), 'Resting HR (bpm)', round(round((mean2 - min2) * k + min1, 9), 6),
+       file_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-13' FROM j
+"""
+
+SQL["sample_rows"] = f"""
+WITH {PERSON_SERIES.lstrip()}
+SELECT event_id, timestamp, round(rmssd, 6) AS rmssd, round(coverage, 6) AS coverage, round(low_frequency, 6) AS low_frequency,
+       round(high_frequency, 6) AS high_frequency, file_date
+FROM p_detail ORDER BY md5('7|' || event_id), event_id LIMIT 5
+"""
+
+
+# ---------------------------------------------------------------- sources
+
+SQL["envelope_participants"] = f"""
+WITH {PARTICIPANTS_RAW.lstrip()}
+SELECT _id, patient_id, mdh_participant_id, round(age, 6) AS age, invitationstatus, enrollmentdate, inserteddate,
+       lastUpdateDate, enrolled, active_kitstatus, aou_complete, shipment_group, compensation_points,
+       compensation_tickets, studyendreason, has_vitiligo, has_vitiligo_post_baseline
+FROM participants_raw
+"""
+
+SQL["envelope_surveys"] = f"""
+WITH {_surveys_raw()}
+SELECT * FROM surveys_raw
+"""
+
+# Files by the rules alone: a summary of day D belongs to D + 1 and is missing where two copies of it exist.
+FILE_INDEX = f"""{PERSON_SERIES.lstrip()},
+days_of AS (SELECT DISTINCT user_id AS owner, file_date FROM p_detail),
+det_file AS (
+  SELECT owner, file_date, '/exports/' || owner || '/Heart Rate Variability/Heart Rate Variability Details - ' || file_date
+         || '.csv' AS detail_file
+  FROM days_of
+),
+summ_file AS (
+  SELECT user_id AS owner, file_date + 1 AS file_date,
+         CASE WHEN user_id % 7 <> 3 THEN
+           '/exports/' || user_id || '/Heart Rate Variability/Daily Heart Rate Variability Summary - '
+           || strftime(file_date, '%Y-%m') || '-(' || strftime(file_date, '%d') || ').csv' END AS summary_file
+  FROM p_summary
+),
+file_index AS (
+  SELECT owner, CAST(file_date AS DATE) AS file_date, summary_file, detail_file
+  FROM summ_file FULL JOIN det_file USING (owner, file_date)
+  WHERE file_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25' AND (summary_file IS NOT NULL OR detail_file IS NOT NULL)
+)"""
+
+SQL["hrv_index"] = f"""
+WITH {FILE_INDEX}
+SELECT owner, file_date, summary_file, detail_file FROM file_index
+"""
+
+SQL["hrv_index_all_dates"] = f"""
+WITH {FILE_INDEX},
+owners AS (SELECT DISTINCT user_id AS owner FROM p_detail UNION SELECT DISTINCT user_id FROM p_summary),
+every_day AS (SELECT owner, CAST(unnest(generate_series(DATE '2024-01-04', DATE '2024-01-25', INTERVAL 1 DAY)) AS DATE) AS file_date
+              FROM owners)
+SELECT owner, file_date, summary_file, detail_file FROM every_day LEFT JOIN file_index USING (owner, file_date)
+"""
+
+SQL["hrv_from_files"] = f"""
+WITH {FILE_INDEX}
+SELECT d.user_id AS owner, d.file_date, d.timestamp AS timestamp_detail, round(d.rmssd, 6) AS rmssd_detail,
+       round(d.coverage, 6) AS coverage, round(d.low_frequency, 6) AS low_frequency, round(d.high_frequency, 6) AS high_frequency,
+       s.timestamp AS timestamp_summary, round(s.rmssd, 6) AS rmssd_summary, round(s.nremhr, 6) AS nremhr, round(s.entropy, 6) AS entropy
+FROM p_detail d LEFT JOIN p_summary s ON d.user_id = s.user_id AND d.file_date = s.file_date + 1 AND d.user_id % 7 <> 3
+WHERE d.file_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'
+"""
+
+SQL["hrv_summary_from_files"] = f"""
+WITH {FILE_INDEX}
+SELECT i.owner, i.file_date, s.timestamp, round(s.rmssd, 6) AS rmssd, round(s.nremhr, 6) AS nremhr, round(s.entropy, 6) AS entropy
+FROM file_index i LEFT JOIN p_summary s
+  ON i.summary_file IS NOT NULL AND s.user_id = i.owner AND s.file_date + 1 = i.file_date
+"""
+
+SQL["resting_from_files"] = f"""
+WITH {PERSON_SERIES.lstrip()}
+SELECT user_id AS owner, file_date, timestamp, round(resting_hr, 6) AS resting_hr FROM p_resting
+WHERE file_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'
+"""
+
+SQL["readiness_from_files"] = f"""
+WITH {PERSON_SERIES.lstrip()}
+SELECT user_id AS owner, file_date, {', '.join(_READY_COLS)}, round(daily_readiness_score, 6) AS daily_readiness_score
+FROM p_readiness WHERE file_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'
+"""
+
+
+# ---------------------------------------------------------------- two periods of a combined series
+
+SQL["period_compare"] = f"""
+WITH {SERIES.lstrip()},
+day_values AS (
+  SELECT CASE WHEN file_date >= DATE '2024-01-16' THEN 2024 ELSE 2022 END AS grp, file_date,
+         round(avg(resting_hr), 9) AS resting_hr, round(avg(rmssd_detail), 9) AS rmssd_detail
+  FROM combined_day GROUP BY file_date
+),
+long AS (SELECT grp, 'Resting Heart Rate (bpm)' AS metric, resting_hr AS value FROM day_values
+         UNION ALL SELECT grp, 'RMSSD Detail (ms)', rmssd_detail FROM day_values),
+{_two_sample('long', 'metric', '2022', '2024')},
+fin AS (SELECT *, mean_b - mean_a AS mean_diff, median_b - median_a AS median_diff FROM ts)
+SELECT {_ts_select('metric')}, round(mean_diff, 6) AS mean_diff, round(median_diff, 6) AS median_diff,
+       {_p_text('ks_p')} AS ks_p_formatted, {_p_text('wilcox_p')} AS wilcox_p_formatted,
+       {_stars('ks_p')} AS ks_significance, {_stars('wilcox_p')} AS wilcox_significance,
+       'Diff Median: ' || {_signed('median_diff')} || ' | Diff Mean: ' || {_signed('mean_diff')} || chr(10)
+         || 'KS: ' || {_p_text('ks_p')} || ' ' || {_stars('ks_p')} || ' | '
+         || 'Wilcoxon: ' || {_p_text('wilcox_p')} || ' ' || {_stars('wilcox_p')} AS annotation_text,
+       round(max_val * 1.05, 6) AS y_pos, 1.5 AS x_pos
+FROM fin
+"""

@@ -13,6 +13,8 @@ split by event_type.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +55,7 @@ def participants_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN c_custkey % 13 = 6 THEN concat(cast(cast(c_acctbal / 20 AS bigint) AS string), '.7') "
         "ELSE cast(cast(c_acctbal / 20 AS bigint) AS string) END AS compensation_points",
         "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE cast(c_custkey % 4 AS string) END AS compensation_tickets",
-        "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'withdrew' WHEN c_custkey % 3 = 0 THEN NULL ELSE '' END "
+        "CASE WHEN c_mktsegment = 'MACHINERY' OR c_custkey div 4 % 25 = 3 THEN 'withdrew' WHEN c_custkey % 3 = 0 THEN NULL ELSE '' END "
         "AS studyendreason",
         "CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS has_vitiligo",
         "CASE WHEN c_mktsegment = 'FURNITURE' THEN 1 WHEN c_custkey % 19 = 0 THEN 0 ELSE NULL END "
@@ -89,9 +91,8 @@ def _case(col: str, mapping: dict[str, str]) -> str:
     return f"CASE {col} {arms} END"
 
 
-def _survey_fields(dialect: str = "spark") -> dict[str, str]:
-    """SQL text of the survey identity columns, shared by responses and dictionary (and by the DuckDB
-    oracle, ``dialect='duckdb'``, which differs only in array indexing)."""
+def _survey_fields() -> dict[str, str]:
+    """SQL text of the survey identity columns, shared by responses and dictionary."""
     kind = ("CASE WHEN event_id % 17 = 3 THEN 'admin' WHEN event_id % 4 = 0 THEN 'stress' ELSE 'topic' END")
     topic_name = _case("event_type", {k: v[0] for k, v in TOPIC_SURVEYS.items()})
     surveyname = (f"CASE {kind} WHEN 'admin' THEN '{ADMIN_SURVEY[0]}' WHEN 'stress' THEN '{STRESS_SURVEY[0]}' "
@@ -102,8 +103,7 @@ def _survey_fields(dialect: str = "spark") -> dict[str, str]:
              f"ELSE {_case('event_type', {k: v[2] for k, v in TOPIC_SURVEYS.items()})} END")
     q = "(event_id % 10 + 1)"
     ids = ", ".join(f"'{i}'" for i in OVERRIDE_IDS)
-    pick = (f"element_at(array({ids}), cast({q} AS int))" if dialect == "spark"
-            else f"([{ids}])[cast({q} AS int)]")
+    pick = f"element_at(array({ids}), cast({q} AS int))"
     result_id = (f"CASE WHEN {kind} = 'topic' AND event_type = 'signup' AND {q} <= 3 THEN {pick} "
                  f"ELSE concat({surveyname}, '_q', {q}) END")
     return {"kind": kind, "surveyname": surveyname, "display": display, "topic": topic, "q": q,
@@ -111,17 +111,19 @@ def _survey_fields(dialect: str = "spark") -> dict[str, str]:
             "step_id": f"concat({surveyname}, '_step', {q})"}
 
 
-def answers_sql(dialect: str = "spark") -> str:
-    """SQL text of the raw ``answers`` field of the stand-in responses."""
-    s = _survey_fields(dialect)
+def answers_sql() -> str:
+    """SQL text of the raw ``answers`` field of the stand-in responses (some very long, some over several lines)."""
+    s = _survey_fields()
     stress_answer = _case("event_type", STRESS_ANSWERS)
     topic_answer = (
-        "CASE event_type "
+        "CASE WHEN event_id % 53 = 5 THEN concat('[\"', repeat('Long text ', 150), '\",\"b\"]') "
+        "WHEN event_id % 53 = 6 THEN concat('[\"Line 1', chr(10), 'line 2\",\"c\"]') "
+        "ELSE CASE event_type "
         "WHEN 'error' THEN concat('[\"Exposure ', user_id % 5, '\"]') "
         "WHEN 'click' THEN CASE WHEN value > 100 THEN '[\"True\"]' ELSE '[\"false\"]' END "
         "WHEN 'view' THEN concat('[\"opt', event_id % 3, '\",\"opt', user_id % 4, '\"]') "
         "WHEN 'purchase' THEN concat('[', cast(floor(value) AS int), ']') "
-        "ELSE CASE WHEN event_id % 2 = 0 THEN NULL ELSE concat('[\"Spot ', event_id % 9, '\", \"arm\"]') END END")
+        "ELSE CASE WHEN event_id % 2 = 0 THEN NULL ELSE concat('[\"Spot ', event_id % 9, '\", \"arm\"]') END END END")
     return (f"CASE {s['kind']} WHEN 'stress' THEN CASE WHEN user_id % 29 = 0 THEN '[\"not sure\"]' "
             f"ELSE concat('[\"', {stress_answer}, '\"]') END ELSE {topic_answer} END")
 
@@ -148,9 +150,9 @@ def surveys_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dictionary_fields(dialect: str = "spark") -> list[tuple[str, str]]:
-    """(SQL text, name) of the dictionary columns, computed per response row; also used by the oracle."""
-    s = _survey_fields(dialect)
+def dictionary_fields() -> list[tuple[str, str]]:
+    """(SQL text, name) of the dictionary columns, computed per response row."""
+    s = _survey_fields()
     q = s["q"]
     is_stress = f"{s['kind']} = 'stress'"
     scale = ", ".join(STRESS_ANSWERS[k].lower() for k in STRESS_ANSWERS)
@@ -189,10 +191,14 @@ def dictionary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 DETAIL_TYPE, SUMMARY_TYPE, RESTING_TYPE, READINESS_TYPE = "view", "click", "purchase", "signup"
 
 
-def hrv_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5-minute HRV detail rows (FIXTURES 1.5): one per 'view' event."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == DETAIL_TYPE)
-    return e.select(
+def _series(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return table(spark, sf_dir, "events").where(F.col("event_type") == kind)
+
+
+def hrv_detail(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
+    """5-minute HRV detail rows (FIXTURES 1.5): one per 'view' event; ``keys`` such as user_id make it many people's."""
+    return _series(spark, sf_dir, DETAIL_TYPE).select(
+        *keys,
         F.col("ts").alias("timestamp"),
         F.col("value").alias("rmssd"),
         ((F.col("event_id") % 100).cast("double") / F.lit(100.0)).alias("coverage"),
@@ -202,31 +208,105 @@ def hrv_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hrv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hrv_summary(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
     """Daily HRV summary (one row per day of 'click' events), dated by the day it describes."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == SUMMARY_TYPE)
-    daily = e.groupBy(F.to_date("ts").alias("file_date")).agg(
+    daily = _series(spark, sf_dir, SUMMARY_TYPE).groupBy(*keys, F.to_date("ts").alias("file_date")).agg(
         F.avg("value").alias("rmssd"), F.max("value").alias("nremhr"), (F.min("value") / F.lit(10.0)).alias("entropy"))
-    return daily.select(F.col("file_date").cast("timestamp_ntz").alias("timestamp"), "rmssd", "nremhr", "entropy",
+    return daily.select(*keys, F.col("file_date").cast("timestamp_ntz").alias("timestamp"), "rmssd", "nremhr", "entropy",
                         "file_date")
 
 
-def resting_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
+def resting_hr(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
     """Daily resting heart rate (file_date, timestamp, resting_hr) from 'purchase' events."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == RESTING_TYPE)
-    return e.groupBy(F.to_date("ts").alias("file_date")).agg(
+    return _series(spark, sf_dir, RESTING_TYPE).groupBy(*keys, F.to_date("ts").alias("file_date")).agg(
         F.min("ts").alias("timestamp"), (F.lit(50.0) + F.min("value") / F.lit(10.0)).alias("resting_hr"))
 
 
-def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readiness(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
     """Daily readiness (file_date, four categories, score) from 'signup' events."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == READINESS_TYPE)
-    d = e.groupBy(F.to_date("ts").alias("file_date")).agg(
+    d = _series(spark, sf_dir, READINESS_TYPE).groupBy(*keys, F.to_date("ts").alias("file_date")).agg(
         F.avg("value").alias("m"), F.max("value").alias("hi"), F.min("value").alias("lo"))
 
     def cat(c):
         return F.when(c > 150, "High").when(c > 75, "Medium").otherwise("Low")
 
-    return d.select("file_date", cat(F.col("m")).alias("daily_readiness_cat"), cat(F.col("hi")).alias("sleep_readiness_cat"),
+    return d.select(*keys, "file_date", cat(F.col("m")).alias("daily_readiness_cat"), cat(F.col("hi")).alias("sleep_readiness_cat"),
                     cat(F.col("lo") * 10).alias("hrv_readiness_cat"), cat(F.col("m") * 2).alias("rhr_readiness_cat"),
                     F.round("m", 0).alias("daily_readiness_score"))
+
+
+# ---------------------------------------------------------------- export files as rows
+# Responses and export files cannot be registered inputs, so their texts are built from the tables: the decoding
+# functions that the readers call then run on text columns.
+
+PAGE = 100  # records of one response
+
+
+def participant_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Response texts ({"data": {"data": [...]}}) of ``PAGE`` participants each, and one without any."""
+    p = participants_raw(spark, sf_dir)
+    page = (F.substring("_id", 2, 20).cast("long") / F.lit(PAGE)).cast("long")
+    pages = p.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*p.columns)).alias("data"))
+    texts = pages.select(F.to_json(F.struct(F.struct("data").alias("data"))).alias("text"))
+    return texts.unionByName(texts.sparkSession.range(1).select(F.lit('{"data": {"data": []}}').alias("text")))
+
+
+def survey_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Response texts of ``PAGE`` survey records each."""
+    r = surveys_raw(spark, sf_dir)
+    page = (F.substring("id", 2, 20).cast("long") / F.lit(PAGE)).cast("long")
+    pages = r.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*r.columns)).alias("data"))
+    return pages.select(F.to_json(F.struct(F.struct("data").alias("data"))).alias("text"))
+
+
+def _numbers(*cols) -> list:
+    return [c.cast("string") for c in cols]
+
+
+def _file_text(df: DataFrame, by: Sequence[str], header: str, fields: Sequence, order: str) -> DataFrame:
+    """One text for each ``by`` group: the header and the group's lines (a person's day, or a person's days)."""
+    line = F.concat_ws(",", *fields)
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line")))), lambda x: x["line"])
+    return df.groupBy(*by).agg(F.concat(F.lit(header + "\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("text"))
+
+
+def hrv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(owner, path, text) of daily detail and summary files of every user.
+
+    Columns stand in another order in every second file; some summary files exist twice (a copy), some names hold
+    an impossible date or are no HRV files.
+    """
+    det = hrv_detail(spark, sf_dir, ["user_id", "event_id"]).withColumnRenamed("user_id", "owner")
+    iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    odd = (F.col("owner") + F.dayofmonth("file_date")) % 2 == 1
+    plain = _file_text(det.where(~odd), ["owner", "file_date"], "timestamp,rmssd,coverage,low_frequency,high_frequency",
+                       [iso, *_numbers(F.col("rmssd"), F.col("coverage"), F.col("low_frequency"), F.col("high_frequency"))], "event_id")
+    mixed = _file_text(det.where(odd), ["owner", "file_date"], "low_frequency,note,rmssd,high_frequency,timestamp,coverage",
+                       [F.col("low_frequency").cast("string"), F.lit("\"a, b\""), *_numbers(F.col("rmssd"), F.col("high_frequency")), iso, F.col("coverage").cast("string")], "event_id")
+    folder = F.concat(F.lit("/exports/"), F.col("owner"), F.lit("/Heart Rate Variability/"))
+    details = plain.unionByName(mixed).select("owner", F.concat(folder, F.lit("Heart Rate Variability Details - "), F.col("file_date").cast("string"), F.lit(".csv")).alias("path"), "text")
+    summ = hrv_summary(spark, sf_dir, ["user_id"]).withColumnRenamed("user_id", "owner")
+    summ = _file_text(summ, ["owner", "file_date"], "nremhr,rmssd,entropy,timestamp",
+                      [*_numbers(F.col("nremhr"), F.col("rmssd"), F.col("entropy")), F.col("file_date").cast("string")], "file_date")
+    month, day = F.date_format("file_date", "yyyy-MM"), F.date_format("file_date", "dd")
+    twice = F.when(F.col("owner") % 7 == 3, F.array(F.lit(""), F.lit("Copy of "))).otherwise(F.array(F.lit("")))
+    summaries = summ.select("owner", "text", "file_date", folder.alias("folder"), F.explode(twice).alias("copy")).select(
+        "owner", F.concat("folder", "copy", F.lit("Daily Heart Rate Variability Summary - "), month, F.lit("-("), day, F.lit(").csv")).alias("path"), "text")
+    stray = details.where(F.col("owner") % 5 == 1).select("owner", F.lit("x").alias("text"), F.explode(F.array(
+        F.regexp_replace("path", "[0-9]{4}-[0-9]{2}-[0-9]{2}", "2024-02-30"), F.regexp_replace("path", "\\.csv$", " - copy.csv"))).alias("path"))
+    return details.unionByName(summaries).unionByName(stray.distinct())
+
+
+def resting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(owner, text) of every user's resting heart rate file."""
+    r = resting_hr(spark, sf_dir, ["user_id"]).withColumnRenamed("user_id", "owner")
+    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return _file_text(r, ["owner"], "data source,beats per minute,timestamp", [F.lit("watch"), F.col("resting_hr").cast("string"), stamp], "file_date")
+
+
+def readiness_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(owner, text) of every user's readiness file."""
+    r = readiness(spark, sf_dir, ["user_id"]).withColumnRenamed("user_id", "owner")
+    return _file_text(r, ["owner"], "timestamp,score,resting heart rate readiness,type,sleep readiness,heart rate variability readiness",
+                      [F.col("file_date").cast("string"), F.col("daily_readiness_score").cast("string"), F.col("rhr_readiness_cat"),
+                       F.col("daily_readiness_cat"), F.col("sleep_readiness_cat"), F.col("hrv_readiness_cat")], "file_date")

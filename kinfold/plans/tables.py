@@ -15,9 +15,7 @@ def spread(df: DataFrame) -> DataFrame:
 
     A small table stored as one row group is read by a single task, and every per-row step before the
     first shuffle then runs on one core. A large input already has at least as many partitions as slots,
-    so at scale this returns ``df`` unchanged (no extra shuffle). Column pruning and filter pushdown
-    still reach the scan through a round-robin repartition. Used only before heavy per-row work (text
-    formatting and parsing); where a partial aggregate follows the scan directly it would only add cost.
+    so at scale this returns ``df`` unchanged (no extra shuffle); rows and results are the same either way.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
@@ -25,23 +23,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def _catalog(spark: SparkSession) -> dict:
-    """Per-session lookup of table DataFrames (plan objects only, no data is cached)."""
-    cache = getattr(spark, "_kinfold_tables", None)
-    if cache is None:
-        cache = {}
-        spark._kinfold_tables = cache
-    return cache
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """The parquet table ``name``; ``spread_rows`` applies ``spread`` (before per-row text work)."""
+    """The parquet table ``name`` as it is now; ``spread_rows`` applies ``spread`` (before per-row text work)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    cache = _catalog(spark)
-    key = (path, spread_rows)
-    if key not in cache:
-        df = spark.read.parquet(path)
-        cache[key] = spread(df) if spread_rows else df
-    return cache[key]
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if spread_rows else df

@@ -6,6 +6,8 @@ The study code fetches JSON over HTTP and keeps the rows at ``data.data``; here
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,14 +42,15 @@ def envelope_schema(record: T.StructType) -> T.StructType:
     return T.StructType([T.StructField("data", T.StructType([T.StructField("data", T.ArrayType(record))]))])
 
 
-def read_envelope(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """Rows of ``data.data`` of every JSON response under ``path`` (SRC1, SRC2).
+def explode_envelope(texts: DataFrame, record: T.StructType, text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``data.data`` of JSON responses held as texts (SRC1); bad, NULL or empty responses give no rows."""
+    parsed = F.from_json(F.col(text_col), envelope_schema(record))
+    return texts.select(*keep, F.explode(parsed["data"]["data"]).alias("_record")).select(*keep, "_record.*")
 
-    Each file is one (possibly pretty-printed) document, hence ``multiLine``; a response with an empty
-    list contributes no rows.
-    """
-    raw = spark.read.schema(envelope_schema(record)).option("multiLine", True).json(path)
-    return raw.select(F.explode("data.data").alias("r")).select("r.*")
+
+def read_envelope(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
+    """``explode_envelope`` of every JSON response under ``path`` (SRC1, SRC2); a file is one document."""
+    return explode_envelope(spark.read.text(path, wholetext=True).withColumnRenamed("value", "text"), record)
 
 
 def read_participants(spark: SparkSession, path: str) -> DataFrame:
@@ -59,7 +62,16 @@ def read_surveys(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dictionary(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Data dictionary as CSV (header row) or Parquet (SRC3); the workbook itself is exported first."""
+    """Data dictionary as CSV (header row) or Parquet (SRC3); the workbook itself is exported first.
+
+    Columns are taken by name, in any order and among others; a missing one is an error. Fields may hold line breaks.
+    Files of one folder must have the same header: a dictionary is one sheet.
+    """
     if fmt == "csv":
-        return spark.read.schema(DICTIONARY_SCHEMA).option("header", True).option("multiLine", True).csv(path)
-    return spark.read.schema(DICTIONARY_SCHEMA).format(fmt).load(path)
+        raw = spark.read.option("header", True).option("multiLine", True).option("enforceSchema", False).csv(path)
+    else:
+        raw = spark.read.format(fmt).load(path)
+    names = {c.strip().lower(): c for c in raw.columns}
+    if missing := [f.name for f in DICTIONARY_SCHEMA.fields if f.name.lower() not in names]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
+    return raw.select(*[F.col(f"`{names[f.name.lower()]}`").try_cast(f.dataType).alias(f.name) for f in DICTIONARY_SCHEMA.fields])

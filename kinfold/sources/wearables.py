@@ -7,9 +7,11 @@ Layout under ``root`` (FIXTURES 1.5)::
     Physical Activity_GoogleData/daily_resting_heart_rate.csv
     Physical Activity_GoogleData/daily_readiness.csv
 
-The study code loops over days and reads one file pair per day. Here the file listing is a DataFrame
-(``binaryFile`` projected to ``path``: the file bytes are never read), the day rules are joins and
-aggregates on it, and each file kind is read in one multi-file scan joined to the index by file path.
+The study code loops over days and reads one file pair per day. Here a file is a row (path, text), the day rules are
+joins and aggregates on the paths, and each file kind is decoded by column name (``headered``). Every step takes
+DataFrames, so the same functions work on a listing, on a stream and on tables that hold paths and texts. ``keys`` are
+columns of an owner (a person), so that many people's exports are read in one scan; ``owner_pattern`` takes the owner
+from the path.
 """
 
 from __future__ import annotations
@@ -17,38 +19,33 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import warnings
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kinfold.functions.timecols import to_instant
 from kinfold.operators.joins import join_by
+from kinfold.sources.headered import csv_rows, text_files
 
 # Export folder and file names.
 HRV_DIR = "Heart Rate Variability"
 GOOGLE_DIR = "Physical Activity_GoogleData"
-SUMMARY_GLOB = "Daily Heart Rate Variability Summary - *.csv"
-DETAIL_GLOB = "Heart Rate Variability Details - *.csv"
 SUMMARY_REGEX = "Daily Heart Rate Variability Summary - ([0-9]{4}-[0-9]{2})-\\(([0-9]{2})\\)\\.csv$"
 DETAIL_REGEX = "Heart Rate Variability Details - ([0-9]{4}-[0-9]{2}-[0-9]{2})\\.csv$"
 RESTING_FILE = "daily_resting_heart_rate.csv"
 READINESS_FILE = "daily_readiness.csv"
 
-SUMMARY_SCHEMA = T.StructType([T.StructField("timestamp", T.StringType()), T.StructField("rmssd", T.DoubleType()),
-                               T.StructField("nremhr", T.DoubleType()), T.StructField("entropy", T.DoubleType())])
-DETAIL_SCHEMA = T.StructType([T.StructField("timestamp", T.StringType()), T.StructField("rmssd", T.DoubleType()),
-                              T.StructField("coverage", T.DoubleType()),
-                              T.StructField("low_frequency", T.DoubleType()),
-                              T.StructField("high_frequency", T.DoubleType())])
-RESTING_SCHEMA = T.StructType([T.StructField("timestamp", T.StringType()),
-                               T.StructField("beats per minute", T.DoubleType())])
-READINESS_SCHEMA = T.StructType([
-    T.StructField("timestamp", T.StringType()), T.StructField("type", T.StringType()),
-    T.StructField("sleep readiness", T.StringType()), T.StructField("heart rate variability readiness", T.StringType()),
-    T.StructField("resting heart rate readiness", T.StringType()), T.StructField("score", T.DoubleType())])
-INDEX_SCHEMA = "file_date date, summary_file string, detail_file string"
+# Columns of each export file and their types.
+SUMMARY_COLUMNS = {"timestamp": "string", "rmssd": "double", "nremhr": "double", "entropy": "double"}
+DETAIL_COLUMNS = {"timestamp": "string", "rmssd": "double", "coverage": "double", "low_frequency": "double",
+                  "high_frequency": "double"}
+RESTING_COLUMNS = {"timestamp": "string", "beats per minute": "double"}
+READINESS_COLUMNS = {"timestamp": "string", "type": "string", "sleep readiness": "string",
+                     "heart rate variability readiness": "string", "resting heart rate readiness": "string",
+                     "score": "double"}
+# Kind -> (file name pattern, columns, days from the named day to the day it belongs to).
+HRV_KINDS = {"detail": (DETAIL_REGEX, DETAIL_COLUMNS, 0), "summary": (SUMMARY_REGEX, SUMMARY_COLUMNS, 1)}
 
 
 def _dates(start, end) -> tuple[_dt.date, _dt.date]:
@@ -58,128 +55,164 @@ def _dates(start, end) -> tuple[_dt.date, _dt.date]:
     return s, e
 
 
-def _listing(spark: SparkSession, folder: str, glob: str) -> DataFrame | None:
-    try:
-        return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-                .select(F.col("path")))
-    except AnalysisException:
-        return None
+def hrv_file_day(name: Column, kind: str) -> Column:
+    """The day that a file of ``kind`` belongs to, from its name (SRC4a, SRC4b).
 
+    NULL for any other name and for an impossible date: such a file is no HRV file.
+    """
+    regex, _, shift = HRV_KINDS[kind]
+    part = F.regexp_extract(name, regex, 1)
+    text = F.concat(part, F.lit("-"), F.regexp_extract(name, regex, 2)) if kind == "summary" else part
+    return F.date_add(F.when(name.rlike(regex), text).try_cast("date"), shift)
 
-def _unique_per_date(files: DataFrame | None, regex: str, groups: int, shift: int, name: str) -> DataFrame | None:
-    """file_date -> the single matching file; 0 or several matches -> NULL (SRC4c)."""
-    if files is None:
-        return None
-    part = F.regexp_extract("path", regex, 1)
-    text = F.concat(part, F.lit("-"), F.regexp_extract("path", regex, 2)) if groups == 2 else part
-    dated = files.where(F.col("path").rlike(regex)).withColumn("d", F.date_add(F.to_date(text), shift))
-    return dated.groupBy(F.col("d").alias("file_date")).agg(
-        F.when(F.count(F.lit(1)) == 1, F.max("path")).alias(name))
+
+def _one_per_day(files: DataFrame, kind: str, path_col: str, keys: Sequence[str]) -> DataFrame:
+    """(keys, file_date, file): the single file of a day; 0 or several matches -> NULL (SRC4c)."""
+    dated = files.withColumn("file_date", hrv_file_day(F.col(path_col), kind)).where("file_date IS NOT NULL")
+    return dated.groupBy(*keys, "file_date").agg(F.when(F.count(F.lit(1)) == 1, F.max(path_col)).alias(f"{kind}_file"))
 
 
-def hrv_file_index(spark: SparkSession, start, end, root: str, force_all_dates: bool = False) -> DataFrame:
-    """(file_date, summary_file, detail_file) for each day of [start, end] (SRC4).
+def index_files(files: DataFrame, start, end, force_all_dates: bool = False, path_col: str = "path",
+                keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, file_date, summary_file, detail_file) for each day of [start, end] from a table of paths (SRC4).
 
-    The summary file of day D-1 belongs to day D. Days without any file are left out unless
-    ``force_all_dates`` (then every day of the range appears, with NULL paths).
+    The summary file of day D-1 belongs to day D. Days without any file are left out unless ``force_all_dates`` (then
+    every day of the range appears for every owner, with NULL paths).
     """
     s, e = _dates(start, end)
-    folder = os.path.join(root, HRV_DIR)
-    listing = _listing(spark, folder, "*.csv")
-    summ = _unique_per_date(listing, SUMMARY_REGEX, 2, 1, "summary_file")
-    det = _unique_per_date(listing, DETAIL_REGEX, 1, 0, "detail_file")
-    if summ is None or det is None:
-        warnings.warn(f"No HRV files found under: {folder}")  # SRC9: empty result, schema kept
-        idx = spark.createDataFrame([], INDEX_SCHEMA)
-    else:
-        idx = join_by(summ, det, ["file_date"], how="full")
-        idx = idx.where(F.col("file_date").between(F.lit(s), F.lit(e)))
-        idx = idx.where(F.col("summary_file").isNotNull() | F.col("detail_file").isNotNull())
+    k = list(keys)
+    paths = files.select(*k, path_col)
+    idx = join_by(_one_per_day(paths, "summary", path_col, k), _one_per_day(paths, "detail", path_col, k), [*k, "file_date"], how="full", one_per_key=True)
+    idx = idx.where(F.col("file_date").between(F.lit(s), F.lit(e)))
+    idx = idx.where(F.col("summary_file").isNotNull() | F.col("detail_file").isNotNull())
     if force_all_dates:
-        days = spark.range(1).select(F.explode(F.sequence(F.lit(s), F.lit(e), F.expr("INTERVAL 1 DAY")))
-                                     .alias("file_date"))
-        idx = join_by(days, idx, ["file_date"], how="left")
-    return idx.select("file_date", "summary_file", "detail_file")
-
-
-def _read_kind(spark: SparkSession, folder: str, glob: str, schema: T.StructType) -> DataFrame:
-    # the reader reports a URI (spaces as %20) while the listing reports the plain path
-    uri = F.regexp_replace(F.col("_metadata.file_path"), "\\+", "%2B")
-    try:
-        df = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", glob).csv(folder)
-              .withColumn("path", F.url_decode(uri)))
-    except AnalysisException:  # no folder: no rows, same columns
-        df = spark.createDataFrame([], schema).withColumn("path", F.lit(None).cast("string"))
-    return df.withColumn("timestamp", to_instant(df, "timestamp"))
-
-
-def _side(spark, idx: DataFrame, path_col: str, folder: str, glob: str, schema: T.StructType) -> DataFrame:
-    """Rows of the files named in ``idx.path_col`` with their index date; one all-NULL row for every
-    index date whose file is missing (the study's placeholder row, quirk Q19)."""
-    names = [f.name for f in schema.fields]
-    present = idx.where(F.col(path_col).isNotNull()).select("file_date", F.col(path_col).alias("path"))
-    rows = _read_kind(spark, folder, glob, schema)
-    got = rows.join(present, "path", "inner").select("file_date", *names)
-    missing = idx.where(F.col(path_col).isNull()).select(
-        "file_date", *[F.lit(None).cast("timestamp_ntz" if n == "timestamp" else f.dataType).alias(n)
-                       for n, f in zip(names, schema.fields)])
-    return got.unionByName(missing)
-
-
-def load_hrv(spark: SparkSession, start, end, root: str, summary_only: bool = False,
-             force_missing_detail: bool = False, force_all_dates: bool = False) -> DataFrame:
-    """HRV detail rows of each day next to the previous day's summary (API10, JN4).
+        owners = paths.select(*k).distinct() if k else files.sparkSession.range(1).select()
+        days = owners.select(*k, F.explode(F.sequence(F.lit(s), F.lit(e), F.expr("INTERVAL 1 DAY"))).alias("file_date"))
+        idx = join_by(days, idx, [*k, "file_date"], how="left")
+    return idx.select(*k, "file_date", "summary_file", "detail_file")
+
+
+def decode_hrv(files: DataFrame, kind: str, keep: Sequence[str] = (), text_col: str = "text") -> DataFrame:
+    """Rows of summary or detail files given as texts, by column name, with the time as an instant (SRC5, SRC6, RSH4)."""
+    rows = csv_rows(files, HRV_KINDS[kind][1], text_col, keep)
+    return rows.withColumn("timestamp", to_instant(rows, "timestamp"))
+
+
+def _side(idx: DataFrame, files: DataFrame, kind: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of the files that the index names, with their index date; one all-NULL row for every index date without
+    a readable row (the study's placeholder row for a missing file, quirk Q19)."""
+    col, k = f"{kind}_file", list(keys)
+    present = idx.where(F.col(col).isNotNull()).select(*[F.col(c).alias(f"__{c}") for c in k], "file_date", F.col(col).alias("__path"))
+    cond = F.col("path") == F.col("__path")
+    for c in k:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    rows = decode_hrv(files.join(present, cond), kind, [*k, "file_date"])
+    missing = idx.where(F.col(col).isNull()).select(*k, "file_date")
+    return rows.unionByName(missing, allowMissingColumns=True)
+
+
+def hrv_days(files: DataFrame, start, end, summary_only: bool = False, force_missing_detail: bool = False,
+             force_all_dates: bool = False, keys: Sequence[str] = (), listing: DataFrame | None = None) -> DataFrame:
+    """HRV detail rows of each day next to the previous day's summary, from (keys, path, text) rows (API10, JN4).
+
+    ``listing`` holds the (keys, path) of the same files where paths can be had without their texts.
 
     * days without a detail file are skipped unless ``summary_only`` or ``force_missing_detail``;
     * a missing summary gives NULL summary columns; ``summary_only`` returns the summary side only;
     * detail and summary of a day are fully joined on ``file_date`` (shared names get _detail/_summary).
     """
-    idx = hrv_file_index(spark, start, end, root, force_all_dates)
+    k = list(keys)
+    idx = index_files(files if listing is None else listing, start, end, force_all_dates, keys=k)
     if not summary_only and not force_missing_detail:
         idx = idx.where(F.col("detail_file").isNotNull())
     # a day with neither file is always skipped, even when the index lists every day
     idx = idx.where(F.col("summary_file").isNotNull() | F.col("detail_file").isNotNull())
-    folder = os.path.join(root, HRV_DIR)
-    summary = _side(spark, idx, "summary_file", folder, SUMMARY_GLOB, SUMMARY_SCHEMA)
+    s, e = _dates(start, end)
+
+    def dated(kind: str) -> DataFrame:  # only files of the range are opened: the day comes from the name
+        return files.where(hrv_file_day(F.col("path"), kind).between(F.lit(s), F.lit(e)))
+
+    summary = _side(idx, dated("summary"), "summary", k)
     if summary_only:
-        return summary.select("timestamp", "rmssd", "nremhr", "entropy", "file_date")
-    detail = _side(spark, idx, "detail_file", folder, DETAIL_GLOB, DETAIL_SCHEMA)
-    return join_by(detail, summary, ["file_date"], how="full", suffix=("_detail", "_summary"))
+        return summary.select(*k, *SUMMARY_COLUMNS, "file_date")
+    detail = _side(idx, dated("detail"), "detail", k)
+    # a day of one person is a few hundred rows: no key is hot
+    return join_by(detail, summary, [*k, "file_date"], how="full", suffix=("_detail", "_summary"), one_per_key=True)
 
 
-def _daily_file(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame | None:
-    path = os.path.join(root, GOOGLE_DIR, name)
-    try:
-        return spark.read.schema(schema).option("header", True).csv(path)
-    except AnalysisException:
-        warnings.warn(f"file not found at: {path}")
-        return None
+OWNER_PATTERN = "([^/]+)/" + HRV_DIR + "/[^/]+$"
 
 
-def load_resting_hr(spark: SparkSession, start, end, root: str) -> DataFrame:
-    """(file_date, timestamp, resting_hr) within [start, end] by UTC date (SRC7); missing file -> no rows."""
+def _hrv_files(spark: SparkSession, root: str, owner_pattern: str | None) -> tuple[DataFrame, DataFrame]:
+    """(listing, files): paths alone, for which no file is opened; and paths with texts."""
+    folder = os.path.join(root, "*", HRV_DIR) if owner_pattern else os.path.join(root, HRV_DIR)
+    files = text_files(spark, folder, "*.csv")
+    if files is None:
+        warnings.warn(f"No HRV export folder at: {folder}")  # SRC9: empty result, schema kept
+        files = spark.createDataFrame([], "path string, file_name string, text string")
+        listing = files.select("path")
+    else:
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
+    if owner_pattern:
+        owner = F.regexp_extract("path", owner_pattern, 1)
+        listing, files = listing.withColumn("owner", owner), files.withColumn("owner", owner)
+    return listing, files
+
+
+def hrv_file_index(spark: SparkSession, start, end, root: str, force_all_dates: bool = False,
+                   owner_pattern: str | None = None) -> DataFrame:
+    """``index_files`` of an export folder; with ``owner_pattern``, of every export folder below ``root``, by owner."""
+    _dates(start, end)
+    listing, _ = _hrv_files(spark, root, owner_pattern)
+    return index_files(listing, start, end, force_all_dates, keys=["owner"] if owner_pattern else [])
+
+
+def load_hrv(spark: SparkSession, start, end, root: str, summary_only: bool = False, force_missing_detail: bool = False,
+             force_all_dates: bool = False, owner_pattern: str | None = None) -> DataFrame:
+    """``hrv_days`` of an export folder; with ``owner_pattern``, of every export folder below ``root``, by owner."""
+    _dates(start, end)
+    listing, files = _hrv_files(spark, root, owner_pattern)
+    return hrv_days(files, start, end, summary_only, force_missing_detail, force_all_dates,
+                    ["owner"] if owner_pattern else [], listing)
+
+
+def decode_resting_hr(files: DataFrame, start, end, keys: Sequence[str] = (), text_col: str = "text") -> DataFrame:
+    """(keys, file_date, timestamp, resting_hr) within [start, end] by UTC date, from file texts (SRC7, FLT4)."""
     s, e = _dates(start, end)
-    raw = _daily_file(spark, root, RESTING_FILE, RESTING_SCHEMA)
-    if raw is None:
-        return spark.createDataFrame([], "file_date date, timestamp timestamp_ntz, resting_hr double")
-    d = raw.select(to_instant(raw, "timestamp").alias("timestamp"), F.col("`beats per minute`").alias("resting_hr"))
+    raw = csv_rows(files, RESTING_COLUMNS, text_col, keys)
+    d = raw.select(*keys, to_instant(raw, "timestamp").alias("timestamp"), F.col("`beats per minute`").alias("resting_hr"))
     d = d.withColumn("file_date", F.to_date("timestamp"))
-    return d.where(F.col("file_date").between(F.lit(s), F.lit(e))).select("file_date", "timestamp", "resting_hr")
+    return d.where(F.col("file_date").between(F.lit(s), F.lit(e))).select(*keys, "file_date", "timestamp", "resting_hr")
 
 
-def load_readiness(spark: SparkSession, start, end, root: str) -> DataFrame:
-    """(file_date, four readiness categories, daily_readiness_score) within [start, end] (SRC8, quirk Q17)."""
+def decode_readiness(files: DataFrame, start, end, keys: Sequence[str] = (), text_col: str = "text") -> DataFrame:
+    """(keys, file_date, four readiness categories, daily_readiness_score) within [start, end] (SRC8, FLT4, quirk Q17)."""
     s, e = _dates(start, end)
-    raw = _daily_file(spark, root, READINESS_FILE, READINESS_SCHEMA)
-    cols = ("file_date date, daily_readiness_cat string, sleep_readiness_cat string, hrv_readiness_cat string, "
-            "rhr_readiness_cat string, daily_readiness_score double")
-    if raw is None:
-        return spark.createDataFrame([], cols)
+    raw = csv_rows(files, READINESS_COLUMNS, text_col, keys)
     d = raw.select(
-        F.to_date(to_instant(raw, "timestamp")).alias("file_date"),
+        *keys, F.to_date(to_instant(raw, "timestamp")).alias("file_date"),
         F.col("type").alias("daily_readiness_cat"),
         F.col("`sleep readiness`").alias("sleep_readiness_cat"),
         F.col("`heart rate variability readiness`").alias("hrv_readiness_cat"),
         F.col("`resting heart rate readiness`").alias("rhr_readiness_cat"),
         F.col("score").alias("daily_readiness_score"))
     return d.where(F.col("file_date").between(F.lit(s), F.lit(e)))
+
+
+def _daily_file(spark: SparkSession, root: str, name: str) -> DataFrame:
+    path = os.path.join(root, GOOGLE_DIR, name)
+    files = text_files(spark, path)
+    if files is None:
+        warnings.warn(f"no such export file: {path}")
+        return spark.createDataFrame([], "path string, file_name string, text string")
+    return files
+
+
+def load_resting_hr(spark: SparkSession, start, end, root: str) -> DataFrame:
+    """``decode_resting_hr`` of an export folder; missing file -> a warning and no rows (SRC9)."""
+    return decode_resting_hr(_daily_file(spark, root, RESTING_FILE), start, end)
+
+
+def load_readiness(spark: SparkSession, start, end, root: str) -> DataFrame:
+    """``decode_readiness`` of an export folder; missing file -> a warning and no rows (SRC9)."""
+    return decode_readiness(_daily_file(spark, root, READINESS_FILE), start, end)

@@ -15,31 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kinfold.functions.timecols import text_to_instant
 from kinfold.session import ensure_checkpoint_dir
-from kinfold.sources.wearables import DETAIL_GLOB, DETAIL_REGEX, DETAIL_SCHEMA, HRV_DIR, SUMMARY_GLOB, SUMMARY_REGEX
-from kinfold.sources.wearables import SUMMARY_SCHEMA
-
-KINDS = {
-    "detail": (DETAIL_GLOB, DETAIL_REGEX, DETAIL_SCHEMA, 0),
-    "summary": (SUMMARY_GLOB, SUMMARY_REGEX, SUMMARY_SCHEMA, 1),  # summary of day D-1 belongs to day D
-}
+from kinfold.sources.headered import text_files
+from kinfold.sources.wearables import HRV_DIR, HRV_KINDS, decode_hrv, hrv_file_day
 
 
 def hrv_stream(spark: SparkSession, root: str, kind: str = "detail", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming rows of one HRV file kind, with ``file_date`` taken from the file name."""
-    glob, regex, schema, shift = KINDS[kind]
-    reader = spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(os.path.join(root, HRV_DIR))
-    name = F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), "\\+", "%2B"))
-    day = F.regexp_extract(name, regex, 1)
-    if kind == "summary":
-        day = F.concat(day, F.lit("-"), F.regexp_extract(name, regex, 2))
-    cols = [c for c in df.columns if c != "timestamp"]
-    return df.select(F.date_add(F.to_date(day), shift).alias("file_date"),
-                     text_to_instant("timestamp").alias("timestamp"), *cols)
+    """Streaming rows of one HRV file kind, with ``file_date`` taken from the file name.
+
+    Files whose name is not that of the kind, or names an impossible date, are passed over. Columns are read by name.
+    """
+    if kind not in HRV_KINDS:
+        raise ValueError(f"unknown kind {kind!r}; one of {', '.join(HRV_KINDS)}")
+    options = {"maxFilesPerTrigger": max_files_per_trigger} if max_files_per_trigger else {}
+    files = text_files(spark, os.path.join(root, HRV_DIR), "*.csv", stream=True, **options)
+    dated = files.withColumn("file_date", hrv_file_day(F.col("file_name"), kind)).where("file_date IS NOT NULL")
+    return decode_hrv(dated, kind, ["file_date"])
 
 
 def ingest_available(stream: DataFrame, target: str, name: str, checkpoint: str | None = None) -> StreamingQuery:

@@ -7,6 +7,7 @@ import tempfile
 
 import pytest
 
+from kinfold.sources.wearables import OWNER_PATTERN
 from kinfold.sources import (hrv_file_index, load_hrv, load_readiness, load_resting_hr, read_dictionary,
                              read_participants, read_surveys)
 
@@ -121,3 +122,57 @@ def test_envelope(spark):
                              'gen,1,s1,q1,BL,general health,S1,"Where is it?\n\n*Select all*",text,"a, b"\n')
     d = read_dictionary(spark, os.path.join(root, "dict.csv")).first()
     assert d.surveyversion == 1 and d.questiontext == "Where is it?\n\n*Select all*"
+
+
+def test_columns_are_read_by_name(spark):
+    root = tempfile.mkdtemp(prefix="kinfold-names-")
+    d = dt.date(2025, 7, 1)
+    _write(root, f"{HRV}/Heart Rate Variability Details - 2025-07-02.csv",
+           "﻿low_frequency,extra,RMSSD , timestamp,coverage,high_frequency\r\n1.5,x,41.0,2025-07-02T00:05:00,0.5,\"2.5\"\r\n\r\n7,y,bad\r\n")
+    _write(root, f"{HRV}/Heart Rate Variability Details - 2025-07-03.csv",
+           "timestamp,rmssd,coverage,low_frequency,high_frequency\n2025-07-03T00:00:00,42.0,0.9,100,50\n")
+    _write(root, f"{HRV}/Daily Heart Rate Variability Summary - 2025-07-(01).csv", "nremhr,rmssd,entropy,timestamp\n55,30.5,2.1,2025-07-01\n")
+    for bad in ("Heart Rate Variability Details - 2025-02-30.csv", "Daily Heart Rate Variability Summary - 2025-13-(01).csv",
+                "Heart Rate Variability Details - 2025-07-02 - copy.csv", "other.csv"):
+        _write(root, f"{HRV}/{bad}", "a,b\n1,2\n")
+    rows = load_hrv(spark, d, "2025-07-05", root).orderBy("file_date", "timestamp_detail").collect()
+    got = [(r.file_date.day, r.rmssd_detail, r.coverage, r.low_frequency, r.high_frequency, r.rmssd_summary, r.nremhr) for r in rows]
+    assert sorted(got, key=str) == sorted([(2, 41.0, 0.5, 1.5, 2.5, 30.5, 55.0), (2, None, None, 7.0, None, 30.5, 55.0), (3, 42.0, 0.9, 100.0, 50.0, None, None)], key=str)
+    _write(root, "Physical Activity_GoogleData/daily_resting_heart_rate.csv", "extra,beats per minute,timestamp\nx,55.5,2025-07-01T00:00:00Z\n")
+    _write(root, "Physical Activity_GoogleData/daily_readiness.csv",
+           "timestamp,score,resting heart rate readiness,type,sleep readiness,heart rate variability readiness\n2025-07-02,81,MEDIUM,HIGH,LOW,NONE\n")
+    assert [r.resting_hr for r in load_resting_hr(spark, d, "2025-07-05", root).collect()] == [55.5]
+    r = load_readiness(spark, d, "2025-07-05", root).first()
+    assert (r.daily_readiness_cat, r.sleep_readiness_cat, r.hrv_readiness_cat, r.rhr_readiness_cat, r.daily_readiness_score) == ("HIGH", "LOW", "NONE", "MEDIUM", 81.0)
+    _write(root, "Physical Activity_GoogleData/daily_readiness.csv", "timestamp,type\n2025-07-02,HIGH\n")
+    with pytest.raises(Exception, match="no column 'sleep readiness'"):
+        load_readiness(spark, d, "2025-07-05", root).collect()
+
+
+def test_files_outside_the_range_are_not_opened(spark, export_root):
+    root, days = export_root
+    plan = load_hrv(spark, days[0], days[2], root)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan text" in line]
+    assert scans and all("file_path" in line.split("DataFilters:")[1].split("Format:")[0] for line in scans)  # prunes the listing
+
+
+def test_many_owners_in_one_scan(spark):
+    root = tempfile.mkdtemp(prefix="kinfold-owners-")
+    d = dt.date(2025, 7, 1)
+    for who, rows in (("ann", 2), ("bob", 3)):
+        _detail(os.path.join(root, who), d, rows)
+        _summary(os.path.join(root, who), d - dt.timedelta(days=1))
+    _detail(os.path.join(root, "cy"), d + dt.timedelta(days=1), 1)
+    got = load_hrv(spark, d, d + dt.timedelta(days=2), root, owner_pattern=OWNER_PATTERN).groupBy("owner", "file_date", "rmssd_summary").count().collect()
+    assert sorted((r.owner, r.file_date, r.rmssd_summary, r["count"]) for r in got) == [("ann", d, 30.5, 2), ("bob", d, 30.5, 3), ("cy", d + dt.timedelta(days=1), None, 1)]
+
+
+def test_dictionary_by_name(spark):
+    root = tempfile.mkdtemp(prefix="kinfold-dict-")
+    _write(root, "d.csv", "surveyversion,note,surveyname,stepidentifier,resultidentifier,survey_type,survey_topic,step_readable,questiontext,answerformat,answerchoices\n"
+                          "2,n,gen,s1,q1,BL,topic,S1,Q?,text,a\n")
+    r = read_dictionary(spark, os.path.join(root, "d.csv")).first()
+    assert (r.surveyname, r.surveyversion, r.answerchoices) == ("gen", 2, "a")
+    _write(root, "e.csv", "surveyname\ngen\n")
+    with pytest.raises(ValueError, match="surveyversion"):
+        read_dictionary(spark, os.path.join(root, "e.csv"))

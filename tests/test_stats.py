@@ -1,6 +1,6 @@
 """AGG16-AGG18 against brute force: KS D, rank-sum W, type-7 quantiles, box whiskers.
 
-Small ``bins`` force values of one group across many bins, so the distributed prefix sum is exercised.
+Small limits force several rounds of bins, and tables of bins that do not pass through the driver.
 """
 
 import math
@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.operators.stats import box_numbers, compare_groups, two_sample
+from kinfold.operators import stats
+from kinfold.operators.stats import box_numbers, compare_groups, quantiles, two_sample
 
 
 def _brute(xa, xb):
@@ -29,15 +30,20 @@ def _brute(xa, xb):
     sigma = math.sqrt(na * nb / 12 * ((n + 1) - ties / (n * (n - 1))))
     c = w - na * nb / 2
     z = (c - math.copysign(0.5, c) if c != 0 else 0.0) / sigma
-    p = 2 * min(0.5 * math.erfc(-z / math.sqrt(2)), 1 - 0.5 * math.erfc(-z / math.sqrt(2)))
+    p = math.erfc(abs(z) / math.sqrt(2))
     zk = math.sqrt(na * nb / n) * d
     pk = 1.0 if zk < 0.2 else min(1.0, max(0.0, 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * zk * zk)
                                                         for k in range(1, 101))))
     return d, w, p, pk, float(np.median(xa)), float(np.median(xb))
 
 
-@pytest.mark.parametrize("bins", [3, 1024])
-def test_two_sample_against_brute_force(spark, bins):
+@pytest.fixture(params=[{}, {"COUNTED_ROWS": 2, "SUB_BINS": 3, "BINS_PER_OCTAVE": 1}, {"COUNTED_ROWS": 4, "LOCAL_ROWS": 0}])
+def limits(request, monkeypatch):
+    for name, value in request.param.items():
+        monkeypatch.setattr(stats, name, value)
+
+
+def test_two_sample_against_brute_force(spark, limits):
     rnd = random.Random(11)
     rows = []
     for metric, gen in (("ties", lambda: float(rnd.randint(1, 9))), ("cont", lambda: rnd.gauss(0, 1)),
@@ -48,7 +54,7 @@ def test_two_sample_against_brute_force(spark, bins):
                 rows.append((metric, g, v))
         rows.append((metric, "a", None))  # a NULL value counts as a row, not as a value
     df = spark.createDataFrame(rows, "metric string, grp string, value double")
-    got = {r.metric: r for r in two_sample(df, "grp", "a", "b", "value", ["metric"], bins=bins).collect()}
+    got = {r.metric: r for r in two_sample(df, "grp", "a", "b", "value", ["metric"]).collect()}
     for metric in ("ties", "cont", "shift"):
         xa = [v for m, g, v in rows if m == metric and g == "a" and v is not None]
         xb = [v for m, g, v in rows if m == metric and g == "b" and v is not None]
@@ -57,19 +63,18 @@ def test_two_sample_against_brute_force(spark, bins):
         assert r.rows_a == len(xa) + 1 and r.n_a == len(xa) and r.n_b == len(xb)
         assert r.ks_statistic == pytest.approx(d, abs=1e-12)
         assert r.wilcox_statistic == pytest.approx(w, abs=1e-9)
-        assert r.wilcox_p == pytest.approx(p, abs=2e-7)  # A&S erf: |error| <= 1.5e-7
+        assert r.wilcox_p == pytest.approx(p, rel=1e-9)
         assert r.ks_p == pytest.approx(pk, abs=1e-9)
         assert (r.median_a, r.median_b) == pytest.approx((ma, mb))
         assert r.mean_a == pytest.approx(sum(xa) / len(xa))
         assert 0 <= r.ks_statistic <= 1
 
 
-@pytest.mark.parametrize("bins", [2, 64])
-def test_box_numbers(spark, bins):
+def test_box_numbers(spark, limits):
     rnd = random.Random(5)
     vals = {"x": [rnd.gauss(10, 2) for _ in range(101)] + [40.0, -25.0], "y": [1.0, 2.0, 2.0, 3.0], "z": [7.0]}
     df = spark.createDataFrame([(k, v) for k, vs in vals.items() for v in vs] + [("x", None)], "k string, v double")
-    got = {r.k: r for r in box_numbers(df, ["k"], "v", bins=bins).collect()}
+    got = {r.k: r for r in box_numbers(df, ["k"], "v").collect()}
     for k, vs in vals.items():
         q1, med, q3 = np.percentile(vs, [25, 50, 75])
         lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
@@ -106,11 +111,54 @@ def test_degenerate_samples(spark):
     assert one.mean_b is None and one.median_b is None and one.ks_statistic is None and one.wilcox_p is None
 
 
-def test_prefix_sum_with_outlier_and_split_bins(spark):
-    """One outlier stretches the range: first-level bins crowd, second-level bins split them; the
-    cumulative counts must equal a plain running count."""
-    from kinfold.operators.stats import cumulate
-    vals = [float(i) / 7 for i in range(300)] + [1e9]
+def test_normal_tail(spark):
+    from kinfold.functions.statfns import two_sided_normal_p_sql
+    zs = [0.0, 0.1, -1.0, 1.96, 2.82, 2.83, -3.5, 5.0, 8.0, 9.0, 20.0, 37.0]
+    got = spark.createDataFrame([(z,) for z in zs], "z double").selectExpr("z", f"{two_sided_normal_p_sql('z')} AS p").collect()
+    for r in got:
+        assert r.p == pytest.approx(math.erfc(abs(r.z) / math.sqrt(2)), rel=1e-11)
+    # stored values of the tail
+    assert {r.z: r.p for r in got}[8.0] == pytest.approx(1.2441921148543573e-15, rel=1e-11)
+    assert {r.z: r.p for r in got}[9.0] == pytest.approx(2.2571768119076845e-19, rel=1e-11)
+
+
+def _shapes(n=20_000):
+    rng = np.random.default_rng(3)
+    outliers = rng.random(n)
+    outliers[:2] = 1e6, 1e12
+    low = rng.random(n)
+    low[0] = -1e15
+    return {"lognormal": rng.lognormal(0, 5, n), "pareto": 1 / rng.random(n) ** 2, "uniform": rng.random(n), "outliers": outliers,
+            "low": low, "shifted": 1.7e9 + rng.random(n) * 1e4, "equal": np.full(n, 3.0), "infinite": np.concatenate([rng.random(n - 2), [np.inf, -np.inf]])}
+
+
+def _histogram(df):
+    return df.groupBy(stats.magnitude_bin(F.col("v")).alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+
+
+def test_no_bin_holds_much_of_a_group(spark):
+    """The windows of the cumulative counts: the fullest bin, cut again, holds a few per cent of a group's different values."""
+    for name, x in _shapes().items():
+        df = spark.createDataFrame([(float(v),) for v in set(x.tolist())], "v double")
+        cut = df.withColumn("bin", stats.magnitude_bin(F.col("v"))).join(_histogram(df), "bin")
+        parts = cut.groupBy("bin", stats.width_bin(F.col("v"), F.col("lo"), F.col("hi")).alias("sub")).count()
+        assert parts.agg(F.max("count")).first()[0] <= max(1, 0.03 * df.count()), name
+
+
+def test_quantiles_of_any_shape(spark, limits):
+    shapes = {k: v[:400] if k != "infinite" else v[-400:] for k, v in _shapes().items()}
+    df = spark.createDataFrame([(k, float(v)) for k, x in shapes.items() for v in x] + [("uniform", None), ("none", None), ("uniform", float("nan"))], "k string, v double")
+    got = {r.k: r for r in quantiles(df, ["k"], "v", [0, 0.25, 0.5, 1], ["lo", "q1", "med", "hi"]).collect()}
+    assert "none" not in got
+    for k, x in shapes.items():
+        r = got[k]
+        assert r.n == 400 and (r.lo, r.hi) == (x.min(), x.max())
+        assert (r.q1, r.med) == pytest.approx(tuple(np.percentile(x, [25, 50])), rel=1e-12)
+
+
+def test_cumulate_equals_a_running_count(spark, limits):
+    vals = [float(i) / 7 for i in range(-100, 300)] + [1e9, -1e9]
     counts = spark.createDataFrame([("g", v, 1) for v in vals], "grp string, v double, c long")
-    got = {r.v: r.cum_c for r in cumulate(counts, ["grp"], ["c"], bins=4, split_above=10).collect()}
+    hist = _histogram(counts).withColumn("grp", F.lit("g"))
+    got = {r.v: r.cum_c for r in stats.cumulate(counts, ["grp"], ["c"], hist).collect()}
     assert [got[v] for v in sorted(vals)] == list(range(1, len(vals) + 1))

@@ -29,3 +29,16 @@ def test_incremental_runs(spark):
                      os.path.join(ck, "summary"))
     s = spark.read.parquet(os.path.join(out, "summary")).first()
     assert s.file_date == d + dt.timedelta(days=1) and s.rmssd == 30.5
+
+
+def test_stray_names_and_impossible_dates_are_passed_over(spark):
+    root, out, ck = (tempfile.mkdtemp(prefix=f"kinfold-stray-{x}-") for x in ("src", "out", "ck"))
+    folder = os.path.join(root, "Heart Rate Variability")
+    d = dt.date(2025, 7, 1)
+    _detail(root, d, 2)
+    for name in (f"Heart Rate Variability Details - {d} - copy.csv", "Heart Rate Variability Details - 2025-02-30.csv"):
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write("timestamp,rmssd,coverage,low_frequency,high_frequency\n2025-07-01T00:00:00,1,1,1,1\n")
+    for _ in range(2):
+        ingest_available(hrv_stream(spark, root, "detail"), out, "stray_t", ck)
+        assert spark.read.parquet(out).count() == 2
