@@ -83,13 +83,23 @@ class Encoder:
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
+_encoders: dict[str | None, Encoder] = {}
+
+
+def encoder(ranks: str | None = None) -> Encoder:
+    """The worker's encoder for a rank file: built once, since each one built anew keeps its memory."""
+    if ranks not in _encoders:
+        _encoders[ranks] = Encoder(ranks)
+    return _encoders[ranks]
+
+
 def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, end_id: int, ranks: str | None) -> DataFrame:
     """(id, piece, start, length, ids_crc32): pieces of ``capacity`` tokens, of which the first may be shorter."""
     rows = text_rows(df, id_col, text_col)
     kind = to_arrow_type(rows.schema["id"].dataType)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(ranks)
+        encode = encoder(ranks)
         for ids, texts in slices(batches, as_text=True):
             out: list[tuple] = []
             for i, t in zip(ids, texts, strict=True):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .batches import slices, text_rows
-from .packing import Encoder
+from .packing import encoder
 
 RULES = ("start", "end", "most")
 
@@ -70,7 +70,7 @@ def section_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = to_arrow_type(rows.schema["id"].dataType)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, mark = Encoder(ranks), separator.encode()
+        encode, mark = encoder(ranks), separator.encode()
         for ids, texts in slices(batches, as_text=True):
             own, section, start, end, tokens, crossing = [], [], [], [], [], []
             for i, text in zip(ids, texts, strict=True):
