@@ -34,15 +34,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import mixed, slices, span_hashes, written
+from .batches import BASE, INVERSE, mixed, parts, powers, slices, span_hashes, written
 
 KMER = 24
+#: Text bytes scanned for anchors at once: the arrays stay in the processor's cache.
+SCAN_BYTES = 1 << 16
 #: Suffixes sorted at once in a task.
-RUN = 100_000
-#: Repeated anchors in a range of the merge, on average.
-RANGE = 100_000
-#: Different suffixes of one anchor string that are compared in memory.
-GROUP = 20_000
+RUN = 150_000
+#: Text bytes for each range of the merge: bounds what a range has to hold.
+RANGE_BYTES = 6 << 20
+#: Different suffixes of one anchor string that are compared in memory; up to SMALL_GROUP of them window by window.
+GROUP, SMALL_GROUP = 100_000, 400
 #: Bits of the text's hash that tell texts with one id apart.
 ROW_BITS = 17
 
@@ -54,6 +56,25 @@ def documents_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "id", F.coalesce("id", F.lit(-(1 << 63))).alias("key"), F.pmod(F.xxhash64("text"), F.lit(1 << ROW_BITS)).cast("int").alias("row"), "text")
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` with the text's bytes compressed: texts are dealt by id twice, and this is what the shuffles hold."""
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for part in parts(batches):
+            texts = part.column(1).cast(pa.binary()).to_pylist()
+            heads = part.column(0).flatten()
+            yield pa.record_batch([*heads, pa.array([packer.compress(t) for t in texts], type=pa.binary())], names=["id", "key", "row", "packed"])
+
+    return docs.select(F.struct("id", "key", "row").alias("head"), "text").mapInArrow(scan, "id long, key long, row int, packed binary")
+
+
+def unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """(heads, texts) of record batches (head, packed text), some megabytes at a time."""
+    opener = zstandard.ZstdDecompressor()
+    for part in parts(batches, 1 << 20):
+        yield part.column(0).to_pylist(), [opener.decompress(z) for z in part.column(1).to_pylist()]
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of x[i:i+width] for every i where it fits."""
     span, out = 1, x
@@ -63,14 +84,26 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:len(x) - width + 1], out[width - span:len(x) - span + 1]) if span < width else out
 
 
+def kmer_hashes(text: np.ndarray) -> np.ndarray:
+    """Hash of text[i:i+KMER] for every i where it fits (``span_hashes`` of them)."""
+    sums = np.zeros(len(text) + 1, dtype=np.uint64)
+    terms = text.astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= powers(BASE, len(text))
+    np.cumsum(terms, out=sums[1:])
+    h = sums[KMER:] - sums[:-KMER]
+    h *= powers(INVERSE, len(text) + 1)[:len(h)]
+    return h
+
+
 def anchors(text: np.ndarray, begins: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, place, first window, last window) of the anchors of all texts that are laid end to end in ``text``."""
     none = np.zeros(0, dtype=np.int64)
     if len(text) < length:
         return none.astype(np.uint64), none, none, none
-    at = np.arange(len(text) - KMER + 1)
-    h = mixed(span_hashes(text, at, at + KMER))
-    least = sliding_min((h & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64), length - KMER + 1)
+    h = kmer_hashes(text)
+    place_bits = np.arange(len(h), dtype=np.uint64)
+    least = sliding_min((h & np.uint64(0xFFFFFFFF00000000)) | place_bits, length - KMER + 1)
     windows = np.arange(len(least))
     fits = np.zeros(len(text) + 1, dtype=np.int32)  # windows that end within their text
     sizes = np.diff(begins)
@@ -84,7 +117,7 @@ def anchors(text: np.ndarray, begins: np.ndarray, length: int) -> tuple[np.ndarr
     new = np.concatenate([[True], np.diff(place) != 0])
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(place)]]) - 1
-    return h[place[first]], place[first], windows[first], windows[last]
+    return mixed(h[place[first]]), place[first], windows[first], windows[last]
 
 
 def packed(row: np.ndarray, place: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -95,7 +128,7 @@ def packed(row: np.ndarray, place: np.ndarray, before: np.ndarray, more: np.ndar
 def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
     """(h, key, spot) of every anchor."""
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for heads, texts in slices(batches):
+        for heads, texts in slices(batches, SCAN_BYTES):
             sizes = np.array([len(t) for t in texts], dtype=np.int64)
             begins = np.concatenate([[0], np.cumsum(sizes)])
             h, place, low, high = anchors(np.frombuffer(b"".join(texts), dtype=np.uint8), begins, length)
@@ -232,7 +265,7 @@ def suffix_runs(joined: DataFrame, length: int, ranges: int) -> DataFrame:
     """(part, block): front-coded pieces of sorted runs (part >= 0), and the spans of equal suffixes in a run (part < 0)."""
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries: list[tuple[bytes, int, int, int, int]] = []
-        for heads, texts in slices(batches):
+        for heads, texts in unpacked(batches):
             for head, text in zip(heads, texts, strict=True):
                 spots = np.unique(np.array(head["spots"], dtype=np.int64))
                 place, before, more = (spots >> 14) & 0x7FFFFFFF, (spots >> 7) & 127, spots & 127
@@ -263,9 +296,18 @@ def suffix_runs(joined: DataFrame, length: int, ranges: int) -> DataFrame:
             yield pa.record_batch([pa.array([part], type=pa.int64()), pa.array([front_coded(own)], type=pa.binary())], names=["part", "block"])
         if spans:
             some = -1 - hash(spans[0]) % ranges
-            yield pa.record_batch([pa.array([some], type=pa.int64()), pa.array([pickle.dumps(np.array(spans, dtype=np.int64))], type=pa.binary())], names=["part", "block"])
+            yield pa.record_batch([pa.array([some], type=pa.int64()), pa.array([dumped(united(spans))], type=pa.binary())], names=["part", "block"])
+
+    return joined.select(F.struct("key", "row", "spots").alias("head"), "packed").mapInArrow(scan, "part long, block binary")
+
 
-    return joined.select(F.struct("key", "row", "spots").alias("head"), "text").mapInArrow(scan, "part long, block binary")
+def dumped(rows: list) -> bytes:
+    """Rows of integers (and perhaps byte strings) as one compressed block, column by column."""
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps([np.array(c, dtype=np.int64) if isinstance(c[0], int) else c for c in zip(*rows, strict=True)]))
+
+
+def loaded(block: bytes) -> list[tuple]:
+    return list(zip(*(c.tolist() if isinstance(c, np.ndarray) else c for c in pickle.loads(zstandard.ZstdDecompressor().decompress(block))), strict=True))
 
 
 def whole_span(e: tuple[bytes, int, int, int, int]) -> tuple[int, int, int, int]:
@@ -290,6 +332,28 @@ def repeated_windows(group: list[tuple[int, tuple]], length: int) -> list[tuple[
     return [(at[0], at[1], at[2], at[2] + length) for at, w in own if first[w] < at]
 
 
+def repeated_in_large(entries: list[tuple], length: int) -> list[tuple[int, int, int, int]]:
+    """``repeated_windows`` of many suffixes of one anchor string: by sorting the windows at each place of the anchor."""
+    entries = sorted(entries, key=lambda e: e[2:])  # then the first of equal windows is the earliest
+    ahead = np.zeros((len(entries), length + KMER + 256), dtype=np.uint8)
+    behind = np.zeros((len(entries), 128), dtype=np.uint8)  # backwards
+    n_ahead, n_behind = np.array([e[1] for e in entries]), np.array([len(e[0]) - 8 - e[1] for e in entries])
+    for i, e in enumerate(entries):
+        ahead[i, :e[1]] = np.frombuffer(e[0], dtype=np.uint8, count=e[1], offset=8)
+        behind[i, :n_behind[i]] = np.frombuffer(e[0], dtype=np.uint8, offset=8 + e[1])
+    spans = []
+    for back in range(int(n_behind.max()) + 1):
+        has = np.flatnonzero((n_behind >= back) & (n_ahead >= length - back))
+        if len(has) < 2:
+            continue
+        w = np.ascontiguousarray(np.concatenate([behind[has, :back], ahead[has, :length - back]], axis=1)).view(f"V{length}").ravel()
+        _, first, inverse = np.unique(w, return_index=True, return_inverse=True)
+        for i in has[np.flatnonzero(first[inverse] != np.arange(len(has)))].tolist():
+            e = entries[i]
+            spans.append((e[2], e[3], e[4] - back, e[4] - back + length))
+    return spans
+
+
 def united(spans: Iterable[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     """Spans of each document, joined where they touch or overlap."""
     out: list[list[int]] = []
@@ -301,32 +365,37 @@ def united(spans: Iterable[tuple[int, int, int, int]]) -> list[tuple[int, int, i
     return [tuple(x) for x in out]
 
 
-def repeated_spans(runs: DataFrame, length: int, group_limit: int) -> DataFrame:
-    """(kind, key, row, start, end, window): spans to remove (kind 0), and windows of very large groups (kind 1)."""
+def repeated_spans(runs: DataFrame, length: int, group_limit: int, small_group: int) -> DataFrame:
+    """(kind, block): blocks of spans to remove (kind 0), and of windows of very large groups (kind 1)."""
     def combine(frame: pd.DataFrame) -> pd.DataFrame:
         spans: list[tuple[int, int, int, int]] = []
-        large: list[tuple[int, int, int, int, bytes]] = []
+        out: list[tuple[int, bytes]] = []
         if frame["part"].iloc[0] < 0:
-            for block in frame["block"]:
-                spans += map(tuple, pickle.loads(block).tolist())
+            out += [(0, block) for block in frame["block"]]
         else:
             group: list[list] = []  # [longest prefix shared with a neighbour, entry] of one anchor string
             seen = 0
 
             def closed() -> None:
-                nonlocal group, seen
+                nonlocal group, seen, spans
                 if seen > group_limit:
-                    large.extend(spilled(group))
+                    spill(group)
+                elif len(group) > small_group:
+                    spans += repeated_in_large([g[1] for g in group], length)
                 elif len(group) > 1:
-                    spans.extend(repeated_windows([(g[0], g[1]) for g in group], length))
+                    spans += repeated_windows(group, length)
                 group, seen = [], 0
+                if len(spans) > 100_000:
+                    out.append((0, dumped(united(spans))))
+                    spans = []
 
-            def spilled(some: list) -> Iterator[tuple[int, int, int, int, bytes]]:
+            def spill(some: list) -> None:
+                rows = []
                 for _, e in some:
                     behind = len(e[0]) - 8 - e[1]
                     segment = e[0][:7 + e[1]:-1] + e[0][8:8 + e[1]]
-                    for i in range(len(segment) - length + 1):
-                        yield e[2], e[3], e[4] - behind + i, 0, segment[i:i + length]
+                    rows += [(e[2], e[3], e[4] - behind + i, segment[i:i + length]) for i in range(len(segment) - length + 1)]
+                out.append((1, dumped(rows)))
 
             for shared, r in merged([Run(b) for b in frame["block"]]):
                 e = (r.suffix, r.ahead[r.i], r.keys[r.i], r.rows[r.i], r.places[r.i])
@@ -344,17 +413,19 @@ def repeated_spans(runs: DataFrame, length: int, group_limit: int) -> DataFrame:
                     group[-1][0] = max(group[-1][0], shared)
                 group.append([shared if group else 0, e])
                 seen += 1
-                if seen > group_limit and len(group) > group_limit:  # all but the last, whose equals may still come
-                    large.extend(spilled(group[:-1]))
+                if seen > group_limit and len(group) > min(group_limit, 1000):  # all but the last, whose equals may still come
+                    spill(group[:-1])
                     group = group[-1:]
             closed()
-        rows = [(0, *s, None) for s in united(spans)] + [(1, *x) for x in large]
-        return pd.DataFrame(rows, columns=["kind", "key", "row", "start", "end", "window"])
+        if spans:
+            out.append((0, dumped(united(spans))))
+        return pd.DataFrame(out, columns=["kind", "block"])
 
-    return runs.groupBy("part").applyInPandas(combine, "kind int, key long, row int, start long, end long, window binary")
+    return runs.groupBy("part").applyInPandas(combine, "kind int, block binary")
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, group_limit: int = GROUP) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, group_limit: int = GROUP,
+                   small_group: int = SMALL_GROUP) -> DataFrame:
     """One row for each row of ``df``: id, n_bytes, n_removed, n_spans, kept (the remaining bytes), removed (spans).
 
     A byte is removed if a string of ``length`` bytes that covers it also starts earlier: in a document with a smaller id,
@@ -366,21 +437,33 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not KMER <= length <= KMER + 127:
         raise ValueError(f"length must be from {KMER} to {KMER + 127}")
     docs = documents_of(df, id_col, text_col)
-    found = written(repeated_anchors(anchor_rows(docs.where(F.octet_length("text") >= length), length)))
-    ranges = max(8, found.count() // RANGE)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    found = repeated_anchors(anchor_rows(docs.where(F.octet_length("text") >= length), length))
     spots = found.withColumn("row", F.shiftright("spot", 45).cast("int")).groupBy("key", "row").agg(F.collect_list("spot").alias("spots"))
-    held = docs.select("key", "row", "text").join(spots, ["key", "row"])
-    results = written(repeated_spans(suffix_runs(held, length, ranges), length, group_limit))
-    windows = results.where("kind = 1").select("key", "row", "start", "window")
+    texts = packed_texts(docs)
+    held = texts.select("key", "row", "packed").join(spots, ["key", "row"])
+    results = written(repeated_spans(suffix_runs(held, length, max(8, size // RANGE_BYTES)), length, group_limit, small_group))
+
+    def exploded(kind: int, schema: str) -> DataFrame:
+        def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for block in batch.column(0).to_pylist():
+                    rows = loaded(block)
+                    yield pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names=[n.split()[0] for n in schema.split(", ")])
+
+        return results.where(F.col("kind") == kind).select("block").mapInArrow(scan, schema)
+
+    windows = exploded(1, "key long, row long, start long, window binary")
     firsts = windows.groupBy("window").agg(F.min(F.struct("key", "row", "start")).alias("first"))
     later = windows.join(firsts, "window").where(F.struct("key", "row", "start") > F.col("first")).select("key", "row", "start", (F.col("start") + length).alias("end"))
-    spans = results.where("kind = 0").select("key", "row", "start", "end").union(later).groupBy("key", "row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    judged = docs.join(spans, ["key", "row"], "left").select(F.struct("id", "spans").alias("head"), "text")
+    every = exploded(0, "key long, row long, start long, end long").union(later)
+    spans = every.groupBy("key", F.col("row").cast("int").alias("row")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    judged = texts.join(spans, ["key", "row"], "left").select(F.struct("id", "spans").alias("head"), "packed")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for heads, texts in slices(batches):
+        for heads, bodies in unpacked(batches):
             out: dict[str, list] = {"id": [], "n": [], "gone": [], "kept": [], "spans": []}
-            for head, text in zip(heads, texts, strict=True):
+            for head, text in zip(heads, bodies, strict=True):
                 gone = [(a, b) for _, _, a, b in united((0, 0, s["start"], s["end"]) for s in head["spans"] or ())]
                 at, kept = 0, []
                 for a, b in gone:

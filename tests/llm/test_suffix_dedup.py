@@ -34,8 +34,8 @@ def test_table_against_brute_force(sample):
     assert run(df) == want
 
 
-@pytest.mark.parametrize("seed,limit,length", [(1, 20_000, 100), (2, 3, 100), (3, 20_000, 30), (4, 2, 40)])
-def test_near_copies_periods_and_large_groups(make_docs, seed, limit, length):
+@pytest.mark.parametrize("seed,limit,small,length", [(1, 20_000, 400, 100), (2, 3, 2, 100), (3, 20_000, 1, 30), (4, 2, 1, 40), (5, 20_000, 1, 100)])
+def test_near_copies_periods_and_large_groups(make_docs, seed, limit, small, length):
     rng = random.Random(seed)
     base = "".join(rng.choice("abé d") for _ in range(700))
     rows = [(0, base)]
@@ -46,7 +46,7 @@ def test_near_copies_periods_and_large_groups(make_docs, seed, limit, length):
         a = rng.randrange(200)
         rows.append((i, "".join(t[a:]) + rng.choice(["", base[:300], "ab" * 200, "a" * 333])))
     rows += [(30, "a" * 500), (31, "ab" * 300), (32, None), (33, ""), (34, base[:length - 1]), (35, base[:length]), (None, base[100:400])]
-    assert run(make_docs(rows).withColumn("spots", F.lit(1)).withColumn("key", F.lit(2)), group_limit=limit, length=length) == brute(rows, length)
+    assert run(make_docs(rows).withColumn("spots", F.lit(1)).withColumn("key", F.lit(2)), group_limit=limit, small_group=small, length=length) == brute(rows, length)
 
 
 def test_repeated_rows_and_empty_table(make_docs):
