@@ -20,7 +20,7 @@ from kinfold.llm.secret_scan import scan_secrets
 from kinfold.llm.simhash import near_duplicates
 
 #: A text whose best language gets less than this pooled probability is no text of a known language.
-LEAST_LANGUAGE_SCORE = 0.4
+LEAST_LANGUAGE_SCORE = 0.3
 
 #: No DuckDB SQL expresses the trained model or the packing; the tests compare the stages with brute force.
 ORACLE_SQL = None

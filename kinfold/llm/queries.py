@@ -90,4 +90,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
+#: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
 SQL: dict[str, str] = {}
+
+SQL["op4_suffix_dedup"] = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (
+  SELECT doc_id, s, md5(substring(h, 2 * s + 1, 200)) AS m
+  FROM (SELECT doc_id, h, unnest(range(0, CAST(length(h) / 2 - 99 AS BIGINT))) AS s FROM docs WHERE length(h) >= 200)
+),
+dup AS (SELECT doc_id, s FROM win QUALIFY row_number() OVER (PARTITION BY m ORDER BY doc_id, s) > 1),
+mark AS (
+  SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS fresh FROM dup
+),
+isle AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS n FROM mark),
+span AS (SELECT doc_id, n, min(s) AS a, max(s) + 100 AS b FROM isle GROUP BY doc_id, n),
+gap AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM span
+  UNION ALL SELECT doc_id, max(b), NULL FROM span GROUP BY doc_id
+),
+kept AS (
+  SELECT g.doc_id, string_agg(substring(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' ORDER BY a) AS k
+  FROM gap g JOIN docs d ON g.doc_id = d.doc_id GROUP BY g.doc_id
+),
+sums AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM docs d LEFT JOIN sums s ON d.doc_id = s.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op5_decontamination"] = f"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, least(13, len(w)) AS size, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS t
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+doc_windows AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS t
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, sizes WHERE len(w) >= size)
+),
+found AS (SELECT doc_id, i, d.size, item FROM doc_windows d JOIN item_windows b ON d.size = b.size AND d.t = b.t),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
+"""
