@@ -44,7 +44,10 @@ def _text(df) -> str:
 
 def plans_run(build) -> list[str]:
     """The final plans of all jobs of a query: those that run while ``build()`` makes it, then its own."""
+    from pyspark.sql import SparkSession
+
     from kinfold.operators import joins, scoring, stats
+    SparkSession.active().conf.set("spark.sql.maxMetadataStringLength", "4000")  # else scans lose their table's name
     ran: list[str] = []
     original = joins.local_copy
 
