@@ -5,8 +5,9 @@ move each byte hundreds of times, so suffixes are **anchored**: of every window
 ``KMER``-byte string in it with the smallest hash (the first of equals). Equal windows have their anchor at the same
 place, so only windows of anchors with the same string can be equal; there is an anchor every 40 bytes or so.
 
-1. **Anchors.** The hash and place of each anchor are dealt by hash; anchors whose string stands at one place only are
-   dropped, which leaves about the repeated part of the corpus.
+1. **Anchors.** The hash and place of each anchor are dealt by hash (of equal ones in a task one row, so a frequent string
+   is no hot key); anchors whose string stands at one place only are dropped, which leaves about the repeated part of
+   the corpus.
 2. **Runs.** Next to its text, each repeated anchor becomes the suffix that starts at it, as far as its windows reach,
    followed by what its windows hold before it, backwards. A task sorts its suffixes into runs. Of equal suffixes in
    a run only the first place goes on, since the windows of the others start earlier there: a passage that very many
@@ -39,6 +40,10 @@ from .batches import BASE, INVERSE, mixed, parts, powers, slices, span_hashes, w
 KMER = 24
 #: Text bytes scanned for anchors at once: the arrays stay in the processor's cache.
 SCAN_BYTES = 1 << 16
+#: Anchors looked at together before they are dealt.
+SCAN_ROWS = 400_000
+#: Places to which such a lot deals its rows that need not meet others; and the mark of a spot known to be repeated.
+LOTS, KNOWN = 64, np.int64(-(1 << 63))
 #: Suffixes sorted at once in a task.
 RUN = 150_000
 #: Text bytes for each range of the merge: bounds what a range has to hold.
@@ -125,9 +130,16 @@ def packed(row: np.ndarray, place: np.ndarray, before: np.ndarray, more: np.ndar
     return ((row.astype(np.int64) << 31 | place) << 7 | before) << 7 | more
 
 
-def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(h, key, spot) of every anchor."""
+def anchor_rows(docs: DataFrame, length: int, held_rows: int = SCAN_ROWS) -> DataFrame:
+    """(deal, key, spot) of every anchor; rows that must meet have the same ``deal``.
+
+    Anchors are looked at ``held_rows`` at a time: of those with the same hash only the first is dealt by the hash, and the others are
+    dealt to ``LOTS`` places of their own; all of them are marked as known to be repeated (a negative spot). So a string
+    that stands in very many documents is a row for each such lot, and no task gets all its places.
+    """
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n = 0
         for heads, texts in slices(batches, SCAN_BYTES):
             sizes = np.array([len(t) for t in texts], dtype=np.int64)
             begins = np.concatenate([[0], np.cumsum(sizes)])
@@ -135,35 +147,52 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
             doc = np.searchsorted(begins, place, side="right") - 1
             keys = np.array([x["key"] for x in heads], dtype=np.int64)
             rows = np.array([x["row"] for x in heads], dtype=np.int64)
-            spot = packed(rows[doc], place - begins[doc], place - low, high - low)
-            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(keys[doc]), pa.array(spot)], names=["h", "key", "spot"])
-
-    return docs.select(F.struct("key", "row").alias("head"), "text").mapInArrow(scan, "h long, key long, spot long")
+            held.append((h, keys[doc], packed(rows[doc], place - begins[doc], place - low, high - low)))
+            n += len(h)
+            if n >= held_rows:
+                yield dealt(held)
+                held, n = [], 0
+        if n:
+            yield dealt(held)
+
+    def dealt(held: list) -> pa.RecordBatch:
+        h, key, spot = (np.concatenate(c) for c in zip(*held, strict=True))
+        _, first, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        later = first[inverse] != np.arange(len(h))
+        lots = mixed(np.arange(LOTS, dtype=np.uint64) + mixed(key[:1].view(np.uint64) + spot[:1].view(np.uint64)))
+        h = np.where(later, lots[np.arange(len(h)) % LOTS], h)
+        spot = np.where(count[inverse] > 1, spot | KNOWN, spot)
+        return pa.record_batch([pa.array(h.view(np.int64)), pa.array(key), pa.array(spot)], names=["deal", "key", "spot"])
+
+    return docs.select(F.struct("key", "row").alias("head"), "text").mapInArrow(scan, "deal long, key long, spot long")
 
 
 def repeated_anchors(rows: DataFrame) -> DataFrame:
-    """(key, spot) of the anchors whose hash stands at more than one place; streams over sorted hashes."""
+    """(key, spot) of the anchors known to be repeated or dealt like another; streams over sorted ``deal``."""
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[np.ndarray, ...] | None = None  # the last row, whose successor is still to come
-        before = None  # the hash before it
+        before = None  # the deal before it
         for batch in batches:
-            h, key, spot = (batch.column(i).to_numpy() for i in range(3))
-            if not len(h):
+            now = tuple(batch.column(i).to_numpy() for i in range(3))
+            if not len(now[0]):
                 continue
             if held is not None:
-                h, key, spot = (np.concatenate([a, b]) for a, b in zip(held, (h, key, spot), strict=True))
-            same = h[1:] == h[:-1]
-            keep = np.concatenate([[before is not None and before == h[0]], same])
+                now = tuple(np.concatenate([a, b]) for a, b in zip(held, now, strict=True))
+            deal, key, spot = now
+            same = deal[1:] == deal[:-1]
+            keep = spot < 0
+            keep[0] |= before is not None and before == deal[0]
+            keep[1:] |= same
             keep[:-1] |= same
-            before = h[-2] if len(h) > 1 else before
-            held = (h[-1:], key[-1:], spot[-1:])
+            before = deal[-2] if len(deal) > 1 else before
+            held = tuple(x[-1:] for x in now)
             keep = keep[:-1]
             if keep.any():
-                yield pa.record_batch([pa.array(key[:-1][keep]), pa.array(spot[:-1][keep])], names=["key", "spot"])
-        if held is not None and before is not None and before == held[0][0]:
-            yield pa.record_batch([pa.array(held[1]), pa.array(held[2])], names=["key", "spot"])
+                yield pa.record_batch([pa.array(key[:-1][keep]), pa.array(spot[:-1][keep] & ~KNOWN)], names=["key", "spot"])
+        if held is not None and (held[2][0] < 0 or before is not None and before == held[0][0]):
+            yield pa.record_batch([pa.array(held[1]), pa.array(held[2] & ~KNOWN)], names=["key", "spot"])
 
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(scan, "key long, spot long")
+    return rows.repartition("deal").sortWithinPartitions("deal").mapInArrow(scan, "key long, spot long")
 
 
 def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:

@@ -85,3 +85,15 @@ def test_sliding_min():
     x = np.array([random.Random(8).randrange(100) for _ in range(60)])
     for w in (1, 2, 3, 7, 8, 31, 60):
         assert sliding_min(x, w).tolist() == [min(x[i:i + w]) for i in range(60 - w + 1)]
+
+
+@pytest.mark.parametrize("lot", [1, 7, 400_000])
+def test_anchors_in_lots(make_docs, lot):
+    from kinfold.llm.suffix_dedup import anchor_rows, documents_of, repeated_anchors
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(400)) for _ in range(6)]
+    docs = documents_of(make_docs([(i, texts[i % 6] if i < 9 else texts[0][50:] + texts[i % 6][:200]) for i in range(14)]), "doc_id", "text")
+    rows = anchor_rows(docs, 100, lot)
+    every = rows.collect()
+    want = {(r.key, r.spot) for r in repeated_anchors(anchor_rows(docs, 100, 10 ** 9).coalesce(1)).collect()}
+    assert {(r.key, r.spot) for r in repeated_anchors(rows).collect()} == want and 0 < len(want) < len(every)
