@@ -9,8 +9,8 @@ sees the histogram alone: at most ``capacity`` numbers, whatever the size of the
 **Solution.** Multiplicative weights keep a price for each length, lower the more it is covered. In each step an
 unbounded knapsack by dynamic programming over the capacity prices the configurations: one table gives, for every
 length at once, the best configuration that contains it. Near-best ones get more copies, and the prices follow.
-Copies are scaled so that no length is covered beyond its count and rounded down; the rest is solved again, and the
-last few thousand pieces, for which rounding leaves nothing, go best-fit decreasing.
+Copies are scaled so that no length is covered beyond its count and rounded down, and full sequences are fixed; the rest
+is solved again. What is left after the round that needs the fewest sequences in all goes best-fit decreasing.
 
 **Placement.** Pieces are ranked within their length (in parallel, in hash buckets whose number grows with the
 input, so a hot length is not one task), and the k-th piece of a length takes its k-th slot.
@@ -34,8 +34,8 @@ from .batches import slices, text_rows, written
 
 #: Steps of multiplicative weights in a round, their rate, and how near to the best price a configuration must be.
 STEPS, RATE, NEAR = 40, 0.5, 0.02
-#: Rounds go on while more pieces than this are left and nearly full configurations still place some.
-LEFT = 4096
+#: Rounds go on while more pieces than this are left and the last round placed this share of them.
+LEFT, LEAST_PLACED = 4096, 0.05
 #: Pieces in a ranking bucket, on average.
 RANK_ROWS = 200_000
 
@@ -175,44 +175,67 @@ def solve(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     if counts[capacity]:
         out.append(((capacity,), int(counts[capacity])))
         counts[capacity] = 0
-    empty = 0  # tokens that a rounded configuration may leave empty; grows when full ones no longer place much
-    while counts.sum() > LEFT and empty <= capacity // 64:
+    best: list[tuple[tuple[int, ...], int]] = []
+    fewest = None
+    while True:  # at least one round of the program; then the round after which best fit needs the fewest sequences in all
         placed = 0
-        for config, x in sorted(fractional(counts).items(), key=lambda p: (sum(p[0]), p[1]), reverse=True):
-            if sum(config) < capacity - empty:
-                break
+        for config, x in sorted(fractional(counts).items(), key=lambda p: p[1], reverse=True) if counts.any() else ():
+            if sum(config) < capacity:
+                continue  # only full sequences are fixed; the pieces of others stay free
             kinds, n = np.unique(config, return_counts=True)
             copies = min(int(x), int((counts[kinds] // n).min()))
             if copies > 0:
                 out.append((config, copies))
                 counts[kinds] -= n * copies
                 placed += copies * len(config)
-        if placed < 0.1 * (placed + counts.sum()):
-            empty = 2 * empty + 1
-    return out + best_fit(counts)
+        rest = best_fit(counts)
+        needed = sum(n for _, n in out) + sum(n for _, n in rest)
+        if fewest is None or needed < fewest:
+            best, fewest = out + rest, needed
+        if placed < LEAST_PLACED * (placed + counts.sum()) or counts.sum() <= LEFT:
+            return best
 
 
 def best_fit(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    """Best-fit decreasing of what rounding has left: the longest piece first, into the fullest sequence that takes it."""
+    """Best-fit decreasing of what rounding has left: the longest pieces first, into the fullest sequences that take them.
+
+    Equal pieces go into equal sequences many at a time, so the work depends on the lengths, not on the number of pieces.
+    """
     capacity = len(counts) - 1
-    room: list[tuple[int, int]] = []  # (space left, sequence), sorted
-    held: list[list[int]] = []
+    spaces: list[int] = []  # free space of the open groups, sorted
+    groups: dict[int, list[tuple[tuple[int, ...], int]]] = {}  # by free space: (lengths, number of sequences)
+    full: dict[tuple[int, ...], int] = {}
+
+    def put(space: int, config: tuple[int, ...], n: int) -> None:
+        if space == 0:
+            full[config] = full.get(config, 0) + n
+            return
+        if space not in groups:
+            groups[space] = []
+            insort(spaces, space)
+        groups[space].append((config, n))
+
     for length in range(capacity, 0, -1):
-        for _ in range(int(counts[length])):
-            at = bisect_left(room, (length, -1))
-            if at == len(room):
-                held.append([length])
-                left, k = capacity - length, len(held) - 1
+        left = int(counts[length])
+        while left:
+            at = bisect_left(spaces, length)
+            if at == len(spaces):
+                space, config, there = capacity, (), left
             else:
-                left, k = room.pop(at)
-                held[k].append(length)
-                left -= length
-            if left:
-                insort(room, (left, k))
-    same: dict[tuple[int, ...], int] = {}
-    for h in held:
-        same[tuple(h)] = same.get(tuple(h), 0) + 1
-    return list(same.items())
+                space = spaces[at]
+                config, there = groups[space].pop()
+                if not groups[space]:
+                    del groups[space], spaces[at]
+            each = min(left, space // length)
+            n = min(there, left // each)
+            if config and there > n:
+                put(space, config, there - n)
+            put(space - each * length, config + (length,) * each, n)
+            left -= each * n
+    for open_ in groups.values():
+        for config, n in open_:
+            full[config] = full.get(config, 0) + n
+    return list(full.items())
 
 
 def slot_table(solution: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, list[list[int]]]]:
