@@ -297,5 +297,6 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
             yield frame.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
     kind = pieces.schema["id"].dataType.simpleString()
-    placed = ranked.mapInPandas(place, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    # a task for each bucket's worth of pieces: the rows are small, and so many tasks leave files of a useful size
+    placed = ranked.coalesce(buckets).mapInPandas(place, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
     return placed.withColumnRenamed("id", id_col) if id_col != "id" else placed
