@@ -5,7 +5,8 @@ describes: a candidate is an unbroken run of key characters that stands in a sen
 shortly before it). It is compressed with a zstandard dictionary made of common identifiers and the code or prose
 around it. The bytes that it adds to an empty frame are its marginal cost: words, paths and identifiers that occur
 around it cost little, while a random string costs about its own length. Only candidates whose cost is at least
-``NOVEL_SHARE`` of their length are reported.
+``NOVEL_SHARE`` of their length are reported. A candidate is costed in pieces of at most ``PIECE`` characters, because
+longer ones are Huffman-coded, by which a random string of a small alphabet (hex, base32) gets cheaper too.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ SENSITIVE = re.compile(r"(?<![a-z])(pass(word|wd|phrase)?|pwd|secret|token|api.?
 SENSITIVE_BEFORE = 48
 CONTEXT = 512
 NOVEL_SHARE = 0.8
+#: zstandard Huffman-codes literals from 64 bytes on.
+PIECE = 63
 
 #: Common words of code and configuration, as a dictionary for the compressor.
 IDENTIFIERS = " ".join((
@@ -51,10 +54,12 @@ IDENTIFIERS = " ".join((
 
 
 def marginal_bytes(candidate: bytes, context: bytes) -> int:
-    """Bytes that ``candidate`` adds to a frame whose dictionary is the identifiers and the context."""
+    """Bytes that ``candidate``, in equal pieces, adds to frames whose dictionary is the identifiers and the context."""
     prime = zstandard.ZstdCompressionDict(IDENTIFIERS + b" " + context, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     packer = zstandard.ZstdCompressor(level=3, dict_data=prime, write_content_size=False, write_checksum=False, write_dict_id=False)
-    return len(packer.compress(candidate)) - len(packer.compress(b""))
+    n = -(-len(candidate) // PIECE)
+    cuts = [len(candidate) * i // n for i in range(n + 1)] if n else []
+    return sum(len(packer.compress(candidate[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)) - n * len(packer.compress(b""))
 
 
 def find_spans(text: str | None) -> list[tuple[int, int, int]]:

@@ -50,3 +50,13 @@ def test_redaction_and_carried_rows(make_docs):
     assert sorted(r.redacted or "" for r in out.collect()) == ["", "", 'x [SECRET]" y', 'x [SECRET]" y']
     assert redact("abcdef", [(0, 0, 3), (1, 1, 2), (2, 2, 5)], "-") == "-f"
     assert scan_secrets(make_docs([])).count() == 0
+
+
+def test_random_strings_of_any_alphabet_and_length_are_novel():
+    rng = random.Random(5)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for alphabet in (digits + "ABCDEF", upper + "234567", lower + digits, upper + lower + digits + "+/"):
+        for size in (63, 64, 65, 128, 200, 1000, 3200):
+            key = "".join(rng.choice(alphabet) for _ in range(size))
+            assert find_spans(f"set the private key to {key} and go") == [(23, 3, 23 + size)], (alphabet, size)
+    assert not find_spans("the secret of " + "x1" * 5000)
