@@ -6,12 +6,17 @@ shortly before it). It is compressed with a zstandard dictionary made of common
 around it. The bytes that it adds to an empty frame are its marginal cost: words, paths and identifiers that occur
 around it cost little, while a random string costs about its own length. Only candidates whose cost is at least
 ``NOVEL_SHARE`` of their length are reported. A candidate is costed in pieces of at most ``PIECE`` characters, because
-longer ones are Huffman-coded, by which a random string of a small alphabet (hex, base32) gets cheaper too.
+longer ones are Huffman-coded, by which a random string of a small alphabet (hex, base32) gets cheaper too. What the
+context shares with the candidate is left out of the dictionary (a key written twice is as novel as one written
+once). Long words have no digits and cost their length too where the dictionary lacks them, so a candidate without a
+digit must also be likelier as random letters than under letter pairs of common words.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 import zstandard
@@ -32,6 +37,8 @@ CONTEXT = 512
 NOVEL_SHARE = 0.8
 #: zstandard Huffman-codes literals from 64 bytes on.
 PIECE = 63
+#: Characters in a row that are another copy of (a part of) the candidate; no candidate is shorter.
+SHARED = 16
 
 #: Common words of code and configuration, as a dictionary for the compressor.
 IDENTIFIERS = " ".join((
@@ -52,6 +59,62 @@ IDENTIFIERS = " ".join((
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0000000000000000 xxxxxxxxxxxxxxxx ================ ---------------- ________________ "
     "http://www.example.com https://").split()).encode()
 
+#: Bits by which words must be likelier than random letters.
+WORD_BITS = 3.0
+#: Common words of the languages of the documents; with the identifiers, their letter pairs tell words from random letters.
+WORDS = (
+    "the and that have for not with you this but his from they say her she will one all would there their what out about who get which when make "
+    "can like time just him know take people into year your good some could them see other than then now look only come its over think also back "
+    "after use two how our work first well way even new want because any these give day most government information important development "
+    "international organization responsibilities characteristics understanding interesting through without between something everything "
+    "de la le et les des en un du une que est pour qui dans par plus pas au sur se ne ce avec il sont mais nous vous comme tout fait leur bien "
+    "toujours aussi entre depuis encore avant pendant beaucoup gouvernement naturellement particulierement connaissance quelque lesquelles "
+    "der die und in den von zu das mit sich des auf ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am "
+    "sind noch wie einem haben nur oder aber vor zur bis mehr durch man sein wurde sei schon wenn zwischen verschiedene gesellschaft "
+    "wissenschaftlichen entwicklung moeglichkeiten verantwortung geschwindigkeit nachrichten aufgrund rechtschreibung "
+    "el los del las por con una para como pero sus al lo mas este si porque esta cuando muy sin sobre ser tiene tambien hasta hay donde quien "
+    "desde todo nos durante todos uno les ni contra otros ese eso ante ellos entonces informacion desarrollo naturaleza conocimiento "
+    "responsabilidad caracteristicas administracion importante internacional password login username filename database").split()
+
+
+def _letter_pairs() -> dict[str, float]:
+    """Bits by which each letter is cheaper after its predecessor (a space at a word's start) than a random letter."""
+    pairs: Counter = Counter()
+    for w in [*WORDS, *(w for w in re.findall(r"[a-z]+", IDENTIFIERS.decode()) if len(set(w)) < 26 and len(set(w)) > 1)]:
+        pairs.update(x + y for x, y in zip(" " + w, w, strict=False))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    after = {x: sum(pairs[x + y] for y in letters) for x in " " + letters}
+    return {x + y: math.log2(26 * (pairs[x + y] + 0.5) / (after[x] + 13)) for x in " " + letters for y in letters}
+
+
+PAIRS = _letter_pairs()
+
+
+def like_words(candidate: str) -> bool:
+    """Whether a candidate without a digit is likelier as words than as random letters; so must be each of its long parts."""
+    parts = re.findall(r"[a-z]+", candidate.lower())
+    bits = [sum(PAIRS[x + y] for x, y in zip(" " + p, p, strict=False)) for p in parts]
+    return sum(bits) > WORD_BITS and all(n > WORD_BITS for n, p in zip(bits, parts, strict=True) if len(p) >= 8)
+
+
+def other_text(text: str, a: int, b: int) -> str:
+    """The text around [a, b), with all that it shares with the candidate there (runs of ``SHARED``) blanked."""
+    word = text[a:b]
+    grams = {word[i:i + SHARED] for i in range(len(word) - SHARED + 1)}
+
+    def blanked(side: str) -> str:
+        out, end = [], 0
+        for i in range(len(side) - SHARED + 1):
+            if side[i:i + SHARED] in grams:
+                out.append(side[end:i])
+                out.append(" " * (i + SHARED - max(i, end)))
+                end = i + SHARED
+        return "".join([*out, side[end:]])
+
+    # a copy across the window's edge is seen whole
+    left, right = text[max(0, a - CONTEXT - SHARED):a], text[b:b + CONTEXT + SHARED]
+    return blanked(left)[-CONTEXT:] + " " + blanked(right)[:CONTEXT]
+
 
 def marginal_bytes(candidate: bytes, context: bytes) -> int:
     """Bytes that ``candidate``, in equal pieces, adds to frames whose dictionary is the identifiers and the context."""
@@ -74,12 +137,13 @@ def find_spans(text: str | None) -> list[tuple[int, int, int]]:
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
         word = m[0]
-        if any(x < b and a < y for x, y in found) or not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
+        if any(x < b and a < y for x, y in found):
             continue
         if not SENSITIVE.search(text, max(0, a - SENSITIVE_BEFORE), a):
             continue
-        around = text[max(0, a - CONTEXT):a] + " " + text[b:b + CONTEXT]
-        if marginal_bytes(word.encode(), around.encode("utf-8", "surrogatepass")) >= NOVEL_SHARE * len(word):
+        if not any(c.isdigit() for c in word) and like_words(word):
+            continue
+        if marginal_bytes(word.encode(), other_text(text, a, b).encode("utf-8", "surrogatepass")) >= NOVEL_SHARE * len(word):
             spans.append((a, 3, b))
     return sorted(spans)
 

@@ -60,3 +60,15 @@ def test_random_strings_of_any_alphabet_and_length_are_novel():
             key = "".join(rng.choice(alphabet) for _ in range(size))
             assert find_spans(f"set the private key to {key} and go") == [(23, 3, 23 + size)], (alphabet, size)
     assert not find_spans("the secret of " + "x1" * 5000)
+
+
+def test_copies_and_missing_digits_or_letters_hide_no_secret():
+    key = "hT7kQx2mZr9WbLs4Vd8NcYf3"
+    for text in (f"private key staging {key} and the private key production {key} go", f"private key staging={key} and the private key production={key} go",
+                 f"{key}, " + "of a service " * 37 + f"the private key is {key}"):
+        assert key in text[find_spans(text)[-1][0]:find_spans(text)[-1][2]]
+        assert redact(text, find_spans(text)).count(key) == text.startswith(key)
+    for key in ("qXvTzKjWpRbGhLmYcDnF", "zqvkxwjrpbtghmlyfdnc", "83049571623849570162"):
+        assert find_spans(f"set the private key to {key} and go") == [(23, 3, 43)]
+    for word in ("responsibilities", "Geschwindigkeitsbegrenzung", "gouvernementalement", "getUserInformationByName", "src/main/resources"):
+        assert not find_spans(f"the secret of {word} is")
