@@ -1,15 +1,16 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 **Terms.** Words (runs of ASCII letters, lower-cased, digits and characters beyond ASCII) and their beginnings of four
-to six characters, which catch inflected forms. The vocabulary keeps the terms that stand more often in toxic examples
-(by chi-squared of presence and label); every other term would only add noise to the cosine. Inverse document frequencies
-are counted over **all** documents.
+to six characters, which catch inflected forms. The vocabulary is every term of every example; none is left out. Inverse
+document frequencies are counted over **all** documents. A term that tells the labels apart (by chi-squared of presence
+and label) weighs more than its frequencies alone say; every other one keeps its TF-IDF weight.
 
 **Index.** The examples (a bounded sample of the labelled rows: ``examples_per_label`` of each label, chosen by a hash
 of the id) are TF-IDF vectors of length one. Each term has a list of (example, weight), cut into blocks of examples,
-and the largest weight of each block. A query adds its terms' block maxima to an upper bound for every block, reads the
-blocks from the highest bound down, and stops when no bound left can reach the ``k``-th best cosine: what it returns
-are exactly the ``k`` nearest examples.
+and the largest weight of each block. The few terms that many examples hold are rows of a matrix instead, whose product
+with the query is cheaper than their lists. A query adds the block maxima of its other terms to an upper bound for every
+block, reads the blocks of the highest bounds and then those whose bound reaches the ``k``-th best cosine so far: what
+it returns are exactly the ``k`` nearest examples.
 
 **Score.** The examples vote with the weight of their cosine; votes are corrected for the share of each label in the
 sample, so that the score estimates a probability at the labels' true rate. A text without any vocabulary term gets
@@ -19,6 +20,7 @@ the rate of such examples. The nearest examples are the evidence.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,12 @@ from .batches import ALNUM, with_columns
 
 BLOCK = 32
 PREFIXES = (4, 5, 6)
-MOST_TERMS = 2000
-#: Chi-squared of a term's presence and the label, and documents that must hold it, for it to be kept.
-CHI2, LEAST_DOCS = 25.0, 5
+#: A term's weight grows by the square root of its chi-squared over this.
+CHI = 5.0
+#: Blocks read first; a term in more than one of ``OFTEN`` examples is a row of the matrix.
+FIRST_BLOCKS, OFTEN = 8, 8
+#: Words of which a task remembers the terms.
+WORDS = 200_000
 
 
 def term_counts(text: bytes | str | None, wanted: set | dict | None = None) -> Counter:
@@ -47,24 +52,52 @@ def term_counts(text: bytes | str | None, wanted: set | dict | None = None) -> C
     return out
 
 
-def select_terms(present: list[set], labels: np.ndarray) -> list[bytes]:
-    """Terms by chi-squared of presence and label, the highest first (ties by the term)."""
+class Places(dict):
+    """Word to the places of its terms (itself and its beginnings) among the known terms; grows up to ``WORDS`` words."""
+
+    def __init__(self, place: dict[bytes, int]) -> None:
+        self.place = place
+
+    def __missing__(self, word: bytes) -> tuple:
+        place = self.place
+        got = tuple(place[t] for t in (word, *(b"^" + word[:n] for n in PREFIXES if len(word) >= n)) if t in place)
+        if len(self) < WORDS:
+            self[word] = got
+        return got
+
+
+def words_of(text: bytes | str | None) -> list[bytes]:
+    raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+    return raw.translate(ALNUM).split()
+
+
+def term_places(text: bytes | str | None, places: Places) -> tuple[np.ndarray, np.ndarray]:
+    """The known terms' places, sorted, and their occurrences: ``term_counts`` by place."""
+    words = Counter(words_of(text))
+    got = [places[w] for w in words]
+    at = np.fromiter(chain.from_iterable(got), dtype=np.int64)
+    n = np.repeat(np.fromiter(words.values(), dtype=np.int64), [len(g) for g in got]) if got else at
+    at, inverse = np.unique(at, return_inverse=True)
+    return at, np.bincount(inverse, n, minlength=len(at))
+
+
+def relevance(present: list[set], labels: np.ndarray, terms: list[bytes]) -> np.ndarray:
+    """Factor of each term: 1, and more by the chi-squared of its presence and the label."""
     pos, neg = Counter(), Counter()
-    for terms, y in zip(present, labels, strict=True):
-        (pos if y else neg).update(terms)
+    for held, y in zip(present, labels, strict=True):
+        (pos if y else neg).update(held)
+    a, b = np.array([pos[t] for t in terms], dtype=np.float64), np.array([neg[t] for t in terms], dtype=np.float64)
     n1 = float(labels.sum())
     n0 = float(len(labels) - n1)
-    scored = []
-    for term in set(pos) | set(neg):
-        a, b = pos[term], neg[term]
-        if a + b < LEAST_DOCS:
-            continue
-        c, d = n1 - a, n0 - b
-        below = (a + b) * (c + d) * (a + c) * (b + d)
-        chi2 = (a * d - b * c) ** 2 * (n1 + n0) / below if below else 0.0
-        if chi2 >= CHI2 and a * d > b * c:
-            scored.append((-chi2, term))
-    return [t for _, t in sorted(scored)[:MOST_TERMS]]
+    c, d = n1 - a, n0 - b
+    below = (a + b) * (c + d) * (a + c) * (b + d)
+    return 1.0 + np.sqrt((a * d - b * c) ** 2 * (n1 + n0) / np.where(below > 0, below, np.inf)) / CHI
+
+
+def ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """lo[0]..hi[0]-1, lo[1]..hi[1]-1, ... in one array."""
+    n = hi - lo
+    return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
 class Index:
@@ -87,50 +120,71 @@ class Index:
         # one example at the overall rate keeps the rate of few termless examples from being extreme
         self.empty_rate = float(((weight * labels[empty]).sum() + rate) / (weight.sum() + 1.0)) if empty else rate
         self.n_blocks = -(-len(some) // BLOCK)
-        lists: dict[int, list] = {}
-        for n, i in enumerate(some):
-            for t, w in zip(*vectors[i], strict=True):
-                lists.setdefault(int(t), []).append((n, w))
-        self.postings: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
-        self.maxima = np.zeros((len(terms), self.n_blocks))
-        for t, entries in lists.items():
-            at, w = np.array([e[0] for e in entries]), np.array([e[1] for e in entries])
-            block = at // BLOCK
-            np.maximum.at(self.maxima[t], block, w)
-            self.postings[t] = {int(b): (at[block == b] - b * BLOCK, w[block == b]) for b in np.unique(block)}
+        size = [len(vectors[i][0]) for i in some]
+        term = np.concatenate([vectors[i][0] for i in some]) if some else np.zeros(0, dtype=np.int64)
+        weights = np.concatenate([vectors[i][1] for i in some]) if some else np.zeros(0)
+        example = np.repeat(np.arange(len(some)), size)
+        often = np.flatnonzero(np.bincount(term, minlength=len(terms)) * OFTEN > len(some))
+        self.row = np.full(len(terms), -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.n_blocks * BLOCK), dtype=np.float32)
+        common = self.row[term] >= 0
+        self.dense[self.row[term[common]], example[common]] = weights[common]
+        # the lists of the other terms, and for each term and block of examples the first entry and the largest weight
+        term, example, weights = term[~common], example[~common], weights[~common]
+        order = np.lexsort((example, term))
+        term, self.example, self.weight = term[order], example[order], weights[order].astype(np.float32)
+        cell = term * max(1, self.n_blocks) + self.example // BLOCK
+        start = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.block = self.example[start] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0, dtype=np.float32)
+        self.start = np.append(start, len(term))
+        self.first = np.searchsorted(term[start], np.arange(len(terms) + 1))
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         """(places, weights) of length one: (1 + log tf) * idf."""
-        at = np.array(sorted(self.place[t] for t in counts), dtype=np.int64)
+        at = np.array([self.place[t] for t in counts], dtype=np.int64)
         if not len(at):
             return at, np.zeros(0)
-        by_place = {self.place[t]: n for t, n in counts.items()}
-        w = (1.0 + np.log([by_place[i] for i in at.tolist()])) * self.idf[at]
+        order = np.argsort(at)
+        return self.weigh(at[order], np.array(list(counts.values()), dtype=np.float64)[order])
+
+    def weigh(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1.0 + np.log(n)) * self.idf[at]
         norm = np.sqrt((w * w).sum())
         return at, w / norm if norm else w
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k largest cosines (exactly; ties to the earlier example) and their examples' numbers."""
-        bounds = w @ self.maxima[at]
-        order = np.argsort(-bounds, kind="stable")
-        got_n, got_s = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for b in order.tolist():
-            if bounds[b] <= 0 or len(got_s) >= k and bounds[b] < got_s[-1] - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for t, x in zip(at.tolist(), w.tolist(), strict=True):
-                hit = self.postings.get(t, {}).get(b)
-                if hit is not None:
-                    scores[hit[0]] += x * hit[1]
-            found = np.flatnonzero(scores > 0)
-            got_n, got_s = np.concatenate([got_n, found + b * BLOCK]), np.concatenate([got_s, scores[found]])
-            best = np.lexsort((got_n, -got_s))[:k]
-            got_n, got_s = got_n[best], got_s[best]
-        return got_n, got_s
-
-    def score(self, counts: Counter, k: int) -> tuple[float, list, list[float]]:
+        row = self.row[at]
+        common = row >= 0
+        often = np.zeros(len(self.dense), dtype=np.float32)
+        often[row[common]] = w[common]
+        scores = (often @ self.dense).astype(np.float64)
+        at, w = at[~common], w[~common]
+        lo, hi = self.first[at], self.first[at + 1]
+        cells, w = ranges(lo, hi), np.repeat(w, hi - lo)
+        block = self.block[cells]
+        bounds = scores.reshape(-1, BLOCK).max(axis=1) + np.bincount(block, w * self.most[cells], minlength=self.n_blocks)
+        unread, read = np.ones(self.n_blocks, dtype=bool), np.zeros(self.n_blocks, dtype=bool)
+        wanted = np.zeros(self.n_blocks, dtype=bool)
+        wanted[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
+        while wanted.any():
+            here = wanted[block]
+            lo, hi = self.start[cells[here]], self.start[cells[here] + 1]
+            entries = ranges(lo, hi)
+            scores += np.bincount(self.example[entries], np.repeat(w[here], hi - lo) * self.weight[entries], minlength=len(scores))
+            read |= wanted
+            unread &= ~wanted
+            known = scores[np.repeat(read, BLOCK)]
+            least = np.partition(known, -k)[-k] if len(known) >= k else 0.0
+            wanted = unread & (bounds > 0) & (bounds >= least - 1e-6)
+        found = np.flatnonzero(np.repeat(read, BLOCK) & (scores > 0) & (scores >= least))
+        best = found[np.lexsort((found, -scores[found]))[:k]]
+        return best, scores[best]
+
+    def score(self, at: np.ndarray, w: np.ndarray, k: int) -> tuple[float, list, list[float]]:
         """(score, ids of the nearest examples, their cosines)"""
-        at, w = self.vector(counts)
         if not len(at) or not self.n_blocks:
             return self.empty_rate, [], []
         n, s = self.nearest(at, w, k)
@@ -162,15 +216,16 @@ def document_frequencies(df: DataFrame, text_col: str, terms: list[bytes]) -> tu
 
     def scan(batches):
         from .batches import slices
-        place = shared.value
-        seen, n = np.zeros(len(place) + 1, dtype=np.int64), 0
+        places = Places(shared.value)
+        seen, n = np.zeros(len(shared.value) + 1, dtype=np.int64), 0
         for _, texts in slices(batches):
             for t in texts:
                 n += 1
-                for term in term_counts(t, place):
-                    seen[place[term]] += 1
+                held = set(chain.from_iterable([places[w] for w in set(words_of(t))]))
+                seen[np.fromiter(held, dtype=np.int64, count=len(held))] += 1
         seen[-1] = n
-        yield pa.record_batch([pa.array(np.arange(len(seen))), pa.array(seen)], names=["term", "n"])
+        held = np.flatnonzero(seen)
+        yield pa.record_batch([pa.array(held), pa.array(seen[held])], names=["term", "n"])
 
     rows = df.select(F.lit(0).alias("id"), F.col(text_col).cast("string").alias("text"))
     got = rows.mapInArrow(scan, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a number for each term
@@ -185,29 +240,34 @@ def score_toxicity(df: DataFrame, labels: DataFrame, learn, id_col: str = "doc_i
     """One row for each row of ``df``: id, score, predicted, evidence (nearest examples' ids), evidence_cosine.
 
     ``learn`` is a condition on the column ``label_id``: which labels may be learnt from. Only texts are looked at when
-    scoring. NULL and empty texts, and texts without vocabulary terms, get the rate of such examples. Labels other than
+    scoring. NULL and empty texts, and texts without a term of any example, get the rate of such examples. Labels other than
     0 and 1, labels without a document and repeated labels of an id beyond one are left out; without any label every score
     is 0. An example never counts as its own evidence only in that its row is scored like any other: a learnt text
     finds itself. Ids may be NULL or repeat; an empty table gives an empty result. With ``carry``, the input row comes
     as the struct ``row`` in place of the id. Other columns of ``df`` are not looked at.
     """
     ids, texts, y, sizes = examples(df, labels, id_col, text_col, label_col, learn, examples_per_label)
-    terms = select_terms([set(term_counts(t)) for t in texts], y)
+    counts = [term_counts(t) for t in texts]
+    terms = sorted(set().union(*counts))
     found, n_docs = document_frequencies(df, text_col, terms)
-    idf = np.log((1.0 + n_docs) / (1.0 + found)) + 1.0
+    idf = (np.log((1.0 + n_docs) / (1.0 + found)) + 1.0) * relevance(counts, y, terms)
     share = (sizes[0] / max(1, int((y == 0).sum())), sizes[1] / max(1, int((y == 1).sum())))
-    index = Index(ids, [term_counts(t, set(terms)) for t in texts], y, terms, idf, share)
+    index = Index(ids, counts, y, terms, idf, share)
     shared = df.sparkSession.sparkContext.broadcast(index)
     id_type = df.schema[id_col].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
     arrow_id = to_arrow_type(df.schema[id_col].dataType)
 
-    def compute(texts_: list) -> list[pa.Array]:
+    def make():
         own = shared.value
-        got = [own.score(term_counts(t, own.place), k) for t in texts_]
-        scores = [g[0] for g in got]
-        return [pa.array(scores, type=pa.float64()), pa.array([int(s >= threshold) for s in scores], type=pa.int32()),
-                pa.array([g[1] for g in got], type=pa.list_(arrow_id)), pa.array([g[2] for g in got], type=pa.list_(pa.float64()))]
+        places = Places(own.place)
+
+        def compute(texts_: list) -> list[pa.Array]:
+            got = [own.score(*own.weigh(*term_places(t, places)), k) for t in texts_]
+            scores = [g[0] for g in got]
+            return [pa.array(scores, type=pa.float64()), pa.array([int(s >= threshold) for s in scores], type=pa.int32()),
+                    pa.array([g[1] for g in got], type=pa.list_(arrow_id)), pa.array([g[2] for g in got], type=pa.list_(pa.float64()))]
+        return compute
 
     return with_columns(df, id_col, text_col, f"score double, predicted int, evidence array<{id_type}>, evidence_cosine array<double>",
-                        ["score", "predicted", "evidence", "evidence_cosine"], lambda: compute, carry)
+                        ["score", "predicted", "evidence", "evidence_cosine"], make, carry)

@@ -42,6 +42,17 @@ def test_held_out_quality(spark):
     assert all(0 <= r.score <= 1 and len(r.evidence) == len(r.evidence_cosine) for r in got)
 
 
+def test_every_text_is_compared_with_clean_and_toxic_examples(spark, make_docs):
+    clean = [(i, f"a fine day in the garden number{i}") for i in range(100)]
+    toxic = [(100 + i, f"you awful fool number{i}") for i in range(20)]
+    docs = make_docs([*clean, *toxic, (500, "the garden on a fine day"), (501, "what an awful fool")])
+    labels = spark.createDataFrame([(i, 1, int(i >= 100)) for i, _ in clean + toxic], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in score_toxicity(docs, labels, F.lit(True)).collect()}
+    assert len(got[500].evidence) == 15 and max(got[500].evidence) < 100 and got[500].predicted == 0
+    assert min(got[501].evidence[:5]) >= 100 and got[501].predicted == 1
+    assert all(r.evidence for r in got.values())
+
+
 def test_odd_rows(spark, make_docs):
     learnt = [(i, f"you awful fool number {i}" if i % 2 else f"a fine day number {i}") for i in range(200)]
     rows = learnt + [(900, None), (901, ""), (902, "zzz"), (903, "awful fool " * 50_000), (None, "awful fool"), (903, "awful fool " * 50_000)]
