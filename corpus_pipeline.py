@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm.batches import crc_bucket, written
@@ -26,14 +26,18 @@ LEAST_LANGUAGE_SCORE = 0.3
 ORACLE_SQL = None
 
 
-def _keep(docs: DataFrame, ids: DataFrame, wanted: Column, once: bool = False) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among the wanted ``ids`` (NULL matches NULL), each id once if ``once``."""
-    def key(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(-(1 << 63)))
+#: Number of a row in its stage: ids may be NULL or repeat.
+ROW = "_row_number"
 
-    chosen = ids.where(wanted).select(key("doc_id").alias("_kept"))
-    kept = docs.withColumn("_kept", key("doc_id")).join(chosen, "_kept", "left_semi")
-    return (kept.dropDuplicates(["_kept"]) if once else kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, written so that the numbers stay."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _keep(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The ``columns`` of the rows of ``docs`` whose number is in ``rows``."""
+    return docs.join(rows.select(ROW), ROW, "left_semi").select(*[F.col(f"`{c}`") for c in columns])
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,18 +47,19 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest doc_id, once.
-
-    Rows without a doc_id cannot be told apart; one of them stays if their group has no other document.
-    """
-    groups = near_duplicates(docs, shingle_words=3, radius=2)
-    return _keep(docs, groups, F.col("doc_id").eqNullSafe(F.col("component_id")), once=True)
+    """One document of each near-duplicate group stays: the one with the smallest doc_id (NULL last), once."""
+    rows = _numbered(docs)
+    groups = near_duplicates(rows, id_col=ROW, shingle_words=3, radius=2).select(ROW, F.col("component_id").alias("_group"))
+    ids = rows.select(ROW, F.col("doc_id").alias("_id"))
+    first = groups.join(ids, ROW).groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", ROW)).alias("_first"))
+    return _keep(rows, first.select(F.col(f"_first.{ROW}").alias(ROW)), docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more stands in benchmark windows."""
     benchmark = spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet"))
-    return _keep(docs, decontaminate(docs, benchmark, window_words=13, one_in=20), ~F.col("contaminated"))
+    rows = _numbered(docs)
+    return _keep(rows, decontaminate(rows, benchmark, id_col=ROW, window_words=13, one_in=20).where(~F.col("contaminated")), docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,6 +78,16 @@ def test_odd_rows_in_every_stage(spark, make_docs):
     assert empty.count() == 0
 
 
+def test_rows_of_null_or_repeated_ids_are_judged_one_by_one(spark, make_docs):
+    texts = ["a first text of its own about rivers and mountains", "quite another one that tells of ships at sea", "the third has bread, butter and tea in it"]
+    docs = make_docs([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, "a last text under the same number, on the moon"), (None, texts[2])])
+    single = STAGES["simhash_near_dedup"](spark, docs, SF)
+    assert rows(single) == sorted((tuple(r) for r in docs.collect()[:4]), key=str)
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(r.text.split()) >= 13)
+    docs = make_docs([(1, texts[0]), (1, item), (None, texts[1]), (None, item)])
+    assert sorted(r.text for r in STAGES["benchmark_decontamination"](spark, docs, SF).collect()) == sorted(texts[:2])
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     import __spark_entry__ as entry
