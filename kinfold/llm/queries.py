@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +15,14 @@ from .decontam import decontaminate
 from .html_text import extract
 from .langid import identify
 from .packing import pack
+from .periodic import find_runs
+from .quality import judge_quality
 from .secret_scan import scan_secrets
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import section_tokens
 from .toxicity import score_toxicity
+from .whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +75,30 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_tokens(_table(spark, sf_dir, "documents"), separator="\n", rule="start")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), components=8)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), stratum_col="lang", risk=0.05, failure=0.1)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+
+
+def repeating_tail(doc_id: str, words: list[bytes]) -> list[bytes]:
+    """``words``, of every tenth id (by its crc32) with a tail that repeats a piece of the text: the contract's periodic cases."""
+    h, n = zlib.crc32(doc_id.encode()), len(words)
+    if h % 10 or not n:
+        return words
+    a = h // 10 % n
+    period = 1 + (n - a) // (3 + h // 10 % 8)
+    return words[:a] + [words[a + i % period] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(_table(spark, sf_dir, "documents"), shortest=12, rewrite=repeating_tail, digests=True)
+    return found.drop("n_words")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -87,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_html_text": op9_html_text,
     "op10_token_counts": op10_token_counts,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 
@@ -144,3 +175,93 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
 """
+
+SQL["op12_quality_rules"] = r"""
+WITH rules(rule, sign, cutoffs) AS (VALUES
+  ('symbols', 1, [400, 300, 200, 150, 100, 70, 50, 30, 20, 10]),
+  ('repeated_lines', 1, [800, 600, 500, 400, 300, 250, 200, 150]),
+  ('repeated_words', 1, [250, 200, 150, 100]),
+  ('long_words', 1, [14000, 12000, 10000, 9000, 8000, 7500, 7000, 6500]),
+  ('short_words', -1, [1500, 2000, 2500, 3000, 3500, 4000, 4200]),
+  ('few_words', -1, [20, 50, 100, 150, 200, 300, 400])),
+step AS (SELECT rule, sign, unnest(cutoffs) AS cutoff, unnest(range(1, len(cutoffs) + 1)) AS level FROM rules),
+doc AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+win AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS c
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM doc WHERE len(w) >= 8)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM win WHERE c > 1) GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, stratum, md5(t) AS digest, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines, len(list_distinct(w)) AS n_different
+  FROM doc d LEFT JOIN rep r ON d.doc_id = r.doc_id),
+base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted),
+measured AS (
+  SELECT doc_id, stratum, digest, rule,
+         CASE rule WHEN 'symbols' THEN n_symbols WHEN 'repeated_lines' THEN n_dup_lines WHEN 'repeated_words' THEN n_repeat_words
+                   WHEN 'few_words' THEN n_different ELSE word_chars END AS x,
+         CASE rule WHEN 'symbols' THEN word_chars WHEN 'repeated_lines' THEN n_lines ELSE n_words END AS y
+  FROM base, rules WHERE NOT base_failed),
+fired AS (SELECT doc_id, stratum, digest, m.rule, level FROM measured m JOIN step s ON m.rule = s.rule AND sign * 1000 * x > sign * cutoff * y),
+marks AS (SELECT doc_id, max(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+trial AS (SELECT stratum, digest, bool_or(good) AS good FROM base JOIN marks USING (doc_id) WHERE NOT base_failed GROUP BY stratum, digest),
+fires AS (SELECT DISTINCT stratum, digest, rule, level FROM fired),
+seen AS (
+  SELECT stratum, rule, level, count(*) FILTER (good) AS good, count(*) FILTER (NOT good) AS bad
+  FROM trial JOIN fires USING (stratum, digest) WHERE digest < '8' GROUP BY ALL),
+steps AS (
+  SELECT stratum, rule, level, row_number() OVER (PARTITION BY stratum ORDER BY good, bad DESC, rule, level) AS policy FROM seen WHERE bad > good),
+lost AS (
+  SELECT stratum, policy, count(*) AS n FROM (
+    SELECT stratum, digest, min(policy) AS policy FROM trial JOIN fires USING (stratum, digest) JOIN steps USING (stratum, rule, level)
+    WHERE digest >= '8' AND good GROUP BY stratum, digest) GROUP BY ALL),
+sizes AS (SELECT stratum, count(*) AS m FROM trial WHERE digest >= '8' AND good GROUP BY stratum),
+tested AS (
+  SELECT s.stratum, rule, level, s.policy, m, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY s.stratum ORDER BY s.policy) AS BIGINT) AS k
+  FROM steps s JOIN sizes z ON s.stratum = z.stratum LEFT JOIN lost l ON s.stratum = l.stratum AND s.policy = l.policy),
+judged AS (
+  SELECT *, list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(m + 1) - lgamma(j + 1) - lgamma(m - j + 1) + j * ln(0.05) + (m - j) * ln(0.95))))
+            <= 0.1 / (SELECT count(DISTINCT stratum) FROM trial) AS safe
+  FROM tested),
+certified AS (SELECT stratum, rule, level FROM judged QUALIFY bool_and(safe) OVER (PARTITION BY stratum ORDER BY policy)),
+rejected AS (
+  SELECT doc_id, string_agg(rule, ',' ORDER BY rule) AS rejected_by
+  FROM (SELECT DISTINCT doc_id, rule FROM fired JOIN certified USING (stratum, rule, level)) GROUP BY doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rejected_by IS NULL AS kept, coalesce(rejected_by, '') AS rejected_by
+FROM base b LEFT JOIN rejected r ON b.doc_id = r.doc_id
+"""
+
+SQL["op13_periodic_runs"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+             lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(3988292384, v // 2) ELSE v // 2 END))) AS h
+  FROM documents),
+tail AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) ELSE len(w) END AS a FROM doc),
+planted AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM tail),
+word AS (SELECT doc_id, i, CASE WHEN i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS t
+         FROM (SELECT *, unnest(range(n)) AS i FROM planted)),
+six AS (
+  SELECT doc_id, i, string_agg(t, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS g,
+         count(*) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS size
+  FROM word),
+twice AS (SELECT doc_id, i, g FROM six WHERE size = 6 QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+pair AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM twice x JOIN twice y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i),
+isle AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pair),
+stretch AS (SELECT doc_id, q, min(i) AS s, max(i) + 6 + q AS e FROM isle GROUP BY doc_id, q, part),
+cand AS (SELECT * FROM stretch WHERE e - s >= greatest(12, 2 * q)),
+run AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand d WHERE d.doc_id = c.doc_id AND d.q < c.q AND d.s <= c.s AND d.e >= c.e)),
+best AS (SELECT doc_id, s, e - s AS len, q FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY e - s DESC, s, q) = 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS txt FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, e)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(t, ' ' ORDER BY i) AS txt FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.len AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period,
+       CAST(1000 * b.len // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(l.txt, '')) AS runs_sha256, sha256(coalesce(k.txt, '')) AS collapsed_sha256
+FROM doc d LEFT JOIN best b ON d.doc_id = b.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
