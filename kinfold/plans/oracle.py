@@ -832,8 +832,11 @@ WITH {_surveys_raw()}
 SELECT * FROM surveys_raw
 """
 
+# An export holds the events of one user and one block of events.
+EXPORT_SERIES = PERSON_SERIES.lstrip().replace("FROM events", "FROM (SELECT * REPLACE (user_id + 1000000000 * (event_id // 1000000) AS user_id) FROM events)")
+
 # Files by the rules alone: a summary of day D belongs to D + 1 and is missing where two copies of it exist.
-FILE_INDEX = f"""{PERSON_SERIES.lstrip()},
+FILE_INDEX = f"""{EXPORT_SERIES},
 days_of AS (SELECT DISTINCT user_id AS owner, file_date FROM p_detail),
 det_file AS (
   SELECT owner, file_date, '/exports/' || owner || '/Heart Rate Variability/Heart Rate Variability Details - ' || file_date
@@ -883,13 +886,13 @@ FROM file_index i LEFT JOIN p_summary s
 """
 
 SQL["resting_from_files"] = f"""
-WITH {PERSON_SERIES.lstrip()}
+WITH {EXPORT_SERIES}
 SELECT user_id AS owner, file_date, timestamp, round(resting_hr, 6) AS resting_hr FROM p_resting
 WHERE file_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'
 """
 
 SQL["readiness_from_files"] = f"""
-WITH {PERSON_SERIES.lstrip()}
+WITH {EXPORT_SERIES}
 SELECT user_id AS owner, file_date, {', '.join(_READY_COLS)}, round(daily_readiness_score, 6) AS daily_readiness_score
 FROM p_readiness WHERE file_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'
 """

@@ -191,8 +191,14 @@ def dictionary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 DETAIL_TYPE, SUMMARY_TYPE, RESTING_TYPE, READINESS_TYPE = "view", "click", "purchase", "signup"
 
 
+#: Events of one export: a busy user's events are dealt over several exports, so that no file grows with the table.
+EXPORT_EVENTS = 1_000_000
+
+
 def _series(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return table(spark, sf_dir, "events").where(F.col("event_type") == kind)
+    """Events of one series, with the export that each belongs to as ``owner``."""
+    owner = F.expr(f"user_id + 1000000000 * (event_id div {EXPORT_EVENTS})")
+    return table(spark, sf_dir, "events").where(F.col("event_type") == kind).withColumn("owner", owner)
 
 
 def hrv_detail(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -259,6 +265,10 @@ def survey_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(F.to_json(F.struct(F.struct("data").alias("data"))).alias("text"))
 
 
+# A note of the stand-in files with a comma, quotes and a line break; other columns of the wide files.
+NOTE, WIDE = '"a, ""b""\nc"', 80
+
+
 def _numbers(*cols) -> list:
     return [c.cast("string") for c in cols]
 
@@ -276,16 +286,16 @@ def hrv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns stand in another order in every second file; some summary files exist twice (a copy), some names hold
     an impossible date or are no HRV files.
     """
-    det = hrv_detail(spark, sf_dir, ["user_id", "event_id"]).withColumnRenamed("user_id", "owner")
+    det = hrv_detail(spark, sf_dir, ["owner", "event_id"])
     iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     odd = (F.col("owner") + F.dayofmonth("file_date")) % 2 == 1
     plain = _file_text(det.where(~odd), ["owner", "file_date"], "timestamp,rmssd,coverage,low_frequency,high_frequency",
                        [iso, *_numbers(F.col("rmssd"), F.col("coverage"), F.col("low_frequency"), F.col("high_frequency"))], "event_id")
     mixed = _file_text(det.where(odd), ["owner", "file_date"], "low_frequency,note,rmssd,high_frequency,timestamp,coverage",
-                       [F.col("low_frequency").cast("string"), F.lit("\"a, b\""), *_numbers(F.col("rmssd"), F.col("high_frequency")), iso, F.col("coverage").cast("string")], "event_id")
+                       [F.col("low_frequency").cast("string"), F.lit(NOTE), *_numbers(F.col("rmssd"), F.col("high_frequency")), iso, F.col("coverage").cast("string")], "event_id")
     folder = F.concat(F.lit("/exports/"), F.col("owner"), F.lit("/Heart Rate Variability/"))
     details = plain.unionByName(mixed).select("owner", F.concat(folder, F.lit("Heart Rate Variability Details - "), F.col("file_date").cast("string"), F.lit(".csv")).alias("path"), "text")
-    summ = hrv_summary(spark, sf_dir, ["user_id"]).withColumnRenamed("user_id", "owner")
+    summ = hrv_summary(spark, sf_dir, ["owner"])
     summ = _file_text(summ, ["owner", "file_date"], "nremhr,rmssd,entropy,timestamp",
                       [*_numbers(F.col("nremhr"), F.col("rmssd"), F.col("entropy")), F.col("file_date").cast("string")], "file_date")
     month, day = F.date_format("file_date", "yyyy-MM"), F.date_format("file_date", "dd")
@@ -298,15 +308,20 @@ def hrv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(owner, text) of every user's resting heart rate file."""
-    r = resting_hr(spark, sf_dir, ["user_id"]).withColumnRenamed("user_id", "owner")
+    """(owner, text) of every user's resting heart rate file; every third has many more columns and notes over two lines."""
+    r = resting_hr(spark, sf_dir, ["owner"])
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return _file_text(r, ["owner"], "data source,beats per minute,timestamp", [F.lit("watch"), F.col("resting_hr").cast("string"), stamp], "file_date")
+    value = F.col("resting_hr").cast("string")
+    wide = F.col("owner") % 3 == 1
+    plain = _file_text(r.where(~wide), ["owner"], "data source,beats per minute,timestamp", [F.lit("watch"), value, stamp], "file_date")
+    more = ",".join(f"extra {i}" for i in range(WIDE))
+    noted = _file_text(r.where(wide), ["owner"], f"note,{more},beats per minute,timestamp", [F.lit(NOTE), F.lit("," * (WIDE - 1)), value, stamp], "file_date")
+    return plain.unionByName(noted)
 
 
 def readiness_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(owner, text) of every user's readiness file."""
-    r = readiness(spark, sf_dir, ["user_id"]).withColumnRenamed("user_id", "owner")
+    r = readiness(spark, sf_dir, ["owner"])
     return _file_text(r, ["owner"], "timestamp,score,resting heart rate readiness,type,sleep readiness,heart rate variability readiness",
                       [F.col("file_date").cast("string"), F.col("daily_readiness_score").cast("string"), F.col("rhr_readiness_cat"),
                        F.col("daily_readiness_cat"), F.col("sleep_readiness_cat"), F.col("hrv_readiness_cat")], "file_date")

@@ -3,11 +3,14 @@
 import datetime as dt
 import json
 import os
+import re
 import tempfile
 
 import pytest
 
-from kinfold.sources.wearables import OWNER_PATTERN
+from kinfold.sources import wearables
+from kinfold.sources.headered import csv_rows, read_by_header
+from kinfold.sources.wearables import DAILY_OWNER_PATTERN, OWNER_PATTERN
 from kinfold.sources import (hrv_file_index, load_hrv, load_readiness, load_resting_hr, read_dictionary,
                              read_participants, read_surveys)
 
@@ -149,11 +152,66 @@ def test_columns_are_read_by_name(spark):
         load_readiness(spark, d, "2025-07-05", root).collect()
 
 
-def test_files_outside_the_range_are_not_opened(spark, export_root):
+def test_files_outside_the_range_are_not_opened(spark, export_root, monkeypatch):
     root, days = export_root
-    plan = load_hrv(spark, days[0], days[2], root)._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "FileScan text" in line]
-    assert scans and all("file_path" in line.split("DataFilters:")[1].split("Format:")[0] for line in scans)  # prunes the listing
+    opened, real = [], wearables.read_by_header
+    monkeypatch.setattr(wearables, "read_by_header", lambda s, paths, columns: (opened.extend(paths), real(s, paths, columns))[1])
+    load_hrv(spark, days[0], days[2], root).collect()
+    assert {re.search(r"07-[(]?(\d\d)[)]?[.]csv$", f).group(1) for f in opened} == {"01", "02", "03"} and len(opened) == 3
+
+
+TRICKY = {
+    "line break": ('timestamp,note,v\n2024-01-01,"a\nb",60\n2024-01-02,c,61\n', [("2024-01-01", "a\nb", 60.0), ("2024-01-02", "c", 61.0)]),
+    "quotes": ('note,v,timestamp\r\n"say ""x"", y", 1 ,t1\r\n"",NA,t2\r\n', [("t1", 'say "x", y', 1.0), ("t2", None, None)]),
+    "blank lines": ('\n \t\nv,timestamp,note\n\n7,t,n\n   \n', [("t", "n", 7.0)]),
+    "short": ("timestamp,note,v\nt\n", [("t", None, None)]),
+    "header only": ("timestamp,note,v\n", []),
+    "empty": ("", []),
+    "mark": ("\ufeffTimestamp,NOTE , v\nt,n,1e2\n", [("t", "n", 100.0)]),
+    "wide": (",".join(f"x{i}" for i in range(300)) + ",v,timestamp,note\n" + "," * 300 + "5,t,n\n", [("t", "n", 5.0)]),
+    "long": ("v,note,timestamp\n1,\"" + '""' * 30_000 + "\nx\",t\n", [("t", '"' * 30_000 + "\nx", 1.0)]),
+    "inner quote": ('timestamp,note,v\n5" tube,n,2\n', [('5" tube', "n", 2.0)]),
+}
+KINDS = {"timestamp": "string", "note": "string", "v": "double"}
+
+
+@pytest.mark.parametrize("name", TRICKY)
+def test_records_of_texts_and_of_files(spark, name):
+    text, want = TRICKY[name]
+    got = csv_rows(spark.createDataFrame([(1, text), (2, None)], "id int, text string"), KINDS, keep=["id"]).collect()
+    assert [tuple(r)[1:] for r in got] == want and {r.id for r in got} <= {1}
+    root = tempfile.mkdtemp(prefix="kinfold-csv-")
+    path = os.path.join(root, "a [1] {2}.csv")
+    with open(path, "w", newline="") as fh:
+        fh.write(text)
+    rows = read_by_header(spark, ["file:" + path], KINDS).collect()
+    assert [tuple(r)[1:] for r in rows] == want and {r.path for r in rows} <= {"file:" + path}
+
+
+def test_a_quote_that_never_closes_is_a_character(spark):
+    got = csv_rows(spark.createDataFrame([('timestamp,note,v\nt,"open,1\nu,n,2\n',)], "text string"), KINDS).collect()
+    assert [tuple(r) for r in got] == [("t", '"open', 1.0), ("u", "n", 2.0)]
+
+
+def test_one_scan_for_each_header(spark):
+    root = tempfile.mkdtemp(prefix="kinfold-heads-")
+    for i in range(6):
+        _write(root, f"{i}.csv", ("timestamp,note,v\n" if i % 2 else "v,other,note,timestamp\n") + ("t,n,1\n" if i % 2 else "2,o,n,u\n") * (i + 1))
+    df = read_by_header(spark, [f"file:{root}/{i}.csv" for i in range(6)], {"timestamp": "string", "v": "double"})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(line.split("ReadSchema: ")[1].strip() for line in plan.splitlines() if "FileScan csv" in line) == ["struct<c0:string,c2:string>", "struct<c0:string,c3:string>"]
+    assert sorted((r.timestamp, r.v, r["count"]) for r in df.groupBy("timestamp", "v").count().collect()) == [("t", 1.0, 12), ("u", 2.0, 9)]
+    with pytest.raises(ValueError, match="no column 'w'"):
+        read_by_header(spark, [f"file:{root}/1.csv"], {"w": "string"})
+    assert read_by_header(spark, [], KINDS).columns == ["path", *KINDS] and read_by_header(spark, [], KINDS).count() == 0
+
+
+def test_daily_files_of_many_owners(spark):
+    root = tempfile.mkdtemp(prefix="kinfold-daily-")
+    for who, v in (("ann", 55), ("bob", 66)):
+        _write(root, f"{who}/Physical Activity_GoogleData/daily_resting_heart_rate.csv", f"beats per minute,timestamp\n{v},2025-07-01T00:00:00Z\n")
+    got = load_resting_hr(spark, "2025-07-01", "2025-07-02", root, owner_pattern=DAILY_OWNER_PATTERN).collect()
+    assert sorted((r.owner, r.resting_hr) for r in got) == [("ann", 55.0), ("bob", 66.0)]
 
 
 def test_many_owners_in_one_scan(spark):
