@@ -46,6 +46,44 @@ def kolmogorov_p_sql(z: str, terms: int = KS_TERMS) -> str:
             f"ELSE least(greatest(2.0D * {series}, 0.0D), 1.0D) END)")
 
 
+def exact_rank_sum_p_sql(w: str, n_a: str, n_b: str) -> str:
+    """Exact two-sided p of the rank-sum statistic (no ties) of the named columns, as SQL text.
+
+    The number of samples with each value of the statistic: G(j, n), the counts for sizes j and n, is G(j, n - 1) plus
+    G(j - 1, n) moved up by n. One fold over n holds G(0..n_a, n) up to half of the largest value; the statistic is symmetric.
+    Work is about (n_a * n_b) ** 2 / 2 additions.
+    """
+    top = f"cast(floor(`{n_a}` * `{n_b}` / 2) as int)"
+    zeros = f"array_repeat(0.0D, {top})"
+    moved = f"slice(concat(array_repeat(0.0D, n), element_at(acc, j)), 1, {top} + 1)"
+    step = (f"aggregate(sequence(1, cast(`{n_a}` as int)), array(element_at(g, 1)), "
+            f"(acc, j) -> concat(acc, array(zip_with(element_at(g, j + 1), {moved}, (x, y) -> x + y))))")
+    counts = (f"element_at(aggregate(sequence(1, cast(`{n_b}` as int)), array_repeat(concat(array(1.0D), {zeros}), cast(`{n_a}` as int) + 1), "
+              f"(g, n) -> {step}), -1)")
+    low = f"cast(least(`{w}`, `{n_a}` * `{n_b}` - `{w}`) as int)"
+    ways = f"aggregate(sequence(1, cast(`{n_a}` as int)), 1.0D, (c, i) -> c * (`{n_b}` + i) / i)"
+    return f"least(1.0D, 2.0D * aggregate(slice({counts}, 1, {low} + 1), 0.0D, (t, x) -> t + x) / {ways})"
+
+
+def exact_ks_p_sql(d: str, n_a: str, n_b: str, breaks: str) -> str:
+    """Exact p of the two-sample Kolmogorov-Smirnov statistic of the named columns, as SQL text.
+
+    A pooled order of both samples is a lattice path from (0, 0) to (n_a, n_b); all are equally likely. u(i, j) is the share of paths to
+    (i, j) that meet a point at least as far from the diagonal as the statistic: 1 at such a point, else the mean of u(i - 1, j) and
+    u(i, j - 1) weighted by i and j. With ties only the points at which a value ends count: ``breaks`` is an array with true at the places in
+    the pooled order that end one. A fold over the larger sample holds one row of the smaller size.
+    """
+    small, large = f"cast(least(`{n_a}`, `{n_b}`) as int)", f"cast(greatest(`{n_a}`, `{n_b}`) as int)"
+    least = f"(floor(`{d}` * `{n_a}` * `{n_b}` - 1e-7D) + 1)"
+    met = f"abs(i * {small} - j * {large}) >= {least} AND element_at(`{breaks}`, i + j)"
+    first = (f"aggregate(sequence(1, {small}), array(0.0D), (u, j) -> concat(u, array(CASE WHEN j * {large} >= {least} AND element_at(`{breaks}`, j) "
+             f"THEN 1.0D ELSE element_at(u, -1) END)))")
+    edge = f"array(CASE WHEN i * {small} >= {least} AND element_at(`{breaks}`, i) THEN 1.0D ELSE element_at(u, 1) END)"
+    row = (f"aggregate(sequence(1, {small}), {edge}, (r, j) -> concat(r, array(CASE WHEN {met} THEN 1.0D "
+           f"ELSE i * 1.0D / (i + j) * element_at(u, j + 1) + j * 1.0D / (i + j) * element_at(r, -1) END)))")
+    return f"element_at(aggregate(sequence(1, {large}), {first}, (u, i) -> {row}), -1)"
+
+
 def stars(p: Column) -> Column:
     """Significance label (CND8)."""
     out = None

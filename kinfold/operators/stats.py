@@ -5,16 +5,16 @@ magnitude of the values, shows which bins hold the wanted ranks; only those bins
 between their own smallest and largest value, until a bin is small enough to count its values. All bounds are exact
 values of the data and all counts are integers, so any task that is run again finds the same bins.
 
-**Kolmogorov-Smirnov and rank-sum** need the cumulative counts of both samples at every value. Values are counted by value,
-cut into the bins of the histogram (by magnitude, so neither long tails nor outliers crowd them; a bin with very many rows
-again by equal width between its own bounds), and summed up within each bin; the bins' offsets come from the bins' totals.
-The values are shuffled twice (by value, which combines equal ones map-side, and by bin).
+**Kolmogorov-Smirnov and rank-sum** need the cumulative counts of both samples at every value, and so do the medians of a comparison. The
+histogram by magnitude (one pass) brackets all of them: it gives the counts before each bin exactly, and the whole content of bins that hold a
+single value. One more pass counts the values of the other bins, each summed up inside its bin; a bin with very many rows is cut again by
+equal width between its own bounds first. Values are combined map-side before they are shuffled.
 
-* Kolmogorov-Smirnov D = max |F_a - F_b|, asymptotic p;
-* Wilcoxon rank-sum W = R_a - n_a(n_a+1)/2 with average ranks of ties; normal approximation with tie
-  correction and 0.5 continuity correction.
+* Kolmogorov-Smirnov D = max |F_a - F_b|; p from the lattice paths when n_a * n_b < 10000, else asymptotic;
+* Wilcoxon rank-sum W = R_a - n_a(n_a+1)/2 with average ranks of ties; p from the counts of the statistic when both samples have fewer than 50
+  values and no two are equal, else the normal approximation with tie and 0.5 continuity correction.
 
-p-values are always asymptotic; small-sample exact p-values of R are not computed (SURVEY "Not built").
+These are R's defaults; ``exact=True`` takes the exact p wherever it is defined, ``exact=False`` never.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.functions.statfns import kolmogorov_p_sql, p_text, signed_text, stars, two_sided_normal_p_sql
+from kinfold.functions.statfns import exact_ks_p_sql, exact_rank_sum_p_sql, kolmogorov_p_sql, p_text, signed_text, stars, two_sided_normal_p_sql
 from kinfold.operators.joins import join_by, local_copy
 from kinfold.operators.reshape import unpivot_long
 
@@ -32,6 +32,8 @@ BINS_PER_OCTAVE = 64   # bins for each doubling of the magnitude
 SUB_BINS = 1024        # bins of equal width inside a bin that holds a wanted rank
 COUNTED_ROWS = 200_000  # rows of a bin that is not cut again
 LOCAL_ROWS = 200_000   # rows of a table of bins that may pass through the driver
+# R computes exact p-values below these sizes (pairs of values; values of each sample).
+EXACT_KS_PAIRS, EXACT_RANK_SUM = 10_000, 50
 # Display names of the compared metrics in the study notebook (CND9).
 METRIC_LABELS = {"resting_hr": "Resting Heart Rate (bpm)", "rmssd_detail": "RMSSD Detail (ms)"}
 ANNOTATION_HEADROOM = 1.05  # label height = 1.05 x the metric's maximum
@@ -132,32 +134,49 @@ def _refined(vals: DataFrame, bins: DataFrame, g: list[str]) -> DataFrame:
     return _ranked_bins(hist.select(*g, F.col("b.lo").alias("outer"), "bin", "n", "lo", "hi", F.col("b.wanted").alias("wanted")), g, ["outer"])
 
 
-def cumulate(counts: DataFrame, groups: Sequence[str], count_cols: Sequence[str], histogram: DataFrame) -> DataFrame:
-    """Add ``cum_<c>``: rows of the group with value <= v, for every count column (distributed prefix sum).
+def cumulative_counts(rows: DataFrame, groups: Sequence[str], histogram: DataFrame) -> DataFrame:
+    """(groups, v, c_a, c_b, cum_a, cum_b): for each value of a group its rows in the samples ``__a`` and not ``__a``, and the rows
+    with a value of at most v.
 
-    ``counts`` holds one row per (groups, v) with non-NULL v, ``histogram`` the (groups, bin, n, lo, hi) of the same values by
-    ``magnitude_bin``. A window runs inside each bin, or inside the parts of a bin with more than ``COUNTED_ROWS`` rows;
-    the offsets come from the bins' totals.
+    ``rows`` holds (groups, __a, v) with non-NULL v, ``histogram`` the (groups, bin, n_a, n_b, lo, hi) of all of them by ``magnitude_bin``.
+    One pass over ``rows``, and one more over the bins with over ``COUNTED_ROWS`` rows, if there are any.
     """
-    g = list(groups)
-    full = small_table(histogram.where((F.col("n") > COUNTED_ROWS) & (F.col("lo") < F.col("hi"))).select(
-        *g, F.col("bin").alias("__bin"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi")))
-    c = join_by(counts.withColumn("__bin", magnitude_bin(F.col("v"))), full, [*g, "__bin"], how="left", null_safe=True)
-    c = c.withColumn("__sub", width_bin(F.col("v"), F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
-    at = ["__bin", "__sub"]
-    tot = c.groupBy(*g, *at).agg(*[F.sum(x).alias(f"__t_{x}") for x in count_cols])
-    before = Window.partitionBy(*g).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
-    off = small_table(tot.select(*g, *at, *[F.coalesce(F.sum(f"__t_{x}").over(before), F.lit(0)).alias(f"__o_{x}")
-                                            for x in count_cols]))
-    c = join_by(c, off, [*g, *at], how="inner", null_safe=True)
-    upto = Window.partitionBy(*g, *at).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = c.withColumns({f"cum_{x}": F.col(f"__o_{x}") + F.sum(x).over(upto) for x in count_cols})
-    return c.drop(*at, *[f"__o_{x}" for x in count_cols])
-
-
-def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups: Sequence[str] = ("metric",)) -> DataFrame:
+    g, leaf = list(groups), ["__bin", "__sub"]
+    counted = [F.count_if(F.col("__a")).alias("n_a"), F.count_if(~F.col("__a")).alias("n_b")]
+    bins = histogram.withColumnRenamed("bin", "__bin")
+    crowded = (F.col("n_a") + F.col("n_b") > COUNTED_ROWS) & (F.col("lo") < F.col("hi"))
+    full = small_table(bins.where(crowded).select(*g, "__bin", F.col("lo").alias("__lo"), F.col("hi").alias("__hi")))
+    cut = not full.isEmpty()
+    x = rows.withColumn("__bin", magnitude_bin(F.col("v")))
+    leaves = bins.withColumn("__sub", F.lit(0).cast("long"))
+    if cut:
+        sub = width_bin(F.col("v"), F.col("__lo"), F.col("__hi"))
+        inner = join_by(x, full, [*g, "__bin"], how="inner", null_safe=True).groupBy(*g, "__bin", sub.alias("__sub")).agg(*counted, F.min("v").alias("lo"), F.max("v").alias("hi"))
+        leaves = leaves.where(~crowded).unionByName(small_table(inner))
+        x = join_by(x, full, [*g, "__bin"], how="left", null_safe=True).withColumn("__sub", sub).drop("__lo", "__hi")
+    else:
+        x = x.withColumn("__sub", F.lit(0).cast("long"))
+    before = Window.partitionBy(*g).orderBy(*leaf).rowsBetween(Window.unboundedPreceding, -1)
+    leaves = small_table(leaves.withColumns({f"before_{c}": F.coalesce(F.sum(f"n_{c}").over(before), F.lit(0)) for c in "ab"}))
+    alone = leaves.where("lo = hi").select(*g, F.col("lo").alias("v"), F.col("n_a").alias("c_a"), F.col("n_b").alias("c_b"),
+                                           (F.col("before_a") + F.col("n_a")).alias("cum_a"), (F.col("before_b") + F.col("n_b")).alias("cum_b"))
+    mixed = leaves.where("lo < hi").select(*g, *leaf, "before_a", "before_b")
+    counts = join_by(x, mixed.drop("before_a", "before_b"), [*g, *leaf], how="left_semi", null_safe=True)
+    counts = counts.groupBy(*g, *leaf, "v").agg(*[c.alias(n) for c, n in zip((F.count_if(F.col("__a")), F.count_if(~F.col("__a"))), ("c_a", "c_b"))])
+    upto = Window.partitionBy(*g, *leaf).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    many = join_by(counts, mixed, [*g, *leaf], how="inner", null_safe=True)
+    many = many.select(*g, "v", "c_a", "c_b", *[(F.col(f"before_{c}") + F.sum(f"c_{c}").over(upto)).alias(f"cum_{c}") for c in "ab"])
+    return alone.unionByName(many)
+
+
+def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups: Sequence[str] = ("metric",),
+               exact: bool | None = None) -> DataFrame:
     """Per group: n (rows incl. NULL values), means and medians of the non-NULL values of samples ``a`` and
-    ``b`` of ``group_col``; KS statistic and p; Wilcoxon W and p (AGG13, AGG16, AGG17; both p asymptotic)."""
+    ``b`` of ``group_col``; KS statistic and p; Wilcoxon W and p (AGG13, AGG16, AGG17).
+
+    ``exact``: None takes R's rule (module docstring); True the exact p of any size (its work grows with n_a * n_b, that of the rank sum with
+    its square) where it is defined; False the asymptotic p. ``df`` is read twice.
+    """
     g = list(groups)
     side = F.col(group_col)
     rows = df.where(side.isin(a, b)).select(*g, (side == F.lit(a)).alias("__a"), _clean(value).alias("v"))
@@ -174,21 +193,29 @@ def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups
         total("n", in_a & there).alias("n_a"), total("n", ~in_a & there).alias("n_b"),
         F.try_divide(F.sum(F.when(in_a, F.col("s"))), F.sum(F.when(in_a & there, F.col("n")))).alias("mean_a"),
         F.try_divide(F.sum(F.when(~in_a, F.col("s"))), F.sum(F.when(~in_a & there, F.col("n")))).alias("mean_b"))
-    middle = quantiles(rows, [*g, "__a"], "v", [0.5], ["median"], hist.where("bin IS NOT NULL").drop("s"))
-    medians = middle.groupBy(*g).agg(F.max(F.when(in_a, F.col("median"))).alias("median_a"), F.max(F.when(~in_a, F.col("median"))).alias("median_b"))
-    known = small_table(join_by(sizes, medians, g, how="left", null_safe=True))
-    counts = rows.where("v IS NOT NULL").groupBy(*g, "v").agg(F.count_if(F.col("__a")).alias("c_a"), F.count_if(~F.col("__a")).alias("c_b"))
-    both = hist.where(there).groupBy(*g, "bin").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    cum = join_by(cumulate(counts, g, ["c_a", "c_b"], both), known.select(*g, "n_a", "n_b"), g, how="inner", null_safe=True)
+    both = hist.where(there).groupBy(*g, "bin").agg(total("n", in_a).alias("n_a"), total("n", ~in_a).alias("n_b"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    cum = join_by(cumulative_counts(rows.where("v IS NOT NULL"), g, both), sizes.select(*g, "n_a", "n_b"), g, how="inner", null_safe=True)
+
+    def ranked(c: str, rank: Column) -> Column:
+        """The value with a rank (from 1) in a sample."""
+        return F.max(F.when((F.col(f"cum_{c}") >= rank) & (F.col(f"cum_{c}") - F.col(f"c_{c}") < rank), F.col("v")))
+
+    def middle(c: str) -> Column:
+        low, high = ranked(c, F.floor((F.col(f"n_{c}") + 1) / 2)), ranked(c, F.floor(F.col(f"n_{c}") / 2) + 1)
+        return F.when(low == high, low).otherwise(low + (high - low) / 2)
 
     t = F.col("c_a") + F.col("c_b")
-    avg_rank = (F.col("cum_c_a") + F.col("cum_c_b") - t).cast("double") + (t + 1).cast("double") / 2
+    avg_rank = (F.col("cum_a") + F.col("cum_b") - t).cast("double") + (t + 1).cast("double") / 2
+    few = F.lit(bool(exact)) if exact is not None else F.col("n_a") * F.col("n_b") < EXACT_KS_PAIRS
     parts = cum.groupBy(*g).agg(
         # a sample without values (n = 0) gives NULL statistics instead of an ANSI division error
-        F.max(F.abs(F.try_divide(F.col("cum_c_a"), F.col("n_a")) - F.try_divide(F.col("cum_c_b"), F.col("n_b")))).alias("ks_statistic"),
+        F.max(F.abs(F.try_divide(F.col("cum_a"), F.col("n_a")) - F.try_divide(F.col("cum_b"), F.col("n_b")))).alias("ks_statistic"),
         F.sum(F.col("c_a") * avg_rank).alias("rank_sum_a"),
-        F.sum(F.pow(t.cast("double"), 3) - t.cast("double")).alias("ties"))  # double: t^3 overflows bigint
-    out = join_by(known, parts, g, how="left", null_safe=True)
+        F.sum(F.pow(t.cast("double"), 3) - t.cast("double")).alias("ties"),  # double: t^3 overflows bigint
+        middle("a").alias("median_a"), middle("b").alias("median_b"),
+        # the pooled order, for samples with an exact p only: how many values are equal, from the smallest up
+        F.transform(F.array_sort(F.collect_list(F.when(few, F.struct("v", t.cast("int").alias("t"))))), lambda x: x["t"]).alias("__equal"))
+    out = join_by(sizes, parts, g, how="left", null_safe=True)
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = na + nb
     w = F.col("rank_sum_a") - na * (na + 1) / 2
@@ -196,10 +223,14 @@ def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups
     sigma = F.sqrt(na * nb / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
     z = F.try_divide(centred - F.signum(centred) * 0.5, sigma)  # all values tied: sigma = 0, p is NULL
     out = out.withColumns({"__ks_z": F.sqrt(F.try_divide(na * nb, n)) * F.col("ks_statistic"),
-                           "wilcox_statistic": w, "__sigma": sigma, "__wz": z})
+                           "wilcox_statistic": w, "__sigma": sigma, "__wz": z,
+                           "__breaks": F.flatten(F.transform("__equal", lambda k: F.concat(F.array_repeat(F.lit(False), k - 1), F.array(F.lit(True)))))})
+    exact_ks, exact_w = {None: (f"n_a * n_b < {EXACT_KS_PAIRS}", f"n_a < {EXACT_RANK_SUM} AND n_b < {EXACT_RANK_SUM}"), True: ("true", "true"), False: ("false", "false")}[exact]
     out = out.withColumns({
-        "ks_p": F.expr(kolmogorov_p_sql("__ks_z")),
-        "wilcox_p": F.expr(f"CASE WHEN `__sigma` > 0 THEN {two_sided_normal_p_sql('__wz')} END"),
+        "ks_p": F.expr(f"CASE WHEN n_a > 0 AND n_b > 0 AND {exact_ks} THEN {exact_ks_p_sql('ks_statistic', 'n_a', 'n_b', '__breaks')} "
+                       f"ELSE {kolmogorov_p_sql('__ks_z')} END"),
+        "wilcox_p": F.expr(f"CASE WHEN n_a > 0 AND n_b > 0 AND ties = 0 AND {exact_w} THEN {exact_rank_sum_p_sql('wilcox_statistic', 'n_a', 'n_b')} "
+                           f"WHEN `__sigma` > 0 THEN {two_sided_normal_p_sql('__wz')} END"),
     })
     return out.select(*g, "rows_a", "rows_b", "n_a", "n_b", "mean_a", "mean_b", "median_a", "median_b",
                       "ks_statistic", "ks_p", "wilcox_statistic", "wilcox_p", "max_val")
@@ -207,12 +238,13 @@ def two_sample(df: DataFrame, group_col: str, a, b, value: str = "value", groups
 
 def compare_groups(df: DataFrame, group_col: str, a, b, value_cols: Sequence[str],
                    labels: dict[str, str] | None = None, pre_aggregate_by: str | None = None,
-                   digits: int = 9) -> DataFrame:
+                   digits: int = 9, exact: bool | None = None) -> DataFrame:
     """Year-over-year table of the study notebook (API14) from a wide table.
 
     ``pre_aggregate_by`` (Q18): a column (a day) over which each value column is averaged within its group first, so that
     a value repeated on every detail row of a day counts once. The averages are rounded to ``digits`` decimals: equal days
-    then tie, whatever the order in which their rows were added up.
+    then tie, whatever the order in which their rows were added up. ``df`` is then read once if the averages fit into a local table.
+    ``exact`` as in ``two_sample``.
 
     Wide -> long over ``value_cols`` (RSH1), metric relabelled (unmapped names kept), then per metric:
     ``two_sample`` + differences (b - a), p texts, significance stars, the annotation text, and the
@@ -220,7 +252,7 @@ def compare_groups(df: DataFrame, group_col: str, a, b, value_cols: Sequence[str
     """
     df = df.where(F.col(group_col).isin(a, b))
     if pre_aggregate_by:
-        df = df.groupBy(group_col, pre_aggregate_by).agg(*[F.round(F.avg(f"`{c}`"), digits).alias(c) for c in value_cols])
+        df = small_table(df.groupBy(group_col, pre_aggregate_by).agg(*[F.round(F.avg(f"`{c}`"), digits).alias(c) for c in value_cols]))
     long = unpivot_long(df, [group_col], value_cols, "metric", "value")
     if labels:
         pairs = []
@@ -228,7 +260,7 @@ def compare_groups(df: DataFrame, group_col: str, a, b, value_cols: Sequence[str
             pairs += [F.lit(k), F.lit(v)]
         long = long.withColumn("metric", F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("metric")),
                                                     F.col("metric")))
-    res = two_sample(long, group_col, a, b, "value", ["metric"])
+    res = two_sample(long, group_col, a, b, "value", ["metric"], exact)
     mean_diff = F.col("mean_b") - F.col("mean_a")
     median_diff = F.col("median_b") - F.col("median_a")
     res = res.withColumns({"mean_diff": mean_diff, "median_diff": median_diff})

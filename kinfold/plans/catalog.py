@@ -356,8 +356,8 @@ def q_period_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API14 on a combined series of two periods, with labels (CND9) and one value for each day (Q18)."""
     day = combined_day(spark, sf_dir)
     cut = F.lit(PERIOD_CUT).cast("date")
-    earlier = day.where(F.col("file_date") < cut).withColumn("file_date", F.add_months("file_date", 12 * (EARLIER_YEAR - LATER_YEAR)))
-    both = bind_rows([day.where(F.col("file_date") >= cut), earlier]).withColumn("year", F.year("file_date"))
+    moved = F.when(F.col("file_date") < cut, F.add_months("file_date", 12 * (EARLIER_YEAR - LATER_YEAR))).otherwise(F.col("file_date"))
+    both = day.withColumn("file_date", moved).withColumn("year", F.year("file_date"))
     return rounded(compare_groups(both, "year", EARLIER_YEAR, LATER_YEAR, ["resting_hr", "rmssd_detail"],
                                   labels=METRIC_LABELS, pre_aggregate_by="file_date"))
 

@@ -606,6 +606,39 @@ ts AS (SELECT r.{g}, r.rows_a, r.rows_b, w.n_a, w.n_b, w.mean_a, w.mean_b, w.med
        FROM rows_t r LEFT JOIN w3 w ON r.{g} = w.{g})"""
 
 
+def _exact_p(g: str) -> str:
+    """CTE ``te``: ``ts`` of small samples with exact p-values, by counting ranks dealt one by one (rank sum, if no values tie) and lattice
+    paths that stay inside the statistic's bound, step by step (KS)."""
+    return f"""
+small AS (SELECT {g}, n_a, n_b, wilcox_statistic AS w, floor(ks_statistic * n_a * n_b - 1e-7) + 1 AS bound FROM ts WHERE n_a * n_b < 10000),
+ends AS (SELECT {g}, cum_a + cum_b AS k, max(c_a + c_b) OVER (PARTITION BY {g}) AS most FROM cum),
+dealt AS (
+  SELECT {g}, 0 AS r, 0 AS j, 0 AS s, 1.0::DOUBLE AS ways FROM small
+  UNION ALL
+  SELECT {g}, r, j, s, sum(ways) FROM (
+    SELECT d.{g}, r + 1 AS r, j + take AS j, s + CASE WHEN take = 1 THEN r - j ELSE 0 END AS s, ways
+    FROM dealt d JOIN small m ON d.{g} = m.{g}, (VALUES (0), (1)) AS t(take) WHERE r < n_a + n_b AND j + take <= n_a AND r + 1 - j - take <= n_b)
+  GROUP BY {g}, r, j, s
+),
+path AS (
+  SELECT {g}, 0 AS i, 0 AS j, 1.0::DOUBLE AS ways FROM small
+  UNION ALL
+  SELECT {g}, i, j, sum(ways) FROM (
+    SELECT p.{g}, i + di AS i, j + 1 - di AS j, ways, n_a, n_b, bound
+    FROM path p JOIN small m ON p.{g} = m.{g}, (VALUES (0), (1)) AS t(di) WHERE i + di <= n_a AND j + 1 - di <= n_b) q
+  WHERE abs(i * n_b - j * n_a) < bound OR NOT EXISTS (SELECT 1 FROM ends e WHERE e.{g} = q.{g} AND e.k = i + j)
+  GROUP BY {g}, i, j
+),
+ranked AS (SELECT d.{g}, sum(ways) FILTER (s <= least(w, n_a * n_b - w)) AS low, sum(ways) AS ways
+           FROM dealt d JOIN small m ON d.{g} = m.{g} AND d.r = n_a + n_b GROUP BY d.{g}),
+stayed AS (SELECT p.{g}, ways FROM path p JOIN small m ON p.{g} = m.{g} AND i = n_a AND j = n_b),
+te AS (SELECT ts.* REPLACE (
+         CASE WHEN r.ways IS NULL THEN ks_p ELSE 1 - coalesce(s.ways, 0) / r.ways END AS ks_p,
+         CASE WHEN r.ways IS NULL OR most > 1 THEN wilcox_p ELSE least(1, 2 * low / r.ways) END AS wilcox_p)
+       FROM ts LEFT JOIN ranked r ON ts.{g} = r.{g} LEFT JOIN stayed s ON ts.{g} = s.{g}
+       LEFT JOIN (SELECT DISTINCT {g}, most FROM ends) m ON ts.{g} = m.{g})"""
+
+
 _TS_COLS = ("rows_a", "rows_b", "n_a", "n_b", "mean_a", "mean_b", "median_a", "median_b", "ks_statistic", "ks_p",
             "wilcox_statistic", "wilcox_p", "max_val")
 
@@ -634,10 +667,10 @@ FROM fin
 """
 
 SQL["two_sample_events"] = f"""
-WITH long AS (SELECT CASE WHEN day(ts) <= 15 THEN 'early' ELSE 'late' END AS grp, event_type,
+WITH RECURSIVE long AS (SELECT CASE WHEN day(ts) <= 15 THEN 'early' ELSE 'late' END AS grp, event_type,
                      CAST(value AS DOUBLE) AS value FROM events),
-{_two_sample('long', 'event_type', "'early'", "'late'")}
-SELECT {_ts_select('event_type')} FROM ts
+{_two_sample('long', 'event_type', "'early'", "'late'")},{_exact_p('event_type')}
+SELECT {_ts_select('event_type')} FROM te
 """
 
 SQL["box_numbers"] = """
@@ -901,7 +934,7 @@ FROM p_readiness WHERE file_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'
 # ---------------------------------------------------------------- two periods of a combined series
 
 SQL["period_compare"] = f"""
-WITH {SERIES.lstrip()},
+WITH RECURSIVE {SERIES.lstrip()},
 day_values AS (
   SELECT CASE WHEN file_date >= DATE '2024-01-16' THEN 2024 ELSE 2022 END AS grp, file_date,
          round(avg(resting_hr), 9) AS resting_hr, round(avg(rmssd_detail), 9) AS rmssd_detail
@@ -909,8 +942,8 @@ day_values AS (
 ),
 long AS (SELECT grp, 'Resting Heart Rate (bpm)' AS metric, resting_hr AS value FROM day_values
          UNION ALL SELECT grp, 'RMSSD Detail (ms)', rmssd_detail FROM day_values),
-{_two_sample('long', 'metric', '2022', '2024')},
-fin AS (SELECT *, mean_b - mean_a AS mean_diff, median_b - median_a AS median_diff FROM ts)
+{_two_sample('long', 'metric', '2022', '2024')},{_exact_p('metric')},
+fin AS (SELECT *, mean_b - mean_a AS mean_diff, median_b - median_a AS median_diff FROM te)
 SELECT {_ts_select('metric')}, round(mean_diff, 6) AS mean_diff, round(median_diff, 6) AS median_diff,
        {_p_text('ks_p')} AS ks_p_formatted, {_p_text('wilcox_p')} AS wilcox_p_formatted,
        {_stars('ks_p')} AS ks_significance, {_stars('wilcox_p')} AS wilcox_significance,

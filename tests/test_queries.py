@@ -84,7 +84,8 @@ SCANS = {
     "stress_totals": {"events": 2},
     "combine_hour": {"events": 2},
     "box_numbers": {"lineitem": 3},  # histogram, counted bins, fences
-    "year_compare": {"lineitem": 4},  # histogram, counted bins, cumulative counts, and their totals
+    "year_compare": {"lineitem": 2},  # histogram, cumulative counts
+    "two_sample_events": {"events": 2},
 }
 
 

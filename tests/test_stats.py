@@ -3,6 +3,7 @@
 Small limits force several rounds of bins, and tables of bins that do not pass through the driver.
 """
 
+import itertools
 import math
 import random
 
@@ -54,7 +55,7 @@ def test_two_sample_against_brute_force(spark, limits):
                 rows.append((metric, g, v))
         rows.append((metric, "a", None))  # a NULL value counts as a row, not as a value
     df = spark.createDataFrame(rows, "metric string, grp string, value double")
-    got = {r.metric: r for r in two_sample(df, "grp", "a", "b", "value", ["metric"]).collect()}
+    got = {r.metric: r for r in two_sample(df, "grp", "a", "b", "value", ["metric"], exact=False).collect()}
     for metric in ("ties", "cont", "shift"):
         xa = [v for m, g, v in rows if m == metric and g == "a" and v is not None]
         xb = [v for m, g, v in rows if m == metric and g == "b" and v is not None]
@@ -156,9 +157,77 @@ def test_quantiles_of_any_shape(spark, limits):
         assert (r.q1, r.med) == pytest.approx(tuple(np.percentile(x, [25, 50])), rel=1e-12)
 
 
-def test_cumulate_equals_a_running_count(spark, limits):
-    vals = [float(i) / 7 for i in range(-100, 300)] + [1e9, -1e9]
-    counts = spark.createDataFrame([("g", v, 1) for v in vals], "grp string, v double, c long")
-    hist = _histogram(counts).withColumn("grp", F.lit("g"))
-    got = {r.v: r.cum_c for r in stats.cumulate(counts, ["grp"], ["c"], hist).collect()}
-    assert [got[v] for v in sorted(vals)] == list(range(1, len(vals) + 1))
+def test_cumulative_counts_equal_running_counts(spark, limits):
+    vals = [float(i) / 7 for i in range(-100, 300)] + [1e9, -1e9] + [5.0] * 30
+    rows = spark.createDataFrame([("g", i % 3 == 0, v) for i, v in enumerate(vals)], "grp string, __a boolean, v double")
+    hist = rows.groupBy("grp", stats.magnitude_bin(F.col("v")).alias("bin")).agg(
+        F.count_if("__a").alias("n_a"), F.count_if(~F.col("__a")).alias("n_b"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    got = {r.v: (r.c_a, r.c_b, r.cum_a, r.cum_b) for r in stats.cumulative_counts(rows, ["grp"], hist).collect()}
+    ab = [[v for i, v in enumerate(vals) if (i % 3 == 0) == side] for side in (True, False)]
+    assert got == {v: (*(x.count(v) for x in ab), *(sum(y <= v for y in x) for x in ab)) for v in set(vals)}
+
+
+def _permuted(xa, xb):
+    """Exact two-sided p of the rank sum and of KS: over all ways to deal the pooled values to the samples."""
+    pooled, na = sorted(xa + xb), len(xa)
+    low = {}
+    for i, v in enumerate(pooled):
+        low.setdefault(v, []).append(i + 1)
+    mean_rank = [sum(low[v]) / len(low[v]) for v in pooled]
+
+    def figures(chosen):
+        w = sum(mean_rank[i] for i in chosen) - na * (na + 1) / 2
+        a, b = [pooled[i] for i in chosen], [pooled[i] for i in range(len(pooled)) if i not in chosen]
+        return w, max(abs(sum(x <= v for x in a) / len(a) - sum(x <= v for x in b) / len(b)) for v in low)
+    first, used = [], set()
+    for v in xa:  # one way to see the given samples
+        i = next(i for i, x in enumerate(pooled) if x == v and i not in used)
+        used.add(i)
+        first.append(i)
+    w, d = figures(set(first))
+    draws = [figures(set(c)) for c in itertools.combinations(range(len(pooled)), na)]
+    tail = min(sum(x <= w for x, _ in draws), sum(x >= w for x, _ in draws)) / len(draws)
+    return min(1.0, 2 * tail), sum(x >= d - 1e-9 for _, x in draws) / len(draws)
+
+
+def test_exact_p_against_all_permutations(spark):
+    rnd, rows, want = random.Random(2), [], {}
+    for k, (na, nb) in enumerate(((1, 1), (1, 5), (4, 4), (3, 7), (6, 5), (7, 2), (6, 6), (5, 6))):
+        for ties in (False, True):
+            draw = (lambda: float(rnd.randint(1, 5))) if ties else (lambda: rnd.random())
+            xa, xb = [draw() for _ in range(na)], [draw() + 0.2 * (k % 2) * (not ties) for _ in range(nb)]
+            name = f"{na} {nb} {ties} {k}"
+            want[name] = (*_permuted(xa, xb), len(set(xa + xb)) == na + nb)
+            rows += [(name, "a", v) for v in xa] + [(name, "b", v) for v in xb]
+    df = spark.createDataFrame(rows, "metric string, grp string, value double")
+    for r in two_sample(df, "grp", "a", "b").collect():
+        w, ks, distinct = want[r.metric]
+        assert r.ks_p == pytest.approx(ks, abs=1e-12), r.metric
+        assert not distinct or r.wilcox_p == pytest.approx(w, abs=1e-12), r.metric
+
+
+def test_exact_p_of_stored_examples(spark):
+    """Values printed in R's help pages and tables of the two tests."""
+    x = [0.80, 0.83, 1.89, 1.04, 1.45, 1.38, 1.91, 1.64, 0.73, 1.46]
+    y = [1.15, 0.88, 0.90, 0.74, 1.21]
+    df = spark.createDataFrame([("m", "x", v) for v in x] + [("m", "y", v) for v in y], "metric string, grp string, value double")
+    r = two_sample(df, "grp", "x", "y").first()
+    assert (r.wilcox_statistic, round(r.wilcox_p, 4)) == (35.0, 0.2544)  # help page of the rank-sum test: one-sided 0.1272
+    apart = [("z", "x", float(i)) for i in range(20)] + [("z", "y", 100.0 + i) for i in range(20)]
+    r = two_sample(spark.createDataFrame(apart, "metric string, grp string, value double"), "grp", "x", "y").first()
+    assert r.wilcox_p == pytest.approx(2 / math.comb(40, 20), rel=1e-12) and r.ks_p == pytest.approx(2 / math.comb(40, 20), rel=1e-9)
+
+
+def test_exact_rule(spark):
+    """R's rule: rank sum below 50 values a side without ties, KS below 10000 pairs; ``exact`` overrides it."""
+    rnd = random.Random(8)
+    sizes = {"small": (49, 49), "long side": (49, 50), "pairs": (100, 99), "large": (100, 100)}
+    rows = [(k, s, rnd.random() + (s == "b") * 0.1) for k, (a, b) in sizes.items() for s, n in (("a", a), ("b", b)) for _ in range(n)]
+    df = spark.createDataFrame(rows, "metric string, grp string, value double")
+    default, never = ({r.metric: r for r in two_sample(df, "grp", "a", "b", exact=e).collect()} for e in (None, False))
+    assert {k for k in sizes if default[k].wilcox_p != never[k].wilcox_p} == {"small"}
+    assert {k for k in sizes if default[k].ks_p != never[k].ks_p} == {"small", "long side", "pairs"}
+    always = two_sample(df.where("metric = 'long side'"), "grp", "a", "b", exact=True).first()
+    assert always.wilcox_p != never["long side"].wilcox_p and always.wilcox_p == pytest.approx(never["long side"].wilcox_p, abs=0.01)
+    for k in ("small", "pairs"):
+        assert default[k].ks_p == pytest.approx(never[k].ks_p, abs=0.08)
