@@ -22,11 +22,11 @@ from kinfold.operators.scoring import (enrich, enriched_long, enriched_overview,
                                       score_totals, topic_rows, topic_slice, topic_slices)
 from kinfold.operators.reshape import bind_rows, dropped_keys, sample_rows
 from kinfold.operators.series import align_daily, combine_series, daily_mean_vs_first, scaled_pair
-from kinfold.operators.stats import METRIC_LABELS, box_numbers, compare_groups, two_sample
+from kinfold.operators.stats import METRIC_LABELS, box_numbers, compare_groups, two_sample, violin_density
 from kinfold.operators.summary import enrollment_summary
 from kinfold.plans import study
 from kinfold.plans.tables import table
-from kinfold.sources.envelope import PARTICIPANT_SCHEMA, SURVEY_SCHEMA, explode_envelope
+from kinfold.sources.envelope import PARTICIPANT_SCHEMA, SURVEY_SCHEMA, decode_envelope, explode_envelope
 from kinfold.sources.wearables import decode_readiness, decode_resting_hr, hrv_days, index_files
 
 DIGITS = 6
@@ -309,6 +309,13 @@ def q_envelope_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_envelope(study.survey_pages(spark, sf_dir), SURVEY_SCHEMA)
 
 
+@register("envelope_rejects")
+def q_envelope_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1, SRC2: records and bad responses of pages of which some are cut short, doubled, blank or error messages."""
+    found = decode_envelope(study.damaged_pages(spark, sf_dir), PARTICIPANT_SCHEMA, keep=["page"])
+    return found.groupBy("page", "reject_reason").agg(F.count("_id").alias("records"), F.count("reject_text").alias("texts"))
+
+
 @register("hrv_index")
 def q_hrv_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_files(study.hrv_files(spark, sf_dir).select("owner", "path"), EXPORT_START, EXPORT_END, keys=["owner"])
@@ -382,6 +389,11 @@ def q_box_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(box_numbers(lineitem_years(spark, sf_dir), ["year"], "l_extendedprice"))
 
 
+@register("violin_density")
+def q_violin_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rounded(violin_density(lineitem_years(spark, sf_dir), ["year"], "l_extendedprice"), 12), 9)
+
+
 # ---------------------------------------------------------------- refresh time (API15)
 
 @register("last_refresh")

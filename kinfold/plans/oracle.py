@@ -953,3 +953,33 @@ SELECT {_ts_select('metric')}, round(mean_diff, 6) AS mean_diff, round(median_di
        round(max_val * 1.05, 6) AS y_pos, 1.5 AS x_pos
 FROM fin
 """
+
+SQL["violin_density"] = """
+WITH v AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem
+           WHERE l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice) AND NOT isinf(l_extendedprice)),
+s AS (SELECT year, count(*) AS n, stddev_samp(x) AS sd, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr, min(x) AS lo, max(x) AS hi FROM v GROUP BY year),
+b AS (SELECT *, 0.9 * coalesce(nullif(least(sd, iqr / 1.34), 0), nullif(sd, 0), nullif(abs(lo), 0), 1) * power(n, -0.2) AS bw FROM s WHERE n > 1),
+f AS (SELECT *, lo - 3 * bw AS a, hi + 3 * bw AS z, (hi - lo + 14 * bw) / 511 AS step FROM b),
+p AS (SELECT v.year, (x - (a - 4 * bw)) / step AS pos FROM v JOIN f ON v.year = f.year),
+w AS (SELECT year, i, sum(w) AS w FROM (
+        SELECT year, CAST(floor(pos) AS INTEGER) AS i, 1 - (pos - floor(pos)) AS w FROM p
+        UNION ALL SELECT year, CAST(floor(pos) AS INTEGER) + 1, pos - floor(pos) FROM p) GROUP BY year, i),
+g AS (SELECT f.year, k, sum(w * exp(-0.5 * power((k - i) * step / bw, 2))) / (n * bw * sqrt(2 * pi())) AS d
+      FROM f JOIN w ON w.year = f.year, range(512) AS r(k) GROUP BY f.year, k, n, bw),
+o AS (SELECT year, n, bw, point, a + point * (z - a) / 511 AS y, (a + point * (z - a) / 511 - (a - 4 * bw)) / step AS pos FROM f, range(512) AS r(point)),
+d AS (SELECT o.year, o.n, bw, point, y, g.d + (pos - floor(pos)) * (h.d - g.d) AS density
+      FROM o JOIN g ON g.year = o.year AND g.k = floor(pos) JOIN g h ON h.year = o.year AND h.k = floor(pos) + 1)
+SELECT year, n, round(round(bw, 12), 9) AS bw, CAST(point AS INTEGER) AS point, round(round(y, 12), 9) AS y, round(round(density, 12), 9) AS density,
+       round(round(density / max(density) OVER (), 12), 9) AS width FROM d
+"""
+
+SQL["envelope_rejects"] = f"""
+WITH {PARTICIPANTS_RAW.lstrip()},
+page AS (
+  SELECT CAST(substring(_id, 2) AS BIGINT) // 10 AS page, count(*) AS n FROM participants_raw GROUP BY 1)
+SELECT page, reason AS reject_reason, CASE WHEN reason IS NULL AND page % 9 <> 7 THEN n ELSE 0 END AS records,
+       CASE WHEN reason IS NULL OR page % 9 = 3 THEN 0 ELSE 1 END AS texts
+FROM (SELECT *, CASE page % 9 WHEN 1 THEN 'malformed or truncated' WHEN 2 THEN 'malformed or truncated' WHEN 3 THEN 'no text'
+                   WHEN 4 THEN 'no list pos data.data' WHEN 5 THEN 'no text' WHEN 6 THEN 'a record is no object' END AS reason FROM page)
+WHERE page % 9 <> 7
+"""

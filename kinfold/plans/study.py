@@ -257,6 +257,15 @@ def participant_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.unionByName(texts.sparkSession.range(1).select(F.lit('{"data": {"data": []}}').alias("text")))
 
 
+def damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page, text): ``participant_pages`` by number, most of them damaged by a fixed rule."""
+    p = participants_raw(spark, sf_dir)
+    page = F.floor(F.substring("_id", 2, 20).cast("long") / F.lit(10))
+    pages = p.groupBy(page.alias("page")).agg(F.to_json(F.struct(F.struct(F.sort_array(F.collect_list(F.struct("_id", "age"))).alias("data")).alias("data"))).alias("text"))
+    return pages.select("page", F.expr("""CASE page % 9 WHEN 1 THEN substring(text, 1, length(text) - 3) WHEN 2 THEN concat(text, text) WHEN 3 THEN NULL
+        WHEN 4 THEN '{"error": "token expired"}' WHEN 5 THEN ' ' WHEN 6 THEN '{"data": {"data": [5]}}' WHEN 7 THEN '{"data": {"data": []}}' ELSE text END""").alias("text"))
+
+
 def survey_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Response texts of ``PAGE`` survey records each."""
     r = surveys_raw(spark, sf_dir)

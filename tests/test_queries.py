@@ -86,6 +86,8 @@ SCANS = {
     "box_numbers": {"lineitem": 3},  # histogram, counted bins, fences
     "year_compare": {"lineitem": 2},  # histogram, cumulative counts
     "two_sample_events": {"events": 2},
+    "period_compare": {"events": 4},  # each of the four series once
+    "envelope_rejects": {"customer": 1},
 }
 
 

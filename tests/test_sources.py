@@ -7,8 +7,10 @@ import re
 import tempfile
 
 import pytest
+from pyspark.sql import Observation
 
 from kinfold.sources import wearables
+from kinfold.sources.envelope import PARTICIPANT_SCHEMA, decode_envelope
 from kinfold.sources.headered import csv_rows, read_by_header
 from kinfold.sources.wearables import DAILY_OWNER_PATTERN, OWNER_PATTERN
 from kinfold.sources import (hrv_file_index, load_hrv, load_readiness, load_resting_hr, read_dictionary,
@@ -234,3 +236,34 @@ def test_dictionary_by_name(spark):
     _write(root, "e.csv", "surveyname\ngen\n")
     with pytest.raises(ValueError, match="surveyversion"):
         read_dictionary(spark, os.path.join(root, "e.csv"))
+
+
+GOOD = '{"data": {"data": [{"_id": "1", "age": 3.5}, {"_id": "2", "age": "old"}]}, "n": 2}'
+BAD = {GOOD[:40]: "malformed or truncated", GOOD + "}": "malformed or truncated", GOOD + GOOD: "malformed or truncated", "nonsense": "malformed or truncated", None: "no text", " ": "no text",
+       '{"error": "token expired"}': "no list at data.data", '{"data": {"data": null}}': "no list at data.data", "[]": "no list at data.data",
+       '{"data": {"data": {"_id": 5}}}': "no list at data.data", '{"data": {"data": ["x"]}}': "a record is no object"}
+
+
+def test_bad_responses_are_counted_and_returned(spark):
+    texts = [GOOD, '{"data": {"data": []}}', *BAD]
+    df = spark.createDataFrame(list(enumerate(texts)), "at int, text string")
+    seen = Observation("responses")
+    rows = decode_envelope(df, PARTICIPANT_SCHEMA, keep=["at"], observation=seen).collect()
+    assert [(r._id, r.age, r.reject_reason, r.reject_text) for r in rows if r["at"] == 0] == [("1", 3.5, None, None), ("2", None, None, None)]
+    assert {texts[r["at"]]: (r.reject_reason, r.reject_text, r._id) for r in rows if r["at"] > 1} == {t: (why, t, None) for t, why in BAD.items()}
+    assert seen.get == {"responses": len(texts), "bad_responses": len(BAD), "records": 2} and all(r["at"] != 1 for r in rows)
+    assert [r._id for r in decode_envelope(df, PARTICIPANT_SCHEMA, on_bad="drop").collect()] == ["1", "2"]
+    assert decode_envelope(df.limit(0), PARTICIPANT_SCHEMA, on_bad="fail").count() == 0
+    with pytest.raises(ValueError):
+        decode_envelope(df, PARTICIPANT_SCHEMA, on_bad="ignore")
+
+
+def test_a_bad_response_stops_the_read(spark):
+    root = tempfile.mkdtemp(prefix="kinfold-bad-")
+    _write(root, "p/1.json", GOOD)
+    assert read_participants(spark, os.path.join(root, "p")).count() == 2
+    _write(root, "p/2.json", GOOD[:50])
+    with pytest.raises(Exception, match="bad response .malformed or truncated"):
+        read_participants(spark, os.path.join(root, "p")).collect()
+    bad = read_participants(spark, os.path.join(root, "p"), on_bad="reject").where("reject_reason IS NOT NULL").collect()
+    assert [(os.path.basename(r.path), r.reject_text) for r in bad] == [("2.json", GOOD[:50])]

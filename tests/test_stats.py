@@ -231,3 +231,33 @@ def test_exact_rule(spark):
     assert always.wilcox_p != never["long side"].wilcox_p and always.wilcox_p == pytest.approx(never["long side"].wilcox_p, abs=0.01)
     for k in ("small", "pairs"):
         assert default[k].ks_p == pytest.approx(never[k].ks_p, abs=0.08)
+
+
+def _outline(x, points=512):
+    """A Gaussian kernel density without a grid, at the outline's points."""
+    x = np.array(x)
+    sd, iqr = x.std(ddof=1), np.subtract(*np.percentile(x, [75, 25]))
+    bw = 0.9 * next(s for s in (min(sd, iqr / 1.34), sd, abs(x[0]), 1.0) if s) * len(x) ** -0.2
+    at = np.linspace(x.min() - 3 * bw, x.max() + 3 * bw, points)
+    return bw, at, np.exp(-0.5 * ((at[:, None] - x) / bw) ** 2).mean(axis=1) / (bw * math.sqrt(2 * math.pi))
+
+
+def test_violin_density(spark):
+    rnd = random.Random(6)
+    groups = {"a": [rnd.gauss(60, 5) for _ in range(300)], "b": [rnd.expovariate(0.1) for _ in range(80)], "two": [1.0, 4.0],
+              "equal": [3.0] * 7, "zero": [0.0] * 4, "mostly": [2.0] * 9 + [5.0]}
+    rows = [(k, v) for k, x in groups.items() for v in x] + [("one", 1.0), ("a", None), ("a", float("nan")), ("b", float("inf")), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double").withColumn("point", F.lit(1))
+    out = stats.violin_density(df, ["k"], "v").orderBy("k", "point").collect()
+    assert {r.k for r in out} == set(groups)
+    peak = 0
+    for k, x in groups.items():
+        bw, at, density = _outline(x)
+        got = [r for r in out if r.k == k]
+        peak = max(peak, max(r.density for r in got))
+        assert len(got) == 512 and {r.n for r in got} == {len(x)} and got[0].bw == pytest.approx(bw)
+        assert [r.y for r in got] == pytest.approx(at.tolist())
+        assert np.abs(np.array([r.density for r in got]) - density).max() < 0.01 * density.max()  # the grid's own error
+        assert sum(r.density for r in got) * (at[1] - at[0]) == pytest.approx(1, abs=0.01)
+    assert all(r.width == pytest.approx(r.density / peak) for r in out)
+    assert stats.violin_density(df.where("k = 'one'"), ["k"], "v").count() == 0
