@@ -34,6 +34,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegralType
+
+from kinfold.operators.joins import checked_broadcast
 
 from .batches import BASE, INVERSE, mixed, parts, powers, slices, span_hashes, written
 
@@ -50,15 +54,34 @@ RUN = 150_000
 RANGE_BYTES = 6 << 20
 #: Different suffixes of one anchor string that are compared in memory; up to SMALL_GROUP of them window by window.
 GROUP, SMALL_GROUP = 100_000, 400
-#: Bits of the text's hash that tell texts with one id apart.
-ROW_BITS = 17
 
 
-def documents_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, row, text): key is the id (NULL: before all others), row tells texts with one id apart."""
+def documents_of(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """((id, key, row, text), whether ``row`` tells documents apart): documents in the order of (key, row).
+
+    An integer id is the key (NULL: before all others) and ``row`` is 0 unless several rows have that id. Those, and all documents of any other type
+    of id, are numbered in the order of id, hash and length of the text: the number is the row. Only repeated ids cost more than a count of
+    the ids. Numbers are written, so that they stay as they are when a task runs again.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return df.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).select(
-        "id", F.coalesce("id", F.lit(-(1 << 63))).alias("key"), F.pmod(F.xxhash64("text"), F.lit(1 << ROW_BITS)).cast("int").alias("row"), "text")
+    docs = df.select(F.col(id_col).alias("id"), text.alias("text"))
+    integral = isinstance(docs.schema["id"].dataType, IntegralType)
+    key = F.coalesce(F.col("id").cast("long"), F.lit(-(1 << 63))) if integral else F.lit(0).cast("long")
+    if integral:
+        twice = docs.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
+        if twice.isEmpty():
+            return docs.select("id", key.alias("key"), F.lit(0).cast("long").alias("row"), "text"), False
+        some = docs.join(checked_broadcast(written(twice)), key == F.col("k"), "left_semi")
+    else:
+        some = docs
+    mark = [F.xxhash64("text").alias("h"), F.octet_length("text").alias("size")]
+    order = [F.col("i").asc_nulls_first(), "h", "size"]
+    each = some.select(F.col("id").alias("i"), *mark).distinct()
+    # range partitions in order, each sorted: the running number of a row keeps that order
+    numbers = written(each.repartitionByRange(*order).sortWithinPartitions(*order).select("i", "h", "size", (F.monotonically_increasing_id() + 1).alias("n")))
+    numbers = checked_broadcast(numbers.withColumnsRenamed({"h": "h2", "size": "size2"}))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("h2")) & (F.col("size") == F.col("size2"))
+    return docs.select("*", *mark).join(numbers, same, "left").select("id", key.alias("key"), F.coalesce("n", F.lit(0)).alias("row"), "text"), True
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -70,7 +93,8 @@ def packed_texts(docs: DataFrame) -> DataFrame:
             heads = part.column(0).flatten()
             yield pa.record_batch([*heads, pa.array([packer.compress(t) for t in texts], type=pa.binary())], names=["id", "key", "row", "packed"])
 
-    return docs.select(F.struct("id", "key", "row").alias("head"), "text").mapInArrow(scan, "id long, key long, row int, packed binary")
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select(F.struct("id", "key", "row").alias("head"), "text").mapInArrow(scan, f"id {kind}, key long, row long, packed binary")
 
 
 def unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -125,29 +149,28 @@ def anchors(text: np.ndarray, begins: np.ndarray, length: int) -> tuple[np.ndarr
     return mixed(h[place[first]]), place[first], windows[first], windows[last]
 
 
-def packed(row: np.ndarray, place: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
-    """One integer: row, place of the anchor, windows before it and after the first (all of them below 128)."""
-    return ((row.astype(np.int64) << 31 | place) << 7 | before) << 7 | more
+def packed(place: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """One integer: place of the anchor, windows before it and after the first (both of them below 128)."""
+    return (place << 7 | before) << 7 | more
 
 
-def anchor_rows(docs: DataFrame, length: int, held_rows: int = SCAN_ROWS) -> DataFrame:
-    """(deal, key, spot) of every anchor; rows that must meet have the same ``deal``.
+def anchor_rows(docs: DataFrame, length: int, numbered: bool, held_rows: int = SCAN_ROWS) -> DataFrame:
+    """(deal, key, spot, and row where documents are ``numbered``) of every anchor; rows that must meet have the same ``deal``.
 
     Anchors are looked at ``held_rows`` at a time: of those with the same hash only the first is dealt by the hash, and the others are
     dealt to ``LOTS`` places of their own; all of them are marked as known to be repeated (a negative spot). So a string
     that stands in very many documents is a row for each such lot, and no task gets all its places.
     """
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         n = 0
         for heads, texts in slices(batches, SCAN_BYTES):
             sizes = np.array([len(t) for t in texts], dtype=np.int64)
             begins = np.concatenate([[0], np.cumsum(sizes)])
             h, place, low, high = anchors(np.frombuffer(b"".join(texts), dtype=np.uint8), begins, length)
             doc = np.searchsorted(begins, place, side="right") - 1
-            keys = np.array([x["key"] for x in heads], dtype=np.int64)
-            rows = np.array([x["row"] for x in heads], dtype=np.int64)
-            held.append((h, keys[doc], packed(rows[doc], place - begins[doc], place - low, high - low)))
+            names = [np.array([x[c] for x in heads], dtype=np.int64)[doc] for c in (("key", "row") if numbered else ("key",))]
+            held.append((h, packed(place - begins[doc], place - low, high - low), *names))
             n += len(h)
             if n >= held_rows:
                 yield dealt(held)
@@ -156,29 +179,34 @@ def anchor_rows(docs: DataFrame, length: int, held_rows: int = SCAN_ROWS) -> Dat
             yield dealt(held)
 
     def dealt(held: list) -> pa.RecordBatch:
-        h, key, spot = (np.concatenate(c) for c in zip(*held, strict=True))
+        h, spot, key, *row = (np.concatenate(c) for c in zip(*held, strict=True))
         _, first, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
         later = first[inverse] != np.arange(len(h))
         lots = mixed(np.arange(LOTS, dtype=np.uint64) + mixed(key[:1].view(np.uint64) + spot[:1].view(np.uint64)))
         h = np.where(later, lots[np.arange(len(h)) % LOTS], h)
         spot = np.where(count[inverse] > 1, spot | KNOWN, spot)
-        return pa.record_batch([pa.array(h.view(np.int64)), pa.array(key), pa.array(spot)], names=["deal", "key", "spot"])
+        return pa.record_batch([pa.array(h.view(np.int64)), pa.array(key), pa.array(spot), *map(pa.array, row)], names=["deal", "key", "spot", "row"][:3 + numbered])
 
-    return docs.select(F.struct("key", "row").alias("head"), "text").mapInArrow(scan, "deal long, key long, spot long")
+    return docs.select(F.struct("key", "row").alias("head"), "text").mapInArrow(scan, "deal long, key long, spot long" + ", row long" * numbered)
 
 
 def repeated_anchors(rows: DataFrame) -> DataFrame:
-    """(key, spot) of the anchors known to be repeated or dealt like another; streams over sorted ``deal``."""
+    """(key, row, spot) of the anchors known to be repeated or dealt like another; streams over sorted ``deal``."""
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[np.ndarray, ...] | None = None  # the last row, whose successor is still to come
         before = None  # the deal before it
+
+        def found(keep: np.ndarray, key: np.ndarray, spot: np.ndarray, *row: np.ndarray) -> pa.RecordBatch:
+            of = row[0][keep] if row else np.zeros(int(keep.sum()), dtype=np.int64)
+            return pa.record_batch([pa.array(key[keep]), pa.array(of), pa.array(spot[keep] & ~KNOWN)], names=["key", "row", "spot"])
+
         for batch in batches:
-            now = tuple(batch.column(i).to_numpy() for i in range(3))
+            now = tuple(c.to_numpy() for c in batch.columns)
             if not len(now[0]):
                 continue
             if held is not None:
                 now = tuple(np.concatenate([a, b]) for a, b in zip(held, now, strict=True))
-            deal, key, spot = now
+            deal, spot = now[0], now[2]
             same = deal[1:] == deal[:-1]
             keep = spot < 0
             keep[0] |= before is not None and before == deal[0]
@@ -186,13 +214,12 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
             keep[:-1] |= same
             before = deal[-2] if len(deal) > 1 else before
             held = tuple(x[-1:] for x in now)
-            keep = keep[:-1]
-            if keep.any():
-                yield pa.record_batch([pa.array(key[:-1][keep]), pa.array(spot[:-1][keep] & ~KNOWN)], names=["key", "spot"])
+            if keep[:-1].any():
+                yield found(keep[:-1], *(x[:-1] for x in now[1:]))
         if held is not None and (held[2][0] < 0 or before is not None and before == held[0][0]):
-            yield pa.record_batch([pa.array(held[1]), pa.array(held[2] & ~KNOWN)], names=["key", "spot"])
+            yield found(np.ones(1, dtype=bool), *held[1:])
 
-    return rows.repartition("deal").sortWithinPartitions("deal").mapInArrow(scan, "key long, spot long")
+    return rows.repartition("deal").sortWithinPartitions("deal").mapInArrow(scan, "key long, row long, spot long")
 
 
 def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -212,7 +239,7 @@ def front_coded(entries: list[tuple[bytes, int, int, int, int]]) -> bytes:
         shared.append(n)
         tails.append(e[0][n:])
         last = e[0]
-    columns = [np.array(c, dtype=t).tobytes() for c, t in ((shared, "<u2"), ([len(t) for t in tails], "<u2"), ([e[1] for e in entries], "<u2"), ([e[2] for e in entries], "<i8"), ([e[3] for e in entries], "<i4"), ([e[4] for e in entries], "<i4"))]
+    columns = [np.array(c, dtype=t).tobytes() for c, t in ((shared, "<u2"), ([len(t) for t in tails], "<u2"), ([e[1] for e in entries], "<u2"), ([e[2] for e in entries], "<i8"), ([e[3] for e in entries], "<i8"), ([e[4] for e in entries], "<i4"))]
     return zstandard.ZstdCompressor(level=3).compress(pickle.dumps((len(entries), columns, b"".join(tails))))
 
 
@@ -221,7 +248,7 @@ class Run:
 
     def __init__(self, block: bytes) -> None:
         self.n, columns, self.tails = pickle.loads(zstandard.ZstdDecompressor().decompress(block))
-        self.shared, self.sizes, self.ahead, self.keys, self.rows, self.places = (np.frombuffer(c, dtype=t).tolist() for c, t in zip(columns, ("<u2", "<u2", "<u2", "<i8", "<i4", "<i4"), strict=True))
+        self.shared, self.sizes, self.ahead, self.keys, self.rows, self.places = (np.frombuffer(c, dtype=t).tolist() for c, t in zip(columns, ("<u2", "<u2", "<u2", "<i8", "<i8", "<i4"), strict=True))
         self.i, self.at, self.suffix = -1, 0, b""
 
     def advance(self) -> int:
@@ -459,16 +486,16 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A byte is removed if a string of ``length`` bytes that covers it also starts earlier: in a document with a smaller id,
     or in the same document at an earlier byte. Strings do not cross documents and are judged on the input. NULL texts
-    are empty. A NULL id comes before all others. Texts with one id are different documents, in the order of a hash
-    of the text; a repeated row (same id, same text) is the same document and gets the same result. An empty table
-    gives an empty result. Other columns of ``df`` are not read.
+    are empty. Ids may be of any type that has an order; a NULL id comes before all others. Different texts with one id are different documents, in
+    the order of a hash of the text (told apart by 64 bits of hash and the length); a repeated row (same id, same text) is the same document and
+    gets the same result. An empty table gives an empty result. Other columns of ``df`` are not read.
     """
     if not KMER <= length <= KMER + 127:
         raise ValueError(f"length must be from {KMER} to {KMER + 127}")
-    docs = documents_of(df, id_col, text_col)
+    docs, numbered = documents_of(df, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    found = repeated_anchors(anchor_rows(docs.where(F.octet_length("text") >= length), length))
-    spots = found.withColumn("row", F.shiftright("spot", 45).cast("int")).groupBy("key", "row").agg(F.collect_list("spot").alias("spots"))
+    found = repeated_anchors(anchor_rows(docs.where(F.octet_length("text") >= length), length, numbered))
+    spots = found.groupBy("key", "row").agg(F.collect_list("spot").alias("spots"))
     texts = packed_texts(docs)
     held = texts.select("key", "row", "packed").join(spots, ["key", "row"])
     results = written(repeated_spans(suffix_runs(held, length, max(8, size // RANGE_BYTES)), length, group_limit, small_group))
@@ -486,7 +513,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     firsts = windows.groupBy("window").agg(F.min(F.struct("key", "row", "start")).alias("first"))
     later = windows.join(firsts, "window").where(F.struct("key", "row", "start") > F.col("first")).select("key", "row", "start", (F.col("start") + length).alias("end"))
     every = exploded(0, "key long, row long, start long, end long").union(later)
-    spans = every.groupBy("key", F.col("row").cast("int").alias("row")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = every.groupBy("key", "row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    arrow_id = to_arrow_type(docs.schema["id"].dataType)
     judged = texts.join(spans, ["key", "row"], "left").select(F.struct("id", "spans").alias("head"), "packed")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -506,8 +534,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out["spans"].append([{"start": a, "end": b} for a, b in gone])
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.record_batch(
-                [pa.array(out["id"], type=pa.int64()), pa.array(out["n"], type=pa.int64()), pa.array(out["gone"], type=pa.int64()),
+                [pa.array(out["id"], type=arrow_id), pa.array(out["n"], type=pa.int64()), pa.array(out["gone"], type=pa.int64()),
                  pa.array([len(s) for s in out["spans"]], type=pa.int64()), pa.array(out["kept"], type=pa.binary()), pa.array(out["spans"], type=span)],
                 names=[id_col, "n_bytes", "n_removed", "n_spans", "kept", "removed"])
 
-    return judged.mapInArrow(cut, f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept binary, removed array<struct<start:long,end:long>>")
+    return judged.mapInArrow(cut, f"`{id_col}` {docs.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary, removed array<struct<start:long,end:long>>")

@@ -92,8 +92,27 @@ def test_anchors_in_lots(make_docs, lot):
     from kinfold.llm.suffix_dedup import anchor_rows, documents_of, repeated_anchors
     rng = random.Random(9)
     texts = ["".join(rng.choice("abcdefgh") for _ in range(400)) for _ in range(6)]
-    docs = documents_of(make_docs([(i, texts[i % 6] if i < 9 else texts[0][50:] + texts[i % 6][:200]) for i in range(14)]), "doc_id", "text")
-    rows = anchor_rows(docs, 100, lot)
+    docs, numbered = documents_of(make_docs([(i, texts[i % 6] if i < 9 else texts[0][50:] + texts[i % 6][:200]) for i in range(14)]), "doc_id", "text")
+    assert not numbered
+    rows = anchor_rows(docs, 100, numbered, lot)
     every = rows.collect()
-    want = {(r.key, r.spot) for r in repeated_anchors(anchor_rows(docs, 100, 10 ** 9).coalesce(1)).collect()}
+    want = {(r.key, r.spot) for r in repeated_anchors(anchor_rows(docs, 100, False, 10 ** 9).coalesce(1)).collect()}
     assert {(r.key, r.spot) for r in repeated_anchors(rows).collect()} == want and 0 < len(want) < len(every)
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "decimal(20,0)"])
+def test_many_different_texts_with_one_id(spark, kind):
+    """Thousands of texts without an id, some ids twice, ids of any type: judged as brute force does in the stated order."""
+    rng = random.Random(12)
+    parts = ["".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(60)]
+    rows = [(None, f"{i} " + rng.choice(parts) + str(i)) for i in range(3000)]
+    rows += [(5, parts[0] + "x"), (5, parts[0] + "y"), (5, parts[0] + "y"), (4, parts[1]), (-9, parts[1] + "z"), (None, None), (7, ""), (10, parts[2]), (9, parts[2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc_id", F.col("doc_id").cast(kind)).withColumn("row", F.lit(1))
+    marked = [(r.doc_id, r.text or "", r.h) for r in df.selectExpr("*", "xxhash64(coalesce(text, '')) AS h").collect()]
+    order = sorted(set(marked), key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[2], len(r[1].encode())))
+    want = brute([(i, t) for i, (_, t, _) in enumerate(order)])
+    want = [(str(order[i][0]), *w) for i, w in want.items() for _ in range(marked.count(order[i]))]
+    got = remove_repeats(df)
+    assert got.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+    texts = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect())
+    assert texts == sorted(want) and sum(t[2] > 0 for t in texts) > 2500
