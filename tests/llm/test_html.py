@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +21,37 @@ CASES = [
     (f"<p>{LONG}</p><a href=\"unclosed>{LONG}", f"{LONG}{LONG.strip()}"),
 ]
 
+ARTICLE = f"<article><h1>Head</h1><p>{LONG}</p><p>Short.</p></article>"
+PROSE = f"<h1>Head</h1><p>{LONG}</p><p>Short.</p>"
+TEXT = f"Head {LONG.strip()} Short."
+MENU = "<nav><a href='/a'>Home</a> <a href='/b'>Away</a></nav>"
+FOOT = "<footer>&copy; example</footer>"
+LAYOUTS = [
+    f"<body>{MENU}<div class='content has-sidebar'>{ARTICLE}<div class='sidebar'><p>Also read this.</p></div></div>{FOOT}</body>",
+    f"<body>{MENU}<div class='layout no-sidebar'>{PROSE}</div>{FOOT}</body>",
+    f"<body><div id='page-with-header'><header>Site name</header>{PROSE}</div>{FOOT}</body>",
+    f"<body><form action='/'><input name=q><label>Find</label>{MENU}<div>{PROSE}</div>{FOOT}</form></body>",
+    f"<body>{MENU}<div class='post comments-open'>{PROSE}</div><div class='comments'><p>First! {LONG}</p></div>{FOOT}</body>",
+    f"<body>{MENU}<article><section class='discussion'>{PROSE}</section></article>{FOOT}</body>",
+    f"<body>{MENU}<div class='film-review reviews'>{PROSE}</div>{FOOT}</body>",
+    f"<body>{MENU}<main><div class='notice'>Read our rules.</div>{PROSE}<div id=disqus_thread><p>{LONG * 3}</p></div></main>{FOOT}</body>".replace("disqus_thread", "comments"),
+    f"<body>{ARTICLE}<section class=comments>{'<p>' + LONG * 9 + '</p>'}</section></body>",
+    f"<body><aside>{LONG}</aside>{ARTICLE}<div class=related><p>{LONG * 3}</p></div></body>",
+]
+
+
+@pytest.mark.parametrize("page", LAYOUTS)
+def test_names_do_not_decide_alone(page):
+    assert main_text(page) == TEXT
+
+
+@pytest.mark.parametrize("page", ["<b>" * 40_000 + "</i>" * 40_000, "<i><p>" + "<b>" * 40_000 + "</i>" * 40_000, "<div>" * 40_000 + "x" + "</p>" * 40_000, "<p>x<i>" * 30_000,
+                                  "<table><tr><td>" * 20_000 + "y", "<ul><li>" * 20_000 + "<li>" * 20_000, "<div class='nav'>" * 20_000 + "z" + "<b>q</b>" * 20_000, "<a href=\"" * 30_000])
+def test_work_is_linear(page):
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 5
+
 
 @pytest.mark.parametrize("page,want", CASES)
 def test_small_pages(page, want):
