@@ -11,8 +11,9 @@ A document holds a window only if it holds every word of it, so it is enough to
 3. join the proposals with the windows on the whole window text, which **verifies exact containment**, and merge
    the hit spans of each document.
 
-What is broadcast are three bit tables of a fixed size (``FILTER_BITS`` each), whatever the size of either input. A
-bit that is set by chance only sends a proposal that step 3 rejects, so the tables never change the result.
+What is broadcast are three bit tables with ``BITS_EACH`` bits for each window of the benchmark, from ``LEAST_BITS`` to ``MOST_BITS``: at most 16 MB
+each, whatever the size of either input. A bit that is set by chance only sends a proposal that step 3 rejects, so the tables never change the
+result; beyond the most bits there are more such proposals.
 """
 
 from __future__ import annotations
@@ -27,8 +28,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .batches import ALNUM, BASE, INVERSE, mixed, powers, slices, span_hashes, text_rows, written
 
-FILTER_BITS = 1 << 22
-#: Copies of the window side in the verifying join: a passage that very many documents hold is dealt to so many tasks.
+LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 22, 1 << 27, 16
+#: Text bytes scanned at once: the arrays of hashes are some dozen times as large.
+SCAN_BYTES = 1 << 19
+#: Copies of the window side in the verifying join: a passage that very many documents hold is dealt to so many tasks; so is a word
+#: that very many items hold in the join with its count.
 SALTS = 16
 
 
@@ -47,18 +51,19 @@ def gram_hashes(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarra
     return mixed((sums[starts + length] - sums[starts]) * powers(INVERSE, len(words) + 1)[starts] + np.uint64(length))
 
 
-def bit_table(slots: np.ndarray) -> np.ndarray:
-    table = np.zeros(FILTER_BITS, dtype=bool)
-    table[slots] = True
-    return np.packbits(table)
+def table_bits(entries: int) -> int:
+    """Bits of a table of so many entries: a power of two."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * entries).bit_length()))
 
 
-def has_bit(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+def has_bit(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the hashes' bits are set in a packed table."""
+    slots = slot(h, 8 * len(table))
     return (table[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
 
 
-def slot(h: np.ndarray) -> np.ndarray:
-    return (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def slot(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h & np.uint64(bits - 1)).astype(np.int64)
 
 
 def joined_text(texts: list) -> tuple[np.ndarray, bytes, np.ndarray]:
@@ -90,15 +95,17 @@ def word_hash_of(words: list[str]) -> np.ndarray:
     return mixed(span_hashes(buffer, *word_spans(buffer)))
 
 
-def filter_slots(df: DataFrame, columns: list[str], to_slots) -> np.ndarray:
-    """Distinct slots (fewer than FILTER_BITS integers, whatever the input) that ``to_slots`` gives for the rows."""
+def bit_table(df: DataFrame, columns: list[str], to_hashes, bits: int) -> np.ndarray:
+    """Packed table with the bits of the hashes that ``to_hashes`` gives for the rows; at most ``bits`` integers reach the driver."""
     def scan(frames):
         import pandas as pd
         for frame in frames:
-            yield pd.DataFrame({"slot": np.unique(to_slots(frame))})
+            yield pd.DataFrame({"slot": np.unique(slot(to_hashes(frame), bits)) if len(frame) else np.zeros(0, dtype=np.int64)})
 
     found = df.select(*columns).mapInPandas(scan, "slot long").distinct().toPandas()["slot"]
-    return bit_table(found.to_numpy(dtype=np.int64))
+    table = np.zeros(bits, dtype=bool)
+    table[found.to_numpy(dtype=np.int64)] = True
+    return np.packbits(table)
 
 
 def count_words(documents: DataFrame, id_col: str, text_col: str, vocabulary: np.ndarray) -> DataFrame:
@@ -107,11 +114,11 @@ def count_words(documents: DataFrame, id_col: str, text_col: str, vocabulary: np
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, SCAN_BYTES):
             buffer, whole, _ = joined_text(texts)
             starts, ends = word_spans(buffer)
             h = mixed(span_hashes(buffer, starts, ends))
-            known = np.flatnonzero(has_bit(shared.value, slot(h)))
+            known = np.flatnonzero(has_bit(shared.value, h))
             _, first, n = np.unique(h[known], return_index=True, return_counts=True)
             for i, k in zip(known[first].tolist(), n.tolist(), strict=True):
                 w = whole[starts[i]:ends[i]]
@@ -129,16 +136,23 @@ def count_words(documents: DataFrame, id_col: str, text_col: str, vocabulary: np
 
 
 def benchmark_windows(items: DataFrame, counts: DataFrame, window_words: int) -> DataFrame:
-    """(item, window, length, prefix, place): each distinct window of each item with its rarest word and that word's place."""
-    n = F.size("words")
-    length = F.least(n, F.lit(window_words))
-    windows = items.select("item", F.explode(F.transform(F.sequence(F.lit(1), n - length + 1), lambda i: F.slice("words", i, length))).alias("w"))
-    windows = windows.withColumn("window", F.array_join("w", " ")).dropDuplicates(["item", "window"])
-    words = windows.select("window", F.posexplode("w").alias("place", "word")).distinct()
-    ranked = words.join(counts, "word", "left").groupBy("window").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "place")).alias("least"))
-    return windows.join(ranked, "window").select("item", "window", F.size("w").alias("length"),
-                                                 F.col("least.word").alias("prefix"), F.col("least.place").alias("place"))
+    """(item, window, length, prefix, place): each distinct window of each item with its rarest word and that word's place.
+
+    The counts are joined with the words of the items, which are dealt over ``SALTS`` copies of the counts, and go back to their item as a list
+    beside its words: windows read them there.
+    """
+    words = items.select("row", F.posexplode("words").alias("at", "word")).withColumn("salt", F.pmod(F.xxhash64("row", "at"), F.lit(SALTS)).cast("int"))
+    copies = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = words.join(copies, ["word", "salt"], "left").groupBy("row").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n")))), lambda x: x["n"]).alias("counts"))
+    length = F.least(F.size("words"), F.lit(window_words))
+    each = items.join(known, "row").select("item", "words", "counts")
+    begins = F.sequence(F.lit(1), F.size("words") - length + 1)
+    windows = each.select("item", F.explode(F.transform(begins, lambda i: F.struct(
+        F.slice("words", i, length).alias("w"), F.slice("counts", i, length).alias("c")))).alias("x")).select("item", "x.w", "x.c")
+    least = F.array_min(F.transform("w", lambda w, i: F.struct(F.element_at("c", i + 1).alias("n"), w.alias("word"), i.alias("place"))))
+    windows = windows.select("item", F.array_join("w", " ").alias("window"), F.size("w").alias("length"), least.alias("least"))
+    return windows.dropDuplicates(["item", "window"]).select("item", "window", "length", F.col("least.word").alias("prefix"), F.col("least.place").alias("place"))
 
 
 def proposals(documents: DataFrame, id_col: str, text_col: str, tables: dict, lengths: list[int]) -> DataFrame:
@@ -152,7 +166,7 @@ def proposals(documents: DataFrame, id_col: str, text_col: str, tables: dict, le
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         bits, sizes = shared.value
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, SCAN_BYTES):
             buffer, whole, begins = joined_text(texts)
             starts, ends = word_spans(buffer)
             doc = np.searchsorted(begins, starts, side="right") - 1
@@ -161,14 +175,14 @@ def proposals(documents: DataFrame, id_col: str, text_col: str, tables: dict, le
             n_words = np.diff(first)
             key = [xxhash.xxh64_intdigest(t or b"") - (1 << 63) for t in texts]
             out = {"id": list(ids), "row": list(key), "n_words": n_words.tolist(), "window": [None] * len(ids), "start": [0] * len(ids), "length": [0] * len(ids)}
-            prefix = np.flatnonzero(has_bit(bits["prefix"], slot(h)))
+            prefix = np.flatnonzero(has_bit(bits["prefix"], h))
             for length in sizes if len(prefix) else []:
                 for place in range(length):
                     at = prefix - place
                     ok = (at >= first[doc[prefix]]) & (at + length <= first[doc[prefix] + 1])
-                    ok[ok] = has_bit(bits["place"], slot(mixed(h[prefix[ok]] + np.uint64(place * 65537 + length))))
+                    ok[ok] = has_bit(bits["place"], mixed(h[prefix[ok]] + np.uint64(place * 65537 + length)))
                     at = at[ok]
-                    at = at[has_bit(bits["window"], slot(gram_hashes(h, at, length)))] if len(at) else at
+                    at = at[has_bit(bits["window"], gram_hashes(h, at, length))] if len(at) else at
                     for i in at.tolist():
                         d = int(doc[i])
                         out["id"].append(ids[d])
@@ -194,22 +208,22 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     row for each text; a NULL id is an id of its own. An empty benchmark leaves every document clean. Other
     columns of either table are not read.
     """
-    items = written(item_words(benchmark, item_col, item_text_col))
-    vocabulary = filter_slots(items.select(F.explode("words").alias("word")).distinct(), ["word"], lambda f: slot(word_hash_of(f["word"].tolist())) if len(f) else np.zeros(0, np.int64))
-    counts = count_words(documents, id_col, text_col, vocabulary)
-    windows = written(benchmark_windows(items, counts, window_words))
+    items = written(item_words(benchmark, item_col, item_text_col).withColumn("row", F.monotonically_increasing_id()))
+    used = written(items.select(F.explode("words").alias("word")).distinct())
+    vocabulary = bit_table(used, ["word"], lambda f: word_hash_of(f["word"].tolist()), table_bits(used.count()))
+    windows = written(benchmark_windows(items, count_words(documents, id_col, text_col, vocabulary), window_words))
+    bits = table_bits(windows.count())
 
-    def place_slots(f):
-        h = word_hash_of(f["prefix"].tolist()) if len(f) else np.zeros(0, np.uint64)
-        return slot(mixed(h + (f["place"].to_numpy(dtype=np.uint64) * np.uint64(65537) + f["length"].to_numpy(dtype=np.uint64))))
+    def place_hashes(f):
+        return mixed(word_hash_of(f["prefix"].tolist()) + (f["place"].to_numpy(dtype=np.uint64) * np.uint64(65537) + f["length"].to_numpy(dtype=np.uint64)))
 
-    def window_slots(f):
-        return np.array([int(slot(gram_hashes(word_hash_of(w.split(" ")), np.array([0]), n))[0]) for w, n in zip(f["window"], f["length"], strict=True)], dtype=np.int64)
+    def window_hashes(f):
+        return np.array([gram_hashes(word_hash_of(w.split(" ")), np.array([0]), n)[0] for w, n in zip(f["window"], f["length"], strict=True)], dtype=np.uint64)
 
     tables = {
-        "prefix": filter_slots(windows, ["prefix"], lambda f: slot(word_hash_of(f["prefix"].tolist())) if len(f) else np.zeros(0, np.int64)),
-        "place": filter_slots(windows, ["prefix", "place", "length"], place_slots),
-        "window": filter_slots(windows, ["window", "length"], window_slots),
+        "prefix": bit_table(windows, ["prefix"], lambda f: word_hash_of(f["prefix"].tolist()), bits),
+        "place": bit_table(windows, ["prefix", "place", "length"], place_hashes, bits),
+        "window": bit_table(windows, ["window", "length"], window_hashes, bits),
     }
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most window_words values
     by_text = windows.groupBy("window").agg(F.collect_set(F.coalesce(F.col("item").cast("string"), F.lit(""))).alias("items"))

@@ -10,6 +10,10 @@ the first byte to the last, thousands of windows at once.
 
 The classifier is fitted on a bounded sample (``texts_per_language`` labelled texts of each language, chosen by a hash
 of the id, and ``windows_per_text`` windows of each); prediction reads every byte of every text.
+
+One more class stands for text of **no learned language**. It is trained on windows that are made up: bytes and letters drawn at random, letters
+of other scripts, and the labelled windows themselves with their letters exchanged one for one or in another order. What is pooled for it is
+the column ``foreign``; the prediction is always a learned language.
 """
 
 from __future__ import annotations
@@ -36,7 +40,8 @@ LETTER = re.compile(r"[^\W\d_]")
 
 @dataclass
 class Net:
-    """inputs[d]: what a byte adds to the three gates; states[d]: what the state adds; out: position's logits."""
+    """inputs[d]: what a byte adds to the three gates; states[d]: what the state adds; out: position's logits (a column for each language,
+    and where made-up windows were learnt one more for them)."""
 
     languages: list[str]
     inputs: list[np.ndarray]  # per direction (257, 3H): update, reset, candidate
@@ -121,8 +126,38 @@ def _gradients(net: Net, codes: np.ndarray, labels: np.ndarray) -> tuple[float,
     return loss, grads
 
 
-def train(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: int = 400, batch: int = 128, rate: float = 0.02, windows_per_text: int = 4, seed: int = 7) -> Net:
-    """A net fitted to windows of the texts; the same input gives the same net."""
+#: Letters of scripts from which made-up windows are drawn (first and last code point).
+SCRIPTS = ((0x61, 0x7A), (0xC0, 0x17F), (0x391, 0x3C9), (0x410, 0x44F), (0x5D0, 0x5EA), (0x621, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x3041, 0x30FE), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
+
+
+def made_up(rng: np.random.Generator, window: bytes) -> bytes:
+    """About ``WINDOW`` bytes of no language: noise, words of random letters, or a window with its letters exchanged or reordered."""
+    kind = int(rng.integers(0, 5))
+    if kind == 0:
+        return rng.integers(33, 256, WINDOW).astype(np.uint8).tobytes()
+    if kind == 1:  # words of a script's letters, a few of which are frequent
+        lo, hi = SCRIPTS[int(rng.integers(0, len(SCRIPTS)))]
+        letters = rng.integers(lo, hi + 1, 20)
+        words = ["".join(chr(int(c)) for c in rng.choice(letters, int(rng.integers(1, 10)))) for _ in range(12)]
+        return " ".join(words).encode()[:WINDOW]
+    text = window.decode("utf-8", "ignore")
+    places = [i for i, c in enumerate(text) if c.isalpha()]
+    out = list(text)
+    if kind == 2:  # a letter becomes another one, the same wherever it stands
+        other = dict(zip("abcdefghijklmnopqrstuvwxyz", rng.permutation(list("abcdefghijklmnopqrstuvwxyz")).tolist(), strict=True))
+        out = [other.get(c.lower(), c) for c in text]
+    elif kind == 3:  # the letters change places
+        for i, j in zip(places, rng.permutation(len(places)).tolist(), strict=True):
+            out[i] = text[places[j]]
+    else:  # any letters in the places of letters
+        for i in places:
+            out[i] = chr(int(rng.integers(97, 123)))
+    return "".join(out).encode()
+
+
+def train(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: int = 400, batch: int = 128, rate: float = 0.02, windows_per_text: int = 4, seed: int = 7,
+          reject: bool = False) -> Net:
+    """A net fitted to windows of the texts (and, with ``reject``, to as many made-up ones as a language has); the same input gives the same net."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
     rows, truth = [], []
@@ -133,17 +168,23 @@ def train(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: in
             piece = np.frombuffer(text[a:a + size], dtype=np.uint8).astype(np.int64)
             rows.append(np.pad(piece, (0, WINDOW - len(piece)), constant_values=PAD))
             truth.append(languages.index(label))
+    if reject:
+        pieces = [bytes(r[r != PAD].astype(np.uint8)) for r in rows]
+        for i in rng.integers(0, len(pieces), max(200, 2 * len(pieces) // len(languages))).tolist() if pieces else ():
+            piece = np.frombuffer(made_up(rng, pieces[i])[:WINDOW], dtype=np.uint8).astype(np.int64)
+            rows.append(np.pad(piece, (0, WINDOW - len(piece)), constant_values=PAD))
+            truth.append(len(languages))
     codes, truth_a = np.array(rows, dtype=np.int64).reshape(-1, WINDOW), np.array(truth, dtype=np.int64)
 
     def start(*shape: int) -> np.ndarray:
         return (rng.standard_normal(shape) * 0.3).astype(np.float32)
 
-    net = Net(languages, [start(257, 3 * hidden) for _ in (0, 1)], [start(hidden, 3 * hidden) for _ in (0, 1)], start(2 * hidden + 1, len(languages)))
+    net = Net(languages, [start(257, 3 * hidden) for _ in (0, 1)], [start(hidden, 3 * hidden) for _ in (0, 1)], start(2 * hidden + 1, len(languages) + reject))
     for table in net.inputs:
         table[PAD] = 0.0
     params = {"out": net.out, **{f"inputs{d}": net.inputs[d] for d in (0, 1)}, **{f"states{d}": net.states[d] for d in (0, 1)}}
     first, second = ({k: np.zeros_like(v) for k, v in params.items()} for _ in (0, 1))
-    by_language = [np.flatnonzero(truth_a == i) for i in range(len(languages))]
+    by_language = [np.flatnonzero(truth_a == i) for i in range(len(languages) + reject)]
     for step in range(1, steps + 1 if len(codes) else 1):
         pick = np.concatenate([rng.choice(rows_, max(1, batch // len(languages))) for rows_ in by_language])
         _, grads = _gradients(net, codes[pick].T, truth_a[pick])
@@ -158,11 +199,11 @@ def train(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: in
 
 
 def text_probabilities(net: Net, texts: list[bytes]) -> np.ndarray:
-    """(len(texts), C): mean of the positions' probabilities over the whole of each text (empty: all zero)."""
+    """(len(texts), columns of the net): mean of the positions' probabilities over the whole of each text (empty: all zero)."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     windows = -(-sizes // WINDOW)
     total = int(windows.sum())
-    out = np.zeros((len(texts), len(net.languages)))
+    out = np.zeros((len(texts), net.out.shape[1]))
     if not total:
         return out
     flat = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -205,24 +246,24 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, te
 
 
 def identify(df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts_per_language: int = 400, carry: bool = False) -> DataFrame:
-    """One row for each row of ``df``: id, lang_pred, score (pooled probability of that language).
+    """One row for each row of ``df``: id, lang_pred, score (pooled probability of that language), foreign (that of no learned language).
 
     Learns from ``labelled`` (bounded sample) and predicts from the text alone. NULL texts and texts without a letter
-    are ``und`` with score 0, as is everything when nothing is labelled. With ``carry``, the input row comes as the
+    are ``und`` with score 0 and foreign 1, as is everything when nothing is labelled. With ``carry``, the input row comes as the
     struct ``row`` in place of the id. Ids may be NULL or repeat; an empty table gives an empty result. Other columns of
     ``df`` are not looked at.
     """
     texts, labels = labelled_sample(labelled, id_col, text_col, lang_col, texts_per_language)
-    shared = df.sparkSession.sparkContext.broadcast(train(texts, labels) if labels else None)
+    shared = df.sparkSession.sparkContext.broadcast(train(texts, labels, reject=True) if labels else None)
 
     def compute(texts_: list) -> list[pa.Array]:
         net = shared.value
-        names, scores = [UNDETERMINED] * len(texts_), [0.0] * len(texts_)
+        names, scores, foreign = [UNDETERMINED] * len(texts_), [0.0] * len(texts_), [1.0] * len(texts_)
         known = [i for i, t in enumerate(texts_) if net and t and LETTER.search(t)]
         if known:
             p = text_probabilities(net, [texts_[i].encode("utf-8", "surrogatepass") for i in known])
-            for i, row, best in zip(known, p, p.argmax(axis=1), strict=True):
-                names[i], scores[i] = net.languages[best], float(min(1.0, row[best]))
-        return [pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64())]
+            for i, row, best in zip(known, p, p[:, :len(net.languages)].argmax(axis=1), strict=True):
+                names[i], scores[i], foreign[i] = net.languages[best], float(min(1.0, row[best])), float(min(1.0, row[-1]))
+        return [pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64()), pa.array(foreign, type=pa.float64())]
 
-    return with_columns(df, id_col, text_col, "lang_pred string, score double", ["lang_pred", "score"], lambda: compute, carry)
+    return with_columns(df, id_col, text_col, "lang_pred string, score double, foreign double", ["lang_pred", "score", "foreign"], lambda: compute, carry)

@@ -8,9 +8,14 @@ sees the histogram alone: at most ``capacity`` numbers, whatever the size of the
 
 **Solution.** Multiplicative weights keep a price for each length, lower the more it is covered. In each step an
 unbounded knapsack by dynamic programming over the capacity prices the configurations: one table gives, for every
-length at once, the best configuration that contains it. Near-best ones get more copies, and the prices follow.
-Copies are scaled so that no length is covered beyond its count and rounded down, and full sequences are fixed; the rest
-is solved again. What is left after the round that needs the fewest sequences in all goes best-fit decreasing.
+length at once, the best configuration that contains it. Near-best ones get more copies, and the prices follow in smaller and smaller steps.
+Prices, and running means of them, are a dual solution: the worth of all pieces over that of the dearest configuration is a **lower bound** of
+the sequences that any packing needs.
+
+**Rounding.** Whole copies are placed by the best prices, a small share of the counts at a time: near-best configurations, full or
+not, with prices tilted so that lengths that lag behind come first. What no whole configuration takes any more goes best-fit decreasing. The prices are
+refined and the rounding repeated until it is within ``GAP`` of the bound, or ``STEPS`` steps are done; the packing with the fewest sequences (plain
+best-fit decreasing among them) counts.
 
 **Placement.** Pieces are ranked within their length (in parallel, in hash buckets whose number grows with the
 input, so a hot length is not one task), and the k-th piece of a length takes its k-th slot.
@@ -32,10 +37,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .batches import slices, text_rows, written
 
-#: Steps of multiplicative weights in a round, their rate, and how near to the best price a configuration must be.
-STEPS, RATE, NEAR = 40, 0.5, 0.02
-#: Rounds go on while more pieces than this are left and the last round placed this share of them.
-LEFT, LEAST_PLACED = 4096, 0.05
+#: Steps of multiplicative weights before each rounding, first rate, and how near to the best price a configuration must be.
+STEPS, RATE, NEAR = (100, 400, 1000), 0.2, 0.005
+#: Share of the bound by which the sequences may exceed it before more steps are worth their while.
+GAP = 0.001
+#: Tilts of the prices by progress, share of the counts placed at once, and nearness in rounding.
+TILTS, SHARE, NEAR_PLACED = (3.0, 10.0), 0.02, 0.001
 #: Pieces in a ranking bucket, on average.
 RANK_ROWS = 200_000
 
@@ -138,62 +145,98 @@ def filling(item: np.ndarray, space: int) -> list[int]:
     return out
 
 
-def fractional(counts: np.ndarray) -> dict[tuple[int, ...], float]:
-    """Copies of configurations, scaled so that no length is covered beyond its count."""
-    capacity = len(counts) - 1
-    there = np.flatnonzero(counts)
-    weight = np.zeros(len(counts))
-    weight[there] = there / capacity
-    covered = np.zeros(len(counts))
-    copies: dict[tuple[int, ...], float] = {}
-    for _ in range(STEPS):
-        best, item = knapsack(weight)
-        total = weight[there] + best[capacity - there]
-        added = np.zeros(len(counts))
-        for length in there[total >= (1 - NEAR) * total.max()].tolist():
-            config = tuple(sorted([length, *filling(item, capacity - length)], reverse=True))
+class Prices:
+    """Prices of the lengths by multiplicative weights, refined step by step; ``bound`` and ``best`` are those of the best dual solution so far,
+    scaled so that no configuration is worth more than 1."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        self.counts, self.capacity = counts, len(counts) - 1
+        self.there = np.flatnonzero(counts)
+        self.weight = np.zeros(len(counts))
+        self.weight[self.there] = self.there / self.capacity
+        self.mean, self.steps = np.zeros(len(counts)), 0
+        self.bound, self.best = 0.0, self.weight
+        self.tried(self.weight, knapsack(self.weight)[0])
+
+    def tried(self, price: np.ndarray, worth: np.ndarray) -> None:
+        bound = float((price * self.counts).sum() / worth[self.capacity])
+        if bound > self.bound:
+            self.bound, self.best = bound, price / worth[self.capacity]
+
+    def refine(self, steps: int) -> None:
+        there, counts, capacity = self.there, self.counts, self.capacity
+        for _ in range(steps):
+            worth, item = knapsack(self.weight)
+            self.tried(self.weight, worth)
+            new = 2.0 / (self.steps + 2)
+            self.mean = self.mean * (1 - new) + self.weight / worth[capacity] * new
+            total = self.weight[there] + worth[capacity - there]
+            rate = RATE / np.sqrt(1 + self.steps / 8)
+            added = np.zeros(len(counts))
+            for length in there[total >= (1 - NEAR) * total.max()].tolist():
+                kinds, n = np.unique([length, *filling(item, capacity - length)], return_counts=True)
+                added[kinds] += n * float((counts[kinds] / n).min()) * rate
+            self.weight[there] *= np.exp(-rate * np.minimum(added[there] / counts[there], 4.0))
+            self.weight[there] /= (capacity / there * self.weight[there]).max()  # prices relative to the dearest token
+            self.steps += 1
+            if self.steps % 20 == 0:
+                self.tried(self.mean, knapsack(self.mean)[0])
+
+
+def rounded(counts: np.ndarray, price: np.ndarray, tilt: float) -> list[tuple[tuple[int, ...], int]]:
+    """Whole copies of configurations that are near-best by ``price``, kept even over the lengths; the rest best-fit decreasing."""
+    capacity, left = len(counts) - 1, counts.copy()
+    out: dict[tuple[int, ...], int] = {}
+    length = np.arange(len(counts))
+    while True:
+        there = np.flatnonzero(left * length >= capacity)  # no configuration has more of a length than is left
+        if not len(there):
+            break
+        share = left[there] / counts[there]
+        weight = np.zeros(len(counts))
+        weight[there] = price[there] * np.exp(tilt * (share - share.mean()))
+        worth, item = knapsack(weight)
+        total = weight[there] + worth[capacity - there]
+        placed = 0
+        for config in {tuple(sorted([a, *filling(item, capacity - a)], reverse=True)) for a in there[total >= (1 - NEAR_PLACED) * total.max()].tolist()}:
             kinds, n = np.unique(config, return_counts=True)
-            step = float((counts[kinds] / n).min()) * RATE
-            copies[config] = copies.get(config, 0.0) + step
-            added[kinds] += n * step
-        covered += added
-        weight[there] *= np.exp(-RATE * np.minimum(added[there] / counts[there], 4.0))
-        weight[there] *= (capacity / there * weight[there]).max() ** -1  # prices relative to the dearest token
-    out = {}
-    for config, x in copies.items():
-        kinds = np.array(sorted(set(config)))
-        out[config] = x / max(1e-12, float((covered[kinds] / counts[kinds]).max()))
-    return out
+            copies = min(int((left[kinds] // n).min()), max(1, int((counts[kinds] / n).min() * SHARE)))
+            if copies > 0:
+                out[config] = out.get(config, 0) + copies
+                left[kinds] -= n * copies
+                placed += copies
+        if not placed:
+            break
+    return [*out.items(), *best_fit(left)]
 
 
-def solve(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(configuration, copies) that hold every length exactly as often as the histogram has it."""
+def solve(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], float]:
+    """((configuration, copies) that hold every length exactly as often as the histogram has it; lower bound of the sequences of any packing)."""
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    out: list[tuple[tuple[int, ...], int]] = []
-    if counts[capacity]:
-        out.append(((capacity,), int(counts[capacity])))
-        counts[capacity] = 0
-    best: list[tuple[tuple[int, ...], int]] = []
-    fewest = None
-    while True:  # at least one round of the program; then the round after which best fit needs the fewest sequences in all
-        placed = 0
-        for config, x in sorted(fractional(counts).items(), key=lambda p: p[1], reverse=True) if counts.any() else ():
-            if sum(config) < capacity:
-                continue  # only full sequences are fixed; the pieces of others stay free
-            kinds, n = np.unique(config, return_counts=True)
-            copies = min(int(x), int((counts[kinds] // n).min()))
-            if copies > 0:
-                out.append((config, copies))
-                counts[kinds] -= n * copies
-                placed += copies * len(config)
-        rest = best_fit(counts)
-        needed = sum(n for _, n in out) + sum(n for _, n in rest)
-        if fewest is None or needed < fewest:
-            best, fewest = out + rest, needed
-        if placed < LEAST_PLACED * (placed + counts.sum()) or counts.sum() <= LEFT:
-            return best
+    full = [((capacity,), int(counts[capacity]))] if counts[capacity] else []
+    counts[capacity] = 0
+    if not counts.any():
+        return full, float(sum(n for _, n in full))
+
+    def sequences(packing: list[tuple[tuple[int, ...], int]]) -> int:
+        return sum(n for _, n in packing)
+
+    best, prices, before = best_fit(counts), Prices(counts), -1.0
+    for steps in STEPS:
+        prices.refine(steps)
+        if prices.bound <= before * (1 + GAP / 10):
+            break  # more steps do not change the prices
+        before = prices.bound
+        near = max(np.ceil(before - 1e-6), before * (1 + GAP))
+        found = rounded(counts, prices.best, TILTS[0])
+        if sequences(found) > near:
+            found = min([found, *(rounded(counts, prices.best, tilt) for tilt in TILTS[1:])], key=sequences)
+        best = min([found, best], key=sequences)
+        if sequences(best) <= near:
+            break
+    return full + best, prices.bound + sequences(full)
 
 
 def best_fit(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
@@ -270,7 +313,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
     """
     pieces = written(token_pieces(df, id_col, text_col, capacity, end_id, ranks))
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
-    shared = df.sparkSession.sparkContext.broadcast(slot_table(solve(histogram, capacity)))
+    shared = df.sparkSession.sparkContext.broadcast(slot_table(solve(histogram, capacity)[0]))
     buckets = max(8, sum(histogram.values()) // RANK_ROWS)
     bucketed = pieces.withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(buckets)).cast("long"))
     sums = bucketed.groupBy("length", "bucket").agg(F.count("*").alias("n"))

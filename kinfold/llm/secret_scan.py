@@ -1,15 +1,16 @@
 """Secret scan: fixed patterns plus dictionary-primed zstandard novelty.
 
 The patterns find assignments to sensitive names, access key ids and long hex runs. **Novelty** adds what no pattern
-describes: a candidate is an unbroken run of key characters that stands in a sensitive context (a sensitive word
-shortly before it). It is compressed with a zstandard dictionary made of common identifiers and the code or prose
+describes: a candidate is an unbroken run of key characters (or several with single dots between) that stands in a sensitive
+context (a sensitive word shortly before it, on its own or inside an identifier such as ``dbPassword`` or ``X-AuthToken``). It is compressed with a zstandard dictionary made of common identifiers and the code or prose
 around it. The bytes that it adds to an empty frame are its marginal cost: words, paths and identifiers that occur
 around it cost little, while a random string costs about its own length. Only candidates whose cost is at least
 ``NOVEL_SHARE`` of their length are reported. A candidate is costed in pieces of at most ``PIECE`` characters, because
 longer ones are Huffman-coded, by which a random string of a small alphabet (hex, base32) gets cheaper too. What the
 context shares with the candidate is left out of the dictionary (a key written twice is as novel as one written
 once). Long words have no digits and cost their length too where the dictionary lacks them, so a candidate without a
-digit must also be likelier as random letters than under letter pairs of common words.
+digit must also be likelier as random letters than under letter pairs of common words. Dates, and paths and names whose every part is short
+or like words, are no candidates; identifiers of random hex digits (UUIDs) are.
 """
 
 from __future__ import annotations
@@ -30,8 +31,12 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-SENSITIVE = re.compile(r"(?<![a-z])(pass(word|wd|phrase)?|pwd|secret|token|api.?key|access.?key|private.?key|auth|authorization|bearer|credentials?|signature|license.?key|client.?id)(?![a-z])", re.I | re.A)
+#: A run of key characters; dots inside it join its parts (a token in three dotted parts is judged as one).
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]++(?:\.[A-Za-z0-9+/_=-]++)*+")
+SENSITIVE = re.compile(r"(?<![a-z])(pass(word|wd|phrase)?|pwd|secret|token|api.?key|access.?key|private.?key|auth|authorization|bearer|credential|signature|license.?key|client.?id)s?(?![a-z])", re.A)
+#: Where a new word begins inside an identifier.
+HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", re.A)
+DATE = re.compile(r"(19|20)\d\d([-/._]?)[01]\d\2[0-3]\d[T_.Z\d+-]*", re.A)
 SENSITIVE_BEFORE = 48
 CONTEXT = 512
 NOVEL_SHARE = 0.8
@@ -97,6 +102,22 @@ def like_words(candidate: str) -> bool:
     return sum(bits) > WORD_BITS and all(n > WORD_BITS for n, p in zip(bits, parts, strict=True) if len(p) >= 8)
 
 
+def plain_name(candidate: str) -> bool:
+    """Whether a candidate is a date, or a path, name or version whose every part is short or like words."""
+    if DATE.fullmatch(candidate):
+        return True
+    parts = re.split(r"[/._=+-]+", candidate)
+    return len(parts) > 1 and all(len(p) <= 4 or like_words(p.rstrip("0123456789")) and len(p) - len(p.rstrip("0123456789")) <= 4 for p in parts)
+
+
+def in_context(text: str, at: int) -> bool:
+    """Whether a sensitive word stands shortly before ``at``, on its own or inside an identifier."""
+    before = text[max(0, at - SENSITIVE_BEFORE - 1):at]
+    # the first character only tells whether a word begins after it
+    m = SENSITIVE.search(HUMP.sub("_", before).lower(), 0 if at <= SENSITIVE_BEFORE else 1)
+    return m is not None
+
+
 def other_text(text: str, a: int, b: int) -> str:
     """The text around [a, b), with all that it shares with the candidate there (runs of ``SHARED``) blanked."""
     word = text[a:b]
@@ -133,15 +154,23 @@ def find_spans(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    found = sorted((a, b) for a, _, b in spans)
+    taken: list[list[int]] = []  # the base spans, joined where they overlap
+    for a, _, b in sorted(spans):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    near = 0
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        word = m[0]
-        if any(x < b and a < y for x, y in found):
+        while near < len(taken) and taken[near][1] <= a:
+            near += 1
+        if b - a < SHARED or near < len(taken) and taken[near][0] < b:
             continue
-        if not SENSITIVE.search(text, max(0, a - SENSITIVE_BEFORE), a):
+        word = m[0]
+        if not in_context(text, a):
             continue
-        if not any(c.isdigit() for c in word) and like_words(word):
+        if not any(c.isdigit() for c in word) and like_words(word) or plain_name(word):
             continue
         if marginal_bytes(word.encode(), other_text(text, a, b).encode("utf-8", "surrogatepass")) >= NOVEL_SHARE * len(word):
             spans.append((a, 3, b))

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -60,3 +61,24 @@ def test_odd_rows(spark, make_docs):
     assert identify(docs, learned.limit(0)).select("lang_pred").distinct().collect()[0][0] == "und"
     assert identify(docs.limit(0), learned).count() == 0
     assert identify(docs, learned, carry=True).select("row.*").columns == docs.columns
+
+
+FOREIGN = [
+    "В лесу родилась ёлочка, в лесу она росла, зимой и летом стройная зелёная была. Каждый охотник желает знать, где сидит фазан.",
+    "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している。",
+    "A magyar nyelv az uráli nyelvcsalád tagja, a finnugor nyelvek közé tartozó ugor nyelvek egyike. Legközelebbi rokonai a manysi és a hanti nyelv.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować.",
+    "".join(random.Random(3).choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(300)),
+    "".join(chr(random.Random(i).randrange(33, 1000)) for i in range(300)),
+]
+
+
+def test_texts_of_no_learned_language_are_told_apart(spark, make_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rest = docs.where(crc_bucket("doc_id", 5) != 0)
+    odd = make_docs([(10 ** 6 + i, t) for i, t in enumerate(FOREIGN)], None)
+    got = identify(docs.where(crc_bucket("doc_id", 5) == 0).union(odd), rest).collect()
+    foreign = [r.foreign for r in got if r.doc_id >= 10 ** 6]
+    clean = [r.foreign for r in got if r.doc_id < 10 ** 6 and r.lang_pred != "und"]
+    assert min(foreign) > 0.96 and len(foreign) == len(FOREIGN)
+    assert np.mean([f < 0.96 for f in clean]) > 0.99 and all(r.lang_pred in ("de", "en", "es", "fr", "und") for r in got)

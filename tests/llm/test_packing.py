@@ -63,7 +63,8 @@ def test_solver_holds_every_piece(n):
     lengths = np.clip(rng.lognormal(4.5, 1.0, n).astype(int), 1, 256)
     histogram = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)))) if n else {}
     got = {}
-    solution = solve(histogram, 256)
+    solution, bound = solve(histogram, 256)
+    assert bound <= sum(n for _, n in solution) + 1e-6
     for config, copies in solution:
         assert sum(config) <= 256 and copies > 0
         for length in config:
@@ -77,3 +78,48 @@ def test_knapsack_and_best_fit():
     price = np.array([0.0, 1.0, 2.5, 2.9])
     assert knapsack(price)[0].tolist() == [0.0, 1.0, 2.5, 3.5]
     assert sum(c for _, c in best_fit(np.array([0, 2, 1, 2, 0]))) == 3 - 0
+
+
+def fewest(lengths, capacity):
+    """The fewest sequences by trying every packing (branch and bound, longest first)."""
+    lengths, best = sorted(lengths, reverse=True), len(lengths)
+
+    def go(i, spaces):
+        nonlocal best
+        if len(spaces) >= best:
+            return
+        if i == len(lengths):
+            best = len(spaces)
+            return
+        for s in sorted(set(spaces)):
+            if s >= lengths[i]:
+                rest = list(spaces)
+                rest.remove(s)
+                go(i + 1, [*rest, s - lengths[i]])
+        go(i + 1, [*spaces, capacity - lengths[i]])
+    go(0, [])
+    return best
+
+
+def test_small_programs_against_every_packing():
+    rng, worse = np.random.default_rng(4), 0
+    for _ in range(60):
+        capacity = int(rng.integers(8, 40))
+        lengths = rng.integers(1, capacity + 1, int(rng.integers(1, 11))).tolist()
+        solution, bound = solve({x: lengths.count(x) for x in set(lengths)}, capacity)
+        got, want = sum(n for _, n in solution), fewest(lengths, capacity)
+        assert sorted(x for c, n in solution for x in c * n) == sorted(lengths) and all(sum(c) <= capacity for c, _ in solution)
+        assert bound <= want + 1e-6 and want <= got <= want + 1
+        worse += got > want
+    assert worse <= 3
+
+
+@pytest.mark.parametrize("draw,gap", [(lambda r: r.integers(330, 400, 50_000), 0.002), (lambda r: np.clip(r.lognormal(5.5, 0.9, 400_000), 1, 1024).astype(int), 0.002),
+                                      (lambda r: np.clip(r.normal(420, 120, 200_000), 1, 1023).astype(int), 0.008)])
+def test_gap_to_the_lower_bound(draw, gap):
+    counts = np.bincount(draw(np.random.default_rng(1)), minlength=1025)
+    solution, bound = solve({i: int(n) for i, n in enumerate(counts) if n}, 1024)
+    held = np.zeros(1025, dtype=np.int64)
+    for config, n in solution:
+        np.add.at(held, list(config), n)
+    assert (held == counts).all() and bound <= sum(n for _, n in solution) <= bound * (1 + gap)

@@ -52,6 +52,13 @@ def test_stages_one_after_the_other(spark, plain):  # noqa: F811
     check(STAGES["best_fit_packing"](spark, safe, SF).collect(), [(r.doc_id, r.text) for r in safe.collect()], plain)
 
 
+def test_language_stage_drops_what_it_did_not_learn(spark, make_docs):
+    from test_langid import FOREIGN
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").union(make_docs([(10 ** 6 + i, t) for i, t in enumerate(FOREIGN)], None))
+    kept = {r.doc_id for r in STAGES["language_id"](spark, docs, SF).collect()}
+    assert max(kept) < 10 ** 6 and len(kept) >= 0.99 * (docs.count() - len(FOREIGN))
+
+
 def test_run_equals_its_stages(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

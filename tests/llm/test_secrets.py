@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from kinfold.llm.secret_scan import KINDS, find_spans, marginal_bytes, redact, scan_secrets
@@ -72,3 +74,48 @@ def test_copies_and_missing_digits_or_letters_hide_no_secret():
         assert find_spans(f"set the private key to {key} and go") == [(23, 3, 43)]
     for word in ("responsibilities", "Geschwindigkeitsbegrenzung", "gouvernementalement", "getUserInformationByName", "src/main/resources"):
         assert not find_spans(f"the secret of {word} is")
+
+
+def random_key(rng, size=32):
+    return "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789") for _ in range(size))
+
+
+@pytest.mark.parametrize("form", ['client.setAccessToken("{}")', 'cfg.dbPassword("{}");', 'new ClientSecret("{}")', '("myApiKey", "{}")', "X-AuthToken {}", 'the tokens "{}"',
+                                  "MY_PRIVATE_KEY {}", "JWTToken: x {}", "the credentials are {}"])
+def test_sensitive_words_inside_identifiers(form):
+    rng = random.Random(form)
+    for _ in range(30):
+        key = random_key(rng)
+        text = form.format(key)
+        assert key in {text[a:b] for a, _, b in find_spans(text)}, text
+
+
+def test_dotted_tokens_are_one():
+    rng = random.Random(9)
+    for _ in range(30):
+        token = ".".join(random_key(rng, n) for n in (36, 80, 43))
+        for text in (f"Authorization: Bearer {token}\nnext line.", f"the bearer is {token}. Then more."):
+            assert redact(text, find_spans(text)) == text.replace(token, "[SECRET]")
+
+
+@pytest.mark.parametrize("word", ["src/main/resources/settings.conf", "2024-01-02T03.04.05Z", "20240102T030405Z", "release-notes-2024-01", "com.example.service.Connection", "tokenizer", "author_of_the_document_v2",
+                                  "/usr/local/share/application", "authentication.required", "secretariat-general", "passenger-information-2024"])
+def test_names_paths_and_dates_are_no_secrets(word):
+    for text in (f"the secret is in {word} now", f"set the access token from {word}", f"passwords: {word}"):
+        assert not [s for s in find_spans(text) if s[1] == 3], text
+
+
+def test_other_words_are_no_context():
+    key = random_key(random.Random(1))
+    for text in (f"the passenger {key}", f"an author {key}", f"tokenizers {key}", f"a secretary {key}", f"bypassed {key}"):
+        assert not find_spans(text), text
+
+
+def test_work_is_linear_in_spans():
+    def seconds(n):
+        text = "".join(f"token{i} token=abcdefgh{i} " for i in range(n))
+        start = time.process_time()
+        assert len(find_spans(text)) >= n
+        return time.process_time() - start
+    seconds(500)
+    assert seconds(8000) < 3
