@@ -14,14 +14,11 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.batches import crc_bucket, written
 from kinfold.llm.decontam import decontaminate
-from kinfold.llm.langid import UNDETERMINED, identify
+from kinfold.llm.langid import identify
 from kinfold.llm.packing import pack
 from kinfold.llm.secret_scan import scan_secrets
 from kinfold.llm.simhash import near_duplicates
 
-#: A text to which the network gives no learned language with this pooled probability or more is dropped.
-MOST_FOREIGN = 0.96
-
 #: No DuckDB SQL expresses the trained model or the packing; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
@@ -43,7 +40,7 @@ def _keep(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts of no learned language."""
     known = identify(docs, docs.where(crc_bucket("doc_id", 5) != 0), carry=True)
-    return known.where((F.col("lang_pred") != UNDETERMINED) & (F.col("foreign") < MOST_FOREIGN)).select("row.*")
+    return known.where("known").select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

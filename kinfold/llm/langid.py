@@ -13,7 +13,8 @@ of the id, and ``windows_per_text`` windows of each); prediction reads every byt
 
 One more class stands for text of **no learned language**. It is trained on windows that are made up: bytes and letters drawn at random, letters
 of other scripts, and the labelled windows themselves with their letters exchanged one for one or in another order. What is pooled for it is
-the column ``foreign``; the prediction is always a learned language.
+the column ``foreign``; the prediction is always a learned language. A text is ``known`` if its foreign share is at most that of every one of
+``HELD_TEXTS`` labelled texts of each language that were kept from the fit, or at most one half.
 """
 
 from __future__ import annotations
@@ -130,6 +131,10 @@ def _gradients(net: Net, codes: np.ndarray, labels: np.ndarray) -> tuple[float,
 SCRIPTS = ((0x61, 0x7A), (0xC0, 0x17F), (0x391, 0x3C9), (0x410, 0x44F), (0x5D0, 0x5EA), (0x621, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x3041, 0x30FE), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
 
 
+#: Made-up windows, at least; labelled texts of each language for the bar of known ones; the highest bar.
+MADE_UP, HELD_TEXTS, HIGHEST_BAR = 3000, 100, 0.99
+
+
 def made_up(rng: np.random.Generator, window: bytes) -> bytes:
     """About ``WINDOW`` bytes of no language: noise, words of random letters, or a window with its letters exchanged or reordered."""
     kind = int(rng.integers(0, 5))
@@ -170,7 +175,7 @@ def train(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: in
             truth.append(languages.index(label))
     if reject:
         pieces = [bytes(r[r != PAD].astype(np.uint8)) for r in rows]
-        for i in rng.integers(0, len(pieces), max(200, 2 * len(pieces) // len(languages))).tolist() if pieces else ():
+        for i in rng.integers(0, len(pieces), max(MADE_UP, len(pieces) // 2)).tolist() if pieces else ():
             piece = np.frombuffer(made_up(rng, pieces[i])[:WINDOW], dtype=np.uint8).astype(np.int64)
             rows.append(np.pad(piece, (0, WINDOW - len(piece)), constant_values=PAD))
             truth.append(len(languages))
@@ -186,7 +191,8 @@ def train(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: in
     first, second = ({k: np.zeros_like(v) for k, v in params.items()} for _ in (0, 1))
     by_language = [np.flatnonzero(truth_a == i) for i in range(len(languages) + reject)]
     for step in range(1, steps + 1 if len(codes) else 1):
-        pick = np.concatenate([rng.choice(rows_, max(1, batch // len(languages))) for rows_ in by_language])
+        share = max(1, batch // len(languages))
+        pick = np.concatenate([rng.choice(rows_, share if i < len(languages) else batch // 2) for i, rows_ in enumerate(by_language)])
         _, grads = _gradients(net, codes[pick].T, truth_a[pick])
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         lr = rate * min(1.0, 2.0 * (1.0 - (step - 1) / steps))
@@ -245,16 +251,34 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, te
     return [r["text"].encode("utf-8", "surrogatepass") for r in got], [r["language"] for r in got]
 
 
+def known_bar(net: Net, texts: list[bytes]) -> float:
+    """The foreign share up to which a text counts as one of a learned language."""
+    with_letters = [t for t in texts if LETTER.search(t.decode("utf-8", "surrogatepass"))]
+    return min(HIGHEST_BAR, max([0.5, *text_probabilities(net, with_letters)[:, -1].tolist()])) if with_letters else 0.5
+
+
+def split_sample(texts: list[bytes], labels: list[str], held: int) -> tuple[list[int], list[int]]:
+    """(places to learn from, places kept from the fit): the last ``held`` texts of each language, but never more than a quarter of them."""
+    places: dict[str, list[int]] = {}
+    for i, x in enumerate(labels):
+        places.setdefault(x, []).append(i)
+    cut = {x: len(p) - min(held, len(p) // 4) for x, p in places.items()}
+    return [i for x, p in places.items() for i in p[:cut[x]]], [i for x, p in places.items() for i in p[cut[x]:]]
+
+
 def identify(df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts_per_language: int = 400, carry: bool = False) -> DataFrame:
-    """One row for each row of ``df``: id, lang_pred, score (pooled probability of that language), foreign (that of no learned language).
+    """One row for each row of ``df``: id, lang_pred, score (pooled probability of that language), foreign (that of no learned language), known.
 
     Learns from ``labelled`` (bounded sample) and predicts from the text alone. NULL texts and texts without a letter
-    are ``und`` with score 0 and foreign 1, as is everything when nothing is labelled. With ``carry``, the input row comes as the
+    are ``und`` with score 0 and foreign 1 and are not known, as is everything when nothing is labelled. With ``carry``, the input row comes as the
     struct ``row`` in place of the id. Ids may be NULL or repeat; an empty table gives an empty result. Other columns of
     ``df`` are not looked at.
     """
-    texts, labels = labelled_sample(labelled, id_col, text_col, lang_col, texts_per_language)
-    shared = df.sparkSession.sparkContext.broadcast(train(texts, labels, reject=True) if labels else None)
+    texts, labels = labelled_sample(labelled, id_col, text_col, lang_col, texts_per_language + HELD_TEXTS)
+    fit, held = split_sample(texts, labels, HELD_TEXTS)
+    net = train([texts[i] for i in fit], [labels[i] for i in fit], reject=True) if labels else None
+    bar = known_bar(net, [texts[i] for i in held]) if net else 0.0
+    shared = df.sparkSession.sparkContext.broadcast(net)
 
     def compute(texts_: list) -> list[pa.Array]:
         net = shared.value
@@ -264,6 +288,7 @@ def identify(df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_co
             p = text_probabilities(net, [texts_[i].encode("utf-8", "surrogatepass") for i in known])
             for i, row, best in zip(known, p, p[:, :len(net.languages)].argmax(axis=1), strict=True):
                 names[i], scores[i], foreign[i] = net.languages[best], float(min(1.0, row[best])), float(min(1.0, row[-1]))
-        return [pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64()), pa.array(foreign, type=pa.float64())]
+        known_ = [name != UNDETERMINED and f <= bar for name, f in zip(names, foreign, strict=True)]
+        return [pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64()), pa.array(foreign, type=pa.float64()), pa.array(known_, type=pa.bool_())]
 
-    return with_columns(df, id_col, text_col, "lang_pred string, score double, foreign double", ["lang_pred", "score", "foreign"], lambda: compute, carry)
+    return with_columns(df, id_col, text_col, "lang_pred string, score double, foreign double, known boolean", ["lang_pred", "score", "foreign", "known"], lambda: compute, carry)

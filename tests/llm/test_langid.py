@@ -78,7 +78,13 @@ def test_texts_of_no_learned_language_are_told_apart(spark, make_docs):
     rest = docs.where(crc_bucket("doc_id", 5) != 0)
     odd = make_docs([(10 ** 6 + i, t) for i, t in enumerate(FOREIGN)], None)
     got = identify(docs.where(crc_bucket("doc_id", 5) == 0).union(odd), rest).collect()
-    foreign = [r.foreign for r in got if r.doc_id >= 10 ** 6]
-    clean = [r.foreign for r in got if r.doc_id < 10 ** 6 and r.lang_pred != "und"]
-    assert min(foreign) > 0.96 and len(foreign) == len(FOREIGN)
-    assert np.mean([f < 0.96 for f in clean]) > 0.99 and all(r.lang_pred in ("de", "en", "es", "fr", "und") for r in got)
+    foreign = [r for r in got if r.doc_id >= 10 ** 6]
+    clean = [r for r in got if r.doc_id < 10 ** 6 and r.lang_pred != "und"]
+    assert len(foreign) == len(FOREIGN) and not any(r.known for r in foreign), [(r.foreign, r.known) for r in foreign]
+    assert np.mean([r.known for r in clean]) > 0.99 and all(r.lang_pred in ("de", "en", "es", "fr", "und") for r in got)
+
+
+def test_sample_is_split_by_language():
+    labels = ["a"] * 10 + ["b"] * 3 + ["a"] * 2
+    fit, held = langid.split_sample([b""] * 15, labels, 2)
+    assert sorted(fit + held) == list(range(15)) and [labels[i] for i in held] == ["a", "a"] and held == [13, 14]
