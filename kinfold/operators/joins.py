@@ -41,14 +41,18 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_RO
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
-def local_copy(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` computed once and given back as a broadcast local table if it has at most ``max_rows`` rows, else ``df`` itself.
+def local_copy(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``df`` computed once and given back as a broadcast local table if it has at most ``max_rows`` rows and, written as JSON, at most
+    ``max_bytes`` bytes; else ``df`` itself.
 
     For tables that are small by their nature (a dictionary, bins of a histogram) and read by several branches of a plan:
-    none of them computes it again. At most ``max_rows + 1`` rows pass through the driver.
+    none of them computes it again. One job, which sends the rows to the driver only if both bounds hold.
     """
-    rows = df.limit(max_rows + 1).collect()
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= max_rows else df
+    cols = F.struct(*[F.col(_q(c)).alias(c) for c in df.columns])
+    held = df.limit(max_rows + 1).select(cols.alias("r"), F.octet_length(F.to_json(cols)).alias("size"))
+    size, n = F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))
+    rows = held.agg(F.when((n <= max_rows) & (size <= max_bytes), F.collect_list("r")).alias("rows")).first()["rows"]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if rows is not None else df
 
 
 def _q(name: str) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinfold.functions.answers import ALL_ANSWERS, FIRST_ANSWER
+from kinfold.functions.ids import POSITION_PATTERN_SUFFIXED, first_match_int, prefixed_family_pattern
 from kinfold.functions.timecols import format_refresh, last_refresh
 from kinfold.operators.people import clean_people, is_active, not_withdrawn, process_compensation
 from kinfold.operators.responses import (clean_dictionary, clean_responses, dictionary_overview, dictionary_versions,
@@ -26,8 +27,8 @@ from kinfold.operators.stats import METRIC_LABELS, box_numbers, compare_groups,
 from kinfold.operators.summary import enrollment_summary
 from kinfold.plans import study
 from kinfold.plans.tables import table
-from kinfold.sources.envelope import PARTICIPANT_SCHEMA, SURVEY_SCHEMA, decode_envelope, explode_envelope
-from kinfold.sources.wearables import decode_readiness, decode_resting_hr, hrv_days, index_files
+from kinfold.sources.envelope import PARTICIPANT_SCHEMA, SURVEY_SCHEMA, decode_envelope, explode_envelope, read_dictionary
+from kinfold.sources.wearables import decode_readiness, decode_resting_hr, hrv_days, index_files, load_resting_hr
 
 DIGITS = 6
 # The run time used by the registered queries (a real run passes "now").
@@ -347,6 +348,26 @@ def q_readiness_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(decode_readiness(study.readiness_files(spark, sf_dir), EXPORT_START, EXPORT_END, keys=["owner"]))
 
 
+@register("resting_from_folders")
+def q_resting_from_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7, SRC9: export folders of several owners, read by header; one of them has no file."""
+    return rounded(load_resting_hr(spark, EXPORT_START, EXPORT_END, study.resting_folders(spark, sf_dir), owner_pattern="/(p[0-9]+)/Physical Activity_GoogleData/"))
+
+
+@register("dictionary_from_files")
+def q_dictionary_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3: the dictionary as CSV files, by column name."""
+    return read_dictionary(spark, study.dictionary_folder(spark, sf_dir))
+
+
+@register("other_id_patterns")
+def q_other_id_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR13: the family and position of the id by the look-around variants of the patterns."""
+    people = clean_people(study.participants_raw(spark, sf_dir), family_pat=prefixed_family_pattern("AB"), position_pat="^AB_[0-9]+_([0-9]+)(?=_v)")
+    suffixed = first_match_int("patient_id", POSITION_PATTERN_SUFFIXED).alias("suffixed_pos")
+    return people.select("patient_id", "mdh_participant_id", "FamilyID", "fam_pos", suffixed)
+
+
 # ---------------------------------------------------------------- statistics (API14, AGG16-AGG18)
 
 def lineitem_years(spark: SparkSession, sf_dir: str) -> DataFrame:

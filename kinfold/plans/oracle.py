@@ -983,3 +983,28 @@ FROM (SELECT *, CASE page % 9 WHEN 1 THEN 'malformed or truncated' WHEN 2 THEN '
                    WHEN 4 THEN 'no list pos data.data' WHEN 5 THEN 'no text' WHEN 6 THEN 'a record is no object' END AS reason FROM page)
 WHERE page % 9 <> 7
 """
+
+SQL["resting_from_folders"] = f"""
+WITH {PERSON_SERIES.lstrip()}
+SELECT 'p' || (user_id % 4) AS owner, file_date, timestamp, round(resting_hr, 6) AS resting_hr FROM p_resting
+WHERE user_id % 4 <> 2 AND file_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-25'
+"""
+
+SQL["dictionary_from_files"] = f"""
+WITH {EVENT_SURVEYS.lstrip()}
+SELECT DISTINCT surveyname, CAST(version AS INTEGER) AS surveyversion, step_id AS stepidentifier, result_id AS resultidentifier,
+       CASE WHEN kind = 'stress' THEN CASE WHEN version = 1 THEN 'BL' ELSE 'QT' END ELSE CASE WHEN version = 3 THEN 'QT' ELSE 'BL' END END AS survey_type,
+       topic AS survey_topic, 'Step ' || q AS step_readable,
+       CASE WHEN kind = 'stress' THEN q || '. In the last month, how often did item ' || q || ' happen?' ELSE 'Question ' || q || ' about ' || topic END
+         || chr(10) || '"select all", please' AS questiontext,
+       CASE WHEN kind = 'stress' THEN 'scale' ELSE 'text' END AS answerformat,
+       CASE WHEN kind = 'stress' THEN 'never, almost never, sometimes, fairly often, very often' ELSE 'free text' END AS answerchoices
+FROM event_survey WHERE kind <> 'admin'
+"""
+
+SQL["other_id_patterns"] = f"""
+WITH {PARTICIPANTS_RAW.lstrip()}
+SELECT patient_id, mdh_participant_id, {_int("regexp_extract(patient_id, 'AB_([0-9]+)', 1)")} AS FamilyID,
+       {_int("regexp_extract(patient_id, '^AB_[0-9]+_([0-9]+)_v', 1)")} AS fam_pos, {_int("regexp_extract(patient_id, '([0-9]+)(_v)?$', 1)")} AS suffixed_pos
+FROM participants_raw
+"""

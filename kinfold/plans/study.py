@@ -13,12 +13,15 @@ split by event_type.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.plans.tables import table
+from kinfold.session import ensure_checkpoint_dir
 
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 ISO_UTC_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -334,3 +337,38 @@ def readiness_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _file_text(r, ["owner"], "timestamp,score,resting heart rate readiness,type,sleep readiness,heart rate variability readiness",
                       [F.col("file_date").cast("string"), F.col("daily_readiness_score").cast("string"), F.col("rhr_readiness_cat"),
                        F.col("daily_readiness_cat"), F.col("sleep_readiness_cat"), F.col("hrv_readiness_cat")], "file_date")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), "exports", f"{name}-{uuid.uuid4().hex}")
+
+
+#: Export folders of the stand-in study; a folder without a resting heart rate file among them.
+FOLDERS, EMPTY_FOLDER = 4, 2
+
+
+def resting_folders(spark: SparkSession, sf_dir: str) -> str:
+    """Root of export folders, one for each remainder of the user id, with all their users' resting heart rates as CSV files. Every second folder
+    has its columns in another order, among others and with quoted line breaks; one has no such file."""
+    root = _folder(spark, "resting")
+    r = resting_hr(spark, sf_dir, ["user_id"])
+    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp")
+    value, user = F.col("resting_hr").alias("beats per minute"), F.col("user_id").alias("user")
+    note = F.concat(F.lit('says "'), F.col("user_id"), F.lit('",\n next line')).alias("note")
+    for i in range(FOLDERS):
+        if i == EMPTY_FOLDER:
+            continue
+        cols = [stamp, value, user] if i % 2 else [note, value, user, stamp, F.lit("").alias("other")]
+        path = os.path.join(root, f"p{i}", "Physical Activity_GoogleData", "daily_resting_heart_rate.csv")
+        r.where(F.col("user_id") % FOLDERS == i).select(*cols).write.option("header", True).option("escape", '"').csv(path)
+    return root
+
+
+def dictionary_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the dictionary as CSV files, columns in reverse order after one of no meaning; question texts are over two lines."""
+    path = _folder(spark, "dictionary")
+    d = dictionary_raw(spark, sf_dir).withColumn("questiontext", F.concat("questiontext", F.lit('\n"select all", please')))
+    names = [name for _, name in dictionary_fields()]
+    d.select(F.lit("x").alias("note"), *names[::-1]).write.option("header", True).option("escape", '"').csv(path)
+    return path

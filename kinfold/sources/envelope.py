@@ -107,11 +107,11 @@ def read_surveys(spark: SparkSession, path: str, on_bad: str = "fail", observati
 def read_dictionary(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Data dictionary as CSV (header row) or Parquet (SRC3); the workbook itself is exported first.
 
-    Columns are taken by name, in any order and among others; a missing one is an error. Fields may hold line breaks.
+    Columns are taken by name, in any order and among others; a missing one is an error. Fields may hold line breaks and doubled quotes.
     Files of one folder must have the same header: a dictionary is one sheet.
     """
     if fmt == "csv":
-        raw = spark.read.option("header", True).option("multiLine", True).option("enforceSchema", False).csv(path)
+        raw = spark.read.options(header=True, multiLine=True, enforceSchema=False, escape='"').csv(path)
     else:
         raw = spark.read.format(fmt).load(path)
     names = {c.strip().lower(): c for c in raw.columns}
