@@ -27,6 +27,7 @@ from kinfold.operators.stats import METRIC_LABELS, box_numbers, compare_groups,
 from kinfold.operators.summary import enrollment_summary
 from kinfold.plans import study
 from kinfold.plans.tables import table
+from kinfold.session import materialize
 from kinfold.sources.envelope import PARTICIPANT_SCHEMA, SURVEY_SCHEMA, decode_envelope, explode_envelope, read_dictionary
 from kinfold.sources.wearables import decode_readiness, decode_resting_hr, hrv_days, index_files, load_resting_hr
 
@@ -294,7 +295,8 @@ def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sources (SRC1-SRC9, FLT4, RSH4, API10, API11)
-# The texts of responses and export files are built from the tables (plans.study); the readers call the same functions.
+# The texts of responses and export files are built from the tables (plans.study); the readers call the same functions. HRV files, which the index
+# and both sides of a day read, are written once.
 
 # Date range of the registered export queries.
 EXPORT_START, EXPORT_END = "2024-01-04", "2024-01-25"
@@ -330,12 +332,12 @@ def q_hrv_index_all_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("hrv_from_files")
 def q_hrv_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(hrv_days(study.hrv_files(spark, sf_dir), EXPORT_START, EXPORT_END, keys=["owner"]))
+    return rounded(hrv_days(materialize(study.hrv_files(spark, sf_dir)), EXPORT_START, EXPORT_END, keys=["owner"]))
 
 
 @register("hrv_summary_from_files")
 def q_hrv_summary_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(hrv_days(study.hrv_files(spark, sf_dir), EXPORT_START, EXPORT_END, summary_only=True, keys=["owner"]))
+    return rounded(hrv_days(materialize(study.hrv_files(spark, sf_dir)), EXPORT_START, EXPORT_END, summary_only=True, keys=["owner"]))
 
 
 @register("resting_from_files")

@@ -17,7 +17,7 @@ import os
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.plans.tables import table
@@ -281,15 +281,15 @@ def survey_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 NOTE, WIDE = '"a, ""b""\nc"', 80
 
 
-def _numbers(*cols) -> list:
-    return [c.cast("string") for c in cols]
+def _line(*fields) -> Column:
+    return F.concat_ws(",", *fields)
 
 
-def _file_text(df: DataFrame, by: Sequence[str], header: str, fields: Sequence, order: str) -> DataFrame:
-    """One text for each ``by`` group: the header and the group's lines (a person's day, or a person's days)."""
-    line = F.concat_ws(",", *fields)
+def _file_text(df: DataFrame, by: Sequence[str], header: Column | str, line: Column, order: str) -> DataFrame:
+    """One text for each ``by`` group: the header (of the group) and the group's lines (a person's day, or a person's days)."""
+    head = F.lit(header) if isinstance(header, str) else header
     lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line")))), lambda x: x["line"])
-    return df.groupBy(*by).agg(F.concat(F.lit(header + "\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("text"))
+    return df.groupBy(*by).agg(F.array_join(lines, "\n").alias("lines")).select(*by, F.concat(head, F.lit("\n"), "lines", F.lit("\n")).alias("text"))
 
 
 def hrv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,22 +301,24 @@ def hrv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     det = hrv_detail(spark, sf_dir, ["owner", "event_id"])
     iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     odd = (F.col("owner") + F.dayofmonth("file_date")) % 2 == 1
-    plain = _file_text(det.where(~odd), ["owner", "file_date"], "timestamp,rmssd,coverage,low_frequency,high_frequency",
-                       [iso, *_numbers(F.col("rmssd"), F.col("coverage"), F.col("low_frequency"), F.col("high_frequency"))], "event_id")
-    mixed = _file_text(det.where(odd), ["owner", "file_date"], "low_frequency,note,rmssd,high_frequency,timestamp,coverage",
-                       [F.col("low_frequency").cast("string"), F.lit(NOTE), *_numbers(F.col("rmssd"), F.col("high_frequency")), iso, F.col("coverage").cast("string")], "event_id")
+    rmssd, coverage, low, high = (F.col(c).cast("string") for c in ("rmssd", "coverage", "low_frequency", "high_frequency"))
+    header = F.when(odd, "low_frequency,note,rmssd,high_frequency,timestamp,coverage").otherwise("timestamp,rmssd,coverage,low_frequency,high_frequency")
+    line = F.when(odd, _line(low, F.lit(NOTE), rmssd, high, iso, coverage)).otherwise(_line(iso, rmssd, coverage, low, high))
     folder = F.concat(F.lit("/exports/"), F.col("owner"), F.lit("/Heart Rate Variability/"))
-    details = plain.unionByName(mixed).select("owner", F.concat(folder, F.lit("Heart Rate Variability Details - "), F.col("file_date").cast("string"), F.lit(".csv")).alias("path"), "text")
+    details = _file_text(det, ["owner", "file_date"], header, line, "event_id").select(
+        "owner", F.concat(folder, F.lit("Heart Rate Variability Details - "), F.col("file_date").cast("string"), F.lit(".csv")).alias("path"), "text")
+    strays = F.when(F.col("owner") % 5 == 1, F.array(
+        F.struct(F.regexp_replace("path", "[0-9]{4}-[0-9]{2}-[0-9]{2}", "2024-02-30").alias("path"), F.lit("x").alias("text")),
+        F.struct(F.regexp_replace("path", "\\.csv$", " - copy.csv").alias("path"), F.lit("x").alias("text"))))
+    details = details.select("owner", F.inline(F.concat(F.array(F.struct("path", "text")), F.coalesce(strays, F.array().cast("array<struct<path:string,text:string>>")))))
     summ = hrv_summary(spark, sf_dir, ["owner"])
     summ = _file_text(summ, ["owner", "file_date"], "nremhr,rmssd,entropy,timestamp",
-                      [*_numbers(F.col("nremhr"), F.col("rmssd"), F.col("entropy")), F.col("file_date").cast("string")], "file_date")
+                      _line(*[F.col(c).cast("string") for c in ("nremhr", "rmssd", "entropy", "file_date")]), "file_date")
     month, day = F.date_format("file_date", "yyyy-MM"), F.date_format("file_date", "dd")
     twice = F.when(F.col("owner") % 7 == 3, F.array(F.lit(""), F.lit("Copy of "))).otherwise(F.array(F.lit("")))
     summaries = summ.select("owner", "text", "file_date", folder.alias("folder"), F.explode(twice).alias("copy")).select(
         "owner", F.concat("folder", "copy", F.lit("Daily Heart Rate Variability Summary - "), month, F.lit("-("), day, F.lit(").csv")).alias("path"), "text")
-    stray = details.where(F.col("owner") % 5 == 1).select("owner", F.lit("x").alias("text"), F.explode(F.array(
-        F.regexp_replace("path", "[0-9]{4}-[0-9]{2}-[0-9]{2}", "2024-02-30"), F.regexp_replace("path", "\\.csv$", " - copy.csv"))).alias("path"))
-    return details.unionByName(summaries).unionByName(stray.distinct())
+    return details.unionByName(summaries)
 
 
 def resting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,18 +327,17 @@ def resting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     value = F.col("resting_hr").cast("string")
     wide = F.col("owner") % 3 == 1
-    plain = _file_text(r.where(~wide), ["owner"], "data source,beats per minute,timestamp", [F.lit("watch"), value, stamp], "file_date")
     more = ",".join(f"extra {i}" for i in range(WIDE))
-    noted = _file_text(r.where(wide), ["owner"], f"note,{more},beats per minute,timestamp", [F.lit(NOTE), F.lit("," * (WIDE - 1)), value, stamp], "file_date")
-    return plain.unionByName(noted)
+    header = F.when(wide, f"note,{more},beats per minute,timestamp").otherwise("data source,beats per minute,timestamp")
+    line = F.when(wide, _line(F.lit(NOTE), F.lit("," * (WIDE - 1)), value, stamp)).otherwise(_line(F.lit("watch"), value, stamp))
+    return _file_text(r, ["owner"], header, line, "file_date")
 
 
 def readiness_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(owner, text) of every user's readiness file."""
     r = readiness(spark, sf_dir, ["owner"])
-    return _file_text(r, ["owner"], "timestamp,score,resting heart rate readiness,type,sleep readiness,heart rate variability readiness",
-                      [F.col("file_date").cast("string"), F.col("daily_readiness_score").cast("string"), F.col("rhr_readiness_cat"),
-                       F.col("daily_readiness_cat"), F.col("sleep_readiness_cat"), F.col("hrv_readiness_cat")], "file_date")
+    line = _line(*[F.col(c).cast("string") for c in ("file_date", "daily_readiness_score", "rhr_readiness_cat", "daily_readiness_cat", "sleep_readiness_cat", "hrv_readiness_cat")])
+    return _file_text(r, ["owner"], "timestamp,score,resting heart rate readiness,type,sleep readiness,heart rate variability readiness", line, "file_date")
 
 
 def _folder(spark: SparkSession, name: str) -> str:

@@ -61,3 +61,16 @@ def test_reshape_helpers(spark):
     assert numeric_columns(df) == ["a", "c", "e"]
     seq = spark.createDataFrame([(3, "y"), (1, "x"), (2, "y"), (4, "z")], "pos int, v string")
     assert [r.v for r in distinct_in_order(seq, "v", "pos").collect()] == ["x", "y", "z"]
+
+
+def test_local_copy_is_bounded_by_rows_and_bytes(spark):
+    from kinfold.operators.joins import local_copy
+
+    def is_local(df):
+        return "LocalTableScan" in df._jdf.queryExecution().optimizedPlan().toString() or "LocalRelation" in df._jdf.queryExecution().optimizedPlan().toString()
+    df = spark.range(1000).selectExpr("id", "array(id, NULL) AS a", "named_struct('x', id, 'y', 'é') AS s", "cast(NULL AS string) AS n")
+    for rows, size, want in ((1000, 1 << 20, True), (999, 1 << 20, False), (1000, 1000, False)):
+        out = local_copy(df, rows, size)
+        assert is_local(out) == want and out.schema == df.schema
+        assert sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+    assert local_copy(df.limit(0), 10).count() == 0 and is_local(local_copy(df.limit(0), 10))
