@@ -339,6 +339,6 @@ def violin_density(df: DataFrame, keys: Sequence[str], value: str, points: int =
     under = F.least(F.floor("at").cast("int"), F.lit(points - 2))
     below, above = F.element_at("grid", under + 1), F.element_at("grid", under + 2)
     out = out.select(*g, "n", "bw", "point", "y", (below + (F.col("at") - under) * (above - below)).alias("density"))
-    out = small_table(out).withColumn("__all", F.col("point") * 0)  # a key that is always 0 but no literal
+    out = small_table(out).withColumn("__all", F.col("density").isNull())  # a key that is always false but no literal
     peak = out.groupBy("__all").agg(F.max("density").alias("peak"))
     return join_by(out, peak, ["__all"], how="inner").drop("__all").select(*out.drop("__all").columns, (F.col("density") / F.col("peak")).alias("width"))

@@ -980,7 +980,7 @@ page AS (
 SELECT page, reason AS reject_reason, CASE WHEN reason IS NULL AND page % 9 <> 7 THEN n ELSE 0 END AS records,
        CASE WHEN reason IS NULL OR page % 9 = 3 THEN 0 ELSE 1 END AS texts
 FROM (SELECT *, CASE page % 9 WHEN 1 THEN 'malformed or truncated' WHEN 2 THEN 'malformed or truncated' WHEN 3 THEN 'no text'
-                   WHEN 4 THEN 'no list pos data.data' WHEN 5 THEN 'no text' WHEN 6 THEN 'a record is no object' END AS reason FROM page)
+                   WHEN 4 THEN 'no list at data.data' WHEN 5 THEN 'no text' WHEN 6 THEN 'a record is no object' END AS reason FROM page)
 WHERE page % 9 <> 7
 """
 
