@@ -15,6 +15,7 @@ are left out before the shuffle (a limit within each task, then in each group),
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,13 +37,15 @@ COLUMNS = 8
 WIDTH = 2.1
 
 
+#: Different vector lengths of a table, at most.
+MOST_LENGTHS = 1000
+
+
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v): vectors of finite numbers that are not zero, of the most frequent dimension (ties: the larger)."""
+    """(vec_id, v): vectors of finite numbers that are not zero."""
     v = F.col(vector_col).cast("array<double>")
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where("vec_id is not null and v is not null")
-    rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
-    size = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    return rows.where(F.size("v") == (size[0]["d"] if size else 0))
+    return rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -133,14 +136,25 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5, share: float = 0.97, width: float = WIDTH) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every``, its ``k`` nearest found others.
 
-    As many lists are probed as hold ``share`` of the nearest neighbours in a bounded sample. Nearness is the cosine; ties go to the smaller id. Vectors that are NULL, zero, of another dimension than most, or
-    that hold NULL or non-finite numbers take no part, nor do rows without an id. Fewer than ``k`` other vectors: all
+    As many lists are probed as hold ``share`` of the nearest neighbours in a bounded sample. Nearness is the cosine; ties go to the smaller id. Vectors that are NULL, zero, or
+    that hold NULL or non-finite numbers take no part, nor do rows without an id. Vectors of different lengths have no cosine: each length is
+    searched by itself (``MOST_LENGTHS`` of them at most). Fewer than ``k`` other vectors: all
     of them. Rows that repeat an id with the same vector count once; an id with different vectors keeps each. An empty
     table gives an empty result. Other columns of ``df`` are not read.
     """
-    spark = df.sparkSession
+    rows = usable(df, id_col, vector_col)
+    lengths = [r["d"] for r in rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(MOST_LENGTHS + 1).collect()]
+    if len(lengths) > MOST_LENGTHS:
+        raise ValueError(f"{vector_col} has vectors of more than {MOST_LENGTHS} lengths")
+    found = [nearest_of_length(rows.where(F.size("v") == d) if len(lengths) > 1 else rows, every, k, share, width) for d in lengths]
+    return reduce(DataFrame.union, found) if found else df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def nearest_of_length(rows: DataFrame, every: int, k: int, share: float, width: float) -> DataFrame:
+    """``nearest`` of vectors (vec_id, v) of one length."""
+    spark = rows.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    rows = usable(df, id_col, vector_col).distinct()
+    rows = rows.distinct()
     firsts = Window.partitionBy("v").orderBy("vec_id")
     pool = written(rows.withColumn("nth", F.row_number().over(firsts)).where(F.col("nth") <= k + 1).select("vec_id", "v"))
     total = pool.count()

@@ -61,6 +61,31 @@ def test_few_vectors_copies_and_empty(spark):
     assert [i for i, _ in got[0]] == [1, 2, 3, 4, 5] and [i for i, _ in got[350]] == [0, 1, 2, 3, 4] and [i for i, _ in got[400]] == [0, 1, 2, 3, 4]
 
 
+def test_each_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4 if i % 3 else 7).tolist()) for i in range(200)] + [(1000, [1.0]), (1050, [-2.0, 1.0])]
+    got = answers(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA))
+    want = {}
+    for d in (1, 2, 4, 7):
+        want |= brute([(i, v) for i, v in rows if len(v) == d])
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items() if v}
+
+
+@pytest.mark.parametrize("n", [3000, 15_000])
+def test_recall_on_clusters_at_two_sizes(spark, n):
+    rng = np.random.default_rng(n)
+    centre = rng.normal(size=(40, 24))
+    x = (centre[rng.integers(0, 40, n)] + 0.4 * rng.normal(size=(n, 24))).astype(np.float32)
+    got = answers(spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], SCHEMA))
+    unit_x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, n, 50):
+        s = unit_x @ unit_x[q]
+        s[q] = -2
+        hits += len({i for i, _ in got[q]} & set(np.argsort(-s)[:5].tolist()))
+    assert hits >= 0.9 * 5 * len(range(0, n, 50))
+
+
 @pytest.mark.parametrize("width", [2.1, 50.0])
 def test_scan_gives_up_few_neighbours(width):
     rng = np.random.default_rng(1)
