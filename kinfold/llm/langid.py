@@ -13,8 +13,9 @@ of the id, and ``windows_per_text`` windows of each); prediction reads every byt
 
 One more class stands for text of **no learned language**. It is trained on windows that are made up: bytes and letters drawn at random, letters
 of other scripts, and the labelled windows themselves with their letters exchanged one for one or in another order. What is pooled for it is
-the column ``foreign``; the prediction is always a learned language. A text is ``known`` if its foreign share is at most that of every one of
-``HELD_TEXTS`` labelled texts of each language that were kept from the fit, or at most one half.
+the column ``foreign``; the prediction is always a learned language. A text is ``known`` if the evidence that it is foreign (that share, less for a
+short text, which says little) is at most that of every one of ``HELD_TEXTS`` labelled texts of each language that were kept from the
+fit, or at most ``LEAST_BAR``.
 """
 
 from __future__ import annotations
@@ -131,8 +132,10 @@ def _gradients(net: Net, codes: np.ndarray, labels: np.ndarray) -> tuple[float,
 SCRIPTS = ((0x61, 0x7A), (0xC0, 0x17F), (0x391, 0x3C9), (0x410, 0x44F), (0x5D0, 0x5EA), (0x621, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x3041, 0x30FE), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
 
 
-#: Made-up windows, at least; labelled texts of each language for the bar of known ones; the highest bar.
-MADE_UP, HELD_TEXTS, HIGHEST_BAR = 3000, 100, 0.99
+#: Made-up windows, at least; labelled texts of each language for the bar of known ones; the lowest and the highest bar.
+MADE_UP, HELD_TEXTS, LEAST_BAR, HIGHEST_BAR = 3000, 100, 0.65, 0.99
+#: Bytes of text that halve the evidence.
+SHORT = 16
 
 
 def made_up(rng: np.random.Generator, window: bytes) -> bytes:
@@ -251,10 +254,16 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, te
     return [r["text"].encode("utf-8", "surrogatepass") for r in got], [r["language"] for r in got]
 
 
+def evidence(foreign: float, size: int) -> float:
+    """How much a text of ``size`` bytes with a foreign share speaks for no learned language."""
+    return foreign * size / (size + SHORT)
+
+
 def known_bar(net: Net, texts: list[bytes]) -> float:
-    """The foreign share up to which a text counts as one of a learned language."""
+    """The evidence up to which a text counts as one of a learned language."""
     with_letters = [t for t in texts if LETTER.search(t.decode("utf-8", "surrogatepass"))]
-    return min(HIGHEST_BAR, max([0.5, *text_probabilities(net, with_letters)[:, -1].tolist()])) if with_letters else 0.5
+    seen = text_probabilities(net, with_letters)[:, -1].tolist() if with_letters else []
+    return min(HIGHEST_BAR, max([LEAST_BAR, *(evidence(f, len(t)) for f, t in zip(seen, with_letters, strict=True))]))
 
 
 def split_sample(texts: list[bytes], labels: list[str], held: int) -> tuple[list[int], list[int]]:
@@ -288,7 +297,7 @@ def identify(df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_co
             p = text_probabilities(net, [texts_[i].encode("utf-8", "surrogatepass") for i in known])
             for i, row, best in zip(known, p, p[:, :len(net.languages)].argmax(axis=1), strict=True):
                 names[i], scores[i], foreign[i] = net.languages[best], float(min(1.0, row[best])), float(min(1.0, row[-1]))
-        known_ = [name != UNDETERMINED and f <= bar for name, f in zip(names, foreign, strict=True)]
+        known_ = [name != UNDETERMINED and evidence(f, len(t.encode("utf-8", "surrogatepass"))) <= bar for name, f, t in zip(names, foreign, (t or "" for t in texts_), strict=True)]
         return [pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64()), pa.array(foreign, type=pa.float64()), pa.array(known_, type=pa.bool_())]
 
     return with_columns(df, id_col, text_col, "lang_pred string, score double, foreign double, known boolean", ["lang_pred", "score", "foreign", "known"], lambda: compute, carry)
