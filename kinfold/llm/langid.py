@@ -15,7 +15,7 @@ One more class stands for text of **no learned language**. It is trained on wind
 of other scripts, and the labelled windows themselves with their letters exchanged one for one or in another order. What is pooled for it is
 the column ``foreign``; the prediction is always a learned language. A text is ``known`` if the evidence that it is foreign (that share, less for a
 short text, which says little) is at most that of every one of ``HELD_TEXTS`` labelled texts of each language that were kept from the
-fit, or at most ``LEAST_BAR``.
+fit, or at most ``LEAST_BAR``. Fewer than ``LEAST_HELD`` such texts set no bar: then every text with a letter is known.
 """
 
 from __future__ import annotations
@@ -134,8 +134,8 @@ SCRIPTS = ((0x61, 0x7A), (0xC0, 0x17F), (0x391, 0x3C9), (0x410, 0x44F), (0x5D0,
 
 #: Made-up windows, at least; labelled texts of each language for the bar of known ones; the lowest and the highest bar.
 MADE_UP, HELD_TEXTS, LEAST_BAR, HIGHEST_BAR = 3000, 100, 0.65, 0.99
-#: Bytes of text that halve the evidence.
-SHORT = 16
+#: Bytes of text that halve the evidence; texts that set a bar, at least.
+SHORT, LEAST_HELD = 16, 20
 
 
 def made_up(rng: np.random.Generator, window: bytes) -> bytes:
@@ -262,7 +262,9 @@ def evidence(foreign: float, size: int) -> float:
 def known_bar(net: Net, texts: list[bytes]) -> float:
     """The evidence up to which a text counts as one of a learned language."""
     with_letters = [t for t in texts if LETTER.search(t.decode("utf-8", "surrogatepass"))]
-    seen = text_probabilities(net, with_letters)[:, -1].tolist() if with_letters else []
+    if len(with_letters) < LEAST_HELD:
+        return 1.0
+    seen = text_probabilities(net, with_letters)[:, -1].tolist()
     return min(HIGHEST_BAR, max([LEAST_BAR, *(evidence(f, len(t)) for f, t in zip(seen, with_letters, strict=True))]))
 
 

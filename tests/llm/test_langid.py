@@ -88,3 +88,9 @@ def test_sample_is_split_by_language():
     labels = ["a"] * 10 + ["b"] * 3 + ["a"] * 2
     fit, held = langid.split_sample([b""] * 15, labels, 2)
     assert sorted(fit + held) == list(range(15)) and [labels[i] for i in held] == ["a", "a"] and held == [13, 14]
+
+
+def test_few_labelled_texts_reject_nothing(spark, make_docs):
+    learned = make_docs([(i, "the cat and the dog of it") for i in range(20)]).union(make_docs([(i, "le chat été là ça é") for i in range(20, 40)], "fr"))
+    docs = make_docs([(i, t) for i, t in enumerate(FOREIGN)] + [(90, None), (91, "12 34"), (92, "the " * 40_000)])
+    assert {r.doc_id: r.known for r in identify(docs, learned).collect()} == {**{i: True for i in range(len(FOREIGN))}, 90: False, 91: False, 92: True}
